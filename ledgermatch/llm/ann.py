@@ -147,7 +147,7 @@ def start_graph(vectors: DataFrame, n: int) -> DataFrame:
             k = min(K, len(q) - 1)
             best = np.argpartition(-s, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(s), 0), dtype=np.int64)
             near += [_pairs(s[i, b], ids[b]) for i, b in enumerate(best)]
-        return pd.DataFrame({"node": ids, "near": near})
+        return pd.DataFrame({"node": ids, "near": pd.Series(near, dtype=object)})
 
     found = dealt.groupBy("tree", "leaf", "part").applyInPandas(join_leaf, f"node long, near {NEAR}")
     found = found.groupBy("node").agg(F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near"))), asc=False), 1, K).alias("near"))
@@ -186,7 +186,7 @@ def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
                     ok = score[i] > least[i]
                     nodes.append(ids[i])
                     near.append(_pairs(score[i][ok], ids[best[i][ok]]))
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": near})
+            yield pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": pd.Series(near, dtype=object)})
 
     news = met.select("m").mapInPandas(meet, f"node long, near {NEAR}")
     return common.store(merged(graph.union(news), "node", K), "graph")
@@ -225,7 +225,7 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, pool: int =
             if len(ok):
                 nodes.append(node)
                 near.append(_pairs(s[ok], found[ok]))
-        return pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": near})
+        return pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": pd.Series(near, dtype=object)})
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Old pool and new finds of each query: the nearest ``pool`` of both."""
@@ -238,7 +238,7 @@ def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, pool: int =
                 kept = {v for v, _ in order}
                 near.append([{"s": s, "v": v} for v, s in order])
                 done.append([u for u in was if u in kept])
-            yield b[["node", "plain"]].assign(near=near, done=done)
+            yield b[["node", "plain"]].assign(near=pd.Series(near, dtype=object), done=pd.Series(done, dtype=object))
 
     for step in range(steps):
         todo = F.array_except("near.v", "done")
