@@ -130,7 +130,9 @@ def _gazetteer(kind: str, found: str, digits: str) -> int:
         return -1 if found.startswith(_RESERVED) else 1
     if kind == "card":
         return 1 if digits.startswith(_ISSUERS) else -1
-    return 1 if found[0] == "+" and digits.startswith(_CALLING) else 0
+    if found[0] == "+":
+        return 1 if digits.startswith(_CALLING) else 0
+    return 1 if len(digits) == 10 and digits[0] > "1" and digits[3] > "1" else -1
 
 
 def _context(kind: str, text: str, start: int) -> int:
@@ -149,14 +151,16 @@ def candidates(text: str) -> list[Candidate]:
         spans += [(m.start(), m.end(), "email", False) for m in _SPOKEN.finditer(text)]
     if _DIGIT.search(text):
         for m in _CARD.finditer(text):
-            if 14 <= m.end() - m.start() <= 37 and 14 <= len(_NOT_DIGIT.sub("", m[0])) <= 19:
+            free = text[m.start() - 1 : m.start()] + text[m.end() : m.end() + 1]  # not part of a word, key or hash
+            if 14 <= m.end() - m.start() <= 37 and 14 <= len(_NOT_DIGIT.sub("", m[0])) <= 19 and not re.search(r"[\w=\"'/]", free):
                 spans.append((m.start(), m.end(), "card", False))
         spans += [(m.start(), m.end(), "phone", False) for m in _LOOSE_PHONE.finditer(text)]
-    known = {(a, k) for a, _, k in base}
+    starts, reach = [s[0] for s in base], list(accumulate((s[1] for s in base), max))
     out = []
     for a, b, kind, is_base in spans:
-        if not is_base and (a, kind) in known:
-            continue
+        before = 0 if is_base else bisect_left(starts, b)
+        if before and reach[before - 1] > a:
+            continue  # what a base span has is not proposed again
         found = text[a:b]
         digits = _NOT_DIGIT.sub("", found)
         votes = (1 if is_base else -1, _gazetteer(kind, found, digits), _context(kind, text, a))
@@ -249,11 +253,9 @@ def detect(text: str | None, model: Model, threshold: float = THRESHOLD) -> tupl
     found = candidates(text or "")
     order = lambda s: (s[0], KINDS.index(s[2]))
     base = sorted(((c.start, c.end, c.kind) for c in found if c.base), key=order)
-    starts, reach = [s[0] for s in base], list(accumulate((s[1] for s in base), max))
     added, done = [], 0
     for c in sorted((c for c in found if not c.base), key=lambda c: (c.start, KINDS.index(c.kind))):
-        before = bisect_left(starts, c.end)
-        if c.start >= done and not (before and reach[before - 1] > c.start) and model.probability(c) >= threshold:
+        if c.start >= done and model.probability(c) >= threshold:
             added.append((c.start, c.end, c.kind))
             done = c.end
     return base, sorted(base + added, key=order)
