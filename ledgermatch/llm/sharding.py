@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-SHARDS, SEED, BUCKET_BYTES = 16, 3, 32 << 20
+SHARDS, SEED, BUCKET_BYTES = 16, 3, 4 << 20
 
 
 def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, row_bytes: int = 100) -> DataFrame:
@@ -40,7 +40,7 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
     copies = copies.withColumn("bucket", F.pmod("h", F.lit(buckets)))
 
     counts = copies.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    # One row per bucket: 32 MB of records become 24 bytes here.
+    # One row per bucket: 4 MB of records become 24 bytes here.
     starts = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start"))
 
     def fisher_yates(group: pd.DataFrame) -> pd.DataFrame:
