@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, hashing, numbers, text
-from ..operators import audit, claims, entries, features, history, matching, predictions, registry, split
+from ..operators import audit, claims, dataset, entries, features, history, matching, model, predictions, registry, split, views
 from ..sources import ubl
 from . import adaptor
 from .adaptor import table
@@ -440,3 +440,110 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey"""
 )
 def xml_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents_xml(spark, sf_dir).where("error is null").select("header.invoice", F.explode("lines").alias("l")).select("invoice", "l.ordinal", "l.item_code", "l.amount")
+
+
+# --- views, datasets and predictions over the supplied tables -----------------------------
+
+
+@query(
+    """WITH d AS (SELECT o_orderkey AS document_id, o_custkey % 3 AS client_id, CASE WHEN o_orderstatus = 'F' THEN 'PROCESADO' ELSE 'PENDIENTE_DESCARGA' END AS state, CASE WHEN o_orderpriority LIKE '1%' THEN 'PENDIENTE' END AS review FROM orders),
+x AS (SELECT l_orderkey AS document_id, l_linenumber AS xml_id, CASE WHEN l_linestatus = 'O' THEN 'Invoice' ELSE 'CreditNote' END AS root, l_tax AS iva, l_discount AS inc FROM lineitem WHERE l_linenumber = 1)
+SELECT d.document_id, 'dian:' || (d.document_id % 100)::VARCHAR AS load_tag, (iva > 0)::INT AS has_iva, (inc > 0)::INT AS has_inc, 2 + (iva > 0)::INT + (inc > 0)::INT AS suggested_rows, 'item - ' || d.document_id AS item_supplier
+FROM d JOIN x USING (document_id) WHERE state = 'PROCESADO' AND coalesce(review, '') <> 'PENDIENTE' AND root = 'Invoice' AND d.client_id = 1"""
+)
+def invoice_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o, lines = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").where("l_linenumber = 1")
+    documents = o.select(
+        F.col("o_orderkey").alias("document_id"), (F.col("o_custkey") % 3).alias("client_id"), F.when(F.col("o_orderstatus") == "F", "PROCESADO").otherwise("PENDIENTE_DESCARGA").alias("state"), F.when(F.col("o_orderpriority").like("1%"), "PENDIENTE").alias("review")
+    )
+    versions = o.select(F.col("o_orderkey").alias("document_id"), F.lit(1).alias("version_id"), (F.col("o_orderkey") % 100).alias("load_id"), F.lit(True).alias("is_current"))
+    extracted = lines.select(
+        F.col("l_orderkey").alias("document_id"), F.col("l_linenumber").alias("xml_id"), F.lit(1).alias("extractor_version"), F.when(F.col("l_linestatus") == "O", "Invoice").otherwise("CreditNote").alias("root"),
+        F.col("l_tax").alias("iva_total"), F.col("l_discount").alias("inc_total"), F.lit("item").alias("item_1"), F.col("l_orderkey").cast("string").alias("supplier_name"),
+    )
+    loads = o.select((F.col("o_orderkey") % 100).alias("load_id"), F.lit(1).cast("long").alias("client_id"), F.lit("listing").alias("kind")).distinct()
+    out = views.with_technical_ids(views.current_invoices(documents, versions, extracted), loads)
+    return out.select("document_id", "load_tag", "has_iva", "has_inc", "suggested_rows", "item_supplier")
+
+
+@query(
+    """WITH e AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 7), f AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_linenumber = 6)
+SELECT o_orderkey AS xml_id FROM orders WHERE o_orderkey NOT IN (SELECT * FROM e) AND o_orderkey NOT IN (SELECT * FROM f) ORDER BY o_orderdate, o_orderkey LIMIT 100"""
+)
+def pending_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xml = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("xml_id"), F.col("o_orderdate").alias("created"))
+    done = lambda n: table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == n).select(F.col("l_orderkey").alias("xml_id")).distinct()
+    return views.pending_extraction(xml, done(7), done(6)).select("xml_id")
+
+
+@query(
+    """SELECT is_extracted, is_failed, count(*) AS n FROM (SELECT o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 7) AS is_extracted, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_linenumber = 6) AS is_failed FROM orders) GROUP BY ALL"""
+)
+def extraction_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    xml = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("xml_id"))
+    done = lambda n: table(spark, sf_dir, "lineitem").where(F.col("l_linenumber") == n).select(F.col("l_orderkey").alias("xml_id"), F.lit(1).alias("extractor_version"))
+    return views.extraction_flags(xml, done(7), done(6)).groupBy("is_extracted", "is_failed").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(f"WITH {SPARSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = dataset.model_rows(adaptor.invoices(spark, sf_dir), adaptor.matched(spark, sf_dir, sparse=True))
+    return split.class_counts(dataset.training_rows(rows, ["candidates"]), "label")
+
+
+@query("SELECT count(*) AS rows, count(*) FILTER (o_custkey IS NULL) AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) AS repeated_keys FROM orders")
+def source_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset.guards(table(spark, sf_dir, "orders"), "o_custkey")
+
+
+@query(
+    """WITH b AS (SELECT o_orderkey AS xml_id, o_orderstatus AS label, round((o_orderkey % 97) / 97.0::DOUBLE, 9) AS p FROM orders),
+s AS (SELECT xml_id, CASE WHEN xml_id % 5 = 0 THEN 'X' ELSE label END AS label, p + CASE WHEN xml_id % 3 = 0 THEN 0.00001::DOUBLE ELSE 0 END AS p FROM b WHERE xml_id % 2 = 0)
+SELECT CASE WHEN b.xml_id % 7 = 0 THEN 'RECHAZADA' WHEN s.xml_id IS NULL THEN 'REGISTRADA' WHEN s.label = b.label AND abs(s.p - b.p) <= 0.000001::DOUBLE THEN 'YA_EXISTE' ELSE 'CONFLICTO' END AS outcome, count(*) AS n FROM b LEFT JOIN s USING (xml_id) GROUP BY 1"""
+)
+def prediction_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    i = F.col("o_orderkey")
+    batch = table(spark, sf_dir, "orders").select(i.alias("xml_id"), F.lit("m").alias("model_hash"), F.col("o_orderstatus").alias("label"), F.round((i % 97) / F.lit(97.0), 9).alias("probability"))
+    k = F.col("xml_id")
+    stored = batch.where(k % 2 == 0).withColumns({"label": F.when(k % 5 == 0, "X").otherwise(F.col("label")), "probability": F.col("probability") + F.when(k % 3 == 0, 0.00001).otherwise(0.0)})
+    out = predictions.register(batch, stored, batch.where(k % 7 == 0).select("xml_id"))
+    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("SELECT o_orderkey, 100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders")
+def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return registry.assign_ids(table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], start=100).select("o_orderkey", F.col("id").cast("long").alias("id"))
+
+
+@query(
+    """WITH n AS (SELECT o_orderkey AS xml_id, o_totalprice AS payable FROM orders)
+SELECT xml_id, payable AS total, CASE WHEN payable * 0.19::DOUBLE > 0 THEN 1 ELSE 0 END AS has_iva, 0 AS has_discount, CASE WHEN xml_id % 2 = 1 THEN 1 ELSE 0 END AS has_charge, 0 AS no_nit, (payable >= 104748)::INT AS over_2_units, 'fv' AS invoice_prefix, '0112' AS industry_code, 'item one | acme | nota' AS description FROM n"""
+)
+def invoice_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    price = F.col("o_totalprice")
+    raw = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("xml_id"), F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("nit"), F.concat(F.lit("FV-"), F.col("o_orderkey").cast("string")).alias("invoice"), F.to_date("o_orderdate").alias("date"),
+        price.alias("line_extension"), price.alias("tax_exclusive"), price.alias("tax_inclusive"), price.alias("payable"), (price * 0.19).alias("iva"), F.lit(0.0).alias("inc"), F.lit(None).cast("double").alias("discount"), F.lit(0.0).alias("charge"),
+        F.lit("no").alias("discount_flag"), F.when(F.col("o_orderkey") % 2 == 1, "Sí").otherwise("0").alias("charge_flag"), F.lit("; 0112;x").alias("industry"), F.lit(" Ácme ").alias("supplier_name"), F.lit("Item  one").alias("item_1"), F.lit("Nota").alias("notes"),
+    )
+    return features.invoice_features(raw).select("xml_id", "total", "has_iva", "has_discount", "has_charge", "no_nit", "over_2_units", "invoice_prefix", "industry_code", "description")
+
+
+@query(
+    """WITH l AS (SELECT DISTINCT l_orderkey, 'P' || l_partkey AS code, l_partkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey)
+SELECT l_orderkey::VARCHAR AS invoice, string_agg(code, ' | ' ORDER BY l_partkey) AS codes FROM l GROUP BY 1"""
+)
+def item_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = _documents_xml(spark, sf_dir)
+    texts = ubl.item_texts(parsed)
+    return parsed.select("header.key", "header.invoice").join(texts, "key").select("invoice", "codes")
+
+
+@query()
+def predict_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three likeliest order statuses by a classifier that is fitted to the months before the test months."""
+    rows = split.temporal_split(table(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "label"), "o_orderdate", 0.02)
+    names = ["o_totalprice", "o_orderpriority"]
+    fitted = model.fit(split.trainable(rows.where("part = 'train'"), "label"), names, width=64, rounds=5)
+    out = model.predict_top(fitted, rows.where("part = 'test'"), names)
+    return out.select("o_orderkey", "label", F.array_join(F.transform("top", lambda e: e["label"]), ",").alias("top"))
