@@ -8,12 +8,12 @@ sorted by cap over weight that fill is a running sum over one row per source.
 Within a source every document first gets the whole copies that are certain (the integer part
 of target / words); the rest is drawn without replacement by Pareto order sampling: with a
 uniform u from a seeded hash and the inclusion probability p, documents rank by
-(u / (1 - u)) / (p / (1 - p)), and the first of that order are taken until their words come
-nearest to what is left of the target.  The optional column ``weight_col`` makes p unequal
-within a source too.
+(u / (1 - u)) / (p / (1 - p)), and the first of that order are taken as far as they fit in
+what is left of the target; one more document, from those near the cut, is taken if it comes
+nearest to the rest.  The optional column ``weight_col`` makes p unequal within a source too.
 
 The cut of that order is found without sorting a source in one task: ranks are first summed
-in about sqrt(n) bins by (source, bin); only the bin where the running sum passes the target
+in about sqrt(n) / 4 bins by (source, bin); only the bin where the running sum passes the target
 is put in order.  Equal rows are counted before any shuffle and numbered, so each copy has
 its own draw.
 
@@ -69,7 +69,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CA
     rows = rows.withColumn("expected", expected).withColumn("whole", F.floor("expected")).withColumn("p", F.col("expected") - F.col("whole")).withColumn("u", u)
     # odds(u) / odds(p), as a number between 0 and 1; p = 0 goes last and is never taken.
     odds = F.col("u") * (1 - F.col("p")) / (F.col("u") * (1 - F.col("p")) + (1 - F.col("u")) * F.col("p"))
-    bins = F.greatest(F.lit(1.0), F.ceil(F.sqrt(F.col("rows").cast("double"))))
+    bins = F.greatest(F.lit(1.0), F.ceil(F.sqrt(F.col("rows").cast("double")) / 4))
     rows = rows.withColumn("rank", F.when(F.col("p") > 0, odds).otherwise(1.0)).withColumn("bin", F.when(F.col("p") > 0, F.floor(F.col("rank") * bins)).otherwise(bins).cast("long"))
 
     sums = rows.groupBy("source", "bin").agg(F.sum(F.when(F.col("p") > 0, F.col("size")).otherwise(0)).alias("words"), F.sum(F.col("whole") * F.col("size")).alias("certain"), F.first("target").alias("target"))
@@ -79,9 +79,15 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CA
     placed = placed.withColumn("edge", (F.col("p") > 0) & (F.col("start") <= F.col("left")) & (F.col("start") + F.col("words") >= F.col("left")) & (F.col("words") > 0))
     out = ["doc_id", "source", "size", "_k1", "_k2", "copy", "source_size", "target", "whole"]
     clear = placed.where(~F.col("edge")).select(*out, F.when((F.col("p") > 0) & (F.col("start") + F.col("words") <= F.col("left")), 1).otherwise(0).alias("extra"))
-    line = Window.partitionBy("source", "bin").orderBy("rank", "doc_id", "_k1", "_k2", "copy").rowsBetween(Window.unboundedPreceding, 0)
-    through = F.col("start") + F.sum("size").over(line)
-    edge = placed.where("edge").select(*out, F.when(through + through - F.col("size") <= 2 * F.col("left"), 1).otherwise(0).alias("extra"))
+    order = ["rank", "doc_id", "_k1", "_k2", "copy"]
+    bin_of = Window.partitionBy("source", "bin")
+    line = bin_of.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    edge = placed.where("edge").withColumn("through", F.col("start") + F.sum("size").over(line)).withColumn("first", F.col("through") <= F.col("left"))
+    edge = edge.withColumn("rest", F.col("left") - F.coalesce(F.max(F.when(F.col("first"), F.col("through"))).over(bin_of), F.col("start")))
+    fits = ~F.col("first") & (F.col("size") < 2 * F.col("rest"))
+    edge = edge.withColumn("miss", F.when(fits, F.struct(F.abs(F.col("rest") - F.col("size")).alias("miss"), *order)))
+    edge = edge.withColumn("last", F.coalesce(F.col("miss") == F.min("miss").over(bin_of), F.lit(False)))
+    edge = edge.select(*out, F.when(F.col("first") | F.col("last"), 1).otherwise(0).alias("extra"))
     return clear.union(edge).withColumn("copies", F.col("whole") + F.col("extra")).drop("whole", "extra")
 
 
