@@ -215,7 +215,7 @@ def fit(counts: list[tuple], rounds: int = 50) -> Model:
         model.prior[kind], model.reliability[kind] = prior, rel
         x += [_encode(kind, r[0], r[1]) for r in own]
         y += list(post)
-        w += list(n / n.sum())
+        w += list(np.log1p(n))  # so that rare patterns count too
     width = len(_encode("email", (0, 0, 0), (0, 0, 0)))
     model.weights = np.zeros(width)
     if x:
