@@ -148,3 +148,49 @@ def read_workbooks(spark: SparkSession, path: str, columns: list[str], sheet: st
     schema = "path string, row long, " + "".join(f"{c} string, " for c in names) + "error string"
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(of, schema).toDF("path", "row", *columns, "error")
+
+
+def records(book: Workbook, required: set[str], fold: Callable[[str], str], sheet: str | None = None, header_rows: int = HEADER_ROWS, max_rows: int = MAX_ROWS) -> Iterator[tuple[int, dict[str, str | None], dict[str, str | None]]]:
+    """(row number, cells by folded header, cells by header as written) of the first fitting sheet."""
+    if sheet is not None and sheet not in book.sheets:
+        raise ValueError(f"no sheet {sheet!r}")
+    for name in [sheet] if sheet is not None else book.sheets:
+        heads, n = None, 0
+        for row, cells in book.rows(name):
+            if heads is None:
+                folded = [fold(c or "") for c in cells]
+                if required <= set(folded):
+                    known = [f for f in folded if f]
+                    if any(known.count(f) > 1 for f in required):
+                        raise ValueError("a column comes twice")
+                    heads = [(f, c) for f, c in zip(folded, cells, strict=True)]
+                elif row >= header_rows:
+                    break
+                continue
+            n += 1
+            if n > max_rows:
+                raise ValueError(f"more than {max_rows} rows")
+            padded = cells + [None] * (len(heads) - len(cells))
+            pairs = [(f, c, v) for (f, c), v in zip(heads, padded) if f]
+            yield row, {f: v for f, _, v in pairs}, {c: v for _, c, v in pairs}
+        if heads is not None:
+            if not n:
+                raise ValueError("the sheet has no rows")
+            return
+    raise ValueError("no sheet has the required columns")
+
+
+def read_records(spark: SparkSession, path: str, required: set[str], fold: Callable[[str], str], sheet: str | None = None, max_rows: int = MAX_ROWS, max_unzipped: int = MAX_UNZIPPED) -> DataFrame:
+    """(path, row, cells, original, error): cells is a map by folded header, original one by the header as written."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    rows = [(name, row, cells, raw, None) for row, cells, raw in records(Workbook(content, max_unzipped), required, fold, sheet, max_rows=max_rows)]
+                except (ValueError, KeyError, zipfile.BadZipFile, ElementTree.ParseError) as e:
+                    rows = [(name, None, None, None, str(e))]
+                yield pd.DataFrame(rows, columns=["path", "row", "cells", "original", "error"]).astype({"row": "Int64"})
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(of, "path string, row long, cells map<string,string>, original map<string,string>, error string")

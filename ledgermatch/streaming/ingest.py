@@ -64,3 +64,38 @@ def fetch_all(claimed: DataFrame, fetch: Callable[[str], bytes]) -> DataFrame:
             yield pd.DataFrame(rows, columns=["document_id", "content", "error"])
 
     return claimed.select(F.col("document_id").cast("string")).mapInPandas(of, "document_id string, content binary, error string")
+
+
+def claim_stream(events: DataFrame, timeout_s: int = 540, attempts_allowed: int = 5) -> DataFrame:
+    """(document_id, attempts, state) after every batch of attempt events (document_id, outcome).
+
+    A custom stateful operator: a null outcome starts an attempt, which expires by processing
+    time; a terminal outcome stands against later events of stale workers.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    from ..operators.claims import TERMINAL
+
+    def step(key: tuple, batches, state: GroupState):
+        attempts, current = state.get if state.exists else (0, "PENDIENTE")
+        if state.hasTimedOut:
+            current = "ERROR" if attempts >= attempts_allowed else "VENCIDO"
+            state.update((attempts, current))
+        else:
+            for batch in batches:
+                for outcome in batch["outcome"]:
+                    if current in TERMINAL:
+                        continue
+                    if outcome is None or pd.isna(outcome):
+                        attempts, current = attempts + 1, "EN_CURSO"
+                    elif outcome == "REINTENTO" and attempts >= attempts_allowed:
+                        current = "ERROR"
+                    else:
+                        current = outcome
+            state.update((attempts, current))
+            if current == "EN_CURSO":
+                state.setTimeoutDuration(timeout_s * 1000)
+        yield pd.DataFrame({"document_id": [key[0]], "attempts": [attempts], "state": [current]})
+
+    return events.groupBy("document_id").applyInPandasWithState(step, "document_id string, attempts int, state string", "attempts int, state string", "update", GroupStateTimeout.ProcessingTimeTimeout)

@@ -80,3 +80,44 @@ def test_verified_read(spark, tmp_path):
     good = spark.createDataFrame([(path, 4, hashlib.sha256(b"<a/>").hexdigest())], "path string, size long, sha256 string")
     assert ubl.read_verified(spark, str(tmp_path), good).count() == 1
     assert ubl.read_verified(spark, str(tmp_path), good.replace(4, 5, "size")).count() == 0
+
+
+def test_listing_and_ledger_rows(spark, tmp_path):
+    from datetime import date, datetime
+    from decimal import Decimal
+
+    from ledgermatch.sources import listing
+
+    head = ["Tipo de documento", "CUFE/CUDE", "Folio", "Fecha Emisi�n", "Fecha Recepción", "NIT Emisor", "Nombre Emisor", "NIT Receptor", "Nombre Receptor", "IVA", "Total", "Estado", "Grupo", "Otra"]
+    good = ["Factura", "AB" * 48, "7", "28-09-2026", "28-09-2026 10:11:12", "900", "E", "800", "R", "16.822,50", "100", "Ok", "g", "kept"]
+    bad = ["Application response", "x", "8", "31-02-2026", "", "900", "E", "800", "R", "", "abc", "Ok", "g", None]
+    (tmp_path / "l.xlsx").write_bytes(workbook([head, good, bad]))
+    rows = {r["folio"]: r for r in listing.listing_rows(spark, str(tmp_path / "l.xlsx")).collect()}
+    one, two = rows["7"], rows["8"]
+    assert (one["iva"], one["total"], one["fecha_emision"], one["fecha_recepcion"], one["key_type"], one["ica"]) == (Decimal("16822.5"), Decimal(100), date(2026, 9, 28), datetime(2026, 9, 28, 10, 11, 12), "CUFE", Decimal(0))
+    assert one["parse_errors"] == "" and len(one["content_hash"]) == 64 and '"Otra":"kept"' in one["original_json"] and one["cufe_cude"] == "ab" * 48
+    assert two["key_type"] == "CUDE" and two["content_hash"] == "" and two["parse_errors"] == "fecha emision no es valido; total no es valido"
+    assert listing.without_responses(listing.listing_rows(spark, str(tmp_path / "l.xlsx"))).count() == 1
+
+    columns = ["Fecha", "Documento", "Tipo Doc", "Num Doc", "Cuenta", "Naturaleza", "Débito", "Crédito", "Identidad Tercero", "Ind Contabilidad"]
+    ledger = [columns, ["2026/02/28", "d", "FC", "00000248", "51", "D", "10.5", "0", "9", "k1"], ["2026-02-28", "d", "FC", "1", "51", "X", "1", "0", "9", "k2"], ["2026-02-28", "d", "FC", "1", "51", "C", "0", "1.12345", "9", "k3"], ["x", "d", "FC", "1", "51", "C", "0", "1", "9", None]]
+    (tmp_path / "m.xlsx").write_bytes(workbook([["banner"], *ledger]))
+    out = {r["row"]: r for r in listing.ledger_rows(spark, str(tmp_path / "m.xlsx")).collect()}
+    assert [out[i]["rule"] for i in (3, 4, 5, 6)] == [None, "naturaleza invalida", "mas de cuatro decimales", "sin identificador"]
+    assert out[3]["fecha"] == date(2026, 2, 28) and out[3]["numdoc"] == "00000248" and out[3]["debito"] == Decimal("10.5") and len(out[3]["content_hash"]) == 64
+
+
+def test_sinks(spark, tmp_path):
+    from datetime import datetime
+
+    from pyspark.sql import functions as F
+
+    from ledgermatch.sources import sinks
+
+    a = spark.createDataFrame([("x", "A"), ("y", "A")], "k string, state string")
+    b = spark.createDataFrame([("x", "A"), ("y", "B"), ("z", "A")], "k string, state string")
+    now = F.to_timestamp(F.lit("2026-01-01 00:00:00"))
+    assert sorted((r["k"], r["from_state"], r["to_state"]) for r in sinks.status_history(a, b, "k", now).collect()) == [("y", "A", "B"), ("z", None, "A")]
+    assert tuple(sinks.outbox(b.where("k = 'x'"), ["k"], 60, now).first()) == ('{"schemaVersion":1,"k":"x"}', datetime(2026, 1, 1, 0, 1))
+    sinks.report(b.withColumn("l", F.array("k")), str(tmp_path / "r"))
+    assert spark.read.option("header", True).csv(str(tmp_path / "r")).where("k = 'x'").first()["l"] == '["x"]'

@@ -26,3 +26,25 @@ def test_fetch(spark):
 
     out = ingest.fetch_all(spark.createDataFrame([("a",), ("bad",)], "document_id string"), fetch).orderBy("document_id").collect()
     assert [(r["content"], r["error"]) for r in out] == [(bytearray(b"a"), None), (None, "TimeoutError")]
+
+
+def test_claims_keep_state_between_batches(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "document_id string, outcome string"
+    spark.createDataFrame([("a", None), ("b", None), ("b", "OK")], schema).coalesce(1).write.parquet(source)
+    seen = []
+
+    # Else the timeouts' batches without data never end.
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+
+    def go():
+        out = ingest.claim_stream(ingest.read_folder(spark, source, schema))
+        keep = lambda batch, _: seen.extend(map(tuple, batch.collect()))
+        query = out.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert query.awaitTermination(60)
+
+    go()
+    assert sorted(seen) == [("a", 1, "EN_CURSO"), ("b", 1, "OK")]
+    spark.createDataFrame([("a", "REINTENTO"), ("b", "ERROR")], schema).coalesce(1).write.mode("append").parquet(source)
+    seen.clear()
+    go()
+    assert sorted(seen) == [("a", 1, "REINTENTO"), ("b", 1, "OK")]
