@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,3 +39,22 @@ def frame_hash(df: DataFrame, order: str) -> DataFrame:
     sums = [F.coalesce(F.sum(f"w{i}"), F.lit(0)).cast("decimal(30,0)").cast("string") for i in range(8)]
     folded = df.select(*words).agg(F.count(F.lit(1)).alias("n"), F.concat_ws(",", *sums).alias("s"))
     return folded.select("n", F.sha2(F.concat_ws(",", F.col("n").cast("string"), "s"), 256).alias("hash"))
+
+
+#: Largest payload of a registry row in bytes.
+PAYLOAD_BYTES = 8000
+
+
+def valid_payload(x: Column) -> Column:
+    """Is a text a JSON object without nested values, of 8,000 bytes at most?"""
+    flat = F.from_json(x, "map<string,string>", {"mode": "PERMISSIVE"})
+    nested = F.exists(F.map_values(flat), lambda v: F.coalesce(v.rlike(r"^\s*[\[{]"), F.lit(False)))
+    return F.coalesce((F.octet_length(x) <= PAYLOAD_BYTES) & F.try_parse_json(x).isNotNull() & x.rlike(r"^\s*\{") & ~nested, F.lit(False))
+
+
+def code_hash(folder: str | Path) -> str:
+    """SHA-256 over the names and contents of a package's source files, in order of name."""
+    out = hashlib.sha256()
+    for path in sorted(Path(folder).rglob("*.py")):
+        out.update(path.relative_to(folder).as_posix().encode() + b"\0" + path.read_bytes() + b"\0")
+    return out.hexdigest()

@@ -168,3 +168,10 @@ def fold_ledger_header(name: str) -> str:
 def snake_name(name: str) -> str:
     """A column name in snake case."""
     return "_".join("".join(c if c.isascii() else " " for c in fold_header(name)).split())
+
+
+def tokens(x: Column, stop_words: tuple[str, ...] = (), least: int = 3) -> Column:
+    """Lower-case words of letters, without stop words and short ones, in order.  Words are not reduced to lemmas."""
+    words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
+    keep = lambda w: (F.length(w) >= least) & ~w.rlike(r"^\p{N}+$") & (~w.isin(*stop_words) if stop_words else F.lit(True))
+    return F.filter(words, keep)

@@ -6,7 +6,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import predictions
@@ -38,3 +38,17 @@ def predict_top(model: PipelineModel, rows: DataFrame, features: list[str], n: i
     return out.withColumn("top", predictions.top(names, F.col("_p"), n)).select(*rows.columns, "top")
 
 
+
+
+def save(model: PipelineModel, spark: SparkSession, path: str, features: list[str]) -> None:
+    """The model and a manifest with the features that it was fitted on."""
+    model.write().overwrite().save(f"{path}/model")
+    spark.createDataFrame([(i, f) for i, f in enumerate(features)], "at int, feature string").coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest")
+
+
+def load(spark: SparkSession, path: str, features: list[str]) -> PipelineModel:
+    """The model, if its manifest has exactly these features in this order."""
+    known = [r["feature"] for r in spark.read.schema("at int, feature string").parquet(f"{path}/manifest").orderBy("at").collect()]
+    if known != list(features):
+        raise ValueError(f"the model was fitted on {known}")
+    return PipelineModel.load(f"{path}/model")

@@ -135,3 +135,32 @@ def pending(items: DataFrame, done: list[DataFrame], key: str, order: list[str],
     for other in done:
         items = items.join(other.select(key), key, "left_anti")
     return items.orderBy(*order).limit(limit) if limit is not None else items
+
+
+def register_xml(batch: DataFrame, stored: DataFrame) -> DataFrame:
+    """Outcome of XML files (document_id, path, sha256): XML_REGISTRADO, XML_EXISTENTE, or RECHAZADO if the path doesn't end with id and hash."""
+    good = F.coalesce(F.col("path").endswith(F.concat(F.col("document_id").cast("string"), F.lit("/"), F.col("sha256"), F.lit(".xml"))), F.lit(False)) & hashing.is_hex(F.col("sha256"), 64)
+    known = stored.select("document_id").distinct().withColumn("_known", F.lit(True))
+    first = F.row_number().over(Window.partitionBy("document_id").orderBy(~good, "path")) == 1
+    marked = batch.withColumns({"_good": good, "_first": first}).join(known, "document_id", "left")
+    outcome = F.when(~F.col("_good"), "RECHAZADO").when(F.col("_known") | ~F.col("_first"), "XML_EXISTENTE").otherwise("XML_REGISTRADO")
+    return marked.withColumn("outcome", outcome).drop("_good", "_first", "_known")
+
+
+def register_extractions(parsed: DataFrame, extracted: DataFrame, failed: DataFrame) -> DataFrame:
+    """Outcome of parsed documents (xml_id, error): REGISTRADA or EXISTENTE, ERROR_REGISTRADO or YA_EXTRAIDO.
+
+    An error sticks: a document that has one is not tried again and keeps it.
+    """
+    done = extracted.select("xml_id").distinct().withColumn("_done", F.lit(True))
+    bad = failed.select("xml_id").distinct().withColumn("_bad", F.lit(True))
+    joined = parsed.join(done, "xml_id", "left").join(bad, "xml_id", "left")
+    has = lambda c: F.coalesce(F.col(c), F.lit(False))
+    outcome = F.when(F.col("error").isNull(), F.when(has("_done"), "EXISTENTE").when(has("_bad"), "ERROR_REGISTRADO").otherwise("REGISTRADA")).otherwise(F.when(has("_done"), "YA_EXTRAIDO").otherwise("ERROR_REGISTRADO"))
+    return joined.withColumn("outcome", outcome).drop("_done", "_bad")
+
+
+def finish_loads(counters: DataFrame, finished: DataFrame, load: str) -> DataFrame:
+    """Counters with a column ``finish``: the state a load ends in now, or YA_FINALIZADA if it has ended before."""
+    before = finished.select(load).distinct().withColumn("_ended", F.lit(True))
+    return counters.join(before, load, "left").withColumn("finish", F.when(F.col("_ended"), "YA_FINALIZADA").otherwise(F.col("state"))).drop("_ended")

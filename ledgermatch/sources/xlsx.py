@@ -14,7 +14,8 @@ from datetime import datetime, timedelta
 from xml.etree import ElementTree
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions.text import fold_header, fold_ledger_header
 
@@ -194,3 +195,14 @@ def read_records(spark: SparkSession, path: str, required: set[str], fold: Calla
 
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInPandas(of, "path string, row long, cells map<string,string>, original map<string,string>, error string")
+
+
+def upload_error(path: Column, content: Column, most: int = 20 << 20) -> Column:
+    """The first rule that an uploaded file breaks: name, size, or the mark of a ZIP file; null if none."""
+    name = F.regexp_extract(path, r"[^/]*$", 0)
+    return (
+        F.when(~name.rlike(r"(?i)\.xlsx$"), "not an .xlsx file")
+        .when(~name.rlike(r"^[\w .()-]{1,180}$"), "file name")
+        .when(F.length(content) > most, "too large")
+        .when(F.hex(F.substring(content, 1, 2)) != "504B", "not a workbook")
+    )

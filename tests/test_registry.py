@@ -93,3 +93,48 @@ def test_publish_once(spark, tmp_path):
     assert dataset.publish(spark, rows, identity, str(tmp_path)) == ("YA_EXISTE", 1)
     assert dataset.publish(spark, rows.where("xml_id = 1"), identity, str(tmp_path)) == ("PUBLICADA", 2)
     assert dataset.read_version(spark, str(tmp_path), 1).count() == 2
+
+
+def test_xml_extractions_and_finish(spark):
+    h = "a" * 64
+    batch = spark.createDataFrame([(1, f"c/1/{h}.xml", h), (2, f"c/2/{h}.xml", h), (3, "c/3/other.xml", h), (2, f"d/2/{h}.xml", h)], "document_id int, path string, sha256 string")
+    stored = spark.createDataFrame([(1,)], "document_id int")
+    out = {(r["document_id"], r["path"][0]): r["outcome"] for r in registry.register_xml(batch, stored).collect()}
+    assert out == {(1, "c"): "XML_EXISTENTE", (2, "c"): "XML_REGISTRADO", (3, "c"): "RECHAZADO", (2, "d"): "XML_EXISTENTE"}
+    ids = lambda *x: spark.createDataFrame([(i,) for i in x], "xml_id int")
+    parsed = spark.createDataFrame([(1, None), (2, None), (3, "e"), (4, "e"), (5, None)], "xml_id int, error string")
+    out = {r["xml_id"]: r["outcome"] for r in registry.register_extractions(parsed, ids(2, 4), ids(5)).collect()}
+    assert out == {1: "REGISTRADA", 2: "EXISTENTE", 3: "ERROR_REGISTRADO", 4: "YA_EXTRAIDO", 5: "ERROR_REGISTRADO"}
+    counters = spark.createDataFrame([(1, "OK"), (2, "PARCIAL")], "load int, state string")
+    assert {r["load"]: r["finish"] for r in registry.finish_loads(counters, spark.createDataFrame([(1,)], "load int"), "load").collect()} == {1: "YA_FINALIZADA", 2: "PARCIAL"}
+
+
+def test_payloads_tokens_code_and_uploads(spark, tmp_path):
+    from ledgermatch.functions import hashing, text
+    from ledgermatch.sources import xlsx
+
+    cases = {'{"a":1,"b":"x"}': True, "{}": True, '{"a":[1]}': False, '{"a":{"b":1}}': False, "[1]": False, "x": False, None: False, '{"a":"' + "x" * 8000 + '"}': False}
+    df = spark.createDataFrame([(k,) for k in cases], "x string")
+    assert [r[0] for r in df.select(hashing.valid_payload(F.col("x"))).collect()] == list(cases.values())
+    words = spark.createDataFrame([("El camión, 123 de Ñandú!",), (None,)], "x string").select(text.tokens(F.col("x"), ("camión",))).collect()
+    assert [r[0] for r in words] == [["ñandú"], []]
+    (tmp_path / "a.py").write_text("1")
+    before = hashing.code_hash(tmp_path)
+    (tmp_path / "a.py").write_text("2")
+    assert before != hashing.code_hash(tmp_path)
+    files = spark.createDataFrame([("d/a.xlsx", b"PK11"), ("d/a.csv", b"PK11"), ("d/a.xlsx", b"x"), ("d/a.xlsx", b"PK" * 20), ("d/;.xlsx", b"PK")], "p string, c binary")
+    assert [r[0] for r in files.select(xlsx.upload_error(F.col("p"), F.col("c"), 30)).collect()] == [None, "not an .xlsx file", "not a workbook", "too large", "file name"]
+
+
+def test_model_package(spark, tmp_path):
+    import pytest
+
+    from ledgermatch.operators import model
+
+    rows = spark.createDataFrame([(float(i), "a" if i % 2 else " ", f"l{i % 3}") for i in range(60)], "x double, s string, label string")
+    fitted = model.fit(rows, ["x", "s"], width=16, rounds=2)
+    model.save(fitted, spark, str(tmp_path), ["x", "s"])
+    top = model.predict_top(model.load(spark, str(tmp_path), ["x", "s"]), rows, ["x", "s"]).first()["top"]
+    assert len(top) == 3 and len({e["label"] for e in top}) == 3
+    with pytest.raises(ValueError):
+        model.load(spark, str(tmp_path), ["s", "x"])
