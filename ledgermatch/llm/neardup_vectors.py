@@ -19,7 +19,7 @@ The work that remains grows with the product of neighbouring slabs: for vectors
 dimensional structure no exact join avoids that (see README).
 
 Vectors that are null, zero or hold null or non-finite components, and rows without vec_id,
-link with nothing.  A vec_id that comes more than once is one node with the links of all its
+link with nothing (a row without vec_id has no component and isn't kept).  A vec_id that comes more than once is one node with the links of all its
 vectors; complete repeats count once.
 """
 
@@ -189,7 +189,7 @@ def near_vectors(table: DataFrame, **options) -> DataFrame:
     ids = table.select(F.col("vec_id").cast("long"), _vector(table))
     rows = ids.join(info, "vector", "left")
     out = rows.select("vec_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("c", "vec_id").alias("component_id"))
-    return out.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+    return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
 def op4_neardup_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
