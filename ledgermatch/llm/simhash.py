@@ -85,7 +85,9 @@ def links(marks: DataFrame, dense: int = DENSE) -> DataFrame:
     """
     kept = list(combinations(range(8), MIN_SHARED))
     entries = [F.struct(F.lit(i).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(_mask(c))).alias("shared")) for i, c in enumerate(kept)]
-    index = marks.select("fp", F.explode(F.array(*entries)).alias("e")).select("fp", "e.*")
+    # 28 rows come of one: spread the fingerprints first, whatever the files that hold them.
+    spread = marks.repartition(int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
+    index = spread.select("fp", F.explode(F.array(*entries)).alias("e")).select("fp", "e.*")
     postings = common.store(index.groupBy("choice", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1), "postings")
 
     def near(a: Column, b: Column) -> Column:
