@@ -78,3 +78,14 @@ def test_hashes(spark):
     assert hashing.frame_hash(df, "id").first()["hash"] != hashing.frame_hash(df.withColumn("s", F.lit("c")), "id").first()["hash"]
     assert hashing.frame_hash(df.limit(0), "id").first()["n"] == 0
     assert df.where(hashing.is_hex(F.sha2("s", 256), 64)).count() == 2 and df.where(hashing.is_hex(F.col("s"), 64)).count() == 0
+
+
+def test_normalizers_are_idempotent(spark):
+    import random
+
+    rng = random.Random(0)
+    values = ["".join(rng.choice("aB1 .-\tÉßﬁ½ ́xyz/0") for _ in range(rng.randrange(12))) for _ in range(300)]
+    df = spark.createDataFrame([(v,) for v in values], "x string")
+    for f in (text.collapse, text.basic_text, text.model_text, text.alnum_key, text.tax_id):
+        once = df.select(f(F.col("x")).alias("x"))
+        assert once.where(~f(F.col("x")).eqNullSafe(F.col("x"))).count() == 0, f.__name__

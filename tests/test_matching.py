@@ -89,3 +89,10 @@ def test_entry_aggregates(spark):
 
 def test_no_rows(spark):
     assert solve(spark, [], [move("1", "x", 1)]) == {} and solve(spark, [("1", "a", D, 1.0)], [])["1|a"]["state"] == "SIN_MATCH"
+
+
+def test_scores_stay_within_their_bounds(spark, small):
+    from ledgermatch.plans import adaptor
+
+    low, high = adaptor.scored(spark, small).agg(F.min("score"), F.max("score")).first()
+    assert -45 <= low < high <= 180
