@@ -29,14 +29,16 @@ def candidates(invoices: DataFrame, entries: DataFrame, pair_missing: bool = Tru
     equi-join on (value, is null), so adaptive execution can split a heavy supplier.
     """
     right = entries.select(
-        F.col("third_id").alias("entry_nit"), "entry_key", "entry_year", "doc_type", "doc_number", "entry_date", "concept_key", "amount", "accounts", "account_natures", "lines"
+        F.col("third_id").alias("entry_nit"), "entry_key", "entry_year", "doc_type", "doc_number", "entry_date", text.present(F.col("concept_key")).alias("concept_key"), "amount", "accounts", "account_natures", "lines"
     )
+    # What is tested for each pair is normalized once per side.
+    keys = {"_full": text.present(F.col("invoice"))} | {f"_last_{n}": text.last_chars(F.col("invoice"), n) for n in SUFFIXES}
     same = F.col("nit").eqNullSafe(F.col("entry_nit"))
-    joined = invoices.join(right, same if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
+    joined = invoices.withColumns(keys).join(right, same if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
     found = F.col("entry_key").isNotNull()
-    flags = {"hit_full": text.contains_key(F.col("concept_key"), F.col("invoice"))}
-    flags |= {f"hit_{n}": text.contains_key(F.col("concept_key"), text.last_chars(F.col("invoice"), n)) for n in SUFFIXES}
-    joined = joined.withColumns(flags)
+    inside = lambda key: F.coalesce(F.contains(F.col("concept_key"), F.col(key)), F.lit(False))
+    flags = {"hit_full": inside("_full")} | {f"hit_{n}": inside(f"_last_{n}") for n in SUFFIXES}
+    joined = joined.withColumns(flags).drop(*keys)
     joined = joined.withColumns(
         {
             "hit": F.col("hit_full") | F.col("hit_6") | F.col("hit_5") | F.col("hit_4"),
