@@ -38,3 +38,35 @@ def claim_states(attempts: DataFrame, now: Column, attempts_allowed: int = ATTEM
         .otherwise("REINTENTO")
     )
     return last.select("document_id", "attempts", "last_at", state.alias("state"))
+
+
+def finish_attempts(asked: DataFrame, attempts: DataFrame, documents: DataFrame, xml: DataFrame, attempts_allowed: int = ATTEMPTS) -> DataFrame:
+    """What becomes of attempts that end: asked (attempt_id, result), attempts (attempt_id, document_id, attempt, state),
+    documents (document_id, state) and xml (attempt_id: those whose XML is registered).
+
+    ``outcome`` is the attempt's final state, ``document_state`` the document's.  An attempt
+    that isn't INICIADA has ended before (``operation`` YA_FINALIZADA) and changes nothing.  A
+    registered XML makes it OK whatever was asked, and OK without one is an error; a retry
+    beyond the allowed attempts is an error; a stale attempt can't overwrite a later state.
+    """
+    done = xml.select("attempt_id").distinct().withColumn("_xml", F.lit(True))
+    before = documents.select("document_id", F.col("state").alias("_before"))
+    rows = asked.join(attempts, "attempt_id").join(before, "document_id").join(done, "attempt_id", "left")
+    ended, has_xml = F.col("state") != "INICIADA", F.coalesce("_xml", F.lit(False))
+    result = (
+        F.when(has_xml, "OK")
+        .when(F.col("result") == "OK", "ERROR")
+        .when((F.col("result") == "REINTENTO") & (F.col("attempt") >= attempts_allowed), "ERROR")
+        .otherwise(F.col("result"))
+    )
+    current = F.col("_before") == "CONSULTANDO_DIAN"
+    stale = ~current & (F.col("_before") != "REQUIERE_REVISION")
+    moved = F.when(F.col("_result") == "OK", "XML_DESCARGADO").when(F.col("_result") == "NO_ENCONTRADO", "NO_ENCONTRADO").when(F.col("_result") == "REINTENTO", "PENDIENTE_DESCARGA").otherwise("ERROR")
+    return rows.withColumn("_result", result).select(
+        "attempt_id",
+        "document_id",
+        F.when(ended, "YA_FINALIZADA").otherwise("FINALIZADA").alias("operation"),
+        F.when(ended, F.col("state")).when(stale, "ERROR").otherwise(F.col("_result")).alias("outcome"),
+        F.when(~ended & current, moved).otherwise(F.col("_before")).alias("document_state"),
+        (~ended & current & (F.col("_result") == "REINTENTO")).alias("retry"),
+    )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from .entries import template_label
 from .matching import accepted
 
 IDENTITY = ("client", "source", "invoices_hash", "movements_hash", "rows_hash", "code_hash", "parameters")
+MANIFEST = ", ".join(f"{c} string" for c in IDENTITY) + ", n long, version int"
 
 
 def model_rows(invoices: DataFrame, matches: DataFrame) -> DataFrame:
@@ -55,35 +58,42 @@ def valid_published(row_hash: Column) -> Column:
 def publish(spark: SparkSession, rows: DataFrame, identity: dict[str, str], path: str, order: str = "xml_id") -> tuple[str, int]:
     """Write a version and its manifest row once: ("PUBLICADA" or "YA_EXISTE", version).
 
-    Rows go to a folder of their own first; the manifest row, written last, makes them a
-    version.  The same identity with the same rows' hash is the same version.
+    Rows are computed once, into a folder of their own; their hash is taken from what was
+    written.  A new version's folder is then renamed, and the manifest row, written last, makes
+    it a version: what a lost run leaves behind is not one.  The same identity with the same
+    rows' hash is the same version.
     """
-    found = hashing.frame_hash(rows, order).first()
-    identity = identity | {"rows_hash": found["hash"]}
-    missing = set(IDENTITY) - set(identity)
+    missing = set(IDENTITY) - set(identity) - {"rows_hash"}
     if missing:
         raise ValueError(f"identity without {sorted(missing)}")
-    schema = ", ".join(f"{c} string" for c in IDENTITY) + ", n long, version int"
-    store = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/manifest")
-    known = store.getFileSystem(spark._jsc.hadoopConfiguration()).exists(store)
+    pending = f"{path}/pending/{uuid.uuid4().hex}"
+    rows.write.parquet(pending)
+    found = hashing.frame_hash(spark.read.schema(rows.schema).parquet(pending), order).first()
+    identity = identity | {"rows_hash": found["hash"]}
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
     last = 0
-    if known:
-        manifest = spark.read.schema(schema).parquet(f"{path}/manifest")
+    if files.exists(at(f"{path}/manifest")):
+        manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
         same = manifest
         for c in IDENTITY:
             same = same.where(F.col(c) == identity[c])
         if again := same.first():
+            files.delete(at(pending), True)
             return "YA_EXISTE", again["version"]
         last = manifest.agg(F.max("version")).first()[0] or 0
-    rows.write.mode("overwrite").parquet(f"{path}/rows/version={last + 1}")
-    spark.createDataFrame([tuple(identity[c] for c in IDENTITY) + (found["n"], last + 1)], schema).write.mode("append").parquet(f"{path}/manifest")
+    own = at(f"{path}/rows/version={last + 1}")
+    files.delete(own, True)  # of a run that was lost before its manifest row
+    files.mkdirs(own.getParent())
+    if not files.rename(at(pending), own):
+        raise OSError(f"{pending} could not become {own.toString()}")
+    spark.createDataFrame([tuple(identity[c] for c in IDENTITY) + (found["n"], last + 1)], MANIFEST).write.mode("append").parquet(f"{path}/manifest")
     return "PUBLICADA", last + 1
 
 
 def read_version(spark: SparkSession, path: str, version: int) -> DataFrame:
     """The rows of a version, after their number and keys have been checked."""
-    schema = ", ".join(f"{c} string" for c in IDENTITY) + ", n long, version int"
-    manifest = spark.read.schema(schema).parquet(f"{path}/manifest").where(F.col("version") == version).first()
+    manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").where(F.col("version") == version).first()
     if not manifest:
         raise ValueError(f"no version {version}")
     rows = spark.read.parquet(f"{path}/rows/version={version}")

@@ -13,6 +13,13 @@ from .matching import invoice_key
 UNIT = 52374
 THRESHOLDS = (2, 4, 27)
 MISMATCH = 0.01
+#: Columns of an invoice that a source may lack.
+OPTIONAL = {"city": "string", "tax_level": "string", "scheme_id": "string", "scheme_name": "string", "item_codes": "string"}
+#: What the template classifier reads.
+PREDICTORS = (
+    "nit city_text tax_level_text scheme_id_text scheme_name_text industry_code payable discount charge has_iva has_inc has_discount has_charge "
+    "over_2_units over_4_units over_27_units payable_mismatch item_codes_text"
+).split()
 
 
 def ensure_columns(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -33,12 +40,15 @@ def invoice_features(raw: DataFrame) -> DataFrame:
     """Typed invoice rows to matching and model features.
 
     The total is the payable amount as it is; the payable amount itself is filled with 0.
+    Columns in ``OPTIONAL`` that the source lacks are null.
     """
     zero = lambda c: F.coalesce(F.col(c), F.lit(0.0))
     base, taxes = zero("line_extension"), zero("iva") + zero("inc")
     nit, number = text.tax_id(F.col("nit")), text.alnum_key(F.col("invoice"))
-    return raw.withColumns(
+    return ensure_columns(raw, OPTIONAL).withColumns(
         {
+            "city_text": text.model_text(F.col("city")),
+            **{f"{c}_text": text.basic_text(F.col(c)) for c in ("tax_level", "scheme_id", "scheme_name", "item_codes")},
             "nit": nit,
             "invoice": number,
             "invoice_prefix": text.letter_prefix(number),

@@ -30,14 +30,12 @@ def fit(rows: DataFrame, features: list[str], label: str = "label", width: int =
 
 
 def predict_top(model: PipelineModel, rows: DataFrame, features: list[str], n: int = 3) -> DataFrame:
-    """``rows`` with a column ``top``: the n likeliest labels with their probabilities."""
+    """``rows`` as they are with a column ``top``: the n likeliest labels with their probabilities."""
     labels = model.stages[0].labels
     names = F.array(*[F.lit(x) for x in labels])
-    hidden = prepare(rows, features).withColumn("label", F.lit(None).cast("string"))
-    out = model.transform(hidden).withColumn("_p", F.slice(vector_to_array("probability"), 1, len(labels)))
-    return out.withColumn("top", predictions.top(names, F.col("_p"), n)).select(*rows.columns, "top")
-
-
+    kept = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), *features)
+    out = model.transform(prepare(kept, features)).withColumn("_p", F.slice(vector_to_array("probability"), 1, len(labels)))
+    return out.select("_row.*", predictions.top(names, F.col("_p"), n).alias("top"))
 
 
 def save(model: PipelineModel, spark: SparkSession, path: str, features: list[str]) -> None:

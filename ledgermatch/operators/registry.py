@@ -110,8 +110,38 @@ def start_loads(requests: DataFrame, previous: DataFrame) -> DataFrame:
     return joined.select("client", "item", "etag", "hash", outcome.alias("outcome"), F.coalesce("same_load", "o.load_id").alias("load_id"))
 
 
-def load_counters(resolved: DataFrame, load: str, when: str, expected: DataFrame | None = None) -> DataFrame:
-    """Counters of each load and the state it ends in."""
+def start_ledger_loads(requests: DataFrame, previous: DataFrame, registered: DataFrame) -> DataFrame:
+    """Outcome of ledger load requests (client, source, item, etag, hash, sheet).
+
+    ``previous`` has client, source, item, etag, hash, sheet, state, expected, load_id;
+    ``registered`` has load_id and n, the rows that a load has registered.  A load is known by
+    (client, source, item, etag), else by (client, source, hash); sources compare in upper
+    case.  CONFLICTO: the same item version with another hash, or the same file with another
+    sheet.  REINTENTO: a load in ERROR, or a PARCIAL one whose rows did not all come.
+    ARCHIVO_EXISTENTE: any other known load.  NUEVA_CARGA: the rest.
+    """
+    upper = lambda df: df.withColumn("source", F.upper(F.trim("source")))
+    seen = upper(previous).join(registered.select("load_id", "n"), "load_id", "left")
+    load = F.struct("load_id", "hash", "sheet", "state", (F.col("expected") > F.coalesce("n", F.lit(0))).alias("short"))
+    by_item = seen.where("item is not null and etag is not null").groupBy("client", "source", "item", "etag").agg(F.min(load).alias("_item"))
+    by_hash = seen.groupBy("client", "source", "hash").agg(F.min(load).alias("_hash"))
+    joined = upper(requests).join(by_item, ["client", "source", "item", "etag"], "left").join(by_hash, ["client", "source", "hash"], "left").withColumn("_load", F.coalesce("_item", "_hash"))
+    outcome = (
+        F.when(F.col("_load").isNull(), "NUEVA_CARGA")
+        .when((F.col("_load.hash") != F.col("hash")) | (F.col("_load.sheet") != F.col("sheet")), "CONFLICTO")
+        .when((F.col("_load.state") == "ERROR") | ((F.col("_load.state") == "PARCIAL") & F.col("_load.short")), "REINTENTO")
+        .otherwise("ARCHIVO_EXISTENTE")
+    )
+    return joined.select("client", "source", "item", "etag", "hash", "sheet", outcome.alias("outcome"), F.col("_load.load_id").alias("load_id"))
+
+
+def load_counters(resolved: DataFrame, load: str, when: str, expected: DataFrame | None = None, ledger: bool = False) -> DataFrame:
+    """Counters of each load and the state it ends in.
+
+    ``expected`` has the load and its expected number of rows; rows that are still to come
+    leave a load PARCIAL.  A listing load without a valid row is in ERROR, a ledger load only
+    if it has no row at all.
+    """
     n = lambda o: F.count_if(F.col("outcome") == o)
     out = resolved.groupBy(load).agg(
         F.count(F.lit(1)).alias("processed"), n("NUEVO").alias("new"), n("DUPLICADO").alias("duplicate"), n("NUEVA_REVISION").alias("revised"), n("ID_CON_CONTENIDO_DISTINTO").alias("conflict"), n("RECHAZADO").alias("rejected"), F.min(when).alias("first_at"), F.max(when).alias("last_at")
@@ -119,7 +149,9 @@ def load_counters(resolved: DataFrame, load: str, when: str, expected: DataFrame
     if expected is not None:
         out = expected.join(out, load, "left").na.fill(0, ["processed", "new", "duplicate", "revised", "conflict", "rejected"]).withColumn("pending", F.col("expected") - F.col("processed"))
     valid = F.col("processed") - F.col("rejected")
-    state = F.when((F.col("processed") == 0) | (valid == 0), "ERROR").when((F.col("rejected") > 0) | (F.col("conflict") > 0), "PARCIAL").when(F.col("revised") > 0, "REQUIERE_REVISION").otherwise("OK")
+    failed = F.col("processed") == 0 if ledger else valid == 0
+    waiting = F.col("pending") > 0 if expected is not None else F.lit(False)
+    state = F.when(failed, "ERROR").when(waiting | (F.col("rejected") > 0) | (F.col("conflict") > 0), "PARCIAL").when(F.col("revised") > 0, "REQUIERE_REVISION").otherwise("OK")
     return out.withColumn("state", state)
 
 
