@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, hashing, numbers, text
 from ..operators import audit, claims, dataset, entries, features, history, matching, model, predictions, registry, split, views
+from ..schemas import INVOICES
 from ..sources import ubl
-from . import adaptor
+from . import adaptor, pipeline
 from .adaptor import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -491,6 +492,17 @@ def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.class_counts(dataset.training_rows(rows, ["candidates"]), "label")
 
 
+@query(f"WITH {SPARSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
+def dataset_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole run from raw rows: normalization, entries, candidates, resolution, training rows."""
+    price = F.col("o_totalprice")
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("xml_id"), F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("nit"), F.col("o_orderkey").cast("string").alias("invoice"), F.to_date("o_orderdate").alias("date"), price.alias("payable"), price.alias("tax_inclusive")
+    )
+    raw = features.ensure_columns(orders, dict(c.split() for c in INVOICES.split(", ")))
+    return split.class_counts(pipeline.match_run(raw, adaptor.movements(spark, sf_dir, sparse=True)).training(), "label")
+
+
 @query("SELECT count(*) AS rows, count(*) FILTER (o_custkey IS NULL) AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) AS repeated_keys FROM orders")
 def source_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.guards(table(spark, sf_dir, "orders"), "o_custkey")
