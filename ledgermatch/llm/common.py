@@ -70,6 +70,16 @@ def id_text(col: str) -> Column:
     return F.coalesce(F.concat(F.lit("="), F.col(col).cast("string")), F.lit("null"))
 
 
+def unfolded(df: DataFrame, count: str, ordinal: str, block: int = 1 << 14) -> DataFrame:
+    """Each row as often as its column ``count`` says, numbered from 1 in ``ordinal``; none for 0 or less.
+
+    Two steps, so that no array of a row is longer than the number of blocks or a block.
+    """
+    blocks = df.where(F.col(count) > 0).withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(count) - 1) / block).cast("long"))))
+    first = F.col("_block") * block
+    return blocks.withColumn(ordinal, F.explode(F.sequence(first + 1, F.least(first + block, F.col(count).cast("long"))))).drop("_block")
+
+
 def numbered_copies(df: DataFrame, keys: list[str], ordinal: str = "copy") -> DataFrame:
     """One row per row of ``df[keys]``, with equal rows numbered from 1.
 
@@ -77,7 +87,7 @@ def numbered_copies(df: DataFrame, keys: list[str], ordinal: str = "copy") -> Da
     reaches the reducer as a few counts, and spreads again when the counts are unfolded.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.select(*keys, F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n"))).alias(ordinal))
+    return unfolded(counted, "_n", ordinal).select(*keys, ordinal)
 
 
 def best(df: DataFrame, key: str, value: str, n: int, salts: int = 16, descending: bool = True) -> DataFrame:

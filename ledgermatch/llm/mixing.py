@@ -61,7 +61,7 @@ def plan(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, cap: float = CA
     mass = counted.groupBy("source").agg(F.sum(F.col("size") * F.col("n") * F.col("weight")).alias("mass"), F.sum("n").alias("rows"))
     mass = mass.select(F.col("source").alias("s"), "mass", "rows")
     sources = common.store(per_source.join(mass, _null_safe("source", "s")).drop("s"), "targets").withColumnRenamed("source", "s")
-    rows = counted.select(*KEYS, "weight", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    rows = common.unfolded(counted, "n", "copy").drop("n")
     rows = rows.join(sources, _null_safe("source", "s")).drop("s")
 
     expected = F.least(F.lit(float(cap)), F.when(F.col("mass") > 0, F.col("weight") * F.col("target") / F.col("mass")).otherwise(0.0))
@@ -97,7 +97,7 @@ def mix(docs: DataFrame, **options) -> DataFrame:
     taken = taken.select(common.id_text("doc_id").alias("id"), common.id_text("source").alias("src"), "_k1", "_k2", "copies")
     keyed = common.packed(docs).select("row", common.id_text("row.doc_id").alias("id"), common.id_text("row.source").alias("src"), *common.text_key(F.col("row.text")))
     once = keyed.dropDuplicates(["id", "src", "_k1", "_k2"]).join(taken, ["id", "src", "_k1", "_k2"])
-    return once.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies").cast("long")))).select("row.*")
+    return common.unfolded(once, "copies", "copy").select("row.*")
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

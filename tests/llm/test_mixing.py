@@ -80,3 +80,11 @@ def test_no_words_and_no_rows(spark):
     assert {(r["target"], r["size"] * r["copies"]) for r in mixing.plan(none).collect()} == {(0.0, 0)}
     empty = spark.createDataFrame([], SCHEMA)
     assert mixing.plan(empty).count() == 0 and mixing.mix(empty).count() == 0
+
+
+def test_unfolded_in_blocks(spark):
+    from ledgermatch.llm import common
+
+    df = spark.createDataFrame([("a", 7), ("b", 0), ("c", 4), ("d", 1)], "x string, n long")
+    got = sorted(tuple(r) for r in common.unfolded(df, "n", "i", block=4).select("x", "i").collect())
+    assert got == [("a", i) for i in range(1, 8)] + [("c", i) for i in range(1, 5)] + [("d", 1)]
