@@ -7,18 +7,22 @@ bucket.  The buckets one after the other are a random permutation of the whole t
 record at position i goes to shard i mod n, slot i div n.  This is the law ``rows``: shard
 sizes differ by one row at most and slots have no gaps.
 
-The hash takes all columns and the number of the copy among equal rows.  Copies are counted
-before the shuffle and numbered, so many equal rows, or one id or text in a third of the
-rows, spread over all buckets like any others.  Null columns take part as such.  The result
-depends on the rows and the seed only, not on how the input is split.
+The hash takes all columns and the number of the copy among equal rows.  Keys of 128 bits tell
+which rows may have an equal one; only those are counted before the shuffle and numbered, so
+many equal rows, or one id or text in a third of the rows, spread over all buckets like any
+others, and all other records cross the network once.  Null columns take part as such.  The
+result depends on the rows and the seed only, not on how the input is split.
 """
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from . import common
 
@@ -31,43 +35,57 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
     ``row_bytes`` is the space of a row besides its strings; all columns must be sortable
     (no maps).  The counts that come to the driver are two numbers.
     """
+    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
+    key = [F.xxhash64(F.lit(i), nulls, *[F.col(f"`{c}`") for c in df.columns]).alias(f"k{i}") for i in (1, 2)]
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
-    copies = common.numbered_copies(df.select(row), ["row"])
-    sizes = [F.coalesce(F.octet_length(F.col(f"row.`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
-    copies = common.store(copies.withColumn("h", F.xxhash64(F.lit(seed), "row", "copy")).withColumn("bytes", sum(sizes, F.lit(row_bytes))), "records")
-    total = copies.agg(F.sum("bytes")).first()[0] or 0
+    sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
+    records = common.store(df.select(row, *key, sum(sizes, F.lit(row_bytes).cast("long")).alias("bytes")), "records")
+    total = records.agg(F.sum("bytes")).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    copies = copies.withColumn("bucket", F.pmod("h", F.lit(buckets)))
+
+    repeated = common.store(records.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2"), "repeated")
+    once = records.join(repeated, ["k1", "k2"], "left_anti").select("row", "k1", "k2", F.lit(1).cast("long").alias("copy"))
+    again = common.numbered_copies(records.join(repeated, ["k1", "k2"], "left_semi"), ["row", "k1", "k2"])
+    copies = once.union(again).withColumn("h", F.xxhash64(F.lit(seed), "k1", "k2", "copy"))
+    copies = copies.withColumn("bucket", F.pmod("h", F.lit(buckets))).select("bucket", "h", "copy", "row")
 
     counts = copies.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
     # One row per bucket: 4 MB of records become 24 bytes here.
-    starts = counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start"))
-
-    def fisher_yates(group: pd.DataFrame) -> pd.DataFrame:
-        if group.empty:
-            return group.drop(columns=["copy"]).assign(at=[])
-        group = group.sort_values(["h", "copy"], kind="stable")
-        order = np.arange(len(group))
-        np.random.default_rng([seed, int(group["bucket"].iloc[0])]).shuffle(order)  # Fisher-Yates
-        return group.drop(columns=["copy"]).assign(at=order)
-
-    kind = copies.schema["row"].dataType
-    flat = copies.select("bucket", "h", "copy", "row.*").toDF("bucket", "h", "copy", *[f"c{i}" for i in range(len(df.columns))])
-    schema = "bucket long, h long, " + "".join(f"c{i} {f.dataType.simpleString()}, " for i, f in enumerate(kind.fields)) + "at long"
-    placed = flat.groupBy("bucket").applyInPandas(fisher_yates, schema).join(starts, "bucket").withColumn("at", F.col("start") + F.col("at"))
-    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns)]
+    starts = common.store(counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start")), "starts")
+
+    def fisher_yates(group: pa.Table) -> pa.Table:
+        group = group.sort_by([("h", "ascending"), ("copy", "ascending")])
+        order = np.arange(group.num_rows)
+        if group.num_rows:
+            np.random.default_rng([seed, group["bucket"][0].as_py()]).shuffle(order)  # Fisher-Yates
+            order += group["start"][0].as_py()
+        return group.select(["row"]).append_column("at", pa.array(order, pa.int64()))
+
+    schema = StructType([copies.schema["row"], StructField("at", LongType())])
+    placed = copies.join(starts, "bucket").groupBy("bucket").applyInArrow(fisher_yates, schema)
+    own = [F.col(f"row.`{c}`").alias(c) for c in df.columns]
     return placed.select(*own, F.pmod("at", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("at") / shards).cast("long").alias("slot"))
 
 
-def write_shards(df: DataFrame, path: str, **options) -> None:
-    """Write the shuffled records as one folder per shard, in the order of their slots within each file."""
+def write_shards(df: DataFrame, path: str, **options) -> DataFrame:
+    """Write the shuffled records as one folder per shard, and read them back with their shard and slot.
+
+    Each task of the second pass writes one file per shard, in the order of slots, from the
+    buckets it holds: the records are not moved again.
+    """
     done = external_shuffle(df, **options)
-    done.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    done.sortWithinPartitions("shard", "slot").write.partitionBy("shard").option("compression", "zstd").parquet(path)
+    schema = StructType([*df.schema.fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
+    return df.sparkSession.read.schema(schema).parquet(path)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, sharded by rows."""
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, sharded by rows.
+
+    The whole documents are shuffled and written to the shared folder as shards; size and
+    text_crc32 come of the texts read from there.
+    """
+    placed = write_shards(common.read_table(spark, sf_dir, "documents"), f"{common.shared_dir(spark)}/ledgermatch/shards-{uuid.uuid4().hex}")
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = common.read_table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
-    placed = external_shuffle(docs)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    size = (F.octet_length(text) + 1).cast("long").alias("size")
+    return placed.select("doc_id", size, F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))

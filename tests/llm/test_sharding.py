@@ -1,6 +1,8 @@
+import zlib
 from collections import Counter
+from pathlib import Path
 
-from ledgermatch.llm import sharding
+from ledgermatch.llm import common, sharding
 
 SCHEMA = "doc_id long, text string, copy string, shard_key string, h string"
 
@@ -53,3 +55,19 @@ def test_written_shards(spark, tmp_path):
     sharding.write_shards(spark.createDataFrame(rows(), SCHEMA), str(tmp_path / "out"), shards=4)
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 1500 and back.select("shard").distinct().count() == 4
+
+
+def test_query_shuffles_and_writes_whole_documents(spark, small):
+    shared = Path(common.shared_dir(spark).removeprefix("file://")) / "ledgermatch"
+    before = set(shared.glob("shards-*"))
+    found = sharding.op3_sharding(spark, small).collect()
+    (written,) = set(shared.glob("shards-*")) - before
+    docs = common.read_table(spark, small, "documents")
+    shards = spark.read.parquet(str(written)).select(*docs.columns, "shard", "slot").collect()
+    assert Counter(tuple(r)[: len(docs.columns)] for r in shards) == Counter(map(tuple, docs.collect()))
+    check(found, docs.count())
+    texts = {(r["shard"], r["slot"]): (r["doc_id"], (r["text"] or "").encode()) for r in shards}
+    assert {(r["shard"], r["slot"]): (r["doc_id"], r["size"], r["text_crc32"]) for r in found} == {k: (i, len(t) + 1, zlib.crc32(t)) for k, (i, t) in texts.items()}
+    for part in written.glob("shard=*/*.parquet"):
+        slots = [r["slot"] for r in spark.read.parquet(str(part)).collect()]
+        assert slots == sorted(slots)
