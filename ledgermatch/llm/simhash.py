@@ -17,6 +17,13 @@ merged before all this, so a group of copies of any size is one member.
 
 Null and empty texts and texts without a word have fingerprint 0 and link like any other.
 A group whose doc_ids are all null has a null component_id.
+
+``similar`` serves corpora instead of the definition above: shingles of five words, each once,
+up to 16 differing bits, and only pairs whose sets of shingles are 0.8 alike (Jaccard) link.
+No pigeonhole reaches 16 of 64 bits, so it looks up where copies differ most likely: the key of
+a posting is two of five blocks of 12 or 13 bits, and a text is listed under all changes of the
+``FLIPS`` bits of the key that its shingles decide by the smallest majority.  Two texts meet
+if each differing bit of a key is among those of the one or the other.
 """
 
 from __future__ import annotations
@@ -32,6 +39,8 @@ from xxhash import xxh64_intdigest
 from . import common
 
 SHINGLE, SEED, MAX_BITS, DENSE = 3, 42, 2, 64
+#: Of ``similar``.
+WORDS, BUDGET, ALIKE, FLIPS = 5, 16, 0.8, 4
 #: Shared positional bytes that two linked fingerprints cannot do without.
 MIN_SHARED = 8 - MAX_BITS
 
@@ -118,13 +127,111 @@ def near_duplicates(docs: DataFrame, dense: int = DENSE) -> DataFrame:
     return rows.join(classes, "fp")
 
 
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
+def shingle_set(text: str | None, shingle: int = WORDS, seed: int = SEED) -> np.ndarray:
+    """The distinct XXH64 values of a text's word shingles, sorted; a text of fewer words is one shingle."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.zeros(0, dtype=np.uint64)
+    grams = map(b" ".join, zip(*(words[i:] for i in range(shingle)))) if len(words) >= shingle else [b" ".join(words)]
+    return np.unique(np.fromiter(map(xxh64_intdigest, grams, repeat(seed)), dtype="<u8"))
+
+
+def majorities(hashes: np.ndarray) -> tuple[int, bytes]:
+    """Fingerprint of a set of shingles, and its bits from the smallest majority to the largest."""
+    ones = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 15):
+        ones += np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    fp = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
+    return int(fp), np.argsort(np.abs(2 * ones - len(hashes)), kind="stable").astype(np.uint8).tobytes()
+
+
+def probes(fps: np.ndarray, orders: np.ndarray, flips: int = FLIPS) -> np.ndarray:
+    """Keys of the postings of each fingerprint (uint64) with its order of bits (rows of 64)."""
+    rank = np.argsort(orders, axis=1)
+    edges = [0, 13, 26, 39, 52, 64]
+    subsets = (np.arange(1 << flips)[:, None] >> np.arange(flips)) & 1
+    keys = []
+    for t, (i, j) in enumerate(combinations(range(5), 2)):
+        part = lambda b: (fps >> np.uint64(edges[b])).astype(np.int64) & ((1 << edges[b + 1] - edges[b]) - 1)
+        own = np.concatenate([rank[:, edges[b] : edges[b + 1]] for b in (i, j)], axis=1)
+        low = np.argsort(own, axis=1)[:, :flips].astype(np.int64)
+        keys.append((t << 32) | ((part(i) | part(j) << edges[i + 1] - edges[i])[:, None] ^ ((1 << low) @ subsets.T)))
+    return np.concatenate(keys, axis=1)
+
+
+def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, similarity: float = ALIKE, flips: int = FLIPS, dense: int = DENSE) -> DataFrame:
+    """One row per row of ``docs``: doc_id, grp (a key of the group of near copies), and the text's key.
+
+    In postings of more than ``dense`` texts each text meets the first and the next one in an
+    order drawn for the posting, in smaller ones each other.
+    """
+
+    @F.pandas_udf("fp long, bits binary, n int")
+    def mark(texts: pd.Series) -> pd.DataFrame:
+        sets = [shingle_set(x, shingle) for x in texts]
+        found = [majorities(x) for x in sets]
+        return pd.DataFrame({"fp": np.array([f for f, _ in found], dtype=np.uint64).view(np.int64), "bits": [b for _, b in found], "n": np.array([len(x) for x in sets], dtype=np.int32)})
+
+    @F.pandas_udf("array<long>")
+    def keys(fps: pd.Series, bits: pd.Series) -> pd.Series:
+        if not len(fps):
+            return pd.Series([], dtype=object)
+        orders = np.frombuffer(b"".join(bits), dtype=np.uint8).reshape(-1, 64)
+        return pd.Series(list(probes(fps.to_numpy().view(np.uint64), orders, flips)), dtype=object)
+
+    @F.pandas_udf("array<long>")
+    def shingles(texts: pd.Series) -> pd.Series:
+        return pd.Series([shingle_set(x, shingle).view(np.int64) for x in texts], dtype=object)
+
+    rows = common.store(docs.select("doc_id", *common.text_key(F.col("text")), mark(F.col("text")).alias("m")).select("doc_id", "_k1", "_k2", "m.*"), "marks")
+    nodes = rows.groupBy(F.col("_k1").alias("node")).agg(F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("n").alias("n"))
+    nodes = nodes.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
+    index = nodes.select("node", "fp", "n", F.explode(keys("fp", "bits")).alias("key"))
+    postings = common.store(index.groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
+
+    def near(a: Column, b: Column) -> Column:
+        return (F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= max_bits) & (F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]))
+
+    pair = lambda a, b: F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), F.bit_count(a["fp"].bitwiseXOR(b["fp"])).alias("bits"))
+    every = F.flatten(F.transform("of", lambda a: F.transform(F.filter("of", lambda b: (a["node"] < b["node"]) & near(a, b)), lambda b: pair(a, b))))
+    few = postings.where(F.size("of") <= dense).select(F.explode(every).alias("p"))
+    drawn = F.sort_array(F.transform("of", lambda e: F.struct(F.xxhash64("key", e["node"]).alias("h"), e["node"].alias("node"), e["fp"].alias("fp"), e["n"].alias("n"))))
+    full = postings.where(F.size("of") > dense).select(drawn.alias("of")).select(F.col("of")[0].alias("first"), F.explode(F.arrays_zip(F.expr("slice(of, 1, size(of) - 1)").alias("x"), F.expr("slice(of, 2, size(of) - 1)").alias("y"))).alias("z"))
+    full = full.select(F.explode(F.array(F.struct(F.col("first").alias("x"), F.col("z.y").alias("y")), F.struct(F.col("z.x").alias("x"), F.col("z.y").alias("y")))).alias("z"))
+    full = full.where(near(F.col("z.x"), F.col("z.y"))).select(pair(F.col("z.x"), F.col("z.y")).alias("p"))
+    pairs = common.store(few.union(full).select("p.*").where("a <> b").distinct(), "candidates")
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    texts = docs.select(common.text_key(F.col("text"))[0].alias("node"), "text").join(wanted, "node", "left_semi")
+    sets = common.store(texts.select("node", shingles("text").alias("s")).dropDuplicates(["node"]), "shingles")
+
+    def alike(some: DataFrame) -> DataFrame:
+        """The pairs (a, b) that are as similar as asked."""
+        both = some.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
+        shared = F.size(F.array_intersect("x", "y"))
+        return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
+
+    # Pairs that others have connected need no look: first each text's nearest, then what still joins two groups.
+    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "bits")
+    closest = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b")
+    lowest = ends.groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
+    links = common.store(alike(closest.union(lowest).distinct()), "links")
+    groups = common.components(links)
+    of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+    rest = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
+    groups = common.components(links.union(alike(rest.select("a", "b"))))
+    found = groups.select(F.col("node").alias("_k1"), "component")
+    return rows.select("doc_id", "_k1", "_k2").join(found, "_k1", "left").select("doc_id", F.coalesce("component", "_k1").alias("grp"), "_k1", "_k2")
+
+
+def drop_near_duplicates(docs: DataFrame, similarity: float | None = None, **options) -> DataFrame:
     """The documents without near copies: of each group the one with the smallest doc_id stays.
 
+    With a ``similarity`` the groups are those of ``similar``, else those of ``near_duplicates``.
     Columns stay as they are.  Rows that tie on doc_id are told apart by the text's key, and
     complete repeats count as one.
     """
-    own = near_duplicates(docs)
+    own = near_duplicates(docs, **options) if similarity is None else similar(docs, similarity=similarity, **options)
     keep = own.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")).alias("m")).select("m.doc_id", "m._k1", "m._k2")
     keep = keep.select(common.id_text("doc_id").alias("id"), "_k1", "_k2")
     keyed = common.packed(docs).select("row", common.id_text("row.doc_id").alias("id"), *common.text_key(F.col("row.text")))

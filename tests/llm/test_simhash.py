@@ -109,3 +109,25 @@ def test_empty_table(spark):
 def test_hex(spark):
     row = spark.range(1).select(simhash.hex16(F.lit(-1).cast("long")), simhash.hex16(F.lit(10).cast("long"))).first()
     assert tuple(row) == ("f" * 16, "000000000000000a")
+
+
+def test_similar_texts_link_and_repeated_passages_do_not(spark):
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(5000)}"
+    base = [[word() for _ in range(400)] for _ in range(40)]
+    near, passage = [], [word() for _ in range(12)]
+    for words in base:
+        copy = list(words)
+        for at in rng.sample(range(400), 4):
+            copy[at] = "changed"
+        near.append(copy)
+    odd = [passage * 60 + [word() for _ in range(100)] for _ in range(2)]
+    texts = [" ".join(w) for w in base + near + odd] + ["", None, " \t", "one word", "one  WORD"]
+    rows = [(i, t, None, None, None, None, None) for i, t in enumerate(texts)]
+    found = simhash.similar(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert len(found) == len(rows)
+    grp = {r["doc_id"]: r["grp"] for r in found}
+    caught = sum(grp[i] == grp[40 + i] for i in range(40))
+    assert caught >= 36 and len({grp[i] for i in range(40)}) == 40
+    assert grp[80] != grp[81]
+    assert grp[82] == grp[83] == grp[84] and grp[85] == grp[86] and grp[82] != grp[85]
