@@ -187,7 +187,8 @@ def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, simil
     nodes = rows.groupBy(F.col("_k1").alias("node")).agg(F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("n").alias("n"))
     nodes = nodes.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
     index = nodes.select("node", "fp", "n", F.explode(keys("fp", "bits")).alias("key"))
-    postings = common.store(index.groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
+    # Lists have nothing to gain before the shuffle: plain rows are smaller there.
+    postings = common.store(index.repartition("key").groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
 
     def near(a: Column, b: Column) -> Column:
         return (F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= max_bits) & (F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]))
