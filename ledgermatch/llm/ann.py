@@ -1,26 +1,32 @@
 """Approximate nearest neighbours by NN-descent and greedy graph search.
 
-Nearness is the inner product.  For the graph, vectors get one more coordinate that makes all
-of them equally long (the usual reduction of inner products to distances), and every
-coordinate becomes an integer of 8 bits on one scale for the whole table.  Sums of their
-products are exact in any order, so the graph does not depend on how rows are dealt.
-
-1. Start: ``TREES`` random-hyperplane trees, fitted on at most ``SAMPLE`` rows (a bounded
-   sample), deal all vectors to leaves; each leaf, cut to at most ``LEAF`` rows a task, joins
-   itself.
-2. NN-descent: each node is joined with its ``K`` neighbours and up to ``REVERSE`` nodes that
-   have it as a neighbour (drawn by hash), and all of those meet each other: neighbours of
-   neighbours.  What is nearer than a node's last neighbour is sent to that node.  ``ROUNDS``
-   rounds.
-3. Search: a query starts from its own node's neighbours and keeps the ``POOL`` nearest nodes
-   seen; each round expands all of these that were not expanded yet, by a join with the graph
-   dealt in buckets, until no query has one left.  The pool is ranked by exact inner products
-   in double precision of the original vectors.
-
-Exactly equal vectors are one node that remembers its ``TOP`` + 1 smallest ids, gathered in
-two steps; no query needs more of them.  Vectors that are null, zero or hold null or
-non-finite components, or of another length than most, take part neither as queries nor as
-candidates.  Complete repeats count once.
+Nearness is the inner product.  Vectors are dealt into bands by length: band b holds those
+whose length is between 2**-(b+1) and 2**-b of the longest.  Within a band the usual reduction
+of inner products to angles applies: divided by the band's top length and given one more
+coordinate, all vectors are equally long.  Each of them is kept as bytes on a scale of its
+own, so no vector sets the resolution of another one, and sums of products are exact in any
+order: the graph doesn't depend on how rows are dealt.  A double has room for some 2,200 bands.
+
+1. Start: ``GROUPINGS`` random groupings of each band into groups of about ``GROUP`` vectors,
+   in which all meet.  Nothing about the data is used; groups are small by the hash.
+2. NN-descent: each node brings its neighbours and up to ``REVERSE`` nodes that have it as a
+   neighbour (those that are new first, then by hash) together: neighbours of neighbours.  Two
+   of them meet if one is new, that is, has not been brought together at this node before.
+   Each is told of its ``SENT`` nearest there that beat its last neighbour.  Rounds go on until
+   less than ``CHANGED`` of all entries are new; every table, also the smallest, runs them.
+3. Search: a query starts, in each band, from its own node's neighbours and from ``ENTRIES``
+   nodes of the band drawn by hash, and keeps the ``POOL`` nearest nodes seen.  Each step
+   expands all of these that were not expanded yet, by a join with the graph, until no query
+   has one left.  The pools are ranked by inner products of the original vectors in double
+   precision.
+
+A node with very many askers is a key of a plain join, which adaptive execution splits; lists
+of the n nearest are cut by a ranking window, in each task before the shuffle too.
+
+Exactly equal vectors are one node that remembers its ``TOP`` + 1 smallest ids; no query needs
+more of them.  Vectors that are null, zero or hold null or non-finite components, or of
+another length than most, take part neither as queries nor as candidates.  Complete repeats
+count once.  Scores that exceed a double are infinite, and tie.
 """
 
 from __future__ import annotations
@@ -28,16 +34,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
-from .neardup_vectors import _vector, usable
+from .neardup_vectors import _vector, log2_length, usable
 
 TOP, EVERY = 20, 20
-K, REVERSE, ROUNDS, TREES, LEAF, SAMPLE, SENT, POOL, STEPS, SEED = 24, 12, 2, 6, 2048, 8192, 8, 256, 12, 1
-NEAR = "array<struct<s:int,v:long>>"
+K, REVERSE, SENT, GROUPINGS, GROUP, CHANGED, ENTRIES, POOL, SEED = 32, 16, 8, 5, 8, 0.02, 8, 192, 1
+FOUND = "node long, v long, s double"
 
 
 def nodes_of(table: DataFrame, top: int = TOP) -> DataFrame:
@@ -50,238 +56,215 @@ def nodes_of(table: DataFrame, top: int = TOP) -> DataFrame:
 
 
 def quantized(nodes: DataFrame) -> DataFrame:
-    """(node, q): one byte per coordinate of the lengthened vectors."""
-    double = lambda x: x.cast("double")
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + double(x) * double(x))
-    longest, largest = nodes.agg(F.max(square), F.max(F.array_max(F.transform("vector", lambda x: F.abs(double(x)))))).first()
-    if longest is None:
-        longest = largest = 1.0
-    step = max(largest, 1e-300) / 127
-
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, band, q): a step in single precision, then one byte per coordinate and one for the added one."""
+    sized = nodes.select("node", "vector", log2_length(F.col("vector")).alias("log"))
+    longest = sized.agg(F.max("log")).first()[0] or 0.0
+    sized = sized.withColumn("band", F.floor(F.lit(longest) - F.col("log")).cast("int"))
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                v = np.stack(b["vector"].to_numpy()).astype(np.float64)
-                extra = np.sqrt(np.maximum(longest - (v * v).sum(1), 0))
-                # The last coordinate may be larger than the others and takes as many bytes as it needs.
-                q = np.rint(v / step).astype(np.int8)
-                parts = max(1, int(np.ceil(np.sqrt(longest) / step / 127)))
-                share = np.clip(extra[:, None] / step / np.sqrt(parts), 0, 127)
-                q = np.concatenate([q, np.repeat(np.rint(share).astype(np.int8), parts, axis=1)], axis=1)
-                yield pd.DataFrame({"node": b["node"], "q": [x.tobytes() for x in q], "plain": [x.tobytes() for x in np.concatenate([q[:, : v.shape[1]], np.zeros((len(q), parts), dtype=np.int8)], axis=1)]})
-
-    return nodes.select("node", "vector").mapInPandas(of, "node long, q binary, plain binary")
-
-
-def _matrix(values) -> np.ndarray:
-    return np.frombuffer(b"".join(values), dtype=np.int8).reshape(len(values), -1).astype(np.float32)
-
-
-def _pairs(s: np.ndarray, v: np.ndarray) -> list[dict]:
-    return [{"s": int(a), "v": int(b)} for a, b in zip(s, v, strict=True)]
-
-
-def merged(lists: DataFrame, key: str, k: int) -> DataFrame:
-    """(key, near): the k nearest distinct entries of all rows (key, near)."""
-    return common.best(lists.select(key, F.explode("near").alias("near")), key, "near", k)
-
-
-def _leaf_of(q: np.ndarray, trees: list) -> np.ndarray:
-    """Leaf number of each row in each tree."""
-    out = np.zeros((len(q), len(trees)), dtype=np.int64)
-    for t, levels in enumerate(trees):
-        at = np.zeros(len(q), dtype=np.int64)
-        for planes, cuts in levels:
-            side = np.einsum("ij,ij->i", q, planes[at]) > cuts[at]
-            at = 2 * at + side
-        out[:, t] = at
-    return out
-
-
-def _grow(sample: np.ndarray, depth: int, rng: np.random.Generator) -> list:
-    """A tree of ``depth`` levels: at each node the plane between two random rows, cut at the median."""
-    levels, groups = [], [np.arange(len(sample))]
-    for _ in range(depth):
-        planes, cuts, split = [], [], []
-        for g in groups:
-            a, b = (sample[rng.choice(g, 2)] if len(g) > 1 else sample[rng.integers(0, len(sample), 2)])
-            plane = a - b
-            value = sample[g] @ plane
-            cut = float(np.median(value)) if len(g) else 0.0
-            planes.append(plane)
-            cuts.append(cut)
-            split += [g[value <= cut], g[value > cut]]
-        levels.append((np.array(planes), np.array(cuts)))
-        groups = split
-    return levels
-
-
-def start_graph(vectors: DataFrame, n: int) -> DataFrame:
-    """(node, near) from the leaves of random trees."""
-    rows = vectors.select("node", "q").orderBy(F.xxhash64(F.lit(SEED), "node"), "node").limit(SAMPLE).collect()
-    if not rows:
-        return vectors.select("node", F.lit(None).cast(NEAR).alias("near"))
-    sample = _matrix([r["q"] for r in rows])
-    depth = min(max(0, int(np.ceil(np.log2(max(n, 1) / LEAF)))), int(np.log2(SAMPLE / 16)))
-    rng = np.random.default_rng(SEED)
-    trees = [_grow(sample, depth, rng) for _ in range(TREES if depth else 1)]
-
-    def leaves(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            if b.num_rows == 0:
+                continue
+            v = b["vector"].flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, -1)
+            largest = np.abs(v).max(1)
+            top = longest - b["band"].to_numpy()
+            w = v / largest[:, None] * np.exp2(np.log2(largest) - top)[:, None]
+            w = np.concatenate([w, np.sqrt(np.maximum(1 - (w * w).sum(1), 0))[:, None]], axis=1)
+            step = (np.abs(w).max(1) / 127).astype("<f4")
+            q = np.clip(np.rint(w / step[:, None]), -127, 127).astype(np.int8)
+            raw = np.concatenate([step[:, None].view(np.int8), q], axis=1)
+            yield pa.RecordBatch.from_arrays([b["node"], b["band"], pa.array([x.tobytes() for x in raw], pa.binary())], names=["node", "band", "q"])
+
+    return sized.select("node", "band", "vector").mapInArrow(of, "node long, band int, q binary")
+
+
+def _read(q: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(steps, coordinates) of binary values of one length; sums of products of the coordinates are exact."""
+    if not len(q):
+        return np.zeros(0), np.zeros((0, 1), dtype=np.float32)
+    ends = np.frombuffer(q.buffers()[1], dtype=np.int32)[q.offset : q.offset + len(q) + 1]
+    raw = np.frombuffer(q.buffers()[2], dtype=np.int8)[ends[0] : ends[-1]].reshape(len(q), -1)
+    steps = np.ascontiguousarray(raw[:, :4]).view("<f4")[:, 0].astype(np.float64)
+    return steps, raw[:, 4:].astype(np.float32 if raw.shape[1] < 1000 else np.float64)
+
+
+def _cut(keys: tuple[np.ndarray, ...], v: np.ndarray, s: np.ndarray, n: int) -> np.ndarray:
+    """Places of the n entries (v, s) of largest s of each key, without repeats."""
+    order = np.lexsort((v, -s, *keys))
+    same = np.ones(len(order), dtype=bool)
+    same[:1] = False
+    for k in keys:
+        same[1:] &= k[order][1:] == k[order][:-1]
+    again = same.copy()
+    again[1:] &= v[order][1:] == v[order][:-1]
+    order, same = order[~again], same[~again]
+    begin = np.flatnonzero(~same)
+    rank = np.arange(len(order)) - np.repeat(begin, np.diff(np.append(begin, len(order))))
+    return order[rank < n]
+
+
+def meetings(groups: DataFrame, sent: int) -> DataFrame:
+    """Rows (node, v, s) of what the members of groups (v, fresh, least, q: lists) tell each other."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if len(b):
-                at = _leaf_of(_matrix(b["q"].tolist()), trees)
-                for t in range(len(trees)):
-                    yield pd.DataFrame({"tree": t, "leaf": at[:, t], "node": b["node"], "q": b["q"]})
-
-    dealt = common.store(vectors.select("node", "q").mapInPandas(leaves, "tree int, leaf long, node long, q binary"), "leaves")
-    full = dealt.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / (2.0 * LEAF)).cast("int").alias("parts"))
-    dealt = dealt.join(full, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64(F.lit(SEED), "node"), F.col("parts")))
-
-    def join_leaf(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("node")
-        ids, q = group["node"].to_numpy(), _matrix(group["q"].tolist())
-        near = []
-        for at in range(0, len(q), 512):
-            s = q[at : at + 512] @ q.T
-            s[np.arange(len(s)), np.arange(at, at + len(s))] = -np.inf
-            k = min(K, len(q) - 1)
-            best = np.argpartition(-s, k - 1, axis=1)[:, :k] if k > 0 else np.zeros((len(s), 0), dtype=np.int64)
-            near += [_pairs(s[i, b], ids[b]) for i, b in enumerate(best)]
-        return pd.DataFrame({"node": ids, "near": pd.Series(near, dtype=object)})
-
-    found = dealt.groupBy("tree", "leaf", "part").applyInPandas(join_leaf, f"node long, near {NEAR}")
-    found = found.groupBy("node").agg(F.slice(F.sort_array(F.array_distinct(F.flatten(F.collect_list("near"))), asc=False), 1, K).alias("near"))
-    return common.store(found, "graph")
-
-
-def adjacency(graph: DataFrame) -> DataFrame:
-    """(u, v): each node's neighbours, and a bounded draw of the nodes that have it as theirs."""
-    out = graph.select(F.col("node").alias("u"), F.explode("near.v").alias("v"))
-    drawn = out.select(F.col("v").alias("node"), F.struct(F.xxhash64(F.lit(SEED), "u", "v").alias("h"), F.col("u").alias("u")).alias("r"))
-    back = common.best(drawn, "node", "r", REVERSE).select(F.col("node").alias("u"), F.explode("r.u").alias("v"))
-    return out.union(back).distinct()
+            sizes = b["v"].value_lengths().to_numpy()
+            begin = np.cumsum(sizes) - sizes
+            ids, least = b["v"].flatten().to_numpy(), b["least"].flatten().to_numpy()
+            fresh = b["fresh"].flatten().to_numpy(zero_copy_only=False)
+            step, x = _read(b["q"].flatten())
+            found: list[tuple] = []
+            for lo in range(0, len(sizes), 128):
+                own = sizes[lo : lo + 128]
+                most = int(own.max())
+                real = np.arange(most) < own[:, None]
+                at = np.where(real, begin[lo : lo + 128, None] + np.arange(most), 0)
+                m, t, f = ids[at], step[at], fresh[at] & real
+                s = np.matmul(x[at], x[at].transpose(0, 2, 1)).astype(np.float64) * (t[:, :, None] * t[:, None, :])
+                ok = (f[:, :, None] | f[:, None, :]) & real[:, :, None] & real[:, None, :] & (m[:, :, None] != m[:, None, :]) & (s > least[at][:, :, None])
+                s[~ok] = -np.inf
+                k = min(sent, most)
+                best = np.argpartition(-s, k - 1, axis=2)[:, :, :k]
+                top = np.take_along_axis(s, best, 2)
+                g, i, j = np.nonzero(top > -np.inf)
+                found.append((m[g, i], m[g, best[g, i, j]], top[g, i, j]))
+            if found:
+                node, v, s = (np.concatenate(c) for c in zip(*found, strict=True))
+                keep = _cut((node,), v, s, K)
+                yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(v[keep]), pa.array(s[keep])], names=["node", "v", "s"])
+
+    return groups.select("v", "fresh", "least", "q").mapInArrow(of, FOUND)
+
+
+def merged(rows: DataFrame, keys: list[str], n: int) -> DataFrame:
+    """(keys, near): the n nearest distinct entries of rows (keys, v, s, fresh), nearest first; what comes as old anywhere stays old."""
+    ranked = rows.withColumn("_r", F.dense_rank().over(Window.partitionBy(*keys).orderBy(F.desc("s"), "v"))).where(F.col("_r") <= n)
+    lists = ranked.groupBy(*keys).agg(F.sort_array(F.collect_set(F.struct((-F.col("s")).alias("n"), "v"))).alias("near"), F.collect_set(F.when(~F.col("fresh"), F.col("v"))).alias("old"))
+    entry = lambda e: F.struct((-e["n"]).alias("s"), e["v"].alias("v"), (~F.array_contains("old", e["v"])).alias("fresh"))
+    return lists.select(*keys, F.transform("near", entry).alias("near"))
+
+
+def _flat(lists: DataFrame, *keys: str) -> DataFrame:
+    return lists.select(*keys, F.explode("near").alias("e")).select(*keys, "e.v", "e.s", "e.fresh")
+
+
+def start_graph(vectors: DataFrame) -> DataFrame:
+    """(node, near): neighbours among random groups of each band."""
+    sizes = vectors.groupBy("band").agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) / GROUP)).alias("groups"))
+    each = vectors.join(F.broadcast(sizes), "band")  # one row per band
+    deal = lambda g: F.struct(F.lit(g).alias("g"), F.pmod(F.xxhash64(F.lit(SEED), F.lit(g), "node"), F.col("groups")).alias("at"))
+    dealt = each.withColumn("d", F.explode(F.array(*[deal(g) for g in range(GROUPINGS)])))
+    lists = dealt.groupBy("band", "d").agg(F.collect_list("node").alias("v"), F.collect_list("q").alias("q"))
+    groups = lists.select("v", "q", F.transform("v", lambda _: F.lit(True)).alias("fresh"), F.transform("v", lambda _: F.lit(float("-inf"))).alias("least"))
+    return common.store(merged(meetings(groups, 4 * GROUP).withColumn("fresh", F.lit(True)), ["node"], K), "graph")
+
+
+def reverse(edges: DataFrame) -> DataFrame:
+    """(u, v, fresh): of each node up to ``REVERSE`` nodes that have it as a neighbour."""
+    order = Window.partitionBy("v").orderBy(F.desc("fresh"), F.xxhash64(F.lit(SEED), "u", "v"), "u")
+    drawn = edges.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= REVERSE)
+    return drawn.select(F.col("v").alias("u"), F.col("u").alias("v"), "fresh")
 
 
 def descend(graph: DataFrame, vectors: DataFrame) -> DataFrame:
     """One round of NN-descent."""
-    last = graph.select(F.col("node").alias("v"), F.when(F.size("near") >= K, F.element_at("near.s", -1)).otherwise(F.lit(-(2**31))).alias("least"))
-    info = vectors.select(F.col("node").alias("v"), "q").join(last, "v", "left").na.fill(-(2**31), ["least"])
-    met = adjacency(graph).join(info, "v").groupBy("u").agg(F.collect_list(F.struct("v", "least", "q")).alias("m"))
-
-    def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            nodes, near = [], []
-            for members in b["m"]:
-                ids = np.array([m["v"] for m in members])
-                least = np.array([m["least"] for m in members])
-                q = _matrix([m["q"] for m in members])
-                s = q @ q.T
-                np.fill_diagonal(s, -np.inf)
-                k = min(SENT, len(ids) - 1)
-                if k < 1:
-                    continue
-                best = np.argpartition(-s, k - 1, axis=1)[:, :k]
-                score = np.take_along_axis(s, best, 1)
-                for i in np.flatnonzero((score > least[:, None]).any(axis=1)):
-                    ok = score[i] > least[i]
-                    nodes.append(ids[i])
-                    near.append(_pairs(score[i][ok], ids[best[i][ok]]))
-            yield pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": pd.Series(near, dtype=object)})
-
-    news = met.select("m").mapInPandas(meet, f"node long, near {NEAR}")
-    return common.store(merged(graph.union(news), "node", K), "graph")
-
-
-def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, pool: int = POOL, steps: int = STEPS) -> DataFrame:
-    """(node, near): the pool of every query node after greedy search; queries has column node."""
-    n = graph.count()
-    # 2,000 nodes a bucket: some 6 MB of neighbours' vectors.
-    buckets = max(12, -(-n // 2000))
-    deal = lambda c: F.pmod(F.xxhash64(F.lit(SEED), c), F.lit(buckets)).alias("bucket")
-    around = adjacency(graph).join(vectors.select(F.col("node").alias("v"), "q"), "v").groupBy("u").agg(F.collect_list(F.struct("v", "q")).alias("m"))
-    around = common.store(around.select(deal("u"), "u", F.col("m.v").alias("ids"), F.col("m.q").alias("qs")), "around")
-
-    begin = queries.join(vectors.select("node", "plain"), "node").join(graph, "node", "left")
-    state = common.store(begin.select("node", "plain", F.coalesce("near", F.array().cast(NEAR)).alias("near"), F.array().cast("array<long>").alias("done")), "pool")
-
-    def expand(_key, asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
-        place = {u: i for i, u in enumerate(own["u"])}
-        ids, qs = own["ids"].tolist(), own["qs"].tolist()
-        size = [len(x) for x in ids]
-        begin = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
-        all_ids = np.concatenate(ids) if len(ids) else np.zeros(0, dtype=np.int64)
-        all_q = _matrix([q for x in qs for q in x]) if len(all_ids) else None
-        nodes, near = [], []
-        for node, plain, least, us in zip(asked["node"], asked["plain"], asked["least"], asked["us"], strict=True):
-            at = [place[u] for u in us if u in place]
-            if not at:
-                continue
-            rows = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in at])
-            found, first = np.unique(all_ids[rows], return_index=True)
-            s = all_q[rows[first]] @ np.frombuffer(plain, dtype=np.int8).astype(np.float32)
-            ok = np.flatnonzero((s > least) & (found != node))
-            if len(ok) > pool:
-                ok = ok[np.argpartition(-s[ok], pool - 1)[:pool]]
-            if len(ok):
-                nodes.append(node)
-                near.append(_pairs(s[ok], found[ok]))
-        return pd.DataFrame({"node": np.array(nodes, dtype=np.int64), "near": pd.Series(near, dtype=object)})
-
-    def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Old pool and new finds of each query: the nearest ``pool`` of both."""
-        for b in batches:
-            near, done = [], []
-            for old, new, was in zip(b["near"], b["found"], b["done"], strict=True):
-                seen = {e["v"]: e["s"] for e in old}
-                seen.update((e["v"], e["s"]) for e in (new if new is not None else ()))
-                order = sorted(seen.items(), key=lambda e: (-e[1], e[0]))[:pool]
-                kept = {v for v, _ in order}
-                near.append([{"s": s, "v": v} for v, s in order])
-                done.append([u for u in was if u in kept])
-            yield b[["node", "plain"]].assign(near=pd.Series(near, dtype=object), done=pd.Series(done, dtype=object))
-
-    for step in range(steps):
-        todo = F.array_except("near.v", "done")
-        asks = state.select("node", "plain", F.when(F.size("near") >= pool, F.element_at("near.s", -1)).otherwise(F.lit(-(2**31))).alias("least"), F.explode(todo).alias("u"))
-        asks = asks.groupBy(deal("u"), "node").agg(F.first("plain").alias("plain"), F.first("least").alias("least"), F.collect_list("u").alias("us"))
-        found = asks.groupBy("bucket").cogroup(around.groupBy("bucket")).applyInPandas(expand, f"node long, near {NEAR}")
-        # At most one row per bucket and query, each of ``pool`` entries or fewer.
-        found = found.groupBy("node").agg(F.flatten(F.collect_list("near")).alias("found"))
-        both = state.select("node", "plain", "near", F.col("near.v").alias("done")).join(found, "node", "left")
-        state = common.store(both.select("node", "plain", "near", "done", "found").mapInPandas(take, f"node long, plain binary, near {NEAR}, done array<long>"), "pool")
-        if state.where(F.size(F.array_except("near.v", "done")) > 0).isEmpty():
+    edges = _flat(graph, "node").select(F.col("node").alias("u"), "v", "fresh")
+    last = graph.select(F.col("node").alias("v"), F.when(F.size("near") >= K, F.element_at("near.s", -1)).otherwise(F.lit(float("-inf"))).alias("least"))
+    info = vectors.select(F.col("node").alias("v"), "q").join(last, "v")
+    members = edges.union(reverse(edges)).join(info, "v")
+    lists = [F.collect_list(c).alias(c) for c in ("v", "fresh", "least", "q")]
+    met = members.groupBy("u").agg(*lists).where(F.exists("fresh", lambda f: f))
+    news = meetings(met, SENT).withColumn("fresh", F.lit(True))
+    return common.store(merged(_flat(graph, "node").withColumn("fresh", F.lit(False)).union(news), ["node"], K), "graph")
+
+
+def build(vectors: DataFrame, changed: float = CHANGED, rounds: int | None = None) -> DataFrame:
+    """The neighbour graph (node, near); ``rounds`` stops the descent early, for measurements."""
+    graph, done = start_graph(vectors), 0
+    while rounds is None or done < rounds:
+        new, total = graph.agg(F.sum(F.size(F.filter("near", lambda e: e["fresh"]))), F.sum(F.size("near"))).first()
+        if not total or new < changed * total:
             break
-    return state.select("node", "near")
-
-
-def build(vectors: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """The neighbour graph (node, near) of all vectors."""
-    n = vectors.count()
-    graph = start_graph(vectors, n)
-    for _ in range(rounds if n > LEAF else 0):
-        graph = descend(graph, vectors)
+        before, graph, done = graph, descend(graph, vectors), done + 1
+        common.discard(before)
     return graph
 
 
-def nearest(table: DataFrame, is_query: Column, top: int = TOP) -> DataFrame:
+def scored(asks: DataFrame, pool: int) -> DataFrame:
+    """Rows (node, band, v, s) of asks (node, band, q, least, vs, qs) that beat ``least``; s leaves the added coordinate out."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            node, band, least = (b[c].to_numpy() for c in ("node", "band", "least"))
+            own_step, own = _read(b["q"])
+            sizes = b["vs"].value_lengths().to_numpy()
+            ends = np.cumsum(sizes)
+            v, q = b["vs"].flatten().to_numpy(), b["qs"].flatten()
+            found: list[tuple] = []
+            for lo in range(0, len(sizes), 512):
+                part = sizes[lo : lo + 512]
+                row = lo + np.repeat(np.arange(len(part)), part)
+                begin = int(ends[lo] - sizes[lo])
+                step, x = _read(q.slice(begin, len(row)))
+                ids = v[begin : begin + len(row)]
+                s = np.einsum("ij,ij->i", own[row][:, :-1], x[:, :-1]).astype(np.float64) * (own_step[row] * step)
+                ok = (s > least[row]) & (ids != node[row])
+                found.append((node[row[ok]], band[row[ok]], ids[ok], s[ok]))
+            if found:
+                n, t, ids, s = (np.concatenate(c) for c in zip(*found, strict=True))
+                keep = _cut((n, t), ids, s, pool)
+                yield pa.RecordBatch.from_arrays([pa.array(n[keep]), pa.array(t[keep], pa.int32()), pa.array(ids[keep]), pa.array(s[keep])], names=["node", "band", "v", "s"])
+
+    return asks.select("node", "band", "q", "least", "vs", "qs").mapInArrow(of, "node long, band int, v long, s double")
+
+
+def search(queries: DataFrame, graph: DataFrame, vectors: DataFrame, pool: int = POOL) -> DataFrame:
+    """(node, band, near): the pools of every query node (column node) after greedy search."""
+    edges = _flat(graph, "node").select(F.col("node").alias("u"), "v", "fresh")
+    around = edges.union(reverse(edges)).select("u", "v").distinct().join(vectors.select(F.col("node").alias("v"), "q"), "v")
+    around = common.store(around.groupBy("u").agg(F.collect_list("v").alias("vs"), F.collect_list("q").alias("qs")), "around")
+    own = common.store(queries.join(vectors, "node").select("node", F.col("band").alias("home"), "q"), "asked")
+
+    drawn = Window.partitionBy("band").orderBy(F.xxhash64(F.lit(SEED), "node"), "node")
+    entries = vectors.withColumn("_r", F.row_number().over(drawn)).where(F.col("_r") <= ENTRIES).orderBy("band", "node").collect()
+    doors = F.array(*[F.struct(F.lit(r["band"]).alias("band"), F.lit(r["node"]).alias("v")) for r in entries])
+    if not entries:
+        return own.select("node", F.lit(0).alias("band"), F.lit(None).cast("array<struct<s:double,v:long,fresh:boolean>>").alias("near"))
+    begin = own.select("node", F.explode(doors).alias("d")).select("node", "d.band", "d.v")
+    begin = begin.union(own.join(graph, "node").select("node", F.col("home").alias("band"), F.explode("near.v").alias("v"))).distinct()
+    begin = begin.join(vectors.select(F.col("node").alias("v"), F.col("q").alias("qv")), "v").join(own.select("node", "q"), "node")
+    first = scored(begin.select("node", "band", "q", F.lit(float("-inf")).alias("least"), F.array("v").alias("vs"), F.array("qv").alias("qs")), pool)
+    state = common.store(merged(first.withColumn("fresh", F.lit(True)), ["node", "band"], pool), "pool")
+    while not state.where(F.exists("near", lambda e: e["fresh"])).isEmpty():
+        least = F.when(F.size("near") >= pool, F.element_at("near.s", -1)).otherwise(F.lit(float("-inf")))
+        asks = state.select("node", "band", least.alias("least"), F.explode(F.filter("near", lambda e: e["fresh"])["v"]).alias("u"))
+        asks = asks.join(own.select("node", "q"), "node").join(around, "u")
+        rows = _flat(state, "node", "band").withColumn("fresh", F.lit(False)).union(scored(asks, pool).withColumn("fresh", F.lit(True)))
+        before, state = state, common.store(merged(rows, ["node", "band"], pool), "pool")
+        common.discard(before)
+    common.discard(around)
+    return state
+
+
+def nearest(table: DataFrame, is_query: Column, top: int = TOP, pool: int = POOL, rounds: int | None = None) -> DataFrame:
     """query_id, rank, vec_id, score: the ``top`` nearest of each query row of (vec_id, embedding).
 
     ``is_query`` is a condition on a column ``vec_id``.
     """
     nodes = nodes_of(table, top)
     vectors = common.store(quantized(nodes), "vectors")
-    graph = build(vectors)
+    graph = build(vectors, rounds=rounds)
     asked = table.select(F.col("vec_id").cast("long"), _vector(table)).where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).where(is_query).distinct()
     asked = common.store(asked.join(nodes.select("vector", "node"), "vector").select("vec_id", "node"), "queries")
-    pools = search(asked.select("node").distinct(), graph, vectors)
+    pools = search(asked.select("node").distinct(), graph, vectors, pool)
 
     # The query's own node is a candidate too: other ids may have the same vector.
-    cand = pools.select("node", F.explode(F.array_distinct(F.concat(F.array("node"), "near.v"))).alias("v"))
+    cand = pools.select("node", F.explode("near.v").alias("v")).union(asked.select("node", "node")).distinct()
     cand = cand.join(nodes.select("node", F.col("vector").alias("x")), "node").join(nodes.select(F.col("node").alias("v"), F.col("vector").alias("y"), "ids"), "v")
     double = lambda a, b: a.cast("double") * b.cast("double")
     score = F.aggregate(F.zip_with("x", "y", double), F.lit(0.0), lambda s, p: s + p)
     entry = F.struct((-F.col("score")).alias("s"), F.col("id").alias("id"))
-    # Bounded groups: a pool's nodes with at most top + 1 ids each.
+    # Bounded groups: a pool per band with at most top + 1 ids a node.
     ranked = cand.select("node", score.alias("score"), F.explode("ids").alias("id")).groupBy("node").agg(F.slice(F.sort_array(F.collect_list(entry)), 1, top + 1).alias("best"))
     out = asked.join(ranked, "node").select(F.col("vec_id").alias("query_id"), F.slice(F.filter("best", lambda e: e["id"] != F.col("vec_id")), 1, top).alias("best"))
     return out.select("query_id", F.posexplode("best").alias("at", "e")).select("query_id", (F.col("at") + 1).cast("int").alias("rank"), F.col("e.id").alias("vec_id"), (-F.col("e.s")).alias("score"))

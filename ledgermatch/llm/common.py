@@ -7,11 +7,13 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Words are the runs between ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Paths of the tables that ``store`` has written and nobody has deleted.
+_STORED: list[str] = []
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,7 +41,41 @@ def store(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here, executors may go."""
     path = f"{shared_dir(df.sparkSession)}/ledgermatch/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    _STORED.append(path)
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``store`` that nothing will read again."""
+    for df in tables:
+        if df.stored_at in _STORED:
+            _STORED.remove(df.stored_at)
+            _delete(df.sparkSession, df.stored_at)
+
+
+def mark() -> int:
+    """How many tables are stored now, for ``release``."""
+    return len(_STORED)
+
+
+def release(spark: SparkSession, since: int = 0, keep: tuple[DataFrame, ...] = ()) -> None:
+    """Delete all tables stored after ``since`` but ``keep``: what reads them must be written or done with.
+
+    A returned DataFrame may still read stored tables, so operators leave their last ones; the
+    pipeline calls this once a stage is written, other callers when they have the rows.
+    """
+    kept = {df.stored_at for df in keep}
+    for path in _STORED[since:]:
+        if path not in kept:
+            _STORED.remove(path)
+            _delete(spark, path)
 
 
 def id_crc(col: str) -> Column:
@@ -90,15 +126,22 @@ def numbered_copies(df: DataFrame, keys: list[str], ordinal: str = "copy") -> Da
     return unfolded(counted, "_n", ordinal).select(*keys, ordinal)
 
 
-def best(df: DataFrame, key: str, value: str, n: int, salts: int = 16, descending: bool = True) -> DataFrame:
-    """(key, array of its ``n`` best distinct values) in two steps.
+def row_key(df: DataFrame) -> list[Column]:
+    """128 bits of a whole row, to put rows that share their id and text in a fixed order; maps go as JSON."""
+    cols = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in kind or kind in ("variant", "void") else F.col(f"`{c}`") for c, kind in df.dtypes]
+    nulls = F.concat(F.lit(""), *[F.when(F.col(f"`{c}`").isNull(), "1").otherwise("0") for c in df.columns])
+    return [F.xxhash64(F.lit(i), nulls, *cols) for i in (11, 12)]
+
+
+def best(df: DataFrame, key: str, value: str, n: int, descending: bool = True) -> DataFrame:
+    """(key, array of its ``n`` best distinct values).
 
-    The first step splits each key over ``salts`` groups, so a key with very many values is
-    cut to ``n`` in each of them before they meet.
+    The limit is a ranking window, which Spark applies in every partition before the shuffle
+    too: of a key with very many values each task sends ``n``, and no array is longer.
     """
-    cut = lambda c: F.slice(F.sort_array(F.array_distinct(c), asc=not descending), 1, n)
-    first = df.groupBy(key, F.pmod(F.xxhash64(value), F.lit(salts)).alias("_salt")).agg(cut(F.collect_list(value)).alias("_v"))
-    return first.groupBy(key).agg(cut(F.flatten(F.collect_list("_v"))).alias(value))
+    order = F.col(value).desc() if descending else F.col(value).asc()
+    ranked = df.select(key, value).distinct().withColumn("_rank", F.row_number().over(Window.partitionBy(key).orderBy(order))).where(F.col("_rank") <= n)
+    return ranked.groupBy(key).agg(F.sort_array(F.collect_list(value), asc=not descending).alias(value))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -117,10 +160,11 @@ def components(edges: DataFrame) -> DataFrame:
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = store(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if mark == seen:
+        before, now = now, store(moved.union(low.select("u", F.col("m").alias("v"))).distinct(), "edges")
+        discard(before)
+        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        if state == seen:
             break
-        seen = mark
+        seen = state
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(roots)

@@ -4,35 +4,45 @@ Vectors are scaled to length 1 and turned by a seeded random rotation, which spr
 variance evenly, and then split into blocks of ``BLOCK`` dimensions.  A cosine of at least t
 is a squared distance of at most 2 - 2t; if two vectors are that near, then in one block at
 least they are within that block's share of the squared distance, in proportion to its
-dimensions.  So each block is range-joined under its own budget: vectors are cut into slabs
-of one radius along the block's first coordinate, a slab meets itself and the one before, and
-what is within the budget in the block is verified with the cosine of the original vectors in
-double precision.  The union over the blocks misses no link.
-
-A pair may qualify in several blocks and counts in the first only.  Slabs are dealt in tiles
-of at most ``TILE`` rows a side, so a task's memory is bounded and a full slab is the work of
-many tasks.  A tile gives counts of links per vector and the edges of a spanning forest, never
-its pairs.  Exactly equal vectors are one class with a number of members; each member links
-to the others of its class.
-
-The work that remains grows with the product of neighbouring slabs: for vectors without low
-dimensional structure no exact join avoids that (see README).
+dimensions.  So each block is range-joined under its own budget: vectors are dealt to cells of
+two radii a side in the block's first two coordinates; a cell meets itself, and of two
+neighbouring cells only those rows meet that are within a radius of the border between them.
+Inside a task the rows are sorted by the third coordinate and compared within a radius there
+too.  What is within the budget in the block is verified with the cosine of the original
+vectors in double precision.  The union over the blocks misses no link.
+
+A pair may qualify in several blocks and counts in the first only.  Cells are dealt in tiles
+of at most about ``TILE`` rows a side, so a task's memory is bounded and a full cell is the
+work of many tasks.  A tile gives counts of links per vector and the edges of a spanning
+forest, never its pairs.  Exactly equal vectors are one class with a number of members; each
+member links to the others of its class.  Vectors of different length have no cosine; their
+lengths are part of the cell.
+
+The work that remains grows with the product of the rows of neighbouring cells: the radius is
+fixed by the cosine, so the cells don't become more as the table grows (see README).
 
 Vectors that are null, zero or hold null or non-finite components, and rows without vec_id,
-link with nothing (a row without vec_id has no component and isn't kept).  A vec_id that comes more than once is one node with the links of all its
-vectors; complete repeats count once.
+link with nothing (a row without vec_id has no component and isn't kept).  Lengths are taken
+after division by the largest component, so no vector over- or underflows.  A vec_id that
+comes more than once is one node with the links of all its vectors; complete repeats count
+once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import lru_cache
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
 
-COSINE, BLOCK, TILE, SEED = 0.95, 8, 16_384, 4
+COSINE, BLOCK, TILE, SEED = 0.95, 16, 16_384, 4
+CELL = "dim int, block int, cx int, cy int, step int, side int"
 
 
 def usable(vector: Column) -> Column:
@@ -47,6 +57,14 @@ def _vector(table: DataFrame) -> Column:
     return F.col("embedding").cast(kind if kind == "array<float>" else "array<double>").alias("vector")
 
 
+def log2_length(vector: Column) -> Column:
+    """Binary logarithm of a usable vector's length; nothing over- or underflows."""
+    top = F.array_max(F.transform(vector, lambda x: F.abs(x.cast("double"))))
+    parts = F.transform(vector, lambda x: F.pow(x.cast("double") / top, F.lit(2.0)))
+    return F.log2(top) + F.log2(F.aggregate(parts, F.lit(0.0), lambda s, x: s + x)) / 2
+
+
+@lru_cache(maxsize=8)
 def rotation(dim: int, seed: int = SEED) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(seed).normal(size=(dim, dim)))
     return q * np.sign(np.diag(r))
@@ -77,16 +95,25 @@ def _forest(a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows of length 1 in double precision, by way of their largest component."""
+    v = v.astype(np.float64)
+    v = v / np.abs(v).max(axis=1, keepdims=True)
+    return v / np.linalg.norm(v, axis=1, keepdims=True)
+
+
 def _link_tile(one: pd.DataFrame, two: pd.DataFrame | None, block: int, turn: np.ndarray, cosine: float, size: int) -> pd.DataFrame:
     """Links between two tiles (of one tile if two is None) whose first qualifying block is ``block``."""
     budget = (2 - 2 * cosine) * (1 + 1e-6) + 1e-9
     dim = len(turn)
     cuts = [(lo, min(lo + size, dim)) for lo in range(0, dim, size)]
+    sort_at = min(cuts[block][0] + 2, cuts[block][1] - 1)
 
     def load(tile: pd.DataFrame):
-        v = np.stack(tile["vector"].to_numpy()).astype(np.float64)
-        unit = v / np.linalg.norm(v, axis=1, keepdims=True)
-        return tile["node"].to_numpy(), tile["members"].to_numpy(), v, unit @ turn
+        v = unit(np.stack(tile["vector"].to_numpy()))
+        r = v @ turn
+        order = np.argsort(r[:, sort_at], kind="stable")
+        return tile["node"].to_numpy()[order], tile["members"].to_numpy()[order], v[order], r[order]
 
     ids, weight, v, r = load(one)
     ids2, weight2, v2, r2 = load(two) if two is not None else (ids, weight, v, r)
@@ -97,9 +124,12 @@ def _link_tile(one: pd.DataFrame, two: pd.DataFrame | None, block: int, turn: np
     share = np.float32(budget * (hi - lo) / dim + 1e-5)  # single precision errs on the safe side
     count, count2 = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids2), dtype=np.int64)
     edges: list[tuple[int, int]] = []
+    reach = float(np.sqrt(share)) + 1e-6
     for at in range(0, len(x), 512):
-        first = at if two is None else 0
-        near = (xx[at : at + 512, None] + yy[None, first:]) - 2 * (x32[at : at + 512] @ y32[first:].T) <= share
+        part = r[at : at + 512, sort_at]
+        first, end = np.searchsorted(r2[:, sort_at], [part[0] - reach, part[-1] + reach], side="left")
+        first = max(first, at) if two is None else first
+        near = (xx[at : at + 512, None] + yy[None, first:end]) - 2 * (x32[at : at + 512] @ y32[first:end].T) <= share
         i, j = np.nonzero(near)
         i, j = i + at, j + first
         if two is None:
@@ -112,8 +142,7 @@ def _link_tile(one: pd.DataFrame, two: pd.DataFrame | None, block: int, turn: np
             own = by_block <= budget * np.array([c[1] - c[0] for c in cuts]) / dim
             ok = own[:, block] & ~own[:, :block].any(axis=1)
             p, q = p[ok], q[ok]
-            dot = np.einsum("ij,ij->i", v[p], v2[q])
-            ok = dot / (np.linalg.norm(v[p], axis=1) * np.linalg.norm(v2[q], axis=1)) >= cosine
+            ok = np.einsum("ij,ij->i", v[p], v2[q]) >= cosine
             p, q = p[ok], q[ok]
             count += np.bincount(p, weights=weight2[q], minlength=len(ids)).astype(np.int64)
             count2 += np.bincount(q, weights=weight[p], minlength=len(ids2)).astype(np.int64)
@@ -125,57 +154,84 @@ def _link_tile(one: pd.DataFrame, two: pd.DataFrame | None, block: int, turn: np
     return out.astype({"node": "int64", "links": "int64", "other": "Int64"})
 
 
+def _radius(width: int, dim: int, cosine: float) -> float:
+    return float(np.sqrt((2 - 2 * cosine) * 1.000001 * width / dim + 1e-9))
+
+
+def _places(v: np.ndarray, cosine: float, size: int, seed: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(block, step, side, rows, cx, cy) for the rows of a matrix: where each has to be.
+
+    A task is the cell (cx, cy) and a step: 0 the cell by itself, 1 to 4 the cell (side 0) with
+    the one before it in x, in y, in both, and before in x but after in y (side 1).
+    """
+    r = unit(v) @ rotation(v.shape[1], seed)
+    dim = v.shape[1]
+    for block, lo in enumerate(range(0, dim, size)):
+        width = min(size, dim - lo)
+        side_of = 2 * _radius(width, dim, cosine)
+        at = r[:, lo : lo + min(width, 2)] / side_of
+        cell = np.floor(at).astype(np.int64)
+        low, high = at - cell <= 0.5 + 1e-9, at - cell >= 0.5 - 1e-9
+        if width == 1:
+            cell, low, high = (np.concatenate([c, np.zeros_like(c)], axis=1) for c in (cell, low, high))
+        (x, y), (lx, ly), (hx, hy) = cell.T, low.T, high.T
+        every = np.ones(len(x), dtype=bool)
+        for step, side, ok, dx, dy in ((0, 0, every, 0, 0), (1, 0, lx, 0, 0), (1, 1, hx, 1, 0), (2, 0, ly, 0, 0), (2, 1, hy, 0, 1), (3, 0, lx & ly, 0, 0), (3, 1, hx & hy, 1, 1), (4, 0, lx & hy, 0, 0), (4, 1, hx & ly, 1, -1)):
+            rows = np.flatnonzero(ok)
+            yield block, step, side, rows, x[rows] + dx, y[rows] + dy
+
+
+def _batches(b: pa.RecordBatch, cosine: float, size: int, seed: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """Rows of a batch (dim, node, members, vector) at their places: (columns of CELL, places in the batch)."""
+    dims = b["dim"].to_numpy()
+    for dim in np.unique(dims):
+        own = np.flatnonzero(dims == dim)
+        v = np.asarray(b["vector"].take(pa.array(own)).flatten().to_numpy(zero_copy_only=False)).reshape(len(own), -1)
+        for block, step, side, rows, cx, cy in _places(v, cosine, size, seed):
+            const = [pa.array(np.full(len(rows), c), pa.int32()) for c in (dim, block, step, side)]
+            yield pa.RecordBatch.from_arrays([*const[:2], pa.array(cx, pa.int32()), pa.array(cy, pa.int32()), *const[2:]], names=[c.split()[0] for c in CELL.split(", ")]), own[rows]
+
+
 def link_rows(nodes: DataFrame, cosine: float = COSINE, size: int = BLOCK, tile: int = TILE, seed: int = SEED) -> DataFrame:
     """Rows (node, links, other): numbers of links found in a tile (other null), and forest edges node - other."""
-    first = nodes.select(F.size("vector").alias("d")).groupBy("d").count().orderBy(F.desc("count"), "d").first()
-    empty = nodes.select("node", F.lit(0).cast("long").alias("links"), F.lit(None).cast("long").alias("other")).where(F.lit(False))
-    if first is None:
-        return empty
-    dims = [r["d"] for r in nodes.select(F.size("vector").alias("d")).distinct().collect()]
-    out = empty
-    for dim in sorted(dims):  # vectors of different length have no cosine
-        out = out.union(_link_rows(nodes.where(F.size("vector") == dim), dim, cosine, size, tile, seed))
-    return out
-
-
-def _link_rows(nodes: DataFrame, dim: int, cosine: float, size: int, tile: int, seed: int) -> DataFrame:
-    turn = rotation(dim, seed)
-    blocks = -(-dim // size)
-    norm = F.sqrt(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-
-    def slab(b: int) -> Column:
-        axis = F.array(*[F.lit(float(x)) for x in turn[:, b * size]])
-        at = F.aggregate(F.zip_with("vector", axis, lambda x, a: x.cast("double") * a), F.lit(0.0), lambda s, x: s + x) / F.col("norm")
-        radius = float(np.sqrt((2 - 2 * cosine) * 1.000001 * (min((b + 1) * size, dim) - b * size) / dim + 1e-9))
-        return F.struct(F.lit(b).alias("block"), F.floor(at / radius).cast("long").alias("slab"))
-
-    placed = nodes.withColumn("norm", norm).withColumn("p", F.explode(F.array(*[slab(b) for b in range(blocks)]))).select("node", "members", "vector", "p.block", "p.slab")
-    # A slab's number of tiles follows its number of rows: a table of a few rows per block.
-    tiles = placed.groupBy("block", "slab").agg(F.count(F.lit(1)).alias("n")).select("block", "slab", F.ceil(F.col("n") / tile).cast("int").alias("tiles"))
-    near = tiles.select("block", (F.col("slab") + 1).alias("slab"), F.col("tiles").alias("before"))
-    after = tiles.select("block", (F.col("slab") - 1).alias("slab"), F.col("tiles").alias("after"))
-    tiles = common.store(tiles.join(near, ["block", "slab"], "left").join(after, ["block", "slab"], "left").na.fill(0, ["before", "after"]), "tiles")
-    mine = placed.join(tiles, ["block", "slab"]).withColumn("tile", F.pmod(F.xxhash64("node"), F.col("tiles")).cast("int"))
-    pair = lambda slab, i, j, step, side: F.struct(slab.alias("slab"), i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(step).alias("step"), F.lit(side).alias("side"))
-    c, t = F.col, F.col("tile")
-    upto = lambda n: F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    # Within the slab: tile i <= j.  With the slab before: i of this slab, j of that one.
-    to = F.concat(
-        F.transform(F.filter(upto(c("tiles")), lambda j: j >= t), lambda j: pair(c("slab"), t, j, 0, 0)),
-        F.transform(F.filter(upto(c("tiles")), lambda i: i < t), lambda i: pair(c("slab"), i, t, 0, 1)),
-        F.transform(upto(c("before")), lambda j: pair(c("slab"), t, j, 1, 0)),
-        F.transform(upto(c("after")), lambda i: pair(c("slab") + 1, i, t, 1, 1)),
-    )
-    dealt = mine.select("node", "members", "vector", "block", F.explode(to).alias("d")).select("node", "members", "vector", "block", "d.*")
+    kind = nodes.schema["vector"].dataType.simpleString()
+    flat = nodes.select(F.size("vector").alias("dim"), "node", "members", "vector")
+    cell = ["dim", "block", "cx", "cy", "step"]
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for places, _ in _batches(b, cosine, size, seed):
+                counted = pa.Table.from_batches([places.append_column("one", pa.array(np.ones(places.num_rows, dtype=np.int64)))]).group_by(places.schema.names).aggregate([("one", "sum")])
+                yield from counted.rename_columns([*places.schema.names, "n"]).to_batches()
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for places, rows in _batches(b, cosine, size, seed):
+                own = b.take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([*places.columns, own["node"], own["members"], own["vector"]], names=[*places.schema.names, "node", "members", "vector"])
+
+    counts = flat.mapInArrow(sizes, f"{CELL}, n long").groupBy(*cell).agg(F.sum(F.when(F.col("side") == 0, F.col("n"))).alias("n0"), F.sum(F.when(F.col("side") == 1, F.col("n"))).alias("n1"))
+    # Cells without a counterpart, or with one row of their own, have nothing to compare.
+    counts = counts.where(F.when(F.col("step") == 0, F.col("n0") > 1).otherwise(F.col("n0").isNotNull() & F.col("n1").isNotNull()))
+    tiles = lambda c: F.ceil(F.col(c) / tile).cast("int")
+    counts = common.store(counts.select(*cell, tiles("n0").alias("t0"), F.coalesce(tiles("n1"), tiles("n0")).alias("t1")), "tiles")
+
+    mine = flat.mapInArrow(place, f"{CELL}, node long, members long, vector {kind}").join(counts, cell)
+    own = F.pmod(F.xxhash64("node"), F.when(F.col("side") == 0, F.col("t0")).otherwise(F.col("t1"))).cast("int")
+    pair = lambda i, j, side: F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(side).alias("side"))
+    t, upto = F.col("t"), lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    alone = F.concat(F.transform(F.filter(upto("t0"), lambda j: j >= t), lambda j: pair(t, j, 0)), F.transform(F.filter(upto("t0"), lambda i: i < t), lambda i: pair(i, t, 1)))
+    to = F.when(F.col("step") == 0, alone).when(F.col("side") == 0, F.transform(upto("t1"), lambda j: pair(t, j, 0))).otherwise(F.transform(upto("t0"), lambda i: pair(i, t, 1)))
+    dealt = mine.withColumn("t", own).select(*cell, "node", "members", "vector", F.explode(to).alias("d")).select(*cell, "node", "members", "vector", "d.*")
 
     def of(group: pd.DataFrame) -> pd.DataFrame:
         one, two = group[group["side"] == 0], group[group["side"] == 1]
         alone = bool(group["step"].iloc[0] == 0 and group["i"].iloc[0] == group["j"].iloc[0])
         if not len(one) or not (alone or len(two)):
             return pd.DataFrame({"node": [], "links": [], "other": []}).astype({"node": "int64", "links": "int64", "other": "Int64"})
-        return _link_tile(one, None if alone else two, int(group["block"].iloc[0]), turn, cosine, size)
+        return _link_tile(one, None if alone else two, int(group["block"].iloc[0]), rotation(int(group["dim"].iloc[0]), seed), cosine, size)
 
-    return dealt.groupBy("block", "slab", "step", "i", "j").applyInPandas(of, "node long, links long, other long")
+    return dealt.groupBy(*cell, "i", "j").applyInPandas(of, "node long, links long, other long")
 
 
 def near_vectors(table: DataFrame, **options) -> DataFrame:

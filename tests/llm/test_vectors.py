@@ -83,17 +83,80 @@ def test_copies_few_rows_and_self(spark):
     assert [(r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in two] == [(0, 1, 1, 1.0)]
 
 
-def test_graph_search_reaches_the_recall(spark, monkeypatch):
-    """A table larger than a leaf, so that trees, descent and search all take part."""
-    monkeypatch.setattr(ann, "LEAF", 100)
-    monkeypatch.setattr(ann, "SAMPLE", 512)
+def recall_of(found, vectors, of):
+    """Share of each query's nearest scores that were found; ties count by score."""
+    shares = []
+    for q in of:
+        _, scores = brute_nearest(vectors, q)
+        best = sorted(scores.values(), reverse=True)[:20]
+        shares.append(np.mean([s >= best[-1] - 1e-9 for s in sorted(found[q], reverse=True)[:20]]))
+    return np.mean(shares)
+
+
+def mixed_table():
+    """Vectors of several lengths, tight clusters, a vector shared by a third of all rows, and one a thousand times longer."""
     rng = np.random.default_rng(3)
-    x = rng.normal(size=(3000, 24)).astype(np.float32)
-    x *= rng.uniform(0.8, 1.2, size=(3000, 1)).astype(np.float32)
-    vectors = {i: x[i].astype(np.float64) for i in range(3000)}
-    df = spark.createDataFrame([(i, x[i].tolist(), 1, None, None) for i in range(3000)], SCHEMA)
+    plain = rng.normal(size=(1400, 24)) * rng.uniform(0.3, 1.2, size=(1400, 1))
+    tight = rng.normal(size=(30, 24))[rng.integers(0, 30, 600)] + 0.1 * rng.normal(size=(600, 24))
+    x = np.concatenate([plain, tight, np.repeat(rng.normal(size=(1, 24)), 1000, axis=0)]).astype(np.float32)
+    x = x[rng.permutation(len(x))]
+    x[1] *= 1000
+    return x
+
+
+def searched(spark, x, **options):
+    df = spark.createDataFrame([(i, v.tolist(), 1, None, None) for i, v in enumerate(x)], SCHEMA)
     found = {}
-    for r in ann.nearest(df, F.col("vec_id") % 20 == 0).collect():
-        found.setdefault(r["query_id"], set()).add(r["vec_id"])
-    recall = np.mean([len(set(brute_nearest(vectors, q)[0]) & found[q]) / 20 for q in found])
-    assert len(found) == 150 and recall >= 0.9
+    for r in ann.nearest(df, F.col("vec_id") % 20 == 0, **options).collect():
+        found.setdefault(r["query_id"], []).append(r["score"])
+    return found
+
+
+def test_recall_with_an_outlier_clusters_copies_and_lengths(spark):
+    x = mixed_table()
+    vectors = {i: v.astype(np.float64) for i, v in enumerate(x)}
+    found = searched(spark, x)
+    assert set(found) == set(range(0, len(x), 20)) and all(len(s) == 20 for s in found.values())
+    assert recall_of(found, vectors, found) >= 0.95
+
+
+def test_descent_is_what_finds_neighbours(spark):
+    x = np.random.default_rng(4).normal(size=(2000, 24)).astype(np.float32)
+    vectors = {i: v.astype(np.float64) for i, v in enumerate(x)}
+    with_it, without = (recall_of(f, vectors, f) for f in (searched(spark, x, pool=32), searched(spark, x, pool=32, rounds=0)))
+    assert with_it >= 0.9 and without < with_it - 0.2
+
+
+def test_vectors_near_the_ends_of_the_doubles(spark):
+    schema = "vec_id long, embedding array<double>"
+    rows = [(0, [1e200, 0.0]), (1, [1e-200, 0.0]), (2, [1.0, 0.0]), (3, [0.0, 1.0]), (20, [1.0, 1e-300]), (4, [1e-320, 0.0])]
+    df = spark.createDataFrame(rows, schema)
+    out = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in ann.nearest(df, F.col("vec_id") % 20 == 0).collect()}
+    assert [out[20, r][0] for r in range(1, 6)] == [0, 2, 1, 3, 4] and out[20, 1][1] == 1e200 and out[0, 1] == (2, 1e200)
+    linked = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in neardup_vectors.near_vectors(df).collect()}
+    assert linked == {0: (4, 0), 1: (4, 0), 2: (4, 0), 20: (4, 0), 4: (4, 0), 3: (0, 3)}
+
+
+def test_links_of_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows, vectors = [], {}
+    for i in range(240):
+        dim = (3, 17, 40)[i % 3]
+        v = rng.normal(size=dim) if i < 120 else vectors[i - 120] + 0.05 * rng.normal(size=dim)
+        vectors[i] = v
+        rows.append((i, v.tolist()))
+    found = {r["vec_id"]: r["n_links"] for r in neardup_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tile=20).collect()}
+    cos = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    for i, v in vectors.items():
+        assert found[i] == sum(j != i and len(w) == len(v) and cos(v, w) >= 0.95 for j, w in vectors.items())
+
+
+def test_the_queries_themselves(spark, small):
+    rows = [r for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
+    x = {r["vec_id"]: np.array(r["embedding"], dtype=np.float64) for r in rows}
+    found = {}
+    for r in ann.op1_ann(spark, small).collect():
+        found.setdefault(r["query_id"], []).append(r["score"])
+    assert set(found) == {i for i in x if i % 20 == 0} and recall_of(found, x, found) >= 0.95
+    links = {r["vec_id"]: r["n_links"] for r in neardup_vectors.op4_neardup_vectors(spark, small).collect()}
+    assert links == {i: sum(j != i and v @ w >= 0.95 * np.linalg.norm(v) * np.linalg.norm(w) for j, w in x.items()) for i, v in x.items()}
