@@ -4,7 +4,8 @@ The rank file's path and the splitting pattern are parameters; the file is read
 Python worker once and never shipped through the driver.  Texts of more than ``LONG``
 characters are cut where the pattern always splits: before white space that follows a
 character that is not white space.  No alternative of the pattern goes on across such a place
-and none looks behind it, so the tokens of the pieces are the tokens of the whole.
+and none looks behind it, so the tokens of the pieces are the tokens of the whole.  A text
+without such a place is passed whole.
 
 Null and empty texts have no tokens.  No special tokens are made: their strings are text.
 """
@@ -12,11 +13,11 @@ Null and empty texts have no tokens.  No special tokens are made: their strings
 from __future__ import annotations
 
 import base64
-import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import tiktoken
@@ -64,7 +65,7 @@ def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_token
     @F.pandas_udf("array<int>")
     def ids(texts: pd.Series) -> pd.Series:
         enc = encoding(path, pattern)
-        return pd.Series([encode(x, enc, long) for x in texts], dtype=object)
+        return pd.Series([np.array(encode(x, enc, long), dtype=np.int32) for x in texts], dtype=object)
 
     return docs.withColumn("ids", ids(F.col("text")))
 
@@ -76,28 +77,16 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_to
     @F.pandas_udf("binary")
     def raw(ids: pd.Series) -> pd.Series:
         enc = encoding(path, pattern)
-        return pd.Series([enc.decode_bytes([] if x is None else list(x)) for x in ids], dtype=object)
+        return pd.Series([enc.decode_bytes([] if x is None else x.tolist()) for x in ids], dtype=object)
 
     return encoded.withColumn("bytes", raw(F.col("ids")))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256: both directions in one pass, so that the ids stay in the worker."""
-    path = path or public_tokenizers.path(RANKS)
-
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        enc = encoding(path, pattern)
-        names = [str(i) for i in range(enc.n_vocab)]
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                ids = encode(text, enc, long)
-                rows.append((len(ids), hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest(), hashlib.sha256(enc.decode_bytes(ids)).hexdigest()))
-            out = pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
-            out.insert(0, "doc_id", batch["doc_id"].astype("Int64").to_numpy(dtype=object, na_value=None) if len(batch) else [])
-            yield out
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInPandas(of, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the ids that ``tokens`` makes and the bytes that ``decode`` makes of them."""
+    both = decode(tokens(docs.select(F.col("doc_id").cast("long"), "text"), path, pattern, long), path, pattern)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

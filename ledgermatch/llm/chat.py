@@ -4,16 +4,20 @@ A turn's content is an ordered list of parts: text, image, audio or document.  A
 walks over the parts of a conversation and flattens them: text is escaped and written,
 every other part becomes a placeholder ``<kind:number>`` whose number refers to the list of
 attachments.  That list records kind, reference, place in the output and the number of tokens
-that the placeholder stands for (its size divided by the units a token holds, rounded up).
+that the placeholder stands for (its size divided by the units a token holds, rounded up).  A
+part that is null, or of a null or unknown kind, writes nothing and is counted as skipped.
 
 Template: ``<turn ROLE>`` text ``</turn>``, each turn on its own lines.  All marks start with
 ``<``; texts and roles have ``\\`` and ``<`` (roles also ``>``) escaped by a ``\\``, so no
-text can make a mark and ``read`` gets every turn back.  The loss mask lists spans
-[start, end) of code points: the text of each assistant turn.
-
-Turns are ordered by turn, then role and text; turns without a number come first.  Null roles
-and texts count as empty.  Rows without conv_id make up one conversation without id.  A
-conversation is one record and is put together in one task, from sorted rows that stream in.
+text can make a mark: ``read`` gets every turn back as its parts, and a text that looks like a
+placeholder stays a text.  The loss mask lists spans [start, end) of code points: what each
+assistant turn says.
+
+Turns are ordered by turn, then role and parts; turns without a number come first.  Null roles
+and texts count as empty, a null list of parts as no part.  Rows without conv_id make up one
+conversation without id.  A conversation is one record: its sorted rows stream into one task,
+which holds its output until it is whole, so it has to fit there and in a cell of 2 GB (figures
+are in the README).
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import re
 from collections.abc import Iterator
 from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,8 +36,11 @@ from . import common
 #: Units of size that one token of a part holds: pixels of an image, ms of audio, characters of a document.
 TOKEN_UNITS = {"image": 784, "audio": 40, "document": 4}
 PARTS = "array<struct<kind:string,text:string,ref:string,size:long>>"
-FORMATTED = "conv_id long, formatted string, n_turns long, loss array<struct<start:long,end:long>>, attachments array<struct<kind:string,ref:string,at:long,tokens:long>>"
+FORMATTED = "conv_id long, formatted string, n_turns long, loss array<struct<start:long,end:long>>, attachments array<struct<kind:string,ref:string,at:long,tokens:long>>, n_skipped long"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+_ATTACHMENTS = pa.list_(pa.struct([("kind", pa.string()), ("ref", pa.string()), ("at", pa.int64()), ("tokens", pa.int64())]))
 _ESCAPED = re.compile(r"\\(.)", re.S)
+_PART = re.compile(r"(?P<text>(?:[^\\<]++|\\.)++)|<(?P<kind>image|audio|document):(?P<number>\d+)>", re.S)
 _TURN = re.compile(r"<turn ((?:[^\\<>]++|\\.)*+)>\n((?:[^\\<]++|\\.|<(?:image|audio|document):\d+>)*+)</turn>\n", re.S)
 
 
@@ -52,7 +59,7 @@ class Flattener:
         self.units, self.out, self.length = units, [], 0
         self.loss: list[tuple[int, int]] = []
         self.attachments: list[tuple] = []
-        self.turns = 0
+        self.turns = self.skipped = 0
 
     def write(self, text: str) -> None:
         self.out.append(text)
@@ -63,7 +70,7 @@ class Flattener:
         self.write(f"<turn {escape(role).replace('>', chr(92) + '>')}>\n")
         start = self.length
         for part in parts if parts is not None else ():
-            getattr(self, f"visit_{part['kind']}", self.visit_other)(part)
+            self.visitors.get(part and part["kind"], Flattener.visit_other)(self, part)
         if role == "assistant":
             self.loss.append((start, self.length))
         self.write("\n</turn>\n")
@@ -77,10 +84,10 @@ class Flattener:
         self.attachments.append((part["kind"], part["ref"], self.length, tokens))
         self.write(f"<{part['kind']}:{len(self.attachments) - 1}>")
 
-    visit_image = visit_audio = visit_document = visit_attachment
-
     def visit_other(self, part) -> None:
-        raise ValueError(f"a part of kind {part['kind']!r}: text, image, audio or document is asked for")
+        self.skipped += 1
+
+    visitors = {"text": visit_text, "image": visit_attachment, "audio": visit_attachment, "document": visit_attachment}
 
 
 def text_part(text: Column) -> Column:
@@ -92,59 +99,77 @@ def text_part(text: Column) -> Column:
 def format_conversations(turns: DataFrame, units: dict[str, int] = TOKEN_UNITS) -> DataFrame:
     """One row per conversation of rows (conv_id, turn, role, parts): FORMATTED."""
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                yield from zip(batch["conv_id"].astype(object).where(batch["conv_id"].notna(), None), batch["role"], batch["parts"], strict=True)
+                yield from zip(*(batch[c].to_pylist() for c in ("conv_id", "role", "parts")), strict=True)
 
-        done = []
+        done: list[tuple] = []
+        size = 0
         for conv, own in groupby(rows(), key=lambda r: r[0]):
             f = Flattener(units)
             for _, role, parts in own:
                 f.turn(role, parts)
-            done.append((conv, "".join(f.out), f.turns, [{"start": a, "end": b} for a, b in f.loss], [dict(zip(("kind", "ref", "at", "tokens"), a, strict=True)) for a in f.attachments]))
-            if len(done) >= 1000:
+            done.append((conv, "".join(f.out), f.turns, [{"start": a, "end": b} for a, b in f.loss], [dict(zip(("kind", "ref", "at", "tokens"), a, strict=True)) for a in f.attachments], f.skipped))
+            size += f.length
+            if len(done) >= 1000 or size > 4 << 20:
                 yield frame(done)
-                done = []
+                done, size = [], 0
         yield frame(done)
 
-    def frame(done: list) -> pd.DataFrame:
-        out = pd.DataFrame(done, columns=["conv_id", "formatted", "n_turns", "loss", "attachments"])
-        return out.astype({"conv_id": "Int64", "n_turns": "int64"})
+    def frame(done: list) -> pa.RecordBatch:
+        kinds = {"conv_id": pa.int64(), "formatted": pa.string(), "n_turns": pa.int64(), "loss": _SPANS, "attachments": _ATTACHMENTS, "n_skipped": pa.int64()}
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in done], kind) for i, kind in enumerate(kinds.values())], names=list(kinds))
 
     order = ["conv_id", "turn", "role", F.to_json("parts")]
     flat = turns.select(F.col("conv_id").cast("long"), "turn", "role", F.col("parts").cast(PARTS))
-    return flat.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "role", "parts").mapInPandas(of, FORMATTED)
+    return flat.repartition("conv_id").sortWithinPartitions(*order).select("conv_id", "role", "parts").mapInArrow(of, FORMATTED)
 
 
-def read(formatted: str) -> list[tuple[str, str]]:
-    """The turns (role, text with placeholders) of a formatted conversation; raises if it isn't one."""
+def read(formatted: str) -> list[tuple[str, list[tuple[str, str | int]]]]:
+    """The turns of a formatted conversation: role and parts, ("text", text) or (kind, number of the attachment).
+
+    Texts beside each other are one part and empty ones none.  Raises if it isn't a conversation.
+    """
     turns, at = [], 0
     while at < len(formatted):
         m = _TURN.match(formatted, at)
         if not m or m[2][-1:] != "\n":
             raise ValueError(f"no turn at {at}")
-        turns.append((unescape(m[1]), unescape(m[2][:-1])))
+        parts = [("text", unescape(p["text"])) if p["text"] is not None else (p["kind"], int(p["number"])) for p in _PART.finditer(m[2][:-1])]
+        turns.append((unescape(m[1]), parts))
         at = m.end()
     return turns
 
 
+def text_of(parts: list[tuple[str, str | int]]) -> str:
+    """The text of parts as ``read`` gives them, placeholders included."""
+    return "".join(str(x) if kind == "text" else f"<{kind}:{x}>" for kind, x in parts)
+
+
 def digests(formatted: DataFrame) -> DataFrame:
-    """What is read back from the formatted output, as lengths and digests."""
+    """What is read back from the formatted output, as lengths and digests, with the number of attachments, of the tokens that they stand for, and of parts skipped."""
+    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for text, loss in zip(batch["formatted"], batch["loss"], strict=True):
+                text = text.as_py()
                 turns = read(text)
-                masked = "".join(unescape(text[s["start"] : s["end"]]) for s in loss)
-                said = "".join(f"{role}\n{x}\n" for role, x in turns)
-                rows.append((len(turns), hashlib.sha256(said.encode()).hexdigest(), len(masked), hashlib.sha256(masked.encode()).hexdigest(), len(text)))
-            out = pd.DataFrame(rows, columns=["n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
-            out.insert(0, "conv_id", batch["conv_id"].astype("Int64").to_numpy(dtype=object, na_value=None) if len(batch) else [])
-            yield out.astype({"conv_id": "Int64"})
+                masked = "".join(unescape(text[s["start"] : s["end"]]) for s in loss.as_py())
+                said = hashlib.sha256()
+                for role, parts in turns:
+                    said.update(f"{role}\n{text_of(parts)}\n".encode())
+                rows.append((len(turns), said.hexdigest(), len(masked), hashlib.sha256(masked.encode()).hexdigest(), len(text)))
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
+            made = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)]
+            yield pa.RecordBatch.from_arrays([batch["conv_id"], *made, batch["n_attachments"], batch["attachment_tokens"], batch["n_skipped"]], names=[*names, "n_attachments", "attachment_tokens", "n_skipped"])
 
-    return formatted.select("conv_id", "formatted", "loss").mapInPandas(of, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    counted = formatted.select(
+        "conv_id", "formatted", "loss", F.size("attachments").cast("long").alias("n_attachments"), F.aggregate("attachments.tokens", F.lit(0).cast("long"), lambda s, x: s + x).alias("attachment_tokens"), "n_skipped"
+    )
+    return counted.mapInArrow(of, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long, n_attachments long, attachment_tokens long, n_skipped long")
 
 
 #: A conversation that tries to break the template.
@@ -168,6 +193,7 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
   coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-  sum(17 + length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<]', '', 'g')))::BIGINT AS formatted_chars
+  sum(17 + length(role) + length(regexp_replace(role, '[^\\<>]', '', 'g')) + length(text) + length(regexp_replace(text, '[^\\<]', '', 'g')))::BIGINT AS formatted_chars,
+  0::BIGINT AS n_attachments, 0::BIGINT AS attachment_tokens, 0::BIGINT AS n_skipped
 FROM turns GROUP BY conv_id
 """

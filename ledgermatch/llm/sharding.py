@@ -3,9 +3,10 @@
 Pass one scatters the records uniformly over buckets by a seeded hash; the number of buckets
 follows the number of bytes, so that one bucket fits in a task's memory whatever the size of
 the table.  Pass two puts each bucket in Fisher-Yates order with a generator seeded by the
-bucket.  The buckets one after the other are a random permutation of the whole table; the
-record at position i goes to shard i mod n, slot i div n.  This is the law ``rows``: shard
-sizes differ by one row at most and slots have no gaps.
+bucket.  The buckets one after the other are a random permutation of the whole table; of N
+records that at position i goes to shard floor(i * n / N), so a shard is a run of positions
+and a bucket lies in one shard or two: it is written by the task that has shuffled it.  This
+is the law ``rows``: shard sizes differ by one row at most and slots have no gaps.
 
 The hash takes all columns and the number of the copy among equal rows.  Keys of 128 bits tell
 which rows may have an equal one; only those are counted before the shuffle and numbered, so
@@ -40,7 +41,7 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
     records = common.store(df.select(row, *key, sum(sizes, F.lit(row_bytes).cast("long")).alias("bytes")), "records")
-    total = records.agg(F.sum("bytes")).first()[0] or 0
+    total, n = records.agg(F.coalesce(F.sum("bytes"), F.lit(0)), F.count(F.lit(1))).first()
     buckets = max(1, -(-total // bucket_bytes))
 
     repeated = common.store(records.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2"), "repeated")
@@ -64,7 +65,10 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
     schema = StructType([copies.schema["row"], StructField("at", LongType())])
     placed = copies.join(starts, "bucket").groupBy("bucket").applyInArrow(fisher_yates, schema)
     own = [F.col(f"row.`{c}`").alias(c) for c in df.columns]
-    return placed.select(*own, F.pmod("at", F.lit(shards)).cast("int").alias("shard"), F.floor(F.col("at") / shards).cast("long").alias("slot"))
+    n = max(n, 1)
+    to = F.expr(f"(at * {shards}L) div {n}L")
+    first = F.expr(f"(((at * {shards}L) div {n}L) * {n}L + {shards - 1}L) div {shards}L")  # the shard's first position
+    return placed.select(*own, to.cast("int").alias("shard"), (F.col("at") - first).cast("long").alias("slot"))
 
 
 def write_shards(df: DataFrame, path: str, **options) -> DataFrame:

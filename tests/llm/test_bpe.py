@@ -39,3 +39,17 @@ def test_empty_table(spark):
 def test_missing_file():
     with pytest.raises(FileNotFoundError):
         bpe.encoding("/nowhere/file", public_tokenizers.PATTERN)
+
+
+def test_ids_beyond_doubles_and_other_columns(spark):
+    big = (1 << 60) + 1
+    docs = spark.createDataFrame([(big, "a b"), (None, "c")], "doc_id long, text string").coalesce(1).withColumn("a.b", bpe.F.lit(1))
+    assert {r["doc_id"] for r in bpe.digests(docs).collect()} == {big, None}
+    assert bpe.tokens(docs).columns == ["doc_id", "text", "a.b", "ids"]
+
+
+def test_the_query_itself(spark, small):
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    for r in bpe.op10_bpe(spark, small).collect():
+        ids = ENC.encode_ordinary(texts[r["doc_id"]])
+        assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest())

@@ -39,7 +39,7 @@ def test_same_rows_same_order(spark):
 
 def test_order_looks_random(spark):
     found = sharding.external_shuffle(spark.range(20_000), shards=4, bucket_bytes=50_000).collect()
-    place = sorted(found, key=lambda r: (r["slot"], r["shard"]))
+    place = sorted(found, key=lambda r: (r["shard"], r["slot"]))
     ids = [r["id"] for r in place]
     rises = sum(a < b for a, b in zip(ids, ids[1:]))
     assert abs(rises / len(ids) - 0.5) < 0.02
@@ -71,3 +71,21 @@ def test_query_shuffles_and_writes_whole_documents(spark, small):
     for part in written.glob("shard=*/*.parquet"):
         slots = [r["slot"] for r in spark.read.parquet(str(part)).collect()]
         assert slots == sorted(slots)
+
+
+def test_ids_beyond_doubles_and_null_ids(spark):
+    big = (1 << 60) + 1
+    df = spark.createDataFrame([(big, "a"), (None, "b"), (big + 2, None)], "doc_id long, text string").coalesce(1)
+    assert {r["doc_id"] for r in sharding.external_shuffle(df).collect()} == {big, None, big + 2}
+
+
+def test_a_bucket_lies_in_neighbouring_shards(spark):
+    found = sharding.external_shuffle(spark.range(1003), shards=7, bucket_bytes=10_000).collect()
+    sizes = Counter(r["shard"] for r in found)
+    assert [sizes[i] for i in range(7)] == [-(-(i + 1) * 1003 // 7) - -(-i * 1003 // 7) for i in range(7)]
+
+
+def test_query_columns(spark, small):
+    found = sharding.op3_sharding(spark, small).collect()
+    docs = {r["doc_id"]: (r["text"] or "").encode() for r in common.read_table(spark, small, "documents").collect()}
+    assert all((r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(docs[r["doc_id"]]) + 1, zlib.crc32(docs[r["doc_id"]]), "rows", None) for r in found)
