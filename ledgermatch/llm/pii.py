@@ -182,7 +182,7 @@ def _form(kind: str, form: str, found: str, digits: str) -> int:
     if form in ("north", "loose"):
         return (1 if digits[0] > "1" and digits[3] > "1" else -1) if len(digits) == 10 else 0
     if form == "exit":
-        return 1 if 10 <= len(digits) - 2 <= 15 else -1
+        return 1 if 10 <= len(digits) - 2 <= 13 else -1
     return 1 if len(set(digits)) > 2 else -1
 
 

@@ -5,15 +5,17 @@ of its word shingles have bit i; repeated shingles count each time.  Fingerprint
 fewer differing bits are linked.
 
 Two differing bits touch at most two of the eight bytes, so linked fingerprints share at
-least six bytes at equal positions: the guaranteed minimum of the count filter.  Postings of
-single bytes would hold 1/256 of all fingerprints each, so the index is keyed by each of the
-28 choices of six positions: two fingerprints meet in a posting exactly if their tally of
-shared positional bytes reaches six.  Fingerprints of one posting differ in two bytes only,
-so no posting holds more than 65,536 of them however many documents there are.  Postings of
-up to ``DENSE`` members are tallied and verified pair by pair; fuller ones by neighbourhood:
-every member is listed under itself and each of its 16 one-bit changes within the two free
-bytes, and two members link exactly if they meet under one of those.  Equal fingerprints are
-merged before all this, so a group of copies of any size is one member.
+least six bytes at equal positions.  Postings of single bytes would hold 1/256 of all
+fingerprints each, so the index is keyed by the ``GRAM`` = 4 bytes at each of the 70 choices
+of four positions: fingerprints that share six bytes share at least 15 of these keys, the
+guaranteed minimum of the count filter.  The pairs of all postings are tallied, pairs with
+fewer shared keys than the minimum are dropped, and the others are verified bit by bit.
+
+A posting of more than ``DENSE`` members would make too many pairs.  Its links are found by
+neighbourhood instead: every member is listed under itself and each of its 32 one-bit changes
+within the four free bytes, and two members link exactly if they meet under one of those.
+Such pairs need no tally; those whose postings are all small have it complete.  Equal
+fingerprints are merged before all this, so a group of copies of any size is one member.
 
 Null and empty texts and texts without a word have fingerprint 0 and link like any other.
 A group whose doc_ids are all null has a null component_id.
@@ -29,6 +31,7 @@ if each differing bit of a key is among those of the one or the other.
 from __future__ import annotations
 
 from itertools import combinations, repeat
+from math import comb
 
 import numpy as np
 import pandas as pd
@@ -41,8 +44,9 @@ from . import common
 SHINGLE, SEED, MAX_BITS, DENSE = 3, 42, 2, 64
 #: Of ``similar``.
 WORDS, BUDGET, ALIKE, FLIPS = 5, 16, 0.8, 4
-#: Shared positional bytes that two linked fingerprints cannot do without.
-MIN_SHARED = 8 - MAX_BITS
+#: Bytes of a key of the index; keys that linked fingerprints share at least.
+GRAM = 4
+MIN_SHARED = comb(8 - MAX_BITS, GRAM)
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -79,40 +83,33 @@ def _mask(positions) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
-def _tally(a: Column, b: Column) -> Column:
-    """Number of positions at which two fingerprints have the same byte."""
-    x = a.bitwiseXOR(b)
-    same = [F.when(x.bitwiseAND(F.lit(_mask([p]))) == 0, 1).otherwise(0) for p in range(8)]
-    return sum(same[1:], same[0])
-
-
 def links(marks: DataFrame, dense: int = DENSE) -> DataFrame:
     """Edges (a, b) between the distinct fingerprints in column ``fp``.
 
     Each pair within ``MAX_BITS`` is connected by the edges, directly or over fingerprints
     that are linked to both.
     """
-    kept = list(combinations(range(8), MIN_SHARED))
-    entries = [F.struct(F.lit(i).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(_mask(c))).alias("shared")) for i, c in enumerate(kept)]
-    # 28 rows come of one: spread the fingerprints first, whatever the files that hold them.
+    chosen = list(combinations(range(8), GRAM))
+    entries = [F.struct(F.lit(i).cast("byte").alias("choice"), F.col("fp").bitwiseAND(F.lit(_mask(c))).alias("shared")) for i, c in enumerate(chosen)]
+    # 70 rows come of one: spread the fingerprints first, whatever the files that hold them.
     spread = marks.repartition(int(marks.sparkSession.conf.get("spark.sql.shuffle.partitions")), "fp")
     index = spread.select("fp", F.explode(F.array(*entries)).alias("e")).select("fp", "e.*")
-    postings = common.store(index.groupBy("choice", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1), "postings")
-
-    def near(a: Column, b: Column) -> Column:
-        return (a < b) & (_tally(a, b) >= MIN_SHARED) & (F.bit_count(a.bitwiseXOR(b)) <= MAX_BITS)
+    # Lists have nothing to gain before the shuffle: plain rows are smaller there.
+    postings = common.store(index.repartition("choice", "shared").groupBy("choice", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1), "postings")
 
-    pairs = F.flatten(F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: near(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    few = postings.where(F.size("fps") <= dense).select(F.explode(pairs).alias("p")).select("p.*")
+    pairs = F.flatten(F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: a < b), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    tally = postings.where(F.size("fps") <= dense).select(F.explode(pairs).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
+    few = tally.where(F.col("n") >= MIN_SHARED).select("p.*").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
 
     def bit(i: int) -> int:
         return 1 << i if i < 63 else -(1 << 63)
 
-    free = F.array(*[F.array(F.lit(0).cast("long"), *[F.lit(bit(8 * p + i)) for p in range(8) if p not in c for i in range(8)]) for c in kept])
+    free = F.array(*[F.array(F.lit(0).cast("long"), *[F.lit(bit(8 * p + i)) for p in range(8) if p not in c for i in range(8)]) for c in chosen])
     full = postings.where(F.size("fps") > dense).select("choice", "shared", F.explode("fps").alias("fp"))
     full = full.withColumn("centre", F.explode(F.transform(F.element_at(free, F.col("choice") + 1), lambda m: m.bitwiseXOR(F.col("fp")))))
+    # At most 33 members meet under a centre.
     stars = full.groupBy("choice", "shared", "centre").agg(F.sort_array(F.collect_list("fp")).alias("near")).where(F.size("near") > 1)
-    stars = stars.select(F.col("near")[0].alias("a"), F.explode(F.slice("near", 2, 16)).alias("b"))
+    stars = stars.select(F.col("near")[0].alias("a"), F.explode(F.slice("near", 2, 32)).alias("b"))
     return few.union(stars).distinct()
 
 
@@ -229,14 +226,16 @@ def drop_near_duplicates(docs: DataFrame, similarity: float | None = None, **opt
     """The documents without near copies: of each group the one with the smallest doc_id stays.
 
     With a ``similarity`` the groups are those of ``similar``, else those of ``near_duplicates``.
-    Columns stay as they are.  Rows that tie on doc_id are told apart by the text's key, and
-    complete repeats count as one.
+    Columns stay as they are.  Rows that tie on doc_id are told apart by the text's key, then by
+    a hash of all columns, and complete repeats count as one.
     """
     own = near_duplicates(docs, **options) if similarity is None else similar(docs, similarity=similarity, **options)
     keep = own.groupBy("grp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")).alias("m")).select("m.doc_id", "m._k1", "m._k2")
     keep = keep.select(common.id_text("doc_id").alias("id"), "_k1", "_k2")
-    keyed = common.packed(docs).select("row", common.id_text("row.doc_id").alias("id"), *common.text_key(F.col("row.text")))
-    return keyed.join(keep, ["id", "_k1", "_k2"], "left_semi").dropDuplicates(["id", "_k1", "_k2"]).select("row.*")
+    key1, key2 = common.row_key(docs)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.struct(key1.alias("r1"), key2.alias("r2")).alias("order"))
+    keyed = keyed.select("row", "order", common.id_text("row.doc_id").alias("id"), *common.text_key(F.col("row.text")))
+    return keyed.join(keep, ["id", "_k1", "_k2"], "left_semi").groupBy("id", "_k1", "_k2").agg(F.min_by("row", "order").alias("row")).select("row.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -100,6 +100,38 @@ def test_drop_keeps_one_of_each_group(spark):
     assert sorted(r["doc_id"] for r in out.collect()) == [3, 4, 9]
 
 
+def test_rows_that_differ_in_other_columns_leave_the_same_one(spark):
+    rows = [(3, "same text here now", lang, "s", n, "r", "f") for n, lang in enumerate(["x", "y", None, "z"])]
+    kept = {tuple(simhash.drop_near_duplicates(spark.createDataFrame(r, SCHEMA).repartition(3)).collect()[0]) for r in (rows, rows[::-1])}
+    assert len(kept) == 1
+
+
+def test_count_filter_keeps_what_shares_enough(spark):
+    """Fingerprints that share a key or more but too few: tallied, and not linked."""
+    rng = random.Random(3)
+    marks = {0}
+    for _ in range(400):  # four random bytes at equal places, and some within two bits
+        m = rng.getrandbits(64)
+        for p in rng.sample(range(8), 4):
+            m &= ~(0xFF << (8 * p))
+        marks |= {m, m ^ (1 << rng.randrange(64)), m ^ (3 << rng.randrange(63))}
+    signed = [m - (1 << 64) if m >> 63 else m for m in marks]
+    for dense in (64, 10_000):
+        edges = {tuple(sorted((a % (1 << 64), b % (1 << 64)))) for a, b in simhash.links(spark.createDataFrame([(m,) for m in signed], "fp long"), dense).collect()}
+        near = {(a, b) for a in marks for b in marks if a < b and (a ^ b).bit_count() <= 2}
+        assert edges <= near and (dense == 64 or edges == near)
+
+
+def test_the_query_itself(spark, small):
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{small}/documents.parquet").collect()}
+    marks = {d: brute_fingerprint(t) for d, t in docs.items()}
+    group = brute_components(set(marks.values()))
+    first = {}
+    for d, m in marks.items():
+        first[group[m]] = min(first.get(group[m], d), d)
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.op7_simhash(spark, small).collect()} == {d: (f"{m:016x}", first[group[m]]) for d, m in marks.items()}
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert simhash.near_duplicates(docs).count() == 0
