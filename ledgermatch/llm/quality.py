@@ -7,13 +7,17 @@ scores the step from line to line.  The forward-backward algorithm gives each li
 probability of being good, and the mean of the marginals weighted by line length (bytes + 1)
 is the document's score between 0 and 1.
 
-Training takes at most ``TRAIN_DOCS`` labelled documents of at most ``TRAIN_BYTES`` bytes,
-those of smallest hash of their id: a bounded sample, whatever the size of the corpus.  All
-lines of a labelled document carry its label.  Only the text is an input.  With fewer than
-one label of either kind all scores are 0.5.
+Training takes at most ``TRAIN_DOCS`` labelled documents of at most ``TRAIN_BYTES`` bytes and
+``TRAIN_LINES`` lines together, those of smallest hash of their id: a bounded sample, whatever
+the size of the corpus (its features take some 40 MB of the driver).  Labels are of documents,
+so all lines of a labelled document carry its label, and the step matrix learns that lines
+keep their kind: the chain passes evidence along the document.  Only the text is an input.
+With fewer than one label of either kind all scores are 0.5.
 
 Null and empty texts are one empty line.  Whole texts are scored, in pieces of ``PIECE``
-bytes, so memory does not grow with a text but for some 200 bytes per line.
+bytes: what is open at a cut, a line or a word, is carried over it with its counts and
+hashes, so features don't depend on where cuts fall.  Memory grows with a text by some 500
+bytes per line only.
 """
 
 from __future__ import annotations
@@ -23,12 +27,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import common
 
-TRAIN_DOCS, TRAIN_BYTES, PIECE, THRESHOLD = 4000, 200_000, 1 << 20, 0.3
+TRAIN_DOCS, TRAIN_BYTES, TRAIN_LINES, PIECE, THRESHOLD = 4000, 200_000, 150_000, 1 << 20, 0.3
 FOLDS = 5
 
 _CLASSES = 8
@@ -44,14 +48,29 @@ _NEAR = (3, 5, 6, 7, 10, 11)  # of these, the neighbours' are taken too
 WIDTH = _OWN + 2 * (len(_NEAR) + 1)
 
 
-def _fragments(piece: np.ndarray) -> np.ndarray:
-    """Counts of each line, or part of a line, of some bytes: [length, 7 classes, words, short words, word bytes, repeats, sentence end, hash halves]."""
+@dataclass
+class _Open:
+    """What goes on after a cut: the line so far, its last whole word, and the word at the cut."""
+
+    length: int = 0
+    last: int | None = None  # hash of the line's last whole word
+    size: int = 0  # bytes of the open word
+    word: int = 0  # its hash so far
+
+
+def _fragments(piece: np.ndarray, carry: _Open, ends_text: bool) -> tuple[np.ndarray, np.ndarray, _Open]:
+    """Counts of each line, or part of a line, of some bytes, their share of the line's hash, and what stays open.
+
+    Columns: length, 7 classes, words, short words, bytes of words, repeats of the word before, sentence end.
+    Hashes are sums of (byte + 1) * P**place, with the place in the word or line, modulo 2**64.
+    """
     n = len(piece)
     breaks = np.flatnonzero(piece == 10)
-    ends = breaks if n and piece[-1] == 10 else np.append(breaks, n)
+    whole = bool(n) and piece[-1] == 10
+    ends = breaks if whole else np.append(breaks, n)
     starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else np.zeros(0, dtype=np.int64)
     kinds = _CLASS[piece]
-    out = np.zeros((len(ends), 15))
+    out = np.zeros((len(ends), 13))
     out[:, 0] = ends - starts
     for k in range(7):
         total = np.concatenate([[0], np.cumsum(kinds == k, dtype=np.int32)])
@@ -62,18 +81,35 @@ def _fragments(piece: np.ndarray) -> np.ndarray:
     powers[0] = inverse[0] = 1
     powers, inverse = np.cumprod(powers), np.cumprod(inverse)
     total = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((piece.astype(np.uint64) + np.uint64(1)) * powers[:-1])])
-    word = (total[last] - total[first]) * inverse[first]
+    word, size = (total[last] - total[first]) * inverse[first], last - first
     line = np.searchsorted(starts, first, side="right") - 1
+
+    shift = lambda h, by: int(h) * pow(int(_P), by, 1 << 64) % (1 << 64)
+    if carry.size and n and not space[1]:  # the open word goes on
+        word[0] = np.uint64((carry.word + shift(word[0], carry.size)) % (1 << 64))
+        size[0] += carry.size
+    elif carry.size:  # it has ended at the cut
+        word, size, line = np.concatenate([[np.uint64(carry.word)], word]), np.concatenate([[carry.size], size]), np.concatenate([[0], line])
+    left = _Open()
+    if not whole and not ends_text:
+        left.length = int(out[-1, 0]) + (carry.length if len(ends) == 1 else 0)
+        if n and not space[-2]:  # the last word is open
+            left.size, left.word = int(size[-1]), int(word[-1])
+            word, size, line = word[:-1], size[:-1], line[:-1]
+        own = np.flatnonzero(line == len(ends) - 1)
+        left.last = int(word[own[-1]]) if len(own) else (carry.last if len(ends) == 1 else None)
     same = np.zeros(len(word), dtype=bool)
     same[1:] = (word[1:] == word[:-1]) & (line[1:] == line[:-1])
-    size = last - first
+    if len(word) and line[0] == 0 and carry.last is not None:
+        same[0] = int(word[0]) == carry.last
     for k, values in ((8, None), (9, size <= 3), (10, size), (11, same)):
         out[:, k] = np.bincount(line, weights=values, minlength=len(ends))[: len(ends)]
     tail = np.where(ends > starts, piece[np.maximum(ends - 1, 0)] if n else 0, 0)
     out[:, 12] = np.isin(tail, np.frombuffer(b".!?:", dtype=np.uint8))
-    whole = (total[ends] - total[starts]) * inverse[starts]
-    out[:, 13], out[:, 14] = (whole >> np.uint64(32)).astype(np.float64), (whole & np.uint64(0xFFFFFFFF)).astype(np.float64)
-    return out
+    hashes = (total[ends] - total[starts]) * inverse[starts]
+    if carry.length and len(hashes):
+        hashes[0] = np.uint64(shift(hashes[0], carry.length))
+    return out, hashes, left
 
 
 def _pieces(texts: list[bytes]) -> Iterator[bytes]:
@@ -96,26 +132,30 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     """(features [lines, WIDTH], number of lines of each text, weight of each line)."""
     raw = [(x or "").encode() for x in texts]
     count = np.array([x.count(b"\n") + 1 for x in raw], dtype=np.int64)
-    parts, joined = [], []  # joined: does the fragment go on in the next piece?
+    parts, marks, joined, carry = [], [], [], _Open()
     for piece in _pieces(raw):
-        counts = _fragments(np.frombuffer(piece, dtype=np.uint8))
+        whole = piece.endswith(b"\n")
+        counts, hashes, carry = _fragments(np.frombuffer(piece, dtype=np.uint8), carry, whole)
         parts.append(counts)
+        marks.append(hashes)
         open_end = np.zeros(len(counts), dtype=bool)
-        open_end[-1] = not piece.endswith(b"\n")
+        open_end[-1] = not whole  # the line goes on in the next piece
         joined.append(open_end)
-    counts, goes_on = np.concatenate(parts), np.concatenate(joined)
+    counts, goes_on, marks = np.concatenate(parts), np.concatenate(joined), np.concatenate(marks)
     begin = np.flatnonzero(np.concatenate([[True], ~goes_on[:-1]]))
     end_of = np.append(begin[1:], len(counts)) - 1
-    tail = counts[end_of, 12]
-    counts = np.add.reduceat(counts, begin, axis=0)
+    # A line that ends right at a cut has an empty last part: its end is in the part before.
+    last = np.where((counts[end_of, 0] == 0) & (end_of > begin), end_of - 1, end_of)
+    tail = counts[last, 12]
+    counts, marks = np.add.reduceat(counts, begin, axis=0), np.add.reduceat(marks, begin)
     counts[:, 12] = tail
     n = len(counts)
     doc = np.repeat(np.arange(len(count)), count)
 
     length, words = counts[:, 0], np.maximum(counts[:, 8], 1)
     share = counts[:, 1:8] / np.maximum(length, 1)[:, None]
-    key = np.stack([doc.astype(np.float64), counts[:, 13], counts[:, 14], length], axis=1)
-    _, back, times = np.unique(key, axis=0, return_inverse=True, return_counts=True)
+    key = np.stack([doc.astype(np.uint64), marks, length.astype(np.uint64)], axis=1)
+    _, back, times = np.unique(np.ascontiguousarray(key).view([("", np.uint64)] * 3)[:, 0], return_inverse=True, return_counts=True)
     x = np.zeros((n, WIDTH))
     x[:, 0] = 1
     x[:, 1] = np.log1p(length) / 8
@@ -231,7 +271,10 @@ def fit_labels(docs: DataFrame, labels: DataFrame, limit: int = TRAIN_DOCS) -> M
     known = known.select(F.col("doc_id").alias("id"), (F.col("quality") == 1).cast("int").alias("label"), F.xxhash64("doc_id").alias("h")).orderBy("h", "id").limit(limit)
     small = docs.select("doc_id", "text").where(F.coalesce(F.octet_length("text"), F.lit(0)) <= TRAIN_BYTES)
     # At most ``limit`` rows of three numbers are broadcast.
-    sample = small.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("text", "label", "h").orderBy("h", F.xxhash64("text")).limit(limit).repartition(16)
+    sample = small.join(F.broadcast(known), F.col("doc_id") == F.col("id")).select("text", "label", "h", F.xxhash64("text").alias("t"), F.regexp_count("text", F.lit("\n")).alias("breaks"))
+    # One window over at most ``limit`` rows: as many of them as the lines allow.
+    lines = F.sum(F.coalesce("breaks", F.lit(0)) + 1).over(Window.orderBy("h", "t").rowsBetween(Window.unboundedPreceding, 0))
+    sample = sample.orderBy("h", "t").limit(limit).withColumn("lines", lines).where(F.col("lines") <= TRAIN_LINES).select("text", "label", "h").repartition(16)
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

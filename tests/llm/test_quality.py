@@ -32,12 +32,16 @@ def test_features_do_not_depend_on_pieces(monkeypatch):
     texts = [None, "", "Good line. Fine.\n\nBAD!!! BAD!!!\nx x x x x\n", "é ü ß | | |\n" * 40, "one", "a b\r\nc\td\x0be", "long " * 300 + "\nend"]
     whole = quality.line_features(texts)
     assert whole[1].tolist() == [(t or "").count("\n") + 1 for t in texts]
-    monkeypatch.setattr(quality, "PIECE", 200)
-    parts = quality.line_features(texts)
-    assert np.array_equal(whole[1], parts[1]) and np.array_equal(whole[2], parts[2])
-    # A repeat of a word across a cut of a long line may go unseen; nothing else differs.
-    same = np.isclose(whole[0], parts[0], atol=0.2)
-    assert same[:, [0, 1, 2, 3, 4, 5, 6, 7, 8, 12, 13, 14]].all()
+    for size in (1, 2, 3, 7, 50, 200):
+        monkeypatch.setattr(quality, "PIECE", size)
+        parts = quality.line_features(texts)
+        assert np.array_equal(whole[1], parts[1]) and np.array_equal(whole[2], parts[2]) and np.array_equal(whole[0], parts[0]), size
+
+
+def test_long_equal_lines_are_repeats():
+    line = "ab " * 200_000
+    x, _, _ = quality.line_features([f"{line}\n{line}"])
+    assert x[:, 11].tolist() == [1, 1] and x[0, 10] == x[1, 10] > 0.99
 
 
 def test_feature_values():
@@ -74,6 +78,15 @@ def test_without_labels_of_both_kinds(spark, labels):
     assert quality.keep_good(docs, spark.createDataFrame(labels, LABELS)).columns == docs.columns
 
 
+def test_the_sample_is_bounded_in_lines(spark, monkeypatch):
+    monkeypatch.setattr(quality, "TRAIN_LINES", 500)
+    seen = {}
+    monkeypatch.setattr(quality, "fit", lambda x, count, label: seen.update(n=int(count.sum()), docs=len(count)) or quality.Model(np.zeros(quality.WIDTH), np.zeros((2, 2))))
+    docs = spark.createDataFrame([(i, "line\n" * 40, None, None) for i in range(60)], SCHEMA)
+    quality.fit_labels(docs, spark.createDataFrame([(i, i % 2, 0) for i in range(60)], LABELS))
+    assert 400 < seen["n"] <= 500 and seen["docs"] == 12
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert quality.keep_good(docs, spark.createDataFrame([], LABELS)).count() == 0
