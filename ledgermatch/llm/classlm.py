@@ -1,25 +1,36 @@
 """Language-model scores from class-based n-grams (Brown et al., 1992).
 
 Tokens are the words of a text with A-Z in lower case and one end mark.  The probability of
-word w after the token before it is
-
-    P(w) = (c(w) + 1) * (MIX * T(class of w | class before) / (N_class + V_class + 1)
-                         + (1 - MIX) / (N + V + CLASSES))
-
-with c the count of w in the training texts, T the add-one class-transition probability,
-N_class and V_class the tokens and distinct words of the class, N and V those of the corpus.
-Each class has one slot for all unknown words, so the probabilities after any class sum to 1
-or less.  The base score is (c(w) + 1) / (N + V + 1) for each token.
-
-Classes come from exchange clustering.  Its elements are the ``WORDS`` most frequent words,
-the end mark, and ``BUCKETS`` groups of the other words by their last three bytes, so every
-word, known or not, has a class that is found without a lookup.  Bigram counts of elements
-are gathered over all training texts; the matrix has (WORDS + BUCKETS + 1)**2 cells at any
-size of the corpus, and the exchange itself runs on it.
-
-Counts of words are exact and cover all training texts.  At most ``HEAD`` of the most
-frequent words go to the workers as a table of fixed bound; all others meet their counts in a
-shuffle join on the word.  Those words are rare by construction, so no join key is hot.
+word w after the token v is
+
+    P(w | v) = (c(w) + 1) * (MIX * T(h(v), k(w)) / (N_k + V_k + 1)
+                             + (1 - MIX) / (N + V + CLASSES))
+
+with c the count of w in the training texts, k(w) the class of w, h(v) the class that v has as
+history, T the add-one class-transition probability, N_k and V_k the tokens and distinct words
+of the class, N and V those of the corpus.  Each class has one slot for all unknown words, so
+the probabilities after any history sum to 1 or less.  The base score is
+(c(w) + 1) / (N + V + 1) for each token.
+
+Classes come from exchange clustering, in rounds of Spark jobs over the table of all bigrams
+of elements.  Elements are the end mark, the ``HEAD`` most frequent words, and ``BUCKETS``
+groups of the other words by their last three bytes.  In each round the counts of an element's
+neighbours are summed by class, the elements are dealt to ``BLOCKS`` blocks, and in each block
+every element in turn moves to the class that makes the bigrams likeliest, given the classes
+that the other blocks had before the round.  Rounds end when the likelihood gains less than
+``GAIN`` of its value or falls, which moves of several blocks at once can cause; the best
+round counts.
+
+A word beyond the head has a class of its own too: of its training bigrams (class of the word
+before, word), the one that makes them likeliest.  As history such a word stands in its
+suffix group's class, which is known without a lookup; so is the class of an unknown word.
+Every word of the training texts is thus assigned by its own bigrams, and bigrams, words and
+classes of words are tables that grow with the corpus.  What the workers hold has a fixed
+bound: the head and its classes.
+
+Counts of words are exact and cover all training texts.  Words beyond the head meet their
+counts and classes in a shuffle join on the word.  They are rare by construction, so no join
+key is hot.
 
 Null texts count as empty: one end mark.  A document without training texts anywhere scores
 against empty counts.
@@ -31,6 +42,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import partial
 from itertools import repeat
 
 import numpy as np
@@ -41,7 +53,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-HEAD, WORDS, BUCKETS, CLASSES, PASSES, MIX = 50_000, 1000, 256, 32, 6, 0.95
+HEAD, BUCKETS, CLASSES, BLOCKS, PASSES, TRIED, GAIN, MIX = 50_000, 256, 64, 16, 4, 4, 2e-4, 0.95
 FOLDS, HELD_OUT = 7, 2
 FLUSH = 300_000
 
@@ -97,21 +109,18 @@ def bucket(word: bytes) -> int:
 
 
 class Elements:
-    """Element numbers: 0 the end mark, then the first ``frequent`` words of ``head``, then buckets."""
+    """Element numbers: 0 the end mark, then the words of ``head``, then the suffix groups of all others."""
 
-    def __init__(self, head: list[bytes], frequent: int = WORDS) -> None:
-        frequent = min(frequent, len(head))
-        self.first = frequent + 1
+    def __init__(self, head: list[bytes]) -> None:
+        self.first = len(head) + 1
         self.size = self.first + BUCKETS
         self.place = {w: i for i, w in enumerate(head)}
-        # The element of each head word, and of a rare word for now.
-        self.element = np.array([*range(1, frequent + 1), *(self.first + bucket(w) for w in head[frequent:]), -1], dtype=np.int64)
 
     def look(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
         """(place in the head or -1, element) of each word, and the rare words."""
         get = self.place.get
         at = np.fromiter(map(get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        out, missing = self.element[at], np.flatnonzero(at < 0)
+        out, missing = at + 1, np.flatnonzero(at < 0)
         rare = [words[i] for i in missing.tolist()]
         out[missing] = self.first + np.fromiter(map(zlib.crc32, [w[-3:] for w in rare]), dtype=np.int64, count=len(rare)) % BUCKETS
         return at, out, rare
@@ -120,145 +129,318 @@ class Elements:
         return self.look(words)[1]
 
 
-def bigrams(texts: DataFrame, elements: Elements) -> np.ndarray:
-    """Counts [before, element] over all rows: one row of the matrix per task and element is shuffled."""
+def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
+    """(before, after, n): the bigrams of elements over all rows, counted in the workers before the shuffle.
+
+    The bigrams of one first element come to one task.
+    """
     size = elements.size
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, kept, n = np.zeros(size * size, dtype=np.int64), [], 0
+        kept, n = [], 0
         ends = np.zeros(1, dtype=np.int64)
 
-        def add() -> None:
-            total.__iadd__(np.bincount(np.concatenate(kept), minlength=size * size))
+        def out() -> pa.RecordBatch:
+            pair, times = np.unique(np.concatenate(kept), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(pair // size, pa.int32()), pa.array(pair % size, pa.int32()), pa.array(times, pa.int64())], names=["before", "after", "n"])
 
         for batch in batches:
             for text in batch.column(0):
                 ids = np.concatenate([ends, elements.of(split_words(text.as_py())), ends])
                 kept.append(ids[:-1] * size + ids[1:])
                 n += len(ids)
-                if n > 2_000_000:
-                    add()
+                if n > 6_000_000:
+                    yield out()
                     kept, n = [], 0
         if kept:
-            add()
-        rows = total.reshape(size, size)
-        some = np.flatnonzero(rows.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([rows[i].astype("<i8").tobytes() for i in some], pa.binary())], names=["before", "counts"])
-
-    def total(group: pd.DataFrame) -> pd.DataFrame:
-        summed = np.sum([np.frombuffer(c, dtype="<i8") for c in group["counts"]], axis=0)
-        return pd.DataFrame({"before": [group["before"].iloc[0]], "counts": [summed.astype("<i8").tobytes()]})
-
-    each = texts.select("text").mapInArrow(of, "before int, counts binary")
-    # Two steps: a matrix row has as many parts as there are tasks.
-    salted = each.withColumn("part", F.spark_partition_id() % 64)
-    first = salted.groupBy("before", "part").applyInPandas(total, "before int, counts binary")
-    out = np.zeros((size, size), dtype=np.int64)
-    for r in first.groupBy("before").applyInPandas(total, "before int, counts binary").collect():
-        out[r["before"]] = np.frombuffer(r["counts"], dtype="<i8")
-    return out
+            yield out()
+
+    each = texts.select("text").mapInArrow(of, "before int, after int, n long")
+    return each.repartition("before").groupBy("before", "after").agg(F.sum("n").alias("n"))
+
+
+def transitions(pairs: DataFrame, label: np.ndarray, classes: int) -> np.ndarray:
+    """Counts [class before, class after] of all bigrams; what comes to the driver is the table of classes."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes)
+        for b in batches:
+            total += np.bincount(label[b["before"].to_numpy()] * classes + label[b["after"].to_numpy()], weights=b["n"].to_numpy(), minlength=classes * classes)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], names=["at", "n"])
+
+    out = np.zeros(classes * classes)
+    for r in pairs.mapInArrow(of, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out.reshape(classes, classes)
+
+
+NEIGHBOURS = "block int, element int, side int, classes binary, counts binary"
+
+
+def neighbours(pairs: DataFrame, by_after: DataFrame, label: np.ndarray, classes: int, blocks: int) -> DataFrame:
+    """NEIGHBOURS: counts of each element's neighbours by class; side 0 after it, 1 before it, 2 itself.
+
+    ``by_after`` has the rows of ``pairs`` dealt by the second element, so that on both sides an
+    element's counts are summed in about one task.  Parts of an element add up.
+    """
+    size = len(label)
+
+    def of(batches: Iterator[pa.RecordBatch], own: str, other: str) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def out(side: int, x: np.ndarray, k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+            sums = np.bincount(x.astype(np.int64) * classes + k, weights=n, minlength=0)
+            at = np.flatnonzero(sums)
+            element, first = np.unique(at // classes, return_index=True)
+            cuts = np.append(first, len(at))
+            k, n = (at % classes).astype("<u2"), sums[at].astype("<i8")
+            parts = [pa.array([v[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()) for v in (k, n)]
+            return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in (element % blocks, element, np.full(len(element), side))), *parts], names=["block", "element", "side", "classes", "counts"])
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            x, y, n = (np.concatenate([b[c].to_numpy() for b in held]) for c in (own, other, "n"))
+            yield out(int(own == "after"), x, label[y], n)
+            if own == "before":
+                same = x == y
+                yield out(2, x[same], np.zeros(same.sum(), dtype=np.int64), n[same])
+
+        for b in batches:
+            held.append(b)
+            rows += b.num_rows
+            if rows > 3_000_000:
+                yield from flush()
+                held, rows = [], 0
+        if held:
+            yield from flush()
+
+    return pairs.mapInArrow(partial(of, own="before", other="after"), NEIGHBOURS).union(by_after.mapInArrow(partial(of, own="after", other="before"), NEIGHBOURS))
+
+
+def _unpacked(classes, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, class, count) of packed rows."""
+    n = np.array([len(c) // 8 for c in counts], dtype=np.int64)
+    return np.repeat(np.arange(len(n)), n), np.frombuffer(b"".join(classes), dtype="<u2").astype(np.int64), np.frombuffer(b"".join(counts), dtype="<i8").astype(np.float64)
+
+
+def class_table(near: DataFrame, label: np.ndarray, classes: int) -> np.ndarray:
+    """Counts [class before, class after] of all bigrams from the neighbours of elements."""
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes)
+        for b in batches:
+            row, k, n = _unpacked(b["classes"].to_pylist(), b["counts"].to_pylist())
+            total += np.bincount(label[b["element"].to_numpy()][row] * classes + k, weights=n, minlength=classes * classes)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], names=["at", "n"])
+
+    out = np.zeros(classes * classes)
+    own = near.where("side = 0").select("element", "classes", "counts")
+    for r in own.mapInArrow(of, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        out[r["at"]] = r["n"]
+    return out.reshape(classes, classes)
 
 
 def _xlogx(x: np.ndarray) -> np.ndarray:
-    return x * np.log(np.maximum(x, 1e-300))
+    return x * np.log(x + 1e-300)
+
 
+def likelihood(table: np.ndarray) -> float:
+    """Log likelihood of the bigrams under their classes, but for a part that no class changes."""
+    return float(_xlogx(table).sum() - _xlogx(table.sum(0)).sum() - _xlogx(table.sum(1)).sum())
 
-def exchange(pairs: np.ndarray, classes: int = CLASSES, passes: int = PASSES) -> np.ndarray:
-    """Class of each element: every element in turn moves to the class that makes the pairs likeliest.
 
-    The end mark (element 0) keeps class 0 for itself.  Others start by rank in turn.
+def move(label: np.ndarray, table: np.ndarray, elements: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """The classes of some elements after each of them in turn has moved to its best one.
+
+    ``after`` and ``before`` are the counts of each element's neighbours by class, ``own`` those
+    of the element beside itself, ``table`` the class bigrams.  The likelihood is compared exactly for
+    the own class and the ``TRIED`` classes to which its slope points.  Element 0 stays in class 0, alone.
     """
-    n = pairs.astype(np.float64)
-    size = len(n)
-    use = n.sum(0) + n.sum(1)
+    out, t = label[elements].copy(), table.copy()
+    base, logs, row, col = _xlogx(t), np.log(t + 1), t.sum(1), t.sum(0)
+
+    def shift(c: int, sign: int) -> None:
+        """Take the element out of class c (-1) or put it in (1)."""
+        t[c, to] += sign * r
+        t[fro, c] += sign * l
+        t[c, c] += sign * self_pair
+        row[c] += sign * (r_all + self_pair)
+        col[c] += sign * (l_all + self_pair)
+        row[fro] += sign * l
+        col[to] += sign * r
+        # Other blocks' elements, and this one's, may have moved since the counts were taken.
+        np.maximum(t[c], 0, out=t[c])
+        np.maximum(t[:, c], 0, out=t[:, c])
+        base[c], base[:, c] = _xlogx(t[c]), _xlogx(t[:, c])
+        logs[c], logs[:, c] = np.log(t[c] + 1), np.log(t[:, c] + 1)
+
+    for i in np.argsort(-(after.sum(1) + before.sum(1)), kind="stable"):
+        if elements[i] == 0:
+            continue
+        c, self_pair = int(out[i]), own[i]
+        right, left = after[i], before[i]  # dense; most elements have few neighbouring classes
+        right[c] -= self_pair
+        left[c] -= self_pair
+        to, fro = np.flatnonzero(right), np.flatnonzero(left)
+        r, l = right[to], left[fro]
+        r_all, l_all = r.sum(), l.sum()
+        shift(c, -1)
+        slope = logs[:, to] @ r + l @ logs[fro] - r_all * np.log(row + 1) - l_all * np.log(col + 1)
+        slope[0] = -np.inf
+        some = np.append(np.argpartition(-slope, min(TRIED, len(t) - 1) - 1)[: min(TRIED, len(t) - 1)], c)
+        x, y = some[:, None], some[None, :]
+        gain = (_xlogx(t[x, to] + r) - base[x, to]).sum(1) + (_xlogx(t[fro[:, None], y] + l[:, None]) - base[fro[:, None], y]).sum(0)
+        own_t, own_base = t[some, some], base[some, some]
+        gain += _xlogx(own_t + right[some] + left[some] + self_pair) + own_base - _xlogx(own_t + right[some]) - _xlogx(own_t + left[some])
+        # The pairs of the element with others stay in those others' sums wherever it goes.
+        rows, cols = np.maximum(row + left, 0)[some], np.maximum(col + right, 0)[some]
+        gain -= _xlogx(rows + r_all + self_pair) - _xlogx(rows) + _xlogx(cols + l_all + self_pair) - _xlogx(cols)
+        gain[some == 0] = -np.inf
+        best = int(np.argmax(gain))
+        out[i] = some[best] if gain[best] > gain[-1] + 1e-9 else c
+        shift(int(out[i]), 1)
+    return out
+
+
+def moves(label: np.ndarray, table: np.ndarray):
+    """A function from the neighbour counts of a partition's blocks to their elements' new classes."""
+    classes = len(table)
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(batches) or [pd.DataFrame({"block": [], "element": [], "side": [], "classes": [], "counts": []})])
+        for _, group in rows.groupby("block"):
+            yield moved(group)
+
+    def moved(group: pd.DataFrame) -> pd.DataFrame:
+        elements, at = np.unique(group["element"].to_numpy(), return_inverse=True)
+        row, k, n = _unpacked(group["classes"], group["counts"])
+        side = group["side"].to_numpy()[row]
+        sums = [np.bincount(at[row[side == j]] * classes + k[side == j], weights=n[side == j], minlength=len(elements) * classes).reshape(-1, classes) for j in (0, 1, 2)]
+        return pd.DataFrame({"element": elements.astype(np.int32), "class": move(label, table, elements, sums[0], sums[1], sums[2][:, 0]).astype(np.int32)})
+
+    return of
+
+
+def exchange(pairs: DataFrame, size: int, classes: int = CLASSES, passes: int = PASSES, blocks: int = BLOCKS, gain: float = GAIN) -> np.ndarray:
+    """Class of each element.  Elements start by rank in turn; the end mark keeps class 0 for itself."""
     label = np.zeros(size, dtype=np.int64)
-    order = 1 + np.argsort(-use[1:], kind="stable")
-    label[order] = 1 + np.arange(size - 1) % (classes - 1)
-    onehot = np.zeros((size, classes))
-    onehot[np.arange(size), label] = 1
-    table = onehot.T @ n @ onehot
-    for _ in range(passes):
-        moved = 0
-        for w in order:
-            if use[w] == 0:
-                continue
-            c, self_pair = label[w], n[w, w]
-            right = np.bincount(label, weights=n[w], minlength=classes)
-            left = np.bincount(label, weights=n[:, w], minlength=classes)
-            right[c] -= self_pair
-            left[c] -= self_pair
-            table[c] -= right
-            table[:, c] -= left
-            table[c, c] -= self_pair
-            # The pairs of w with others stay in those others' sums wherever w goes.
-            rows, cols = table.sum(1) + left, table.sum(0) + right
-            gain_r = _xlogx(table + right) - _xlogx(table)
-            gain_l = _xlogx(table + left[:, None]) - _xlogx(table)
-            own = np.diag(table)
-            gain = gain_r.sum(1) - np.diag(gain_r) + gain_l.sum(0) - np.diag(gain_l)
-            gain += _xlogx(own + right + left + self_pair) - _xlogx(own)
-            gain -= _xlogx(rows + right.sum() + self_pair) - _xlogx(rows) + _xlogx(cols + left.sum() + self_pair) - _xlogx(cols)
-            gain[0] = -np.inf
-            best = int(np.argmax(gain))
-            if gain[best] <= gain[c] + 1e-9:
-                best = c
-            label[w] = best
-            moved += best != c
-            table[best] += right
-            table[:, best] += left
-            table[best, best] += self_pair
-        if not moved:
+    label[1:] = 1 + np.arange(size - 1) % (classes - 1)
+    by_after = common.store(pairs.repartition("after"), "by-after")
+    best, best_label = -np.inf, label
+    for done in range(passes + 1):
+        near = common.store(neighbours(pairs, by_after, label, classes, blocks), "neighbours")
+        table = class_table(near, label, classes)
+        now = likelihood(table)
+        close = now - best < gain * abs(best) if done else not table.any()
+        if now > best:
+            best, best_label = now, label
+        if not close and done < passes:
+            moved = near.repartitionById(blocks, F.col("block")).mapInPandas(moves(label, table), "element int, class int").collect()  # HEAD + BUCKETS + 1 rows at most
+            label = label.copy()
+            label[[r["element"] for r in moved]] = [r["class"] for r in moved]
+        common.discard(near)
+        if close:
             break
-    return label
+    common.discard(by_after)
+    return best_label
 
 
 @dataclass
 class Model:
     elements: Elements
     label: np.ndarray  # class of each element
-    terms: np.ndarray  # log10 of the factor of c(w) + 1, [class before, class]
+    terms: np.ndarray  # log10 of the factor of c(w) + 1, [history class, class]
     head: np.ndarray  # log10(c + 1) of the head words
     end: float
     tokens: int
     distinct: int
 
 
+def tail_classes(train: DataFrame, elements: Elements, label: np.ndarray, table: np.ndarray) -> DataFrame:
+    """Words beyond the head (word, class, n), and rows without word that sum their bigrams: (class, history, n)."""
+    classes = len(table)
+    log_step = np.log((table + 1) / (table.sum(1, keepdims=True) + classes))
+    log_step[:, 0] = -np.inf  # the end mark's
+    log_size = np.log(table.sum(0) + 1)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        ends = np.zeros(1, dtype=np.int64)
+
+        def out() -> pa.RecordBatch:
+            keys = list(seen)
+            return pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.binary()), pa.array([k[1] for k in keys], pa.int32()), pa.array(list(seen.values()), pa.int64())], names=["word", "history", "n"])
+
+        for batch in batches:
+            for text in batch.column(0):
+                at, ids, rare = elements.look(split_words(text.as_py()))
+                if rare:
+                    history = label[np.concatenate([ends, ids[:-1]])][at < 0]
+                    seen.update(zip(rare, history.tolist(), strict=True))
+                if len(seen) >= FLUSH:
+                    yield out()
+                    seen.clear()
+        yield out()
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(classes * classes, dtype=np.int64)
+        for b in batches:
+            if not b.num_rows:
+                continue
+            row = np.repeat(np.arange(b.num_rows), b["of"].value_lengths().to_numpy())
+            flat = b["of"].flatten()
+            history, n = flat.field("history").to_numpy(), flat.field("n").to_numpy()
+            counts = np.zeros((b.num_rows, classes))
+            np.add.at(counts, (row, history), n)
+            best = np.argmax(counts @ np.maximum(log_step, -1e9) - counts.sum(1)[:, None] * log_size, axis=1)
+            total += np.bincount(best[row] * classes + history, weights=n, minlength=classes * classes).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([b["word"], pa.array(best, pa.int32()), pa.nulls(b.num_rows, pa.int32()), pa.array(counts.sum(1).astype(np.int64))], names=["word", "class", "history", "n"])
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(at), pa.binary()), pa.array(at // classes, pa.int32()), pa.array(at % classes, pa.int32()), pa.array(total[at])], names=["word", "class", "history", "n"])
+
+    each = train.select("text").mapInArrow(count, "word binary, history int, n long")
+    # A list has at most a row per task and history class, and no more than the word's count: less than any head word's.
+    lists = each.repartition("word").groupBy("word").agg(F.collect_list(F.struct("history", "n")).alias("of"))
+    return lists.mapInArrow(choose, "word binary, class int, history int, n long")
+
+
 def fit(train: DataFrame) -> tuple[Model, DataFrame]:
-    """(model, table of word counts) of all rows of ``train``."""
+    """(model, table (word, class, n) of the words beyond the head) of all rows of ``train``."""
     words = common.store(word_counts(train), "words")
     ends = train.count()
     sums = words.agg(F.count(F.lit(1)), F.sum("n")).first()
     tokens, distinct = (sums[1] or 0) + ends, sums[0] + (ends > 0)
     head = head_of(words)
+    common.discard(words)
     elements = Elements([w for w, _ in head])
-    pairs = bigrams(train, elements)
-    label = exchange(pairs)
-
-    ending = F.when(F.octet_length("word") <= 3, F.col("word")).otherwise(F.expr("substring(word, -3, 3)"))
-    kinds = np.ones(elements.size)
-    per_bucket = words.groupBy(F.pmod(F.crc32(ending), F.lit(BUCKETS)).cast("int").alias("b")).count().collect()
-    kinds[elements.first :] = 0
-    for b, k in per_bucket:
-        kinds[elements.first + b] = k
-    for w, _ in head[: elements.first - 1]:
-        kinds[elements.first + bucket(w)] -= 1
-    use = pairs.sum(0).astype(np.float64)
-    n_class = np.bincount(label, weights=use, minlength=CLASSES)
-    v_class = np.bincount(label, weights=kinds, minlength=CLASSES)
-    onehot = np.zeros((elements.size, CLASSES))
-    onehot[np.arange(elements.size), label] = 1
-    steps = onehot.T @ pairs @ onehot
-    steps = (steps + 1) / (steps.sum(1, keepdims=True) + CLASSES)
-    terms = np.log10(MIX * steps / (n_class + v_class + 1) + (1 - MIX) / (tokens + distinct + CLASSES))
-    return Model(elements, label, terms, np.log10(np.array([n + 1.0 for _, n in head])), float(np.log10(ends + 1)), tokens, distinct), words
-
-
-SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, local double, word binary, n long"
+    pairs = common.store(bigrams(train, elements), "bigrams")
+    label = exchange(pairs, elements.size)
+    table = transitions(pairs, label, CLASSES)
+    tail = common.store(tail_classes(train, elements, label, table), "tail")
+
+    # Of bigrams whose second word is beyond the head, the word's own class counts instead of its group's.
+    known = transitions(pairs.where(F.col("after") < elements.first), label, CLASSES)
+    common.discard(pairs)
+    for r in tail.where("word is null").groupBy("class", "history").agg(F.sum("n").alias("n")).collect():
+        known[r["history"], r["class"]] += r["n"]
+    v_class = np.bincount(label[: elements.first], minlength=CLASSES).astype(np.float64)
+    v_class[0] = ends > 0
+    for r in tail.where("word is not null").groupBy("class").count().collect():
+        v_class[r["class"]] += r["count"]
+    steps = (known + 1) / (known.sum(1, keepdims=True) + CLASSES)
+    terms = np.log10(MIX * steps / (known.sum(0) + v_class + 1) + (1 - MIX) / (tokens + distinct + CLASSES))
+    model = Model(elements, label, terms, np.log10(np.array([n + 1.0 for _, n in head])), float(np.log10(ends + 1)), tokens, distinct)
+    return model, tail.where("word is not null").select("word", "class", "n")
+
+
+SCORED = "row long, doc_id long, held_out boolean, n_tokens long, known long, logs double, local double, word binary, history int, guess int, times long"
 
 
 def partial_scores(docs: DataFrame, model: Model) -> DataFrame:
-    """What a document's words give without the rare words' counts (word null), and its rare words with their number."""
-    schema = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("local", pa.float64()), ("word", pa.binary()), ("n", pa.int64())])
+    """What a document's head words give (word null), and its other words with the class before, the class if unknown, and their number."""
+    kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
+    schema = pa.schema([pa.field(c.split()[0], kind) for c, kind in zip(SCORED.split(", "), kinds, strict=True)])
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ends = np.zeros(1, dtype=np.int64)
@@ -274,21 +456,24 @@ def partial_scores(docs: DataFrame, model: Model) -> DataFrame:
 
             for row, doc, held, text in zip(*(batch.column(i) for i in range(4)), strict=True):
                 words = split_words(text.as_py())
-                at, elements, rare = model.elements.look(words)
-                classes = model.label[np.concatenate([ends, elements, ends])]
-                local = float(model.terms[classes[:-1], classes[1:]].sum())
+                at, ids, rare = model.elements.look(words)
+                classes = model.label[np.concatenate([ends, ids, ends])]
+                head = np.append(at >= 0, True)
+                local = float(model.terms[classes[:-1], classes[1:]][head].sum())
                 seen = at[at >= 0]
                 logs = float(model.head[seen].sum()) + model.end
-                rare = Counter(rare)
                 row = row.as_py()
-                for c, x in zip(cols, (row, doc.as_py(), held.as_py(), len(words) + 1, len(seen) + end_known, logs, local, None, None), strict=True):
+                for c, x in zip(cols, (row, doc.as_py(), held.as_py(), len(words) + 1, len(seen) + end_known, logs, local, None, None, None, None), strict=True):
                     c.append(x)
-                k = len(rare)
-                cols[0] += [row] * k
-                for c in cols[1:7]:
-                    c += [None] * k
-                cols[7] += rare.keys()
-                cols[8] += rare.values()
+                if rare:
+                    found = Counter(zip(rare, classes[:-1][~head].tolist(), classes[1:][~head].tolist(), strict=True))
+                    k = len(found)
+                    cols[0] += [row] * k
+                    for c in cols[1:7]:
+                        c += [None] * k
+                    for c, x in zip(cols[7:10], zip(*found, strict=True), strict=True):
+                        c += x
+                    cols[10] += found.values()
                 if len(cols[0]) > 200_000:
                     yield flush()
             yield flush()
@@ -298,16 +483,24 @@ def partial_scores(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def score(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row of ``docs``."""
-    model, words = fit(docs.where(~held_out()))
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of every row of ``docs``."""
+    model, tail = fit(docs.where(~held_out()))
     parts = common.store(partial_scores(docs, model), "scored")
-    rare = parts.where("word is not null").select("row", "word", F.col("n").alias("times")).join(words, "word")
-    rare = rare.groupBy("row").agg(F.sum(F.log10(F.col("n") + 1.0) * F.col("times")).alias("rare_logs"), F.sum("times").alias("rare_known"))
-    whole = parts.where("word is null").drop("word", "n").join(rare, "row", "left")
-    logs = F.col("logs") + F.coalesce("rare_logs", F.lit(0.0))
+    spark = docs.sparkSession
+    terms = spark.createDataFrame([(h, k, float(model.terms[h, k])) for h in range(CLASSES) for k in range(CLASSES)], "history int, class int, term double")
+    rare = parts.where("word is not null").select("row", "word", "history", "guess", "times").join(tail, "word", "left")
+    rare = rare.withColumn("class", F.coalesce("class", "guess")).join(F.broadcast(terms), ["history", "class"])  # CLASSES squared rows
+    rare = rare.groupBy("row").agg(
+        F.sum(F.when(F.col("n").isNotNull(), F.log10(F.col("n") + 1.0) * F.col("times")).otherwise(0.0)).alias("rare_logs"), F.sum(F.col("term") * F.col("times")).alias("rare_local"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("rare_known")
+    )
+    whole = parts.where("word is null").join(rare, "row", "left")
+    zero = F.lit(0.0)
+    logs = F.col("logs") + F.coalesce("rare_logs", zero)
     base = logs - F.col("n_tokens") * F.lit(float(np.log10(model.tokens + model.distinct + 1)))
+    full = logs + F.col("local") + F.coalesce("rare_local", zero)
     known = (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long")
-    return whole.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), (logs + F.col("local")).alias("score"))
+    out = whole.select("doc_id", "held_out", "n_tokens", known.alias("n_known"), F.lit(model.tokens).cast("long").alias("train_tokens"), base.alias("base_score"), full.alias("score"))
+    return out.withColumn("perplexity", F.pow(F.lit(10.0), -F.col("score") / F.col("n_tokens")))
 
 
 def op6_classlm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 from ledgermatch.llm import classlm
 
@@ -31,34 +32,86 @@ def test_base_score_and_counts_match_brute_force(spark, small):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
-def test_rare_words_meet_in_the_join(spark, small, monkeypatch):
-    rows = docs_of(spark, small)
-    whole = {(r["doc_id"], r["n_tokens"]): r for r in classlm.score(spark.createDataFrame(rows, SCHEMA)).collect()}
-    monkeypatch.setattr(classlm, "HEAD", 4000)
-    monkeypatch.setattr(classlm.head_of, "__defaults__", (4000,))
+def brute_model(rows, classes, label, of_word, groups, c, end_count):
+    """The probability of a text by the formula, from classes of words and raw tokens of the training texts."""
+    held = lambda d: zlib.crc32(str(d).encode() if d is not None else b"") % 7 == 2
+    words = lambda t: (t or "").encode().lower().split()
+    history = lambda w: 0 if w is None else groups(w)
+    kind = lambda w: 0 if w is None else of_word.get(w, groups(w))
+    steps, size, distinct = np.zeros((classes, classes)), np.zeros(classes), np.zeros(classes)
+    for d, t, *_ in rows:
+        if not held(d):
+            line = [None, *words(t), None]
+            for v, w in zip(line, line[1:]):
+                steps[history(v), kind(w)] += 1
+                size[kind(w)] += 1
+    for w in of_word:
+        distinct[kind(w)] += 1
+    distinct[0] = 1
+    n, v = size.sum(), len(of_word) + 1
+    p = (steps + 1) / (steps.sum(1, keepdims=True) + classes)
+
+    def score(t):
+        line = [None, *words(t), None]
+        return sum(math.log10((c.get(w, 0) + 1 if w is not None else end_count + 1) * (classlm.MIX * p[history(u), kind(w)] / (size[kind(w)] + distinct[kind(w)] + 1) + (1 - classlm.MIX) / (n + v + classes))) for u, w in zip(line, line[1:]))
+
+    return score
+
+
+@pytest.mark.parametrize("limit", [50_000, 300])
+def test_score_matches_the_formula(spark, small, monkeypatch, limit):
+    monkeypatch.setattr(classlm.head_of, "__defaults__", (limit,))
+    rows = docs_of(spark, small)[-60:]
+    model, tail = classlm.fit(spark.createDataFrame(rows, SCHEMA).where(~classlm.held_out()))
+    tail = {bytes(r["word"]): (r["class"], r["n"]) for r in tail.collect()}
+    head = model.elements.place
+    assert len(head) <= limit and (limit > 300 or len(tail) > 300)
+    c = {w: n for w, (_, n) in tail.items()} | {w: round(10 ** model.head[i]) - 1 for w, i in head.items()}
+    of_word = {w: k for w, (k, _) in tail.items()} | {w: int(model.label[i + 1]) for w, i in head.items()}
+    score = brute_model(rows, classlm.CLASSES, model.label, of_word, lambda w: int(model.label[model.elements.of([w])[0]]), c, round(10**model.end) - 1)
+    by = {}
+    for d, t, *_ in rows:
+        by.setdefault(d, []).append(round(score(t), 6))
+    found = {}
     for r in classlm.score(spark.createDataFrame(rows, SCHEMA)).collect():
-        other = whole[r["doc_id"], r["n_tokens"]]
-        assert r["n_known"] == other["n_known"] and math.isclose(r["base_score"], other["base_score"], rel_tol=1e-9) and math.isclose(r["score"], other["score"], rel_tol=1e-9)
+        found.setdefault(r["doc_id"], []).append(round(r["score"], 6))
+        assert math.isclose(r["perplexity"], 10 ** (-r["score"] / r["n_tokens"]))
+    assert {k: sorted(v) for k, v in by.items()} == {k: sorted(v) for k, v in found.items()}
 
 
-def test_probabilities_sum_to_one_or_less(spark, small):
-    model, words = classlm.fit(spark.createDataFrame(docs_of(spark, small), SCHEMA))
-    counts = {bytes(r["word"]): r["n"] for r in words.collect()}
-    size = np.bincount(model.label[model.elements.of(list(counts))], weights=[n + 1 for n in counts.values()], minlength=classlm.CLASSES)
+def test_probabilities_sum_to_one_or_less(spark, small, monkeypatch):
+    monkeypatch.setattr(classlm.head_of, "__defaults__", (2000,))
+    model, tail = classlm.fit(spark.createDataFrame(docs_of(spark, small), SCHEMA))
+    size = np.zeros(classlm.CLASSES)
+    np.add.at(size, model.label[1 : model.elements.first], 10**model.head)
+    for r in tail.collect():
+        size[r["class"]] += r["n"] + 1
     size[0] += 10**model.end
-    per_class = size + np.array([1 if k else 0 for k in range(classlm.CLASSES)])  # one slot for unknown words each
     for before in range(classlm.CLASSES):
-        assert (10 ** model.terms[before] * per_class).sum() <= 1 + 1e-6
+        assert (10 ** model.terms[before] * (size + 1)).sum() <= 1 + 1e-6  # one slot for unknown words each
 
 
-def test_exchange_raises_the_likelihood_and_finds_blocks():
+def test_exchange_raises_the_likelihood_and_finds_blocks(spark):
     rng = np.random.default_rng(0)
     kind = rng.integers(0, 2, 40)
-    pairs = np.zeros((41, 41), dtype=np.int64)
-    pairs[1:, 1:] = np.where(kind[:, None] != kind[None, :], 50, 0)
-    label = classlm.exchange(pairs, classes=3, passes=10)
+    rows = [(i + 1, j + 1, 50) for i in range(40) for j in range(40) if kind[i] != kind[j]] + [(0, 1, 3)]
+    pairs = spark.createDataFrame(rows, "before int, after int, n long")
+    label = classlm.exchange(pairs, 41, classes=3, passes=10, blocks=3)
     assert label[0] == 0 and (label[1:] > 0).all()
     assert len({(k, c) for k, c in zip(kind, label[1:])}) == 2
+    start = np.concatenate([[0], 1 + np.arange(40) % 2])
+    assert classlm.likelihood(classlm.transitions(pairs, label, 3)) > classlm.likelihood(classlm.transitions(pairs, start, 3))
+
+
+def test_neighbour_counts(spark):
+    pairs = spark.createDataFrame([(0, 1, 2), (1, 1, 3), (1, 2, 5), (2, 0, 7)], "before int, after int, n long")
+    near = classlm.neighbours(pairs.coalesce(1), pairs.coalesce(1), np.array([0, 1, 1]), 2, 2)
+    found = {}
+    for r in near.collect():
+        for k, n in zip(np.frombuffer(r["classes"], "<u2"), np.frombuffer(r["counts"], "<i8")):
+            found[r["element"], r["side"], int(k)] = int(n)
+    assert (classlm.class_table(near, np.array([0, 1, 1]), 2) == classlm.transitions(pairs, np.array([0, 1, 1]), 2)).all()
+    assert found == {(0, 0, 1): 2, (1, 0, 1): 8, (2, 0, 0): 7, (1, 1, 0): 2, (1, 1, 1): 3, (2, 1, 1): 5, (0, 1, 1): 7, (1, 2, 0): 3}
 
 
 def test_no_training_texts_and_empty_table(spark):
