@@ -159,20 +159,26 @@ def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
     return each.repartition("before").groupBy("before", "after").agg(F.sum("n").alias("n"))
 
 
-def transitions(pairs: DataFrame, label: np.ndarray, classes: int) -> np.ndarray:
-    """Counts [class before, class after] of all bigrams; what comes to the driver is the table of classes."""
+def transitions(pairs: DataFrame, label: np.ndarray, classes: int, first: int | None = None) -> np.ndarray:
+    """Counts [class before, class after] of all bigrams; what comes to the driver is the table of classes.
+
+    With ``first`` the second elements from that number on count in further columns, class by class.
+    """
+    wide = 2 * classes
+    column = label + classes * (np.arange(len(label)) >= (len(label) if first is None else first))
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(classes * classes)
+        total = np.zeros(classes * wide)
         for b in batches:
-            total += np.bincount(label[b["before"].to_numpy()] * classes + label[b["after"].to_numpy()], weights=b["n"].to_numpy(), minlength=classes * classes)
+            total += np.bincount(label[b["before"].to_numpy()] * wide + column[b["after"].to_numpy()], weights=b["n"].to_numpy(), minlength=classes * wide)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], names=["at", "n"])
 
-    out = np.zeros(classes * classes)
+    out = np.zeros(classes * wide)
     for r in pairs.mapInArrow(of, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         out[r["at"]] = r["n"]
-    return out.reshape(classes, classes)
+    out = out.reshape(classes, wide)
+    return out[:, :classes] if first is None else out
 
 
 NEIGHBOURS = "block int, element int, side int, classes binary, counts binary"
@@ -416,12 +422,12 @@ def fit(train: DataFrame) -> tuple[Model, DataFrame]:
     elements = Elements([w for w, _ in head])
     pairs = common.store(bigrams(train, elements), "bigrams")
     label = exchange(pairs, elements.size)
-    table = transitions(pairs, label, CLASSES)
+    split = transitions(pairs, label, CLASSES, elements.first)
+    common.discard(pairs)
+    known, table = split[:, :CLASSES].copy(), split[:, :CLASSES] + split[:, CLASSES:]
     tail = common.store(tail_classes(train, elements, label, table), "tail")
 
     # Of bigrams whose second word is beyond the head, the word's own class counts instead of its group's.
-    known = transitions(pairs.where(F.col("after") < elements.first), label, CLASSES)
-    common.discard(pairs)
     for r in tail.where("word is null").groupBy("class", "history").agg(F.sum("n").alias("n")).collect():
         known[r["history"], r["class"]] += r["n"]
     v_class = np.bincount(label[: elements.first], minlength=CLASSES).astype(np.float64)
