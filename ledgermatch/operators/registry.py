@@ -22,7 +22,6 @@ def listing_errors() -> Column:
         "emisor vacio": text.blank_to_null(c("issuer_nit")).isNull(),
         "fecha invalida": c("issue_date").isNull(),
         "total invalido": c("total").isNull(),
-        "total negativo": F.coalesce(c("total") < 0, F.lit(False)),
         "hash invalido": ~hashing.is_hex(c("hash"), 64),
     }
     return F.concat_ws("; ", *(F.when(broken, message) for message, broken in rules.items()))
@@ -36,7 +35,6 @@ def movement_error() -> Column:
         .when(c("date").isNull(), "fecha invalida")
         .when(text.blank_to_null(c("account")).isNull(), "sin cuenta")
         .when(c("debit").isNull() | c("credit").isNull(), "importe invalido")
-        .when((c("debit") < 0) | (c("credit") < 0), "importe negativo")
     )
 
 

@@ -12,23 +12,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tax_id(split: bool, entry: bool = False):
+    """The customer as tax id; ``split`` gives each eight ids by order key, so that ids have few entries, and every tenth order's entries an id without invoices."""
+    customer = F.col("o_custkey").cast("string")
+    if not split:
+        return customer
+    part = (F.col("o_orderkey") % 8).cast("string")
+    return F.concat(customer, F.lit("-"), F.when(F.col("o_orderkey") % 10 == 3, "9").otherwise(part) if entry else part)
+
+
+def invoices(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
     """An order is an invoice: customer = tax id, order key = number."""
-    nit, number = F.col("o_custkey").cast("string"), F.col("o_orderkey").cast("string")
+    nit, number = _tax_id(split), F.col("o_orderkey").cast("string")
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("xml_id"), nit.alias("nit"), number.alias("invoice"), F.to_date("o_orderdate").alias("date"), F.col("o_totalprice").alias("total"), matching.invoice_key(nit, number).alias("invoice_key")
     )
 
 
-def movements(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    """A line is a movement of the entry (ship year, FC, order key): debit on odd lines, credit on even ones.
-
-    ``sparse`` keeps first lines that were returned, of even parts: few entries per tax id.
-    """
+def movements(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    """A line is a movement of the entry (ship year, FC, order key): debit on odd lines, credit on even ones.  Every line takes part."""
     lines = table(spark, sf_dir, "lineitem")
-    if sparse:
-        lines = lines.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 1) & (F.col("l_partkey") % 2 == 0))
-    owner = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    owner = table(spark, sf_dir, "orders").select("o_orderkey", _tax_id(split, entry=True).alias("third_id"))
     odd = F.col("l_linenumber") % 2 == 1
     amount = F.col("l_extendedprice").cast("decimal(19,4)")
     number = F.col("l_orderkey").cast("string")
@@ -39,7 +43,7 @@ def movements(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFra
         F.lit("FC").alias("doc_type"),
         number.alias("doc_number"),
         F.concat(F.lit("51"), (F.col("l_partkey") % 10).cast("string")).alias("account"),
-        F.col("o_custkey").cast("string").alias("third_id"),
+        "third_id",
         F.concat(F.lit("factura "), number).alias("concept"),
         F.when(odd, amount).otherwise(F.lit(0).cast("decimal(19,4)")).alias("debit"),
         F.when(odd, F.lit(0).cast("decimal(19,4)")).otherwise(amount).alias("credit"),
@@ -47,13 +51,13 @@ def movements(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFra
     )
 
 
-def ledger(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    return entries.entries(entries.invoice_movements(movements(spark, sf_dir, sparse)))
+def ledger(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    return entries.entries(entries.invoice_movements(movements(spark, sf_dir, split)))
 
 
-def scored(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    return matching.candidates(invoices(spark, sf_dir), ledger(spark, sf_dir, sparse))
+def scored(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    return matching.candidates(invoices(spark, sf_dir, split), ledger(spark, sf_dir, split))
 
 
-def matched(spark: SparkSession, sf_dir: str, sparse: bool = False) -> DataFrame:
-    return matching.resolve(scored(spark, sf_dir, sparse))
+def matched(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
+    return matching.resolve(scored(spark, sf_dir, split))

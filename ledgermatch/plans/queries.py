@@ -31,17 +31,18 @@ def query(sql: str | None = None):
 # --- matching -----------------------------------------------------------------------------
 
 
-def _chain(sparse: bool) -> str:
+def _chain(split: bool) -> str:
     """Common table expressions from orders and lineitem to one resolved row per invoice."""
-    where = "WHERE l_returnflag = 'R' AND l_linenumber = 1 AND l_partkey % 2 = 0" if sparse else ""
+    nit = "o_custkey::VARCHAR || '-' || (o_orderkey % 8)::VARCHAR" if split else "o_custkey::VARCHAR"
+    third = "o_custkey::VARCHAR || '-' || CASE WHEN o_orderkey % 10 = 3 THEN '9' ELSE (o_orderkey % 8)::VARCHAR END" if split else "o_custkey::VARCHAR"
     return f"""
-inv AS (SELECT o_orderkey AS xml_id, o_custkey::VARCHAR AS nit, o_orderkey::VARCHAR AS invoice, o_orderdate::DATE AS date, o_totalprice AS total,
-  o_custkey::VARCHAR || '|' || o_orderkey::VARCHAR AS invoice_key FROM orders),
+inv AS (SELECT o_orderkey AS xml_id, {nit} AS nit, o_orderkey::VARCHAR AS invoice, o_orderdate::DATE AS date, o_totalprice AS total,
+  {nit} || '|' || o_orderkey::VARCHAR AS invoice_key FROM orders),
 mov AS (SELECT l_orderkey * 10 + l_linenumber AS movement_id, l_shipdate::DATE AS date, 'FC' AS doc_type, l_orderkey::VARCHAR AS doc_number,
-  '51' || (l_partkey % 10)::VARCHAR AS account, o_custkey::VARCHAR AS third_id, 'factura ' || l_orderkey::VARCHAR AS concept,
+  '51' || (l_partkey % 10)::VARCHAR AS account, {third} AS third_id, 'factura ' || l_orderkey::VARCHAR AS concept,
   CASE WHEN l_linenumber % 2 = 1 THEN l_extendedprice::DECIMAL(19,4) ELSE 0 END AS debit,
   CASE WHEN l_linenumber % 2 = 1 THEN 0 ELSE l_extendedprice::DECIMAL(19,4) END AS credit
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey {where}),
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 ent AS (SELECT year(date) AS entry_year, doc_type, doc_number, min(date) AS entry_date, min(third_id) AS third_id, min(concept) AS concept,
   sum(debit)::DOUBLE AS debit, sum(credit)::DOUBLE AS credit, greatest(sum(debit)::DOUBLE, sum(credit)::DOUBLE) AS amount, count(*) AS lines,
   string_agg(DISTINCT account, ',' ORDER BY account) AS accounts,
@@ -73,7 +74,7 @@ matched AS (SELECT invoice_key, state, CASE WHEN state = 'REVISION_MULTIASIENTO'
   CASE WHEN state = 'REVISION_MULTIASIENTO' OR natures IS NULL THEN '()' ELSE '(''' || natures || CASE WHEN n_natures = 1 THEN ''',)' ELSE ''')' END END AS template FROM best)"""
 
 
-DENSE, SPARSE = _chain(False), _chain(True)
+DENSE, SPLIT = _chain(False), _chain(True)
 _STATES = "SELECT state, count(*) AS n FROM matched GROUP BY state"
 _MATCHES = "SELECT invoice_key, state, matched_entry, round(score, 6) AS score, template FROM matched"
 
@@ -86,9 +87,9 @@ def _matches(matches: DataFrame) -> DataFrame:
     return matches.select("invoice_key", "state", "matched_entry", F.round("score", 6).alias("score"), entries.template_label(F.col("account_natures")).alias("template"))
 
 
-@query(f"WITH {SPARSE} {_STATES}")
-def match_states_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _states(adaptor.matched(spark, sf_dir, sparse=True))
+@query(f"WITH {SPLIT} {_STATES}")
+def match_states_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _states(adaptor.matched(spark, sf_dir, split=True))
 
 
 @query(f"WITH {DENSE} {_STATES}")
@@ -96,9 +97,9 @@ def match_states_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _states(adaptor.matched(spark, sf_dir))
 
 
-@query(f"WITH {SPARSE} {_MATCHES}")
-def match_rows_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _matches(adaptor.matched(spark, sf_dir, sparse=True))
+@query(f"WITH {SPLIT} {_MATCHES}")
+def match_rows_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _matches(adaptor.matched(spark, sf_dir, split=True))
 
 
 @query(f"WITH {DENSE} {_MATCHES}")
@@ -106,9 +107,9 @@ def match_rows_dense(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _matches(adaptor.matched(spark, sf_dir))
 
 
-@query(f"WITH {SPARSE} SELECT invoice_key, entry_key, hit_full, hit_6, hit_5, hit_4, days, round(difference, 6) AS difference, round(score, 6) AS score FROM scored")
+@query(f"WITH {DENSE} SELECT invoice_key, entry_key, hit_full, hit_6, hit_5, hit_4, days, round(difference, 6) AS difference, round(score, 6) AS score FROM scored")
 def candidates_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adaptor.scored(spark, sf_dir, sparse=True).select(
+    return adaptor.scored(spark, sf_dir).select(
         "invoice_key", "entry_key", "hit_full", "hit_6", "hit_5", "hit_4", "days", F.round("difference", 6).alias("difference"), F.round("score", 6).alias("score")
     )
 
@@ -146,26 +147,26 @@ def ratio_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""
-WITH {SPARSE},
+WITH {DENSE},
 b AS (SELECT invoice_key, CASE WHEN total > 150000 THEN 'OK_VALOR' ELSE state END AS state, matched_entry FROM matched WHERE nit <> '7'),
 j AS (SELECT a.invoice_key IS NOT NULL AS ina, b.invoice_key IS NOT NULL AS inb, a.state IS NOT DISTINCT FROM b.state AS same_state, a.matched_entry IS NOT DISTINCT FROM b.matched_entry AS same_entry
   FROM (SELECT * FROM matched WHERE nit <> '8') a FULL JOIN b ON a.invoice_key = b.invoice_key)
 SELECT CASE WHEN NOT ina THEN 'right_only' WHEN NOT inb THEN 'left_only' ELSE 'both' END AS side, same_state, same_entry, count(*) AS n FROM j GROUP BY ALL"""
 )
 def reference_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = adaptor.matched(spark, sf_dir, sparse=True).join(adaptor.invoices(spark, sf_dir).select("invoice_key", "nit", "total"), "invoice_key")
+    found = adaptor.matched(spark, sf_dir).join(adaptor.invoices(spark, sf_dir).select("invoice_key", "nit", "total"), "invoice_key")
     other = found.where("nit <> '7'").withColumn("state", F.when(F.col("total") > 150000, "OK_VALOR").otherwise(F.col("state")))
     both = matching.compare(found.where("nit <> '8'"), other)
     return both.groupBy("side", "same_state", "same_entry").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {SPARSE} SELECT state, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(*) FROM matched), 2) AS pct FROM matched GROUP BY state")
+@query(f"WITH {DENSE} SELECT state, count(*) AS n, round_even(100.0 * count(*) / (SELECT count(*) FROM matched), 2) AS pct FROM matched GROUP BY state")
 def match_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.coverage(adaptor.matched(spark, sf_dir, sparse=True))
+    return matching.coverage(adaptor.matched(spark, sf_dir))
 
 
 @query(
-    f"""WITH {SPARSE} SELECT unnest([
+    f"""WITH {DENSE} SELECT unnest([
  {{'metric': 'invoices', 'value': (SELECT count(*) FROM inv)}}, {{'metric': 'invoices_without_nit', 'value': (SELECT count(*) FROM inv WHERE nit IS NULL)}},
  {{'metric': 'invoices_without_number', 'value': (SELECT count(*) FROM inv WHERE invoice IS NULL)}}, {{'metric': 'invoices_without_date', 'value': (SELECT count(*) FROM inv WHERE date IS NULL)}},
  {{'metric': 'invoices_without_total', 'value': (SELECT count(*) FROM inv WHERE total IS NULL)}}, {{'metric': 'entries', 'value': (SELECT count(*) FROM ent)}},
@@ -177,8 +178,8 @@ def match_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
 ], recursive := true)"""
 )
 def quality_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = adaptor.scored(spark, sf_dir, sparse=True)
-    return audit.quality_summary(adaptor.invoices(spark, sf_dir), adaptor.ledger(spark, sf_dir, sparse=True), scored, matching.resolve(scored))
+    scored = adaptor.scored(spark, sf_dir)
+    return audit.quality_summary(adaptor.invoices(spark, sf_dir), adaptor.ledger(spark, sf_dir), scored, matching.resolve(scored))
 
 
 @query(
@@ -486,13 +487,13 @@ def extraction_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.extraction_flags(xml, done(7), done(6)).groupBy("is_extracted", "is_failed").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"WITH {SPARSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
+@query(f"WITH {DENSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
 def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dataset.model_rows(adaptor.invoices(spark, sf_dir), adaptor.matched(spark, sf_dir, sparse=True))
+    rows = dataset.model_rows(adaptor.invoices(spark, sf_dir), adaptor.matched(spark, sf_dir))
     return split.class_counts(dataset.training_rows(rows, ["candidates"]), "label")
 
 
-@query(f"WITH {SPARSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
+@query(f"WITH {DENSE} SELECT template AS label, count(*) AS n FROM matched WHERE state IN ('OK_UNICO', 'OK_TEXTO', 'OK_VALOR') GROUP BY template")
 def dataset_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole run from raw rows: normalization, entries, candidates, resolution, training rows."""
     price = F.col("o_totalprice")
@@ -500,7 +501,7 @@ def dataset_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderkey").alias("xml_id"), F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("nit"), F.col("o_orderkey").cast("string").alias("invoice"), F.to_date("o_orderdate").alias("date"), price.alias("payable"), price.alias("tax_inclusive")
     )
     raw = features.ensure_columns(orders, dict(c.split() for c in INVOICES.split(", ")))
-    return split.class_counts(pipeline.match_run(raw, adaptor.movements(spark, sf_dir, sparse=True)).training(), "label")
+    return split.class_counts(pipeline.match_run(raw, adaptor.movements(spark, sf_dir)).training(), "label")
 
 
 @query("SELECT count(*) AS rows, count(*) FILTER (o_custkey IS NULL) AS null_keys, (SELECT count(*) FROM (SELECT 1 FROM orders GROUP BY o_custkey HAVING count(*) > 1)) AS repeated_keys FROM orders")

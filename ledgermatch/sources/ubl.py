@@ -7,6 +7,7 @@ bad document its own error.
 
 from __future__ import annotations
 
+import datetime
 import re
 from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
@@ -100,7 +101,11 @@ def parse_document(content: str) -> tuple[dict, list[dict]]:
     if not re.fullmatch("[0-9a-f]{96}", key):
         raise Invalid("key is not 96 hex digits")
     date = _text(root, f"{CBC}IssueDate", needed=True)
-    if not re.fullmatch(r"\d{4}-\d\d-\d\d", date):
+    try:
+        valid = re.fullmatch(r"\d{4}-\d\d-\d\d", date) and datetime.date.fromisoformat(date)
+    except ValueError:
+        valid = None
+    if not valid:
         raise Invalid("issue date is not ISO")
     supplier, customer = _party(root, "AccountingSupplierParty"), _party(root, "AccountingCustomerParty")
     if not supplier[0]:
@@ -109,14 +114,15 @@ def parse_document(content: str) -> tuple[dict, list[dict]]:
     declared = _amount(_text(root, f"{CBC}LineCountNumeric"))
     if not nodes:
         raise Invalid("no lines")
-    if declared is not None and declared != len(nodes):
+    if declared is None or declared != len(nodes):
         raise Invalid("other number of lines")
     totals = root.find(f"{CAC}LegalMonetaryTotal")
     payable = totals.find(f"{CBC}PayableAmount") if totals is not None else None
     currency = payable.get("currencyID") if payable is not None else None
-    for node in root.iter():
-        if node.tag.endswith("Amount") and node.get("currencyID") not in (None, currency):
-            raise Invalid("two currencies")
+    # Totals, tax subtotals and lines have one currency; amounts elsewhere, as in extensions, may have others.
+    parts = [*(totals if totals is not None else ()), *(x for t in root.findall(f"{CAC}TaxTotal") for s in t.findall(f"{CAC}TaxSubtotal") for x in s), *(x for n in nodes for x in n)]
+    if any(x.tag.endswith("Amount") and x.get("currencyID") not in (None, currency) for x in parts):
+        raise Invalid("two currencies")
     amounts = {name: _plain(_amount(_text(totals, f"{CBC}{tag}"))) for name, tag in (("line_extension", "LineExtensionAmount"), ("tax_exclusive", "TaxExclusiveAmount"), ("tax_inclusive", "TaxInclusiveAmount"), ("payable", "PayableAmount"), ("discount", "AllowanceTotalAmount"), ("charge", "ChargeTotalAmount"))}
     if amounts["payable"] is None:
         raise Invalid("no payable amount")
