@@ -70,7 +70,7 @@ _NATIONAL = re.compile(
     r"|(?P<pairs>0[1-9](?:[ .-]?[0-9]{2}){4})"
     r"|(?P<area>0[0-9]{2,4}(?: ?/ ?| |-)[0-9]{3,8}(?:[ -][0-9]{1,5})?)"
     r"|(?P<nine>[6789][0-9]{2}(?:(?:[ .-]?[0-9]{3}){2}|(?:[ .-][0-9]{2}){3}))"
-    r"|(?P<exit>00[1-9][0-9]{0,2}(?:[ .()-]{0,2}[0-9]{1,4}){2,5})"
+    r"|(?P<exit>00[1-9][0-9]{0,2}(?:[ .()-]{1,2}[0-9]{1,8}){1,4})"
     r"|(?P<loose>(?:\([0-9]{2,4}\)[ -]?|[0-9]{2,4}[ .-])[0-9]{3,4}[ .-][0-9]{3,4})"
     r")(?![0-9A-Za-z])(?![.-][0-9])"
 )
