@@ -13,6 +13,7 @@ Null and empty texts have no tokens.  No special tokens are made: their strings
 from __future__ import annotations
 
 import base64
+import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -58,8 +59,8 @@ def encode(text: str | None, enc: tiktoken.Encoding, long: int = LONG) -> list[i
     return [i for part in pieces(text, long) for i in enc.encode_ordinary(part)]
 
 
-def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
-    """``docs`` and a column ``ids`` (array<int>) with the token ids of ``text``."""
+def _ids(path: str | None, pattern: str, long: int):
+    """The function of a text column that gives its token ids."""
     path = path or public_tokenizers.path(RANKS)
 
     @F.pandas_udf("array<int>")
@@ -67,7 +68,16 @@ def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_token
         enc = encoding(path, pattern)
         return pd.Series([np.array(encode(x, enc, long), dtype=np.int32) for x in texts], dtype=object)
 
-    return docs.withColumn("ids", ids(F.col("text")))
+    return ids
+
+
+def _bytes(ids: np.ndarray | None, enc: tiktoken.Encoding) -> bytes:
+    return enc.decode_bytes([] if ids is None else ids.tolist())
+
+
+def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
+    """``docs`` and a column ``ids`` (array<int>) with the token ids of ``text``."""
+    return docs.withColumn("ids", _ids(path, pattern, long)(F.col("text")))
 
 
 def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
@@ -77,16 +87,28 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_to
     @F.pandas_udf("binary")
     def raw(ids: pd.Series) -> pd.Series:
         enc = encoding(path, pattern)
-        return pd.Series([enc.decode_bytes([] if x is None else x.tolist()) for x in ids], dtype=object)
+        return pd.Series([_bytes(x, enc) for x in ids], dtype=object)
 
     return encoded.withColumn("bytes", raw(F.col("ids")))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the ids that ``tokens`` makes and the bytes that ``decode`` makes of them."""
-    both = decode(tokens(docs.select(F.col("doc_id").cast("long"), "text"), path, pattern, long), path, pattern)
-    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256)
-    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), digest.alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of the ids of ``tokens`` and the bytes that ``decode`` makes of them.
+
+    The function of the ids is applied to that of the texts, so Spark runs both in one worker
+    and neither ids nor bytes go back to the JVM.
+    """
+    path = path or public_tokenizers.path(RANKS)
+
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(ids: pd.Series) -> pd.DataFrame:
+        enc = encoding(path, pattern)
+        sha = lambda raw: hashlib.sha256(raw).hexdigest()
+        rows = [(len(x), sha(",".join(map(str, x.tolist())).encode()), sha(_bytes(x, enc))) for x in ids]
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+
+    made = digest(_ids(path, pattern, long)(F.col("text"))).alias("d")
+    return docs.select(F.col("doc_id").cast("long"), made).select("doc_id", "d.*")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
