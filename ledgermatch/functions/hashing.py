@@ -20,8 +20,8 @@ def row_hash(columns: dict[str, Column]) -> Column:
 
 
 def movement_hash(columns: dict[str, Column]) -> Column:
-    """Hash of a movement's fields in the order given, over UTF-16LE bytes."""
-    return F.sha2(F.encode(canonical_json(columns, sort=False), "UTF-16LE"), 256)
+    """Hash of a movement's fields in the order given, over UTF-16LE bytes; slashes are escaped in its JSON."""
+    return F.sha2(F.encode(F.replace(canonical_json(columns, sort=False), F.lit("/"), F.lit("\\/")), "UTF-16LE"), 256)
 
 
 def is_hex(x: Column, n: int) -> Column:
@@ -41,15 +41,27 @@ def frame_hash(df: DataFrame, order: str) -> DataFrame:
     return folded.select("n", F.sha2(F.concat_ws(",", F.col("n").cast("string"), "s"), 256).alias("hash"))
 
 
-#: Largest payload of a registry row in bytes.
-PAYLOAD_BYTES = 8000
+#: Largest value in the payload of a registry row, in bytes of UTF-16.
+VALUE_BYTES = 8000
+
+
+def is_json(x: Column) -> Column:
+    """Is a text a JSON object or array?"""
+    return F.coalesce(F.try_parse_json(x).isNotNull() & x.rlike(r"^\s*[\[{]"), F.lit(False))
+
+
+def payload_error(x: Column) -> Column:
+    """What is wrong with a payload: no JSON object or array, or a value in it that is nested or longer than 8,000 bytes; else null."""
+    values = F.coalesce(F.map_values(F.from_json(x, "map<string,variant>")), F.from_json(x, "array<variant>"))
+    nested = lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
+    size = lambda v: F.octet_length(F.encode(F.try_variant_get(v, "$", "string"), "UTF-16LE"))
+    bad = F.exists(values, lambda v: nested(v) | F.coalesce(size(v) > VALUE_BYTES, F.lit(False)))
+    return F.when(~is_json(x), "FilaJson no es JSON valido.").when(bad, "FilaJson contiene estructuras o columnas demasiado largas.")
 
 
 def valid_payload(x: Column) -> Column:
-    """Is a text a JSON object without nested values, of 8,000 bytes at most?"""
-    flat = F.from_json(x, "map<string,string>", {"mode": "PERMISSIVE"})
-    nested = F.exists(F.map_values(flat), lambda v: F.coalesce(v.rlike(r"^\s*[\[{]"), F.lit(False)))
-    return F.coalesce((F.octet_length(x) <= PAYLOAD_BYTES) & F.try_parse_json(x).isNotNull() & x.rlike(r"^\s*\{") & ~nested, F.lit(False))
+    """Is a text a JSON object whose values are flat and of 8,000 bytes at most each?"""
+    return payload_error(x).isNull() & x.rlike(r"^\s*\{")
 
 
 def code_hash(folder: str | Path) -> str:

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import hashing, numbers
+from ..functions import hashing, numbers, text
 
+#: The one version of the extractor, and the longest name of a model.
+EXTRACTOR, NAME_LENGTH = 1, 120
+HASHES = ("model_hash", "manifest_hash", "feature_hash")
+CONTENT = ("extractor_version", "dataset_version", "model_name", "manifest_hash", "feature_hash")
 #: Difference of probabilities up to which two registrations are the same.
 TOLERANCE = 1e-6
 SUM_TOLERANCE = 1e-4
@@ -26,30 +30,58 @@ def top(labels: Column, probabilities: Column, n: int = 3) -> Column:
     return F.transform(F.slice(F.array_sort(pairs), 1, n), lambda e: F.struct(e["label"].alias("label"), numbers.probability(e["p"]).alias("probability")))
 
 
-def valid_top(found: Column) -> Column:
-    """Three different labels with probabilities in [0, 1] that do not rise?"""
-    p = F.transform(found, lambda e: e["probability"])
-    names = F.transform(found, lambda e: e["label"])
-    falling = (p[0] >= p[1]) & (p[1] >= p[2])
-    return F.coalesce((F.size(found) == 3) & (F.size(F.array_distinct(names)) == 3) & falling & F.forall(p, lambda x: x.between(0, 1)), F.lit(False))
-
-
 def feature_hash(features: dict[str, Column]) -> Column:
     return hashing.row_hash(features)
 
 
-def register(batch: DataFrame, stored: DataFrame, trained: DataFrame) -> DataFrame:
-    """Outcome of each prediction (xml_id, model_hash, label, probability): REGISTRADA, YA_EXISTE, CONFLICTO or RECHAZADA.
+def contract_error() -> Column:
+    """The first part of its contract that a prediction breaks, or null.
 
-    A prediction for a training row is rejected; one that is stored counts as the same if its
-    label is and its probability differs by no more than the tolerance.
+    Columns: client_id, xml_id, extractor_version, dataset_version, model_name, three hashes
+    and ``top``, an array of (label, probability).
+    """
+    known = lambda c: F.coalesce(F.col(c) > 0, F.lit(False))
+    name = text.blank_to_null(F.col("model_name"))
+    labels = F.transform("top", lambda e: text.blank_to_null(e["label"]))
+    named = (F.size("top") == 3) & F.forall(labels, lambda x: x.isNotNull()) & (F.size(F.array_distinct(F.transform("top", lambda e: e["label"]))) == 3)
+    falling = (F.col("top")[0]["probability"] >= F.col("top")[1]["probability"]) & (F.col("top")[1]["probability"] >= F.col("top")[2]["probability"])
+    within = F.forall("top", lambda e: e["probability"].isNotNull() & e["probability"].between(0, 1))
+    hashes = hashing.is_hex(F.lower(F.trim("model_hash")), 64) & hashing.is_hex(F.lower(F.trim("manifest_hash")), 64) & hashing.is_hex(F.lower(F.trim("feature_hash")), 64)
+    return (
+        F.when(~(known("client_id") & known("xml_id") & known("dataset_version") & F.coalesce(F.col("extractor_version") == EXTRACTOR, F.lit(False))), "ids")
+        .when(name.isNull() | (F.length(name) > NAME_LENGTH), "model name")
+        .when(~hashes, "hashes")
+        .when(~F.coalesce(named, F.lit(False)), "labels")
+        .when(~F.coalesce(within & falling, F.lit(False)), "probabilities")
+    )
+
+
+def register(batch: DataFrame, stored: DataFrame, datasets: DataFrame, invoices: DataFrame, trained: DataFrame) -> DataFrame:
+    """``outcome`` of each prediction (REGISTRADA, YA_EXISTE, CONFLICTO or RECHAZADA) and the ``reason`` of a rejection.
+
+    ``batch`` and ``stored`` have the columns of ``contract_error``, each (xml_id, model_hash)
+    once; ``datasets`` dataset_version, client_id and created_at; ``invoices`` the current ones
+    with client_id, xml_id and extracted_at; ``trained`` dataset_version and xml_id.  A stored
+    prediction is the same if all its columns are and each probability differs by no more than
+    the tolerance.  What a dataset was trained on, or saw when it was made, gets no prediction.
     """
-    old = stored.select("xml_id", "model_hash", F.col("label").alias("_label"), F.col("probability").alias("_p"))
-    used = trained.select("xml_id").distinct().withColumn("_trained", F.lit(True))
-    joined = batch.join(old, ["xml_id", "model_hash"], "left").join(used, "xml_id", "left")
-    same = (F.col("label") == F.col("_label")) & (F.abs(F.col("probability") - F.col("_p")) <= TOLERANCE)
-    outcome = F.when(F.col("_trained"), "RECHAZADA").when(F.col("_label").isNull(), "REGISTRADA").when(same, "YA_EXISTE").otherwise("CONFLICTO")
-    return joined.withColumn("outcome", outcome).drop("_label", "_p", "_trained")
+    clean = lambda df: df.withColumns({c: F.lower(F.trim(c)) for c in HASHES} | {"model_name": F.trim("model_name")})
+    key = ["xml_id", "model_hash"]
+    old = clean(stored).select(*key, F.struct(*CONTENT, "top").alias("_old"))
+    owners = datasets.select("dataset_version", F.col("client_id").alias("_owner"), "created_at")
+    current = invoices.select("client_id", "xml_id", "extracted_at")
+    used = trained.select("dataset_version", "xml_id").distinct().withColumn("_trained", F.lit(True))
+    joined = clean(batch.withColumn("reason", contract_error())).join(old, key, "left").join(owners, "dataset_version", "left")
+    joined = joined.join(current, ["client_id", "xml_id"], "left").join(used, ["dataset_version", "xml_id"], "left")
+    close = lambda a, b: (a["label"] == b["label"]) & (F.abs(a["probability"].cast("decimal(18,12)") - b["probability"].cast("decimal(18,12)")) <= F.lit(TOLERANCE).cast("decimal(18,12)"))
+    same = F.forall(F.zip_with("top", "_old.top", close), lambda x: F.coalesce(x, F.lit(False)))
+    for c in CONTENT:
+        same = same & F.col(c).eqNullSafe(F.col(f"_old.{c}"))
+    owned = F.coalesce(F.col("_owner") == F.col("client_id"), F.lit(False))
+    fresh = F.when(F.col("extracted_at").isNull(), "no current invoice").when(F.col("_trained"), "trained").when(F.col("extracted_at") <= F.col("created_at"), "historical")
+    reason = F.coalesce("reason", F.when(~owned, "dataset of another client"), F.when(F.col("_old").isNull(), fresh))
+    outcome = F.when(F.col("reason").isNotNull(), "RECHAZADA").when(F.col("_old").isNull(), "REGISTRADA").when(same, "YA_EXISTE").otherwise("CONFLICTO")
+    return joined.withColumn("reason", reason).withColumn("outcome", outcome).drop("_old", "_owner", "created_at", "extracted_at", "_trained")
 
 
 def pending(extracted: DataFrame, trained: DataFrame, predicted: DataFrame, model_hash: str, since: Column, limit: int | None = None) -> DataFrame:

@@ -9,33 +9,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import hashing, text
-
-
-def listing_errors() -> Column:
-    """The messages of all rules that a listing row breaks, joined by "; "; empty if valid."""
-    c = F.col
-    rules = {
-        "clave invalida": ~hashing.is_hex(c("key"), 96),
-        "numero vacio": text.blank_to_null(c("number")).isNull(),
-        "tipo vacio": text.blank_to_null(c("document_type")).isNull(),
-        "emisor vacio": text.blank_to_null(c("issuer_nit")).isNull(),
-        "fecha invalida": c("issue_date").isNull(),
-        "total invalido": c("total").isNull(),
-        "hash invalido": ~hashing.is_hex(c("hash"), 64),
-    }
-    return F.concat_ws("; ", *(F.when(broken, message) for message, broken in rules.items()))
-
-
-def movement_error() -> Column:
-    """The first rule that a movement breaks, or null."""
-    c = F.col
-    return (
-        F.when(text.blank_to_null(c("movement_key")).isNull(), "sin identificador")
-        .when(c("date").isNull(), "fecha invalida")
-        .when(text.blank_to_null(c("account")).isNull(), "sin cuenta")
-        .when(c("debit").isNull() | c("credit").isNull(), "importe invalido")
-    )
+from ..functions import hashing
+
+
+def first_requests(rows: DataFrame, stored: DataFrame, order: list[str]) -> tuple[DataFrame, DataFrame]:
+    """(new, repeated) rows of a batch keyed by (load_id, row).
+
+    A row whose key is stored gets its stored columns back, with ``existing`` true; of rows
+    with one key in the batch the first by ``order`` is new, the others are repeats of it and
+    are left out.
+    """
+    key = ["load_id", "row"]
+    first = rows.withColumn("_r", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_r = 1").drop("_r")
+    return first.join(stored.select(*key), key, "left_anti"), stored.join(first.select(*key), key, "left_semi").withColumn("existing", F.lit(True))
 
 
 def resolve_documents(rows: DataFrame, key: list[str], hash_col: str, order: list[str], valid: Column | None = None) -> DataFrame:

@@ -44,16 +44,19 @@ def validate(run: Run, reference: DataFrame | None = None) -> dict[str, DataFram
     return out
 
 
-def predict(spark: SparkSession, model_path: str, invoices: DataFrame, trained: DataFrame, stored: DataFrame, model_hash: str, since, limit: int | None = None, predictors: list[str] = features.PREDICTORS) -> DataFrame:
+def predict(spark: SparkSession, model_path: str, invoices: DataFrame, trained: DataFrame, stored: DataFrame, identity: dict, since, limit: int | None = None, predictors: list[str] = features.PREDICTORS) -> DataFrame:
     """Predictions for pending invoices, with the outcome of registering each.
 
-    ``invoices`` has ``extracted_at``; pending are those extracted after ``since`` that were
-    neither trained on nor predicted by this model.  Rows whose three best labels break their
-    contract are rejected.
+    ``identity`` has the model's client_id, dataset_version, model_name, model_hash and
+    manifest_hash.  ``invoices`` has ``extracted_at``; pending are those extracted after
+    ``since``, when the dataset was made, that were neither trained on nor predicted by this
+    model.  Rows whose three best labels break their contract are rejected.
     """
     fitted = model.load(spark, model_path, predictors)
-    todo = predictions.pending(features.invoice_features(invoices), trained, stored, model_hash, F.lit(since), limit)
+    known = {c: F.lit(identity[c]) for c in ("client_id", "dataset_version", "model_name", "model_hash", "manifest_hash")}
+    todo = predictions.pending(features.invoice_features(invoices), trained, stored, identity["model_hash"], F.lit(since), limit)
     hashed = todo.withColumn("feature_hash", predictions.feature_hash({c: F.col(c).cast("string") for c in predictors}))
-    out = model.predict_top(fitted, hashed, predictors).select("xml_id", F.lit(model_hash).alias("model_hash"), F.col("top")[0]["label"].alias("label"), F.col("top")[0]["probability"].alias("probability"), "top", "feature_hash")
-    registered = predictions.register(out, stored, trained)
-    return registered.withColumn("outcome", F.when(predictions.valid_top(F.col("top")), F.col("outcome")).otherwise("RECHAZADA"))
+    out = model.predict_top(fitted, hashed, predictors).select("xml_id", "top", "feature_hash", F.lit(predictions.EXTRACTOR).alias("extractor_version"), *[v.alias(c) for c, v in known.items()])
+    datasets = spark.range(1).select(known["dataset_version"].alias("dataset_version"), known["client_id"].alias("client_id"), F.lit(since).alias("created_at"))
+    current = invoices.select(known["client_id"].alias("client_id"), "xml_id", "extracted_at")
+    return predictions.register(out, stored, datasets, current, trained.select(known["dataset_version"].alias("dataset_version"), "xml_id"))

@@ -509,20 +509,6 @@ def source_guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset.guards(table(spark, sf_dir, "orders"), "o_custkey")
 
 
-@query(
-    """WITH b AS (SELECT o_orderkey AS xml_id, o_orderstatus AS label, round((o_orderkey % 97) / 97.0::DOUBLE, 9) AS p FROM orders),
-s AS (SELECT xml_id, CASE WHEN xml_id % 5 = 0 THEN 'X' ELSE label END AS label, p + CASE WHEN xml_id % 3 = 0 THEN 0.00001::DOUBLE ELSE 0 END AS p FROM b WHERE xml_id % 2 = 0)
-SELECT CASE WHEN b.xml_id % 7 = 0 THEN 'RECHAZADA' WHEN s.xml_id IS NULL THEN 'REGISTRADA' WHEN s.label = b.label AND abs(s.p - b.p) <= 0.000001::DOUBLE THEN 'YA_EXISTE' ELSE 'CONFLICTO' END AS outcome, count(*) AS n FROM b LEFT JOIN s USING (xml_id) GROUP BY 1"""
-)
-def prediction_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    i = F.col("o_orderkey")
-    batch = table(spark, sf_dir, "orders").select(i.alias("xml_id"), F.lit("m").alias("model_hash"), F.col("o_orderstatus").alias("label"), F.round((i % 97) / F.lit(97.0), 9).alias("probability"))
-    k = F.col("xml_id")
-    stored = batch.where(k % 2 == 0).withColumns({"label": F.when(k % 5 == 0, "X").otherwise(F.col("label")), "probability": F.col("probability") + F.when(k % 3 == 0, 0.00001).otherwise(0.0)})
-    out = predictions.register(batch, stored, batch.where(k % 7 == 0).select("xml_id"))
-    return out.groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
-
-
 @query("SELECT o_orderkey, 100 + row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS id FROM orders")
 def surrogate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return registry.assign_ids(table(spark, sf_dir, "orders").select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], start=100).select("o_orderkey", F.col("id").cast("long").alias("id"))

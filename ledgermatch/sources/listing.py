@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import dates, hashing, numbers, text
+from ..functions import dates, hashing, numbers, rules, text
 from . import xlsx
 
 # Folded headers of a listing; the column of each is named by its words.
@@ -59,18 +59,6 @@ def ledger_rows(spark: SparkSession, path: str, sheet: str | None = None, max_ro
     """Ledger movements as texts and typed dates and amounts, with the first rule that each breaks."""
     raw = xlsx.read_records(spark, path, set(LEDGER_REQUIRED), text.fold_ledger_header, sheet, max_rows)
     cell = lambda h: text.blank_to_null(F.col("cells").getItem(h))
-    values = {h.lower(): cell(h) for h in (*LEDGER_REQUIRED, *LEDGER_OPTIONAL)}
-    values |= {"fecha": dates.ledger_date(cell("FECHA")), "debito": cell("DEBITO").try_cast("decimal(19,4)"), "credito": cell("CREDITO").try_cast("decimal(19,4)")}
-    precise = lambda h: F.coalesce(numbers.too_precise(cell(h)), F.lit(False))
-    rule = (
-        F.when(F.col("error").isNotNull(), F.col("error"))
-        .when(cell("INDCONTABILIDAD").isNull(), "sin identificador")
-        .when(dates.ledger_date(cell("FECHA")).isNull(), "fecha invalida")
-        .when(cell("CUENTA").isNull(), "sin cuenta")
-        .when(~F.upper(cell("NATURALEZA")).isin("D", "C"), "naturaleza invalida")
-        .when(cell("DEBITO").try_cast("decimal(19,4)").isNull() | cell("CREDITO").try_cast("decimal(19,4)").isNull(), "importe invalido")
-        .when(precise("DEBITO") | precise("CREDITO"), "mas de cuatro decimales")
-    )
-    ordered = ("fecha", "tipodoc", "numdoc", "cuenta", "nomcuenta", "identidadtercero", "nombretercero", "concepto", "centro", "cc", "docfuente", "debito", "credito")
-    typed = raw.withColumn("rule", rule).withColumns(values)
-    return typed.withColumn("content_hash", hashing.movement_hash({c: F.col(c).cast("string") for c in ordered})).drop("cells", "original", "error")
+    values = rules.movement(lambda member: cell(member.upper()), F.col("error"))
+    values["rule"] = values.pop("error")
+    return raw.withColumns(values).drop("cells", "original", "error")

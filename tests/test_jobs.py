@@ -63,9 +63,12 @@ def test_dataset_model_and_predictions(spark, tmp_path):
     assert got["n"] == 10 and got["accuracy"] == 1.0 and got["known_accuracy"] == 1.0 and got["majority_accuracy"] < 0.5
     new, _ = frames(spark, [raw_invoice(100 + i, str(1000 + i), f"X{i}") for i in range(3)], movements.limit(0).collect())
     new = new.withColumn("extracted_at", F.lit(datetime(2026, 7, 2)))
-    stored = spark.createDataFrame([(100, "m", "x", 0.5)], "xml_id long, model_hash string, label string, probability double")
-    out = {r["xml_id"]: r for r in jobs.predict(spark, str(tmp_path / "model"), new, rows, stored, "m", datetime(2026, 7, 1)).collect()}
-    assert sorted(out) == [101, 102] and out[101]["label"] == "('220501_C', '510505_D')" and {r["outcome"] for r in out.values()} == {"REGISTRADA"}
+    h = "a" * 64
+    identity = {"client_id": 1, "dataset_version": 1, "model_name": "m", "model_hash": h, "manifest_hash": h}
+    schema = "xml_id long, extractor_version int, dataset_version int, model_name string, model_hash string, manifest_hash string, feature_hash string, top array<struct<label:string,probability:decimal(18,12)>>"
+    stored = spark.createDataFrame([(100, 1, 1, "m", h, h, h, [])], schema)
+    out = {r["xml_id"]: r for r in jobs.predict(spark, str(tmp_path / "model"), new, rows, stored, identity, datetime(2026, 7, 1)).collect()}
+    assert sorted(out) == [101, 102] and out[101]["top"][0]["label"] == "('220501_C', '510505_D')" and {r["outcome"] for r in out.values()} == {"REGISTRADA"}
 
 
 def test_sources_must_keep_their_contract(spark, tmp_path):

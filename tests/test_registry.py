@@ -1,7 +1,10 @@
+import hashlib
+import json
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from ledgermatch.functions import rules
 from ledgermatch.operators import claims, dataset, predictions, registry, split
 
 
@@ -44,12 +47,30 @@ def test_ids_clients_and_appends(spark):
     assert sorted(r["outcome"] for r in registry.register_clients(rows, known).collect()) == ["EXISTENTE", "NUEVO", "REQUIERE_REVISION"]
 
 
-def test_rules(spark):
-    ok = ("a" * 96, "1", "t", "n", datetime(2026, 1, 1), 1.0, "b" * 64)
-    df = spark.createDataFrame([ok, (None, "", "t", "n", None, -1.0, "x")], "key string, number string, document_type string, issuer_nit string, issue_date timestamp, total double, hash string")
-    assert [r[0] for r in df.select(registry.listing_errors()).collect()] == ["", "clave invalida; numero vacio; fecha invalida; hash invalido"]
-    mov = spark.createDataFrame([("1", datetime(2026, 1, 1), "a", 1.0, 0.0), (" ", None, "a", 1.0, 0.0), ("1", datetime(2026, 1, 1), "a", None, 0.0)], "movement_key string, date timestamp, account string, debit double, credit double")
-    assert [r[0] for r in mov.select(registry.movement_error()).collect()] == [None, "sin identificador", "importe invalido"]
+def test_listing_rules(spark):
+    good = {"cufe_cude": "A" * 96, "key_type": " cufe", "tipo_de_documento": "t", "folio": "1", "prefijo": None, "divisa": None, "forma_de_pago": None, "medio_de_pago": None, "fecha_emision": "2026-01-01", "fecha_recepcion": "2026-01-01", "nit_emisor": "9", "nombre_emisor": "n", "nit_receptor": "8", "nombre_receptor": "m", "total": "-1", "estado": "e", "grupo": "g", "row_hash": "b" * 64, "content_hash": "c" * 64, "original_json": "{}"}
+    rows = [tuple(good.values()), tuple(None for _ in good), tuple((good | {"prefijo": "p" * 31, "folio": " ", "original_json": "1"}).values())]
+    out = [r[0] for r in spark.createDataFrame(rows, ", ".join(f"{c} string" for c in good)).select(rules.listing_errors()).collect()]
+    assert out[0] == "" and len(out[1].split("; ")) == 16 and out[2] == "Folio inválido; Prefijo demasiado largo; JSON de origen inválido"
+
+
+def test_movement_rules_and_hash(spark):
+    good = {"IndContabilidad": "i1", "Fecha": "2026/01/02", "Documento": "d/1", "TipoDoc": "FC", "NumDoc": "7", "Cuenta": "5105", "Naturaleza": "d", "Debito": "10", "Credito": "-0.50000", "IdentidadTercero": "9", "Concepto": 'a "b" é'}
+    cases = [(good, None), ({k: v for k, v in good.items() if k != "IndContabilidad"}, "IndContabilidad obligatorio o demasiado largo."), (good | {"Credito": "0.00001"}, "Debito o Credito tienen mas de 4 decimales significativos."), (good | {"FechaSistema": "ayer"}, "FechaSistema invalida."), (good | {"Dv": "1" * 21}, "Dv demasiado largo."), (good | {"CC": {"a": 1}}, "FilaJson contiene estructuras o columnas demasiado largas."), ([1], "IndContabilidad obligatorio o demasiado largo.")]
+    df = spark.createDataFrame([(i, json.dumps(c)) for i, (c, _) in enumerate(cases)] + [(99, "{"), (100, None)], "n int, payload string")
+    out = {r["n"]: r for r in rules.movements_of_json(df, "payload").collect()}
+    assert [out[i]["error"] for i in range(len(cases))] == [e for _, e in cases] and out[99]["error"] == out[100]["error"] == "FilaJson no es JSON valido."
+    shown = {"Fecha": "2026-01-02", "Documento": "d/1", "TipoDoc": "FC", "NumDoc": "7", "Cuenta": "5105", "Concepto": 'a "b" é', "Naturaleza": "D", "Centro": None, "CC": None, "Debito": "10.0000", "Credito": "-0.5000", "IdentidadTercero": "9", "DocFuente": None}
+    canonical = json.dumps(shown, ensure_ascii=False, separators=(",", ":")).replace("/", "\\/")
+    assert out[0]["content_hash"] == hashlib.sha256(canonical.encode("utf-16-le")).hexdigest() and out[1]["content_hash"] is None
+
+
+def test_repeated_requests_get_what_is_stored(spark):
+    stored = spark.createDataFrame([(1, 1, "NUEVO"), (1, 9, "NUEVO")], "load_id int, row int, outcome string")
+    rows = spark.createDataFrame([(1, 1, "x"), (1, 2, "b"), (1, 2, "a"), (2, 1, "c")], "load_id int, row int, v string")
+    new, again = registry.first_requests(rows, stored, ["v"])
+    assert sorted((r["load_id"], r["row"], r["v"]) for r in new.collect()) == [(1, 2, "a"), (2, 1, "c")]
+    assert [tuple(r) for r in again.collect()] == [(1, 1, "NUEVO", True)]
 
 
 def test_claims(spark):
@@ -79,11 +100,16 @@ def test_predictions(spark):
     df = spark.createDataFrame([(["B", "A", "C", "D"], [0.2, 0.6, 0.15, 0.05]), (["B", "A", "C", "D"], [0.25] * 4)], "l array<string>, p array<double>")
     out = df.select(predictions.top(F.col("l"), F.col("p")).alias("t"), predictions.sane(F.col("p")).alias("s")).collect()
     assert [e["label"] for e in out[0]["t"]] == ["A", "B", "C"] and [e["label"] for e in out[1]["t"]] == ["B", "A", "C"] and out[0]["s"]
-    batch = spark.createDataFrame([(1, "m", "A", 0.5), (2, "m", "A", 0.5 + 6.4e-8), (3, "m", "A", 0.5 + 2e-6), (4, "m", "B", 0.5), (5, "m", "A", 0.5)], "xml_id int, model_hash string, label string, probability double")
-    stored = spark.createDataFrame([(2, "m", "A", 0.5), (3, "m", "A", 0.5), (4, "m", "A", 0.5)], batch.schema)
-    trained = spark.createDataFrame([(5,)], "xml_id int")
-    out = {r["xml_id"]: r["outcome"] for r in predictions.register(batch, stored, trained).collect()}
-    assert out == {1: "REGISTRADA", 2: "YA_EXISTE", 3: "CONFLICTO", 4: "CONFLICTO", 5: "RECHAZADA"}
+    h, at = "a" * 64, datetime(2026, 1, 1)
+    schema = "xml_id int, client_id int, extractor_version int, dataset_version int, model_name string, model_hash string, manifest_hash string, feature_hash string, top array<struct<label:string,probability:double>>"
+    row = lambda i, p=0.5, label="A", version=1, dataset_version=7: (i, 1, version, dataset_version, "m", h, h, h, [(label, p), ("B", 0.3), ("C", 0.1)])
+    batch = spark.createDataFrame([row(1), row(2, 0.5 + 6.4e-8), row(3, 0.5 + 2e-6), row(4, label="D"), row(5), row(6), row(7), row(8, label="B"), row(9, 0.2), row(10, version=2), row(11, dataset_version=8)], schema)
+    stored = spark.createDataFrame([row(2), row(3), row(4)], schema)
+    datasets = spark.createDataFrame([(7, 1, at), (8, 2, at)], "dataset_version int, client_id int, created_at timestamp")
+    invoices = spark.createDataFrame([(1, i, datetime(2026, 1, 1 + (i != 6))) for i in range(1, 12) if i != 7], "client_id int, xml_id int, extracted_at timestamp")
+    trained = spark.createDataFrame([(7, 5), (8, 1)], "dataset_version int, xml_id int")
+    out = {r["xml_id"]: r["reason"] or r["outcome"] for r in predictions.register(batch, stored, datasets, invoices, trained).collect()}
+    assert out == {1: "REGISTRADA", 2: "YA_EXISTE", 3: "CONFLICTO", 4: "CONFLICTO", 5: "trained", 6: "historical", 7: "no current invoice", 8: "labels", 9: "probabilities", 10: "ids", 11: "dataset of another client"}
 
 
 def test_publish_once(spark, tmp_path):

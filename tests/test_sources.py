@@ -103,7 +103,7 @@ def test_listing_and_ledger_rows(spark, tmp_path):
     ledger = [columns, ["2026/02/28", "d", "FC", "00000248", "51", "D", "10.5", "0", "9", "k1"], ["2026-02-28", "d", "FC", "1", "51", "X", "1", "0", "9", "k2"], ["2026-02-28", "d", "FC", "1", "51", "C", "0", "1.12345", "9", "k3"], ["x", "d", "FC", "1", "51", "C", "0", "1", "9", None]]
     (tmp_path / "m.xlsx").write_bytes(workbook([["banner"], *ledger]))
     out = {r["row"]: r for r in listing.ledger_rows(spark, str(tmp_path / "m.xlsx")).collect()}
-    assert [out[i]["rule"] for i in (3, 4, 5, 6)] == [None, "naturaleza invalida", "mas de cuatro decimales", "sin identificador"]
+    assert [out[i]["rule"] for i in (3, 4, 5, 6)] == [None, "Naturaleza debe ser D o C.", "Debito o Credito tienen mas de 4 decimales significativos.", "IndContabilidad obligatorio o demasiado largo."]
     assert out[3]["fecha"] == date(2026, 2, 28) and out[3]["numdoc"] == "00000248" and out[3]["debito"] == Decimal("10.5") and len(out[3]["content_hash"]) == 64
 
 
