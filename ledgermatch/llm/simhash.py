@@ -7,15 +7,16 @@ fewer differing bits are linked.
 Two differing bits touch at most two of the eight bytes, so linked fingerprints share at
 least six bytes at equal positions.  Postings of single bytes would hold 1/256 of all
 fingerprints each, so the index is keyed by the ``GRAM`` = 4 bytes at each of the 70 choices
-of four positions: fingerprints that share six bytes share at least 15 of these keys, the
-guaranteed minimum of the count filter.  The pairs of all postings are tallied, pairs with
-fewer shared keys than the minimum are dropped, and the others are verified bit by bit.
+of four positions.  A posting tallies the bytes that two of its members share at equal positions,
+keeps the pairs with the guaranteed minimum of six, and verifies these bit by bit.  A pair meets
+in as many postings as it has choices of four shared positions; it is tallied in the posting of
+its first four alone, so it comes out once and only links leave a posting.
 
-A posting of more than ``DENSE`` members would make too many pairs.  Its links are found by
-neighbourhood instead: every member is listed under itself and each of its 32 one-bit changes
-within the four free bytes, and two members link exactly if they meet under one of those.
-Such pairs need no tally; those whose postings are all small have it complete.  Equal
-fingerprints are merged before all this, so a group of copies of any size is one member.
+Tallying compares the members of a posting with each other.  In a posting of more than ``DENSE``
+members links are found by neighbourhood instead: every member is listed under itself and each
+of its 32 one-bit changes within the four free bytes, and two members link exactly if they meet
+under one of those.  Equal fingerprints are merged before all this, so a group of copies of any
+size is one member.
 
 Null and empty texts and texts without a word have fingerprint 0 and link like any other.
 A group whose doc_ids are all null has a null component_id.
@@ -31,7 +32,6 @@ if each differing bit of a key is among those of the one or the other.
 from __future__ import annotations
 
 from itertools import combinations, repeat
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -44,9 +44,9 @@ from . import common
 SHINGLE, SEED, MAX_BITS, DENSE = 3, 42, 2, 64
 #: Of ``similar``.
 WORDS, BUDGET, ALIKE, FLIPS = 5, 16, 0.8, 4
-#: Bytes of a key of the index; keys that linked fingerprints share at least.
+#: Bytes of a key of the index; bytes that linked fingerprints share at least.
 GRAM = 4
-MIN_SHARED = comb(8 - MAX_BITS, GRAM)
+MIN_SHARED = 8 - MAX_BITS
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -83,6 +83,13 @@ def _mask(positions) -> int:
     return m - (1 << 64) if m >> 63 else m
 
 
+def shared_bytes(x: Column) -> Column:
+    """How many of the eight bytes of ``x`` are zero: the bytes that two fingerprints share, of their XOR."""
+    for width in (4, 2, 1):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, width))
+    return 8 - F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+
+
 def links(marks: DataFrame, dense: int = DENSE) -> DataFrame:
     """Edges (a, b) between the distinct fingerprints in column ``fp``.
 
@@ -97,9 +104,17 @@ def links(marks: DataFrame, dense: int = DENSE) -> DataFrame:
     # Lists have nothing to gain before the shuffle: plain rows are smaller there.
     postings = common.store(index.repartition("choice", "shared").groupBy("choice", "shared").agg(F.collect_list("fp").alias("fps")).where(F.size("fps") > 1), "postings")
 
-    pairs = F.flatten(F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: a < b), lambda b: F.struct(a.alias("a"), b.alias("b")))))
-    tally = postings.where(F.size("fps") <= dense).select(F.explode(pairs).alias("p")).groupBy("p").agg(F.count(F.lit(1)).alias("n"))
-    few = tally.where(F.col("n") >= MIN_SHARED).select("p.*").where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= MAX_BITS)
+    # Of a choice, the positions before its last that it leaves out: shared there, the pair belongs to an earlier choice.
+    skipped = F.array(*[F.array(*[F.lit(_mask([p])) for p in range(c[-1]) if p not in c]).cast("array<bigint>") for c in chosen])
+
+    def linked(a: Column, b: Column) -> Column:
+        x = a.bitwiseXOR(b)
+        first = F.forall("before", lambda m: x.bitwiseAND(m) != 0)
+        return (a < b) & (shared_bytes(x) >= MIN_SHARED) & (F.bit_count(x) <= MAX_BITS) & first
+
+    pairs = F.flatten(F.transform("fps", lambda a: F.transform(F.filter("fps", lambda b: linked(a, b)), lambda b: F.struct(a.alias("a"), b.alias("b")))))
+    small = postings.where(F.size("fps") <= dense).withColumn("before", F.element_at(skipped, F.col("choice") + 1))
+    few = small.select(F.explode(pairs).alias("p")).select("p.*")
 
     def bit(i: int) -> int:
         return 1 << i if i < 63 else -(1 << 63)
