@@ -16,8 +16,9 @@ from .pii import op9_pii
 from .quality import op2_quality
 from .sharding import op3_sharding
 from .simhash import op7_simhash
+from .vectorcodes import OP12_SQL, op12_vectorcodes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ann, op2_quality, op3_sharding, op4_neardup_vectors, op5_chat, op6_classlm, op7_simhash, op8_mixing, op9_pii, op10_bpe)
+    f.__name__: f for f in (op1_ann, op2_quality, op3_sharding, op4_neardup_vectors, op5_chat, op6_classlm, op7_simhash, op8_mixing, op9_pii, op10_bpe, op12_vectorcodes)
 }
-SQL = {"op4_neardup_vectors": OP4_SQL, "op5_chat": OP5_SQL}
+SQL = {"op4_neardup_vectors": OP4_SQL, "op5_chat": OP5_SQL, "op12_vectorcodes": OP12_SQL}
