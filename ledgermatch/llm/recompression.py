@@ -195,16 +195,18 @@ def _pack(keys: np.ndarray, docs: np.ndarray, bucket: np.ndarray, found: bool) -
 
 
 def repeats(rows: DataFrame, made: Callable[[pd.DataFrame, Piece], tuple[np.ndarray, np.ndarray]], width: int, every: bool, buckets: int) -> DataFrame:
-    """(doc, keys) that other documents have too.
+    """(doc, keys) that other documents have too, a row per doc.
 
     ``made`` gives keys (``width`` columns) and docs of some rows.  A doc may come in several rows.
     """
 
+    names = [c.split()[0] for c in PACKED.split(", ")]
+
     def packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def out(some: list) -> pd.DataFrame:
             keys, docs, found, first = _among(np.concatenate([k for k, _ in some]), np.concatenate([d for _, d in some]), every)
             by_key, by_doc = (keys[first][:, 0] % np.uint64(buckets)).astype(int), docs[found] % buckets
-            return pd.DataFrame([*_pack(keys[first], docs[first], by_key, False), *_pack(keys[found], docs[found], by_doc, True)], columns=[c.split()[0] for c in PACKED.split(", ")])
+            return pd.DataFrame([*_pack(keys[first], docs[first], by_key, False), *_pack(keys[found], docs[found], by_doc, True)], columns=names)
 
         some, n = [], 0
         for frame, piece in pieces(batches):
@@ -216,47 +218,41 @@ def repeats(rows: DataFrame, made: Callable[[pd.DataFrame, Piece], tuple[np.ndar
         if n:
             yield out(some)
 
-    def met(group: pd.DataFrame) -> pd.DataFrame:
-        def opened(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            docs = np.repeat(np.frombuffer(b"".join(some["docs"]), np.int64), np.frombuffer(b"".join(some["counts"]), np.int32))
-            return np.frombuffer(b"".join(some["keys"]), np.uint64).reshape(-1, width), docs
+    def opened(some: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        docs = np.repeat(np.frombuffer(b"".join(some["docs"]), np.int64), np.frombuffer(b"".join(some["counts"]), np.int32))
+        return np.frombuffer(b"".join(some["keys"]), np.uint64).reshape(-1, width), docs
 
+    def met(group: pd.DataFrame) -> pd.DataFrame:
+        """A bucket of keys answers in a row per bucket of docs; what tasks have found is in its docs' bucket already."""
         keys, docs, found, _ = _among(*opened(group[~group["found"]]), every)
-        known, of = opened(group[group["found"]])
-        keys, docs = np.concatenate([keys[found], known]), np.concatenate([docs[found], of])
+        answers = pd.DataFrame([*_pack(keys[found], docs[found], docs[found] % buckets, True)], columns=names)
+        return pd.concat([group[group["found"]], answers])
+
+    def per_doc(group: pd.DataFrame) -> pd.DataFrame:
+        keys, docs = opened(group)
         order = np.argsort(docs, kind="stable")
         keys, docs = keys[order], docs[order]
         cut = np.append(np.flatnonzero(np.append(True, docs[1:] != docs[:-1])[: len(docs)]), len(docs))
         return pd.DataFrame({"doc": docs[cut[:-1]], "keys": [keys[i:j].tobytes() for i, j in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]})
 
-    return rows.mapInPandas(packed, PACKED).groupBy("bucket").applyInPandas(met, FOUND)
+    return rows.mapInPandas(packed, PACKED).groupBy("bucket").applyInPandas(met, PACKED).groupBy("bucket").applyInPandas(per_doc, FOUND)
 
 
 def _with(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
-    """``rows`` and what was found in their doc, as a column of binaries."""
-    return rows.join(found.groupBy("doc").agg(F.collect_list("keys").alias(name)), "doc", "left")
-
-
-def _set(some: list | None, width: int) -> np.ndarray:
-    raw = b"".join(some) if some is not None else b""
-    return np.frombuffer(raw, np.dtype((np.void, 8 * width)))
-
-
-def _isin(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
-    """Which keys (rows) are among ``found``."""
-    width = keys.shape[1]
-    return np.isin(keys[:, 0], found) if width == 1 else np.isin(np.ascontiguousarray(keys).view(np.dtype((np.void, 8 * width))).ravel(), found)
+    """``rows`` and what was found in their doc, as a binary."""
+    return rows.join(found.select("doc", F.col("keys").alias(name)), "doc", "left")
 
 
 def _mine(frame: pd.DataFrame, piece: Piece, of_word: np.ndarray, keys: np.ndarray, column: str) -> np.ndarray:
     """Which keys, each at a word, were found in that word's own doc."""
     out = np.zeros(len(keys), bool)
-    bounds = np.searchsorted(piece.text[of_word], np.arange(len(frame) + 1)) if len(of_word) else np.zeros(len(frame) + 1, int)
-    for k, some in enumerate(frame[column]):
+    whole = np.dtype(np.uint64) if keys.shape[1] == 1 else np.dtype((np.void, 8 * keys.shape[1]))
+    keys = np.ascontiguousarray(keys).view(whole).ravel()
+    bounds = np.searchsorted(piece.text[of_word], np.arange(len(frame) + 1))
+    for k, found in enumerate(frame[column]):
         i, j = bounds[k], bounds[k + 1]
-        if some is not None and len(some) and j > i:
-            found = np.frombuffer(b"".join(some), np.uint64) if keys.shape[1] == 1 else _set(some, keys.shape[1])
-            out[i:j] = _isin(keys[i:j], found)
+        if found is not None and j > i:
+            out[i:j] = np.isin(keys[i:j], np.frombuffer(found, whole))
     return out
 
 
