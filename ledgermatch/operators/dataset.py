@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import hashing
@@ -24,10 +24,14 @@ def model_rows(invoices: DataFrame, matches: DataFrame) -> DataFrame:
 
 
 def training_rows(rows: DataFrame, features: list[str]) -> DataFrame:
-    """Accepted rows with a target: id, features (booleans as 0 and 1), day and label text."""
+    """Accepted rows with a target: id, features (booleans as 0 and 1), day and label text.
+
+    The plan itself fails on an accepted row that has lost its id.
+    """
     kinds = dict(rows.dtypes)
     plain = [F.col(c).cast("int").alias(c) if kinds[c] == "boolean" else F.col(c) for c in features]
-    return rows.where(F.col("is_ok") & F.col("target").isNotNull()).select("xml_id", *plain, "date", template_label(F.col("target")).alias("label"))
+    own = F.coalesce("xml_id", F.raise_error(F.concat(F.lit("an accepted match has no source document: "), F.coalesce(F.col("invoice_key"), F.lit("?"))))).alias("xml_id")
+    return rows.where(F.col("is_ok") & F.col("target").isNotNull()).select(own, *plain, "date", template_label(F.col("target")).alias("label"))
 
 
 def guards(df: DataFrame, key: str) -> DataFrame:
@@ -48,30 +52,77 @@ def require(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def valid_published(row_hash: Column) -> Column:
-    """Contract of published rows: id, hash, accepted state, label, date and total."""
-    return F.coalesce(
-        F.col("xml_id").isNotNull() & hashing.is_hex(row_hash, 64) & accepted(F.col("state")) & F.col("label").isNotNull() & F.col("date").isNotNull() & F.col("total").isNotNull(), F.lit(False)
+def must_find(rows: DataFrame, key: str, sources: DataFrame, source_key: str, columns: list[str], what: str = "no source for") -> DataFrame:
+    """``rows`` with ``columns`` of the source of the same key, compared in lower case.
+
+    Not an inner join: a row without a source, or whose key several sources share, fails the job that reads it (no second job counts rows).
+    """
+    own = sources.groupBy(F.lower(F.col(source_key).cast("string")).alias("_key")).agg(F.min(F.struct(*columns)).alias("_found"), F.count(F.lit(1)).alias("_n"))
+    joined = rows.join(own, F.lower(F.col(key).cast("string")) == F.col("_key"), "left")
+    wrong = F.raise_error(F.concat(F.lit(what + " "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
+    found = F.when(F.col("_n") == 1, F.col("_found")).otherwise(F.coalesce(wrong, F.col("_found")))
+    return joined.withColumn("_found", found).select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
+
+
+#: Columns that the contract of published rows asks for.
+PUBLISHED = ("xml_id", "extractor_version", "key", "state", "entry", "label", "date", "total")
+
+
+def publication_problem(current: str = "_current") -> Column:
+    """What keeps a row from being published, or null: "contract", or what its current invoice says ("not current", "another key", "another date").
+
+    A null date of the current invoice doesn't differ.
+    """
+    blank = lambda c: F.coalesce(F.trim(c) == "", F.lit(True))
+    good = (F.col("xml_id") > 0) & (F.col("extractor_version") == 1) & hashing.is_hex(F.col("key"), 96) & accepted(F.col("state")) & ~blank("entry") & ~blank("label") & F.col("date").isNotNull() & F.col("total").isNotNull()
+    differs = lambda c: F.coalesce(F.col(f"{current}.{c}") != F.col(c), F.lit(False))
+    return (
+        F.when(~F.coalesce(good, F.lit(False)), "contract").when(F.col(current).isNull(), "not current").when(differs("key"), "another key").when(differs("date"), "another date")
     )
 
 
-def publish(spark: SparkSession, rows: DataFrame, identity: dict[str, str], path: str, order: str = "xml_id") -> tuple[str, int]:
+def checked(rows: DataFrame, current: DataFrame) -> DataFrame:
+    """``rows`` with ``problem``: their contract, and whether each still is what the current view says (xml_id, extractor_version, key, date)."""
+    on = ["xml_id", "extractor_version"]
+    view = current.groupBy(*on).agg(F.min(F.struct("key", "date")).alias("_current"))
+    return rows.join(view, on, "left").withColumn("problem", publication_problem()).select(*rows.columns, "problem")
+
+
+def publish(spark: SparkSession, rows: DataFrame, identity: dict[str, str], path: str, order: str = "xml_id", current: DataFrame | None = None, universe: int | None = None) -> tuple[str, int]:
     """Write a version and its manifest row once: ("PUBLICADA" or "YA_EXISTE", version).
 
     Rows are computed once, into a folder of their own; their hash is taken from what was
     written.  A new version's folder is then renamed, and the manifest row, written last, makes
     it a version: what a lost run leaves behind is not one.  The same identity with the same
     rows' hash is the same version.
+
+    With ``current`` (the view of current invoices) the rows have the columns ``PUBLISHED`` and
+    are checked while they are written, by metrics that the write itself observes: any problem,
+    a repeated xml_id or key, no row, or more than ``universe`` rows, and nothing is published.
     """
     missing = set(IDENTITY) - set(identity) - {"rows_hash"}
     if missing:
         raise ValueError(f"identity without {sorted(missing)}")
     pending = f"{path}/pending/{uuid.uuid4().hex}"
-    rows.write.parquet(pending)
-    found = hashing.frame_hash(spark.read.schema(rows.schema).parquet(pending), order).first()
-    identity = identity | {"rows_hash": found["hash"]}
     at = spark._jvm.org.apache.hadoop.fs.Path
     files = at(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    if current is None:
+        rows.write.parquet(pending)
+    else:
+        seen = Observation()
+        kinds = ("contract", "not current", "another key", "another date")
+        watched = checked(rows, current).observe(seen, F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col("problem") == k).alias(k) for k in kinds])
+        watched.drop("problem").write.parquet(pending)
+        wrong = {k: n for k, n in seen.get.items() if k != "rows" and n}
+        written = spark.read.schema(rows.schema).parquet(pending)
+        wrong |= {f"repeated {k}": n for k in ("xml_id", "key") if (n := guards(written, k).first()["repeated_keys"])}
+        if not seen.get["rows"] or (universe is not None and seen.get["rows"] > universe):
+            wrong["rows"] = seen.get["rows"]
+        if wrong:
+            files.delete(at(pending), True)
+            raise ValueError(f"the rows break the contract of publication: {wrong}")
+    found = hashing.frame_hash(spark.read.schema(rows.schema).parquet(pending), order).first()
+    identity = identity | {"rows_hash": found["hash"]}
     last = 0
     if files.exists(at(f"{path}/manifest")):
         manifest = spark.read.schema(MANIFEST).parquet(f"{path}/manifest")

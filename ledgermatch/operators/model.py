@@ -30,12 +30,13 @@ def fit(rows: DataFrame, features: list[str], label: str = "label", width: int =
 
 
 def predict_top(model: PipelineModel, rows: DataFrame, features: list[str], n: int = 3) -> DataFrame:
-    """``rows`` as they are with a column ``top``: the n likeliest labels with their probabilities."""
+    """``rows`` as they are with ``top``, the n likeliest labels with their probabilities; null if the whole vector isn't sane (three classes or more)."""
     labels = model.stages[0].labels
     names = F.array(*[F.lit(x) for x in labels])
     kept = rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("_row"), *features)
-    out = model.transform(prepare(kept, features)).withColumn("_p", F.slice(vector_to_array("probability"), 1, len(labels)))
-    return out.select("_row.*", predictions.top(names, F.col("_p"), n).alias("top"))
+    out = model.transform(prepare(kept, features)).withColumn("_all", vector_to_array("probability")).withColumn("_p", F.slice("_all", 1, len(labels)))
+    whole = F.when(F.lit(len(labels) < 3) | predictions.sane(F.col("_all")), predictions.top(names, F.col("_p"), n))
+    return out.select("_row.*", whole.alias("top"))
 
 
 def save(model: PipelineModel, spark: SparkSession, path: str, features: list[str]) -> None:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import hashing, numbers, text
@@ -97,3 +97,34 @@ def may_move(before: Column, after: Column) -> Column:
     for state, to in REVIEW.items():
         out = out | ((before == state) & after.isin(*to)) if to else out
     return out
+
+
+def review_form() -> Column:
+    """Has a review event the values that its state asks for, and no others?  Columns: state, option, corrected, reviewer, at."""
+    signed = text.blank_to_null(F.col("reviewer")).isNotNull() & F.col("at").isNotNull()
+    plain = F.col("option").isNull() & F.col("corrected").isNull()
+    good = (
+        F.when(F.col("state") == "APROBADA", signed & F.col("option").between(1, 3) & F.col("corrected").isNull())
+        .when(F.col("state") == "CORREGIDA", signed & F.col("option").isNull() & text.blank_to_null(F.col("corrected")).isNotNull())
+        .when(F.col("state") == "RECHAZADA", signed & plain)
+        .when(F.col("state") == "PENDIENTE", plain & F.col("reviewer").isNull() & F.col("at").isNull())
+    )
+    return F.coalesce(good, F.lit(False))
+
+
+def review(events: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """``events`` with the state ``before`` each and its ``outcome``: APLICADA, INVALIDA (its form) or ILEGAL (its state doesn't follow).
+
+    A prediction starts as PENDIENTE.  Rejected events change nothing.  As every state but the first is
+    final, the state before an event is the first applicable one ahead of it: a running window, whatever the number of events.
+    """
+    applicable = review_form() & may_move(F.lit("PENDIENTE"), F.col("state"))
+    ahead = Window.partitionBy(*key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.first(F.when(applicable, F.col("state")), ignorenulls=True).over(ahead), F.lit("PENDIENTE"))
+    marked = events.withColumn("before", before)
+    return marked.withColumn("outcome", F.when(~review_form(), "INVALIDA").when(may_move(F.col("before"), F.col("state")), "APLICADA").otherwise("ILEGAL"))
+
+
+def review_state(reviewed: DataFrame, key: list[str]) -> DataFrame:
+    """The state of each prediction after its events."""
+    return reviewed.groupBy(*key).agg(F.coalesce(F.max(F.when(F.col("outcome") == "APLICADA", F.col("state"))), F.lit("PENDIENTE")).alias("state"))

@@ -6,6 +6,8 @@ what is new is appended.  Ids follow from a deterministic order.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,22 @@ def first_requests(rows: DataFrame, stored: DataFrame, order: list[str]) -> tupl
     return first.join(stored.select(*key), key, "left_anti"), stored.join(first.select(*key), key, "left_semi").withColumn("existing", F.lit(True))
 
 
+def register_rows(batch: DataFrame, results: DataFrame, order: list[str], resolve: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The result of every row of a batch keyed by (load_id, row), with ``existing``.
+
+    A key that has a stored result gets that back, whatever the row says now; rows that repeat
+    a key within the batch get the result of its first.  Only the others go through
+    ``resolve``, which adds ``outcome`` (and more); ``results`` has load_id, row and its columns.
+    """
+    key = ["load_id", "row"]
+    fresh, _ = first_requests(batch, results, order)
+    stored = [c for c in results.columns if c not in key]
+    new = resolve(fresh).select(*key, *stored, F.lit(False).alias("existing"))
+    known = new.unionByName(results.select(*key, *stored, F.lit(True).alias("existing")))
+    place = F.row_number().over(Window.partitionBy(*key).orderBy(*order))
+    return batch.withColumn("_place", place).join(known, key).withColumn("existing", F.col("existing") | (F.col("_place") > 1)).drop("_place")
+
+
 def resolve_documents(rows: DataFrame, key: list[str], hash_col: str, order: list[str], valid: Column | None = None) -> DataFrame:
     """Outcome of each listing row: NUEVO, DUPLICADO, NUEVA_REVISION or RECHAZADO, with its revision.
 

@@ -7,6 +7,7 @@ from functools import cached_property
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import hashing
 from ..operators import audit, dataset, entries, features, history, matching
@@ -49,6 +50,11 @@ class Run:
     def training(self, predictors: list[str] = features.PREDICTORS) -> DataFrame:
         return dataset.training_rows(self.rows, predictors)
 
+    def published(self, predictors: list[str] = features.PREDICTORS) -> DataFrame:
+        """The training rows with the columns that their contract asks for."""
+        more = self.rows.select("xml_id", F.lit(1).cast("smallint").alias("extractor_version"), F.lower("key").alias("key"), "state", F.col("matched_entry").alias("entry"), "total")
+        return self.training([c for c in predictors if c != "total"]).join(more, "xml_id")
+
     def audit(self, columns: list[str] | None = None) -> DataFrame:
         """The column audit of the model rows; arrays are left out."""
         plain = [c for c, kind in self.rows.dtypes if not kind.startswith(("array", "struct", "map"))]
@@ -67,16 +73,21 @@ def match_run(invoices: DataFrame, movements: DataFrame, pair_missing: bool = Tr
 
 
 def generate_dataset(
-    spark: SparkSession, invoices: DataFrame, movements: DataFrame, client: str, source: str, path: str, parameters: str = "", predictors: list[str] = features.PREDICTORS
+    spark: SparkSession, invoices: DataFrame, movements: DataFrame, client: str, source: str, path: str, parameters: str = "", predictors: list[str] = features.PREDICTORS, current: DataFrame | None = None
 ) -> tuple[str, int]:
     """Match, take the training rows and publish them: ("PUBLICADA" or "YA_EXISTE", version).
 
     Both sources must have rows and unique keys.  The version is identified by client, source,
     parameters, the code's hash and the hashes of both sources and of the rows.
+
+    With ``current`` (xml_id, extractor_version, key, date of the current invoices) the published
+    rows also have key, state, entry and total, and are only published if they meet their contract
+    and the view; ``invoices`` has ``key`` then.
     """
     dataset.require(invoices, "xml_id")
     dataset.require(movements, "movement_id")
-    rows = match_run(invoices, movements).training(predictors)
+    run = match_run(invoices, movements)
+    rows = run.training(predictors) if current is None else run.published(predictors)
     identity = {
         "client": client,
         "source": source.strip().upper(),
@@ -85,4 +96,4 @@ def generate_dataset(
         "code_hash": hashing.code_hash(Path(__file__).parent.parent / "operators"),
         "parameters": parameters,
     }
-    return dataset.publish(spark, rows, identity, path)
+    return dataset.publish(spark, rows, identity, path, current=current, universe=None if current is None else invoices.count())

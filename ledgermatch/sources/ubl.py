@@ -78,11 +78,16 @@ def _plain(number: Decimal | None) -> str | None:
     return None if number is None else format(number, "f")
 
 
-def _party(root, role: str) -> tuple[str | None, str | None]:
-    party = root.find(f"{CAC}{role}/{CAC}Party")
+def _party(root, role: str) -> tuple[str, str]:
+    """Tax id and name, which both parties must have."""
+    party = root.find(f"{CAC}Accounting{role}Party/{CAC}Party")
     scheme = f"{CAC}PartyTaxScheme/"
-    nit = _text(party, f"{scheme}{CBC}CompanyID") or _text(party, f"{CAC}PartyIdentification/{CBC}ID")
+    nit = _text(party, f"{scheme}{CBC}CompanyID")
+    if not nit:
+        raise Invalid(f"no tax id of {role.lower()}")
     name = _text(party, f"{scheme}{CBC}RegistrationName") or _text(party, f"{CAC}PartyName/{CBC}Name")
+    if not name:
+        raise Invalid(f"no name of {role.lower()}")
     return nit, name
 
 
@@ -107,9 +112,7 @@ def parse_document(content: str) -> tuple[dict, list[dict]]:
         valid = None
     if not valid:
         raise Invalid("issue date is not ISO")
-    supplier, customer = _party(root, "AccountingSupplierParty"), _party(root, "AccountingCustomerParty")
-    if not supplier[0]:
-        raise Invalid("no supplier")
+    supplier, customer = _party(root, "Supplier"), _party(root, "Customer")
     nodes = root.findall(f"{CAC}{LINE[kind]}")
     declared = _amount(_text(root, f"{CBC}LineCountNumeric"))
     if not nodes:
@@ -202,7 +205,8 @@ def build(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     content = F.concat(
         F.lit(f'<Invoice xmlns="{UBL}Invoice-2" xmlns:cac="{CAC[1:-1]}" xmlns:cbc="{CBC[1:-1]}">'), tag("ID", F.col("o_orderkey").cast("string")), tag("UUID", key), tag("IssueDate", F.date_format("o_orderdate", "yyyy-MM-dd")),
         tag("LineCountNumeric", F.col("n").cast("string")), F.lit("<cac:AccountingSupplierParty><cac:Party><cac:PartyTaxScheme>"), tag("RegistrationName", F.lit("Supplier")), tag("CompanyID", F.col("o_custkey").cast("string")),
-        F.lit("</cac:PartyTaxScheme></cac:Party></cac:AccountingSupplierParty><cac:LegalMonetaryTotal>"), tag("LineExtensionAmount", money(F.col("total")), cop), tag("PayableAmount", money(F.col("total")), cop),
+        F.lit("</cac:PartyTaxScheme></cac:Party></cac:AccountingSupplierParty><cac:AccountingCustomerParty><cac:Party><cac:PartyTaxScheme>"), tag("RegistrationName", F.lit("Customer")), tag("CompanyID", F.lit("900")),
+        F.lit("</cac:PartyTaxScheme></cac:Party></cac:AccountingCustomerParty><cac:LegalMonetaryTotal>"), tag("LineExtensionAmount", money(F.col("total")), cop), tag("PayableAmount", money(F.col("total")), cop),
         F.lit("</cac:LegalMonetaryTotal>"), F.array_join(one, ""), F.lit("</Invoice>"),
     )
     joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))

@@ -52,7 +52,7 @@ def document(lines=1, root="Invoice", extra="", count=None, payable="119.00", cu
     line = f'<cac:{root}Line><cbc:ID>1</cbc:ID><cbc:{"Invoiced" if root == "Invoice" else "Credited"}Quantity>1</cbc:{"Invoiced" if root == "Invoice" else "Credited"}Quantity><cbc:LineExtensionAmount currencyID="{line_currency}">{amount}</cbc:LineExtensionAmount><cac:Item><cbc:Description>Café</cbc:Description></cac:Item></cac:{root}Line>'
     tax = '<cac:TaxTotal><cbc:TaxAmount currencyID="COP">19.00</cbc:TaxAmount><cac:TaxSubtotal><cbc:TaxAmount currencyID="COP">19.00</cbc:TaxAmount><cac:TaxCategory><cac:TaxScheme><cbc:ID>01</cbc:ID></cac:TaxScheme></cac:TaxCategory></cac:TaxSubtotal></cac:TaxTotal>'
     return f"""{extra}<{root} xmlns="{ubl.UBL}{root}-2" xmlns:cac="{ubl.CAC[1:-1]}" xmlns:cbc="{ubl.CBC[1:-1]}"><cbc:ID>FV1</cbc:ID><cbc:UUID>{key}</cbc:UUID><cbc:IssueDate>2026-01-02</cbc:IssueDate>
-<cbc:LineCountNumeric>{lines if count is None else count}</cbc:LineCountNumeric><cac:AccountingSupplierParty><cac:Party><cac:PartyTaxScheme><cbc:CompanyID>900</cbc:CompanyID></cac:PartyTaxScheme><cac:PartyName><cbc:Name>N</cbc:Name></cac:PartyName></cac:Party></cac:AccountingSupplierParty>
+<cbc:LineCountNumeric>{lines if count is None else count}</cbc:LineCountNumeric><cac:AccountingSupplierParty><cac:Party><cac:PartyTaxScheme><cbc:CompanyID>900</cbc:CompanyID></cac:PartyTaxScheme><cac:PartyName><cbc:Name>N</cbc:Name></cac:PartyName></cac:Party></cac:AccountingSupplierParty><cac:AccountingCustomerParty><cac:Party><cac:PartyTaxScheme><cbc:CompanyID>901</cbc:CompanyID><cbc:RegistrationName>C</cbc:RegistrationName></cac:PartyTaxScheme></cac:Party></cac:AccountingCustomerParty>
 {tax}<cac:LegalMonetaryTotal><cbc:PayableAmount currencyID="{currency}">{payable}</cbc:PayableAmount></cac:LegalMonetaryTotal>{line * lines}</{root}>"""
 
 
