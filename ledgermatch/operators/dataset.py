@@ -68,6 +68,39 @@ def must_find(rows: DataFrame, key: str, sources: DataFrame, source_key: str, co
 PUBLISHED = ("xml_id", "extractor_version", "key", "state", "entry", "label", "date", "total")
 
 
+#: Members of a published row's payload.
+ROW = {
+    "documento_xml_id": "bigint", "version_extractor": "smallint", "cufe": "string", "estado_match": "string", "llave_asiento": "string", "nit_proveedor_norm": "string", "ciudad_proveedor_modelo": "string",
+    "tax_level_proveedor_limpio": "string", "tax_scheme_id_limpio": "string", "tax_scheme_nombre_limpio": "string", "codigo_industria_proveedor_limpio": "string", "fecha_emision": "date", "payable_amount": "decimal(38,18)",
+    "descuento_total": "decimal(38,18)", "recargo_total": "decimal(38,18)", "tiene_iva": "boolean", "tiene_inc": "boolean", "flag_descuento": "boolean", "flag_recargo": "boolean", "flag_umbral_rf_servicios": "boolean",
+    "flag_umbral_reteica_bogota_servicios": "boolean", "flag_umbral_reteica_bogota_compras": "boolean", "flag_diferencia_payable_tax_inclusive": "boolean", "standard_item_identification_limpio": "string",
+    "target_plantilla_cuentas": "string",
+}
+_AS_PUBLISHED = {"documento_xml_id": "xml_id", "version_extractor": "extractor_version", "cufe": "key", "estado_match": "state", "llave_asiento": "entry", "target_plantilla_cuentas": "label", "fecha_emision": "date", "payable_amount": "total"}
+
+
+def rows_of_json(batches: DataFrame, column: str = "rows_json") -> DataFrame:
+    """A row per element of the JSON arrays in ``column``, typed, the columns ``PUBLISHED`` by their own names.
+
+    ``untyped`` names the members whose text is no value of their type, joined by "; "; a text
+    that is no array of objects gives one row of nulls with ``untyped`` "json".
+    """
+    raw = F.from_json(column, "array<struct<" + ",".join(f"{c}:string" for c in ROW) + ">>")
+    good = F.coalesce(F.try_parse_json(column).isNotNull() & F.col(column).rlike(r"^\s*\["), F.lit(False))
+    each = batches.withColumn("_good", good).withColumn("_rows", F.when(good, raw)).select(*[c for c in batches.columns if c != column], "_good", F.explode_outer("_rows").alias("_r"))
+    each = each.where(~F.col("_good") | F.col("_r").isNotNull())
+
+    def typed(name: str, kind: str) -> Column:
+        value = F.col(f"_r.{name}")
+        if kind == "date":
+            return F.when(value.rlike(r"^\d{4}-\d\d-\d\d$"), F.try_to_timestamp(value, F.lit("yyyy-MM-dd")).cast("date"))
+        return value if kind == "string" else value.try_cast(kind)
+
+    wrong = F.array_compact(F.array(*[F.when(F.col(f"_r.{c}").isNotNull() & typed(c, kind).isNull(), c) for c, kind in ROW.items() if kind != "string"]))
+    others = [c for c in each.columns if c not in ("_good", "_r")]
+    return each.select(*others, *[typed(c, kind).alias(_AS_PUBLISHED.get(c, c)) for c, kind in ROW.items()], F.when(F.col("_good"), F.array_join(wrong, "; ")).otherwise("json").alias("untyped"))
+
+
 def publication_problem(current: str = "_current") -> Column:
     """What keeps a row from being published, or null: "contract", or what its current invoice says ("not current", "another key", "another date").
 

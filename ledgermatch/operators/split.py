@@ -72,3 +72,9 @@ def class_counts(rows: DataFrame, label: str) -> DataFrame:
 def majority(rows: DataFrame, label: str) -> DataFrame:
     """One row: the most frequent class, ties to the smallest."""
     return class_counts(rows, label).agg(F.min_by(label, F.struct(-F.col("n"), F.col(label))).alias("majority"))
+
+
+def partition_report(parts: DataFrame, known: DataFrame, key: str = "xml_id", date: str = "date") -> DataFrame:
+    """(key, date, part, trainable) of every row, by key: which part of a split it is in, and whether its class was trained on."""
+    fed = known.select(key).distinct().withColumn("trainable", F.lit(True))
+    return parts.select(key, date, "part").join(fed, key, "left").na.fill(False, ["trainable"]).orderBy(key)

@@ -55,3 +55,32 @@ def in_load(invoices: DataFrame, load_rows: DataFrame, load_id: int) -> DataFram
     """Invoices with a valid row in one load."""
     rows = load_rows.where((F.col("load_id") == load_id) & (F.col("outcome") != "RECHAZADO"))
     return invoices.join(rows, "document_id", "left_semi")
+
+
+#: Names of the compatibility view's columns, and the members of a header that they show.
+_HEADER = {
+    "id_factura": "invoiceId", "cufe": "uuid", "factura_completa": "invoiceId", "fecha_emision": "issueDate", "nit_proveedor": "supplierNit", "nombre_proveedor": "supplierName", "ciudad_proveedor": "supplierCity",
+    "tax_level_proveedor": "supplierTaxLevel", "tax_scheme_id": "supplierTaxSchemeId", "tax_scheme_nombre": "supplierTaxSchemeName", "codigo_industria_proveedor": "supplierIndustryCode", "cantidad_lineas_xml": "lineCount",
+    "line_extension_amount": "lineExtensionAmount", "tax_exclusive_amount": "taxExclusiveAmount", "tax_inclusive_amount": "taxInclusiveAmount", "payable_amount": "payableAmount", "iva_total": "ivaTotal", "inc_total": "incTotal",
+    "descuento_total": "legacyDiscount", "recargo_total": "legacyCharge", "cantidad_items_total": "lineCount", "descripcion_item_1": "firstDescription", "valor_base_sugerido": "taxExclusiveAmount",
+    "valor_iva_sugerido": "ivaTotal", "valor_inc_sugerido": "incTotal", "valor_cxp_sugerido": "payableAmount",
+}
+_FLAGS = {"tiene_iva": "ivaTotal", "tiene_inc": "incTotal", "flag_descuento": "legacyDiscount", "flag_recargo": "legacyCharge"}
+
+
+def compatibility_view(headers: DataFrame, documents: DataFrame, extractor: int = 1) -> DataFrame:
+    """The 34 columns of the historical sheet: a row per current, processed invoice that isn't held for review.
+
+    headers: the committed ones of ``extraction``; documents: xml_id, is_current, state, review, first_load_id.
+    """
+    own = documents.where(F.col("is_current") & (F.col("state") == "PROCESADO") & (F.coalesce("review", F.lit("")) != "PENDIENTE")).select("xml_id", "first_load_id")
+    rows = headers.where((F.col("extractorVersion") == extractor) & (F.col("xmlType") == "Invoice")).join(own, "xml_id")
+    flag = lambda c: F.coalesce((F.col(c) > 0).cast("int"), F.lit(0))
+    return rows.select(
+        F.concat(F.lit("dian:"), F.col("first_load_id").cast("string")).alias("id_carga"),
+        *[F.col(c).alias(name) for name, c in _HEADER.items()],
+        *[flag(c).alias(name) for name, c in _FLAGS.items()],
+        F.concat("firstDescription", F.lit(" - "), "supplierName").alias("item1_proveedor"),
+        (2 + flag("ivaTotal") + flag("incTotal")).alias("n_registros_sugeridos"),
+        F.lit(None).cast("string").alias("observaciones"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import dataset, extraction, predictions, registry
+from ..operators import claims, dataset, extraction, predictions, registry, split, views
 from ..sources import ubl
 from .adaptor import table
 from .queries import query
@@ -178,3 +178,68 @@ def xml_rejections(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(text)
     )
     return ubl.parse(built.select("path", damaged.alias("content"))).select("path", "error")
+
+
+@query(
+    f"""WITH {_RESOLVED_SQL}, h AS (SELECT * FROM outcomes WHERE outcome = 'REGISTRADA' AND o_orderstatus = 'F' AND y < 1999 AND o_totalprice <= 300000), m AS (SELECT *, CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE AS t FROM h)
+SELECT 'dian:' || (o_orderkey // 10) AS id_carga, o_orderkey::VARCHAR AS id_factura, o_orderdate::DATE AS fecha_emision, o_custkey::VARCHAR AS nit_proveedor, n::INT AS cantidad_lineas_xml, t AS payable_amount, (t > 0)::INT AS tiene_iva,
+ 2 + 2 * (t > 0)::INT AS n_registros_sugeridos, CAST(NULL AS VARCHAR) AS item1_proveedor, 34 AS n_columns FROM m"""
+)
+def compatibility_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 34 columns over the headers that a batch commits, of documents that it promotes; some of them, and their number."""
+    resolved = _resolved(spark, sf_dir)
+    headers = extraction.effects(resolved)["headers"]
+    documents = resolved.where("promoted").select("xml_id", F.lit(True).alias("is_current"), F.lit("PROCESADO").alias("state"), F.lit(None).cast("string").alias("review"), F.floor(F.col("xml_id") / 10).alias("first_load_id"))
+    view = views.compatibility_view(headers, documents)
+    return view.select("id_carga", "id_factura", "fecha_emision", "nit_proveedor", "cantidad_lineas_xml", F.col("payable_amount").cast("double").alias("payable_amount"), "tiene_iva", "n_registros_sugeridos", "item1_proveedor", F.lit(len(view.columns)).alias("n_columns"))
+
+
+@query(
+    """WITH t AS (SELECT o_orderkey AS d, o_orderkey + CASE WHEN o_orderpriority = '2-HIGH' THEN 1 ELSE 0 END AS v FROM orders WHERE o_totalprice > 250000),
+lines AS (SELECT l_orderkey AS d, bool_or(l_linenumber > 1 AND l_returnflag = 'R') AS later, bool_or(l_linestatus = 'O' AND l_tax >= 0.07) AS xml FROM lineitem GROUP BY 1)
+SELECT t.d AS document_id, CASE WHEN o_orderstatus = 'P' THEN 'document' WHEN v <> t.d THEN 'version' WHEN o_orderpriority = '1-URGENT' THEN 'attempt' WHEN o_orderpriority = '5-LOW' THEN 'no valid row' WHEN later THEN 'tried again' WHEN xml THEN 'has XML' END AS problem
+FROM t JOIN orders ON o_orderkey = t.d LEFT JOIN lines ON lines.d = t.d"""
+)
+def repair_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dear orders as targets of a repair; returned later lines are further attempts, open lines of a high tax have XML."""
+    o, lines, p = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), F.col("o_orderpriority")
+    k = F.col(_K).alias("document_id")
+    targets = o.where("o_totalprice > 250000").select(k, F.col(_K).alias("attempt_id"), (F.col(_K) + F.when(p == "2-HIGH", 1).otherwise(0)).alias("version_id"))
+    documents = o.select(k, F.lit(1).alias("client_id"), F.lit(7).alias("load_id"), F.when(F.col("o_orderstatus") == "P", "PROCESADO").otherwise("ERROR").alias("state"))
+    first = o.select(k, F.col(_K).alias("attempt_id"), F.lit(1).alias("attempt"), F.lit("ERROR").alias("state"), F.when(p == "1-URGENT", "fault").otherwise("config").alias("error"))
+    later = lines.where("l_linenumber > 1 AND l_returnflag = 'R'").select(F.col("l_orderkey").alias("document_id"), F.lit(-1).cast("long").alias("attempt_id"), F.col("l_linenumber").alias("attempt"), F.lit("ERROR").alias("state"), F.lit("config").alias("error"))
+    versions = o.select(k, F.col(_K).alias("version_id"), F.lit(True).alias("is_current"))
+    load_rows = o.select(k, F.col(_K).alias("version_id"), F.lit(7).alias("load_id"), F.when(p == "5-LOW", "RECHAZADO").otherwise("NUEVO").alias("outcome"))
+    xml = lines.where("l_linestatus = 'O' AND l_tax >= 0.07").select(F.col("l_orderkey").alias("document_id"), F.lit(True).alias("is_current"))
+    return claims.repairable(targets, documents, first.union(later), versions, load_rows, xml, 1, 7).select("document_id", "problem")
+
+
+@query(
+    """SELECT o_custkey AS batch, o_orderkey AS xml_id, CASE WHEN o_orderpriority <> '5-LOW' THEN o_orderdate::DATE END AS date, CASE WHEN o_orderpriority <> '1-URGENT' THEN CAST(o_totalprice AS DECIMAL(18,2))::DOUBLE END AS total, o_totalprice > 100000 AS tiene_iva,
+ concat_ws('; ', CASE WHEN o_orderpriority = '5-LOW' THEN 'fecha_emision' END, CASE WHEN o_orderpriority = '1-URGENT' THEN 'payable_amount' END) AS untyped FROM orders"""
+)
+def published_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A customer's orders as one JSON array of published rows, and back as typed rows with an error for each member."""
+    p, day = F.col("o_orderpriority"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    row = F.struct(
+        F.col(_K).alias("documento_xml_id"), F.lit(1).alias("version_extractor"), F.when(p == "5-LOW", F.date_format("o_orderdate", "dd/MM/yyyy")).otherwise(day).alias("fecha_emision"),
+        F.when(p == "1-URGENT", "n/a").otherwise(F.col("o_totalprice").cast("decimal(18,2)").cast("string")).alias("payable_amount"), (F.col("o_totalprice") > 100000).alias("tiene_iva"),
+    )
+    sent = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("batch")).agg(F.to_json(F.collect_list(row)).alias("rows_json"))
+    return dataset.rows_of_json(sent).select("batch", "xml_id", "date", F.col("total").cast("double").alias("total"), "tiene_iva", "untyped")
+
+
+@query(
+    """WITH o AS (SELECT o_orderkey AS k, o_orderdate::DATE AS d, o_orderpriority || '|' || (o_custkey // 20) AS label FROM orders),
+m AS (SELECT date_trunc('month', d)::DATE AS month, count(*) AS n FROM o GROUP BY 1),
+w AS (SELECT month, sum(n) OVER (ORDER BY month DESC) AS taken, sum(n) OVER () AS total, max(month) OVER () AS last FROM m),
+c AS (SELECT coalesce(max(month) FILTER (taken >= ceil(total * 0.2)), min(month)) AS cut FROM w WHERE date_diff('month', month, last) < 2),
+p AS (SELECT k, d, label, CASE WHEN d >= cut THEN 'test' ELSE 'train' END AS part FROM o, c),
+f AS (SELECT label FROM p WHERE part = 'train' GROUP BY label HAVING count(*) >= 2)
+SELECT k AS xml_id, d AS date, part, part = 'train' AND label IN (SELECT label FROM f) AS trainable FROM p"""
+)
+def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Part and trainability of each order, labelled by priority and group of customers."""
+    rows = table(spark, sf_dir, "orders").select(F.col(_K).alias("xml_id"), F.to_date("o_orderdate").alias("date"), F.concat("o_orderpriority", F.lit("|"), F.floor(F.col("o_custkey") / 20).cast("string")).alias("label"))
+    parts = split.temporal_split(rows, "date")
+    return split.partition_report(parts, split.trainable(parts.where("part = 'train'"), "label"))

@@ -6,8 +6,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def report(df: DataFrame, path: str, form: str = "csv") -> None:
-    """A report as CSV with header or as JSON lines; arrays and structs become JSON text in CSV."""
+def report(df: DataFrame, path: str, form: str = "csv", order: list[str] | None = None) -> None:
+    """A report as CSV with header or as JSON lines, its files and rows by ``order``; arrays and structs become JSON text in CSV."""
+    df = df.orderBy(*order) if order else df
     if form == "json":
         df.write.mode("overwrite").json(path)
         return

@@ -49,6 +49,30 @@ def dead_letters(bad: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return bad.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def poison(deliveries: DataFrame, allowed: int = 5) -> DataFrame:
+    """(message_id, value, deliveries) of messages whose ``allowed``-th delivery has failed, each once.
+
+    ``deliveries`` is a stream (message_id, value, failed, at).  The number of failed
+    deliveries is the message's state, so it goes on over micro-batches and restarts; a delivery that
+    succeeds forgets it.  What is in the dead letters is not sent there again.  Append mode.
+    """
+    import pandas as pd
+    from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+
+    def step(key: tuple, batches, state: GroupState):
+        n = state.get[0] if state.exists else 0
+        for _, row in pd.concat(list(batches)).sort_values("at", kind="stable").iterrows():
+            if n >= allowed:
+                continue
+            n = n + 1 if row["failed"] else 0
+            if n == allowed:
+                yield pd.DataFrame({"message_id": [key[0]], "value": [row["value"]], "deliveries": [n]})
+        state.update((n,)) if n else state.remove()
+
+    keyed = deliveries.select("message_id", "value", F.coalesce("failed", F.lit(False)).alias("failed"), "at").groupBy("message_id")
+    return keyed.applyInPandasWithState(step, "message_id string, value string, deliveries int", "n int", "append", GroupStateTimeout.NoTimeout)
+
+
 def fetch_all(claimed: DataFrame, fetch: Callable[[str], bytes]) -> DataFrame:
     """(document_id, content, error) for claimed documents through a pluggable fetcher, in the workers."""
     import pandas as pd
