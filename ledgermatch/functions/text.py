@@ -7,9 +7,11 @@ and ``spreadsheet_null`` (values that passed through a spreadsheet).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import unicodedata
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Words that stand for a missing value.
@@ -175,3 +177,13 @@ def tokens(x: Column, stop_words: tuple[str, ...] = (), least: int = 3) -> Colum
     words = F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(x, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
     keep = lambda w: (F.length(w) >= least) & ~w.rlike(r"^\p{N}+$") & (~w.isin(*stop_words) if stop_words else F.lit(True))
     return F.filter(words, keep)
+
+
+def first_of(normal: Callable[[Column], Column], *columns: Column) -> Column:
+    """The first column that has a value after ``normal``, as for ids and texts that two sources may give."""
+    return F.coalesce(*(normal(c) for c in columns))
+
+
+def stop_words(spark: SparkSession, language: str = "spanish") -> tuple[str, ...]:
+    """The stop words of a language that come with Spark."""
+    return tuple(spark._jvm.org.apache.spark.ml.feature.StopWordsRemover.loadDefaultStopWords(language))

@@ -7,6 +7,9 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text
+from .matching import accepted
+
 # Limits of the audit's actions, in the order in which they are tried.
 NULLS, DOMINANT, DISTINCT, PAIR_COLUMNS = 0.95, 0.98, 0.80, 60
 
@@ -88,3 +91,32 @@ def token_frequency_filter(docs: DataFrame, key: str, tokens: str, least: int =
     return docs.select(key).distinct().join(found, key, "left").select(key, F.array_join(F.transform("t", lambda t: t["token"]), " ").alias("text"))
 
 
+
+
+def item_tokens(docs: DataFrame, key: str, column: str, stop: tuple[str, ...] = (), least_length: int = 3, least: int = 2, share: float = 0.35) -> DataFrame:
+    """(key, text): the words of a description without stop words, numbers, short words, and words of too few or too many documents."""
+    words = docs.select(key, text.tokens(F.col(column), stop, least_length).alias("tokens"))
+    return token_frequency_filter(words, key, "tokens", least, share)
+
+
+def quality_counters(invoices: DataFrame, movements: DataFrame, fc: DataFrame, entries: DataFrame, scored: DataFrame, matches: DataFrame, rows: DataFrame) -> DataFrame:
+    """The 18 counters (metric, value) of a run: invoices by flag, movements, entries, candidates, matches by outcome, dataset rows.
+
+    ``invoices`` are those of ``features.invoice_features``; each input is read once.
+    """
+    n = F.count(F.lit(1))
+    flags = {
+        "invoices_without_nit": "no_nit", "invoices_without_number": "no_invoice", "invoices_with_discount": "has_discount", "invoices_with_charge": "has_charge", "invoices_over_2_units": "over_2_units",
+        "invoices_over_4_units": "over_4_units", "invoices_over_27_units": "over_27_units", "invoices_payable_mismatch": "payable_mismatch",
+    }
+    count_if = lambda x: F.coalesce(F.count_if(x), F.lit(0))
+    parts = [
+        invoices.agg(n.alias("invoices"), *[count_if(F.col(c) == 1).alias(name) for name, c in flags.items()]),
+        movements.agg(n.alias("movements")), fc.agg(n.alias("invoice_movements")), entries.agg(n.alias("entries")), scored.agg(count_if(F.col("entry_key").isNotNull()).alias("candidates")),
+        matches.agg(n.alias("matches"), count_if(accepted(F.col("state"))).alias("matches_ok"), count_if(F.col("state").contains("REVISION")).alias("matches_in_review"), count_if(F.col("state") == "SIN_MATCH").alias("matches_none")),
+        rows.agg(n.alias("dataset_rows")),
+    ]
+    out = long_form(parts[0])
+    for part in parts[1:]:
+        out = out.union(long_form(part))
+    return out

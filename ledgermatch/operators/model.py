@@ -6,16 +6,28 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import FeatureHasher, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import text
 from . import predictions
 
 
+#: Features that may list several codes, of which a model reads the first.
+CODES = ("industry_code",)
+
+
 def prepare(rows: DataFrame, features: list[str]) -> DataFrame:
-    """Text features trimmed with missing words to a mark of their own, numbers with 0 for null."""
+    """Text features trimmed with missing words to a mark of their own, codes up to their first semicolon, numbers with 0 for null."""
     kinds = dict(rows.dtypes)
-    out = {c: F.coalesce(F.nullif(F.trim(F.col(c)), F.lit("")), F.lit("?")) if kinds[c] == "string" else F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features}
+
+    def of(c: str) -> Column:
+        if kinds[c] != "string":
+            return F.coalesce(F.col(c).cast("double"), F.lit(0.0))
+        value = text.leading_code(F.col(c)) if c in CODES else F.trim(F.col(c))
+        return F.coalesce(F.when(~value.isin("", "nan", "None", "<NA>"), value), F.lit("?"))
+
+    out = {c: of(c) for c in features}
     return rows.withColumns(out)
 
 

@@ -51,10 +51,22 @@ def extraction_flags(xml: DataFrame, extracted: DataFrame, failed: DataFrame, ex
     return xml.join(done, "xml_id", "left").join(bad, "xml_id", "left").na.fill(False, ["is_extracted", "is_failed"])
 
 
-def in_load(invoices: DataFrame, load_rows: DataFrame, load_id: int) -> DataFrame:
-    """Invoices with a valid row in one load."""
-    rows = load_rows.where((F.col("load_id") == load_id) & (F.col("outcome") != "RECHAZADO"))
-    return invoices.join(rows, "document_id", "left_semi")
+def of_client(invoices: DataFrame, documents: DataFrame, client: int) -> DataFrame:
+    """Invoices (key, load_tag) of a client's documents (client_id, key, first_load_id), by key and first load."""
+    own = documents.where(F.col("client_id") == client).select("key", F.concat(F.lit("dian:"), F.col("first_load_id").cast("string")).alias("load_tag"))
+    return invoices.join(own, ["key", "load_tag"], "left_semi")
+
+
+def in_load(invoices: DataFrame, documents: DataFrame, load_rows: DataFrame, client: int, load_id: int) -> DataFrame:
+    """A client's invoices that also have a valid row (document_id, load_id, outcome) in one load: two semi joins, whatever the number of rows of either."""
+    valid = load_rows.where((F.col("load_id") == load_id) & (F.col("outcome") != "RECHAZADO"))
+    listed = documents.where(F.col("client_id") == client).join(valid, "document_id", "left_semi").select("key")
+    return of_client(invoices, documents, client).join(listed, "key", "left_semi")
+
+
+def semantic_differences(headers: DataFrame) -> DataFrame:
+    """``headers`` with what the two meanings of discount and charge differ in."""
+    return headers.withColumns({"discount_differs": F.col("allowanceTotal") != F.col("legacyDiscount"), "charge_differs": F.col("chargeTotal") != F.col("legacyCharge")})
 
 
 #: Names of the compatibility view's columns, and the members of a header that they show.

@@ -43,6 +43,11 @@ class Run:
     def quality(self) -> DataFrame:
         return audit.quality_summary(self.invoices, self.entries, self.scored, self.matches)
 
+    @cached_property
+    def counters(self) -> DataFrame:
+        fc = entries.invoice_movements(self.movements)
+        return audit.quality_counters(self.invoices, self.movements, fc, self.entries, self.scored, self.matches, self.rows)
+
     @cached_property
     def coverage(self) -> DataFrame:
         return matching.coverage(self.matches)

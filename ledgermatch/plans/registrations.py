@@ -5,10 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators import claims, dataset, extraction, predictions, registry, split, views
+from ..operators import audit, claims, dataset, extraction, features, predictions, registry, split, views
+from ..schemas import INVOICES
 from ..sources import ubl
+from . import adaptor, pipeline
 from .adaptor import table
-from .queries import query
+from .queries import DENSE, query
 
 _K = "o_orderkey"
 #: An order's key as 96 hex digits, in DuckDB and (``_hex``) in Spark.
@@ -243,3 +245,55 @@ def partition_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(F.col(_K).alias("xml_id"), F.to_date("o_orderdate").alias("date"), F.concat("o_orderpriority", F.lit("|"), F.floor(F.col("o_custkey") / 20).cast("string")).alias("label"))
     parts = split.temporal_split(rows, "date")
     return split.partition_report(parts, split.trainable(parts.where("part = 'train'"), "label"))
+
+
+#: Stop words of the query below.
+STOP = ("the", "and", "der", "die", "und", "que", "los", "les", "des")
+
+
+@query(
+    rf"""WITH w AS (SELECT doc_id, unnest(string_split(trim(regexp_replace(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ')) AS token FROM documents),
+k AS (SELECT * FROM w WHERE length(token) >= 3 AND NOT regexp_full_match(token, '\p{{N}}+') AND token NOT IN {STOP}),
+f AS (SELECT token FROM k GROUP BY token HAVING count(DISTINCT doc_id) >= 2 AND count(DISTINCT doc_id) <= greatest(1, floor((SELECT count(*) FROM documents) * 0.35))),
+n AS (SELECT doc_id, count(*) AS n FROM k WHERE token IN (SELECT token FROM f) GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_tokens FROM (SELECT DISTINCT doc_id FROM documents) LEFT JOIN n USING (doc_id)"""
+)
+def item_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document stay after stop words, numbers, short, rare and common words have gone."""
+    out = audit.item_tokens(table(spark, sf_dir, "documents"), "doc_id", "text", STOP)
+    return out.select("doc_id", F.size(F.filter(F.split(F.coalesce("text", F.lit("")), " "), lambda x: x != "")).cast("long").alias("n_tokens"))
+
+
+@query(
+    """WITH v AS (SELECT o_orderkey, o_orderkey::VARCHAR AS key, 'dian:' || (o_custkey % 50)::VARCHAR AS load_tag FROM orders), r AS (SELECT DISTINCT l_orderkey FROM lineitem WHERE l_quantity > 45 AND l_returnflag <> 'R')
+SELECT o_orderkey AS xml_id FROM v JOIN orders USING (o_orderkey) WHERE o_orderstatus <> 'P' AND o_orderkey IN (SELECT l_orderkey FROM r)"""
+)
+def load_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invoices of a client (orders that aren't pending) with a valid row in the load of large lines (returned ones are rejected)."""
+    o, tag = table(spark, sf_dir, "orders"), (F.col("o_custkey") % 50)
+    key = F.col(_K).cast("string").alias("key")
+    documents = o.select(F.col(_K).alias("document_id"), F.when(F.col("o_orderstatus") == "P", 2).otherwise(1).alias("client_id"), key, tag.alias("first_load_id"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("document_id"), F.when(F.col("l_quantity") > 45, 9).otherwise(8).alias("load_id"), F.when(F.col("l_returnflag") == "R", "RECHAZADO").otherwise("NUEVO").alias("outcome"))
+    invoices = o.select(F.col(_K).alias("xml_id"), key, F.concat(F.lit("dian:"), tag.cast("string")).alias("load_tag"))
+    return views.in_load(invoices, documents, rows, 1, 9).select("xml_id")
+
+
+@query(
+    f"""WITH {DENSE}, f AS (SELECT o_totalprice AS p, o_orderkey % 2 = 1 AS charge, o_orderstatus = 'F' AS discount FROM orders)
+SELECT unnest([
+ {{'metric': 'invoices', 'value': (SELECT count(*) FROM f)}}, {{'metric': 'invoices_without_nit', 'value': 0}}, {{'metric': 'invoices_without_number', 'value': 0}}, {{'metric': 'invoices_with_discount', 'value': (SELECT count(*) FROM f WHERE discount)}},
+ {{'metric': 'invoices_with_charge', 'value': (SELECT count(*) FROM f WHERE charge)}}, {{'metric': 'invoices_over_2_units', 'value': (SELECT count(*) FROM f WHERE p >= 104748)}}, {{'metric': 'invoices_over_4_units', 'value': (SELECT count(*) FROM f WHERE p >= 209496)}},
+ {{'metric': 'invoices_over_27_units', 'value': (SELECT count(*) FROM f WHERE p >= 1414098)}}, {{'metric': 'invoices_payable_mismatch', 'value': (SELECT count(*) FROM f WHERE discount)}}, {{'metric': 'movements', 'value': (SELECT count(*) FROM mov)}},
+ {{'metric': 'invoice_movements', 'value': (SELECT count(*) FROM mov)}}, {{'metric': 'entries', 'value': (SELECT count(*) FROM ent)}}, {{'metric': 'candidates', 'value': (SELECT count(*) FROM cand WHERE found)}},
+ {{'metric': 'matches', 'value': (SELECT count(*) FROM matched)}}, {{'metric': 'matches_ok', 'value': (SELECT count(*) FROM matched WHERE state LIKE 'OK%')}}, {{'metric': 'matches_in_review', 'value': (SELECT count(*) FROM matched WHERE state LIKE 'REVISION%')}},
+ {{'metric': 'matches_none', 'value': (SELECT count(*) FROM matched WHERE state = 'SIN_MATCH')}}, {{'metric': 'dataset_rows', 'value': (SELECT count(*) FROM matched)}}], recursive := true)"""
+)
+def quality_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All counters of a run over raw invoices of the orders and the whole ledger."""
+    price, filled = F.col("o_totalprice"), F.col("o_orderstatus") == "F"
+    raw = table(spark, sf_dir, "orders").select(
+        F.col(_K).alias("xml_id"), F.col("o_custkey").cast("string").alias("nit"), F.col(_K).cast("string").alias("invoice"), F.to_date("o_orderdate").alias("date"), price.alias("payable"), price.alias("tax_exclusive"),
+        (price + F.when(filled, 5.0).otherwise(0.0)).alias("tax_inclusive"), F.when(filled, 1.0).alias("discount"), F.when(F.col(_K) % 2 == 1, 2.0).alias("charge"),
+    )
+    raw = features.ensure_columns(raw, dict(c.split() for c in INVOICES.split(", ")))
+    return pipeline.match_run(raw, adaptor.movements(spark, sf_dir)).counters

@@ -26,13 +26,14 @@ def listing_header(name: str) -> str:
     return DAMAGED.get(folded, folded)
 
 
-def listing_rows(spark: SparkSession, path: str) -> DataFrame:
+def listing_rows(spark: SparkSession, path: str, table: str | None = None, by_table: bool = False) -> DataFrame:
     """Typed listing rows with their original cells, row hash, content hash and parse errors.
 
     Tax amounts default to 0, the total doesn't; a row with a value that can't be read has the
-    content hash "".
+    content hash "".  The rows are those below the first header that fits; with ``table`` those
+    of the named table, with ``by_table`` those of the first table or sheet.
     """
-    raw = xlsx.read_records(spark, path, set(REQUIRED), listing_header)
+    raw = xlsx.read_tables(spark, path, set(REQUIRED), listing_header, table) if by_table or table else xlsx.read_records(spark, path, set(REQUIRED), listing_header)
     cell = lambda h: text.blank_to_null(F.col("cells").getItem(h))
     name = lambda h: h.replace(" ", "_")
     values: dict[str, Column] = {name(h): cell(h) for h in TEXTS}
@@ -62,3 +63,8 @@ def ledger_rows(spark: SparkSession, path: str, sheet: str | None = None, max_ro
     values = rules.movement(lambda member: cell(member.upper()), F.col("error"))
     values["rule"] = values.pop("error")
     return raw.withColumns(values).drop("cells", "original", "error")
+
+
+def engine_rows(spark: SparkSession, path: str, required: set[str], table: str | None = None, recover: tuple[str, ...] = ("nit_proveedor",)) -> DataFrame:
+    """(path, row, cells, error) of an engine's sheet: all cells as text by snake-case name; a wholly empty column of ``recover`` gets the raw text of its cells."""
+    return xlsx.read_tables(spark, path, required, text.snake_name, table, recover=recover).drop("original")

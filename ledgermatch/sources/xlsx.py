@@ -7,6 +7,7 @@ reads, and are parsed in the workers, a file at a time.  All cells come as text.
 from __future__ import annotations
 
 import io
+import posixpath
 import re
 import zipfile
 from collections.abc import Callable, Iterator
@@ -59,11 +60,28 @@ class Workbook:
         targets = {r.get("Id"): r.get("Target") for r in self._xml("xl/_rels/workbook.xml.rels")}
         self.sheets = {s.get("name"): "xl/" + targets[s.get(f"{REL}id")].removeprefix("/xl/") for s in self._xml("xl/workbook.xml").iter(f"{MAIN}sheet")}
 
+    def tables(self) -> Iterator[tuple[str, str, str]]:
+        """(sheet, table, range) of every named table, sheet by sheet, by way of the sheets' relationships."""
+        names = set(self.zip.namelist())
+        for sheet, part in self.sheets.items():
+            folder, _, name = part.rpartition("/")
+            links = f"{folder}/_rels/{name}.rels"
+            if links not in names:
+                continue
+            for r in self._xml(links):
+                if not (r.get("Type") or "").endswith("/table"):
+                    continue
+                target = r.get("Target")
+                at = target.lstrip("/") if target.startswith("/") else posixpath.normpath(f"{folder}/{target}")
+                if at in names:
+                    table = self._xml(at)
+                    yield sheet, table.get("displayName") or table.get("name"), table.get("ref")
+
     def _xml(self, name: str):
         return ElementTree.fromstring(self.zip.read(name))
 
-    def rows(self, sheet: str) -> Iterator[tuple[int, list[str | None]]]:
-        """(row number, cells) of the rows that aren't blank, streamed."""
+    def rows(self, sheet: str, raw: bool = False) -> Iterator[tuple[int, list[str | None]]]:
+        """(row number, cells) of the rows that aren't blank, streamed; ``raw`` cells are the text that is written in them, whatever their type."""
         with self.zip.open(self.sheets[sheet]) as stream:
             for _, row in ElementTree.iterparse(stream):
                 if row.tag != f"{MAIN}row":
@@ -72,11 +90,17 @@ class Workbook:
                 for c in row.iter(f"{MAIN}c"):
                     at = column_number(c.get("r")) if c.get("r") else len(cells)
                     cells += [None] * (at + 1 - len(cells))
-                    cells[at] = self._cell(c)
+                    cells[at] = self._raw(c) if raw else self._cell(c)
                 if any(x and x.strip() for x in cells):
                     yield int(row.get("r")), cells
                 row.clear()
 
+    def _raw(self, c) -> str | None:
+        value = c.find(f"{MAIN}v")
+        if c.get("t") == "s" and value is not None and value.text:
+            return self.shared[int(value.text)]
+        return "".join(x.text or "" for x in c.iter() if x.tag in (f"{MAIN}v", f"{MAIN}t")) or None
+
     def _cell(self, c) -> str | None:
         kind, value = c.get("t"), c.find(f"{MAIN}v")
         if kind == "inlineStr":
@@ -197,6 +221,79 @@ def read_records(spark: SparkSession, path: str, required: set[str], fold: Calla
     return files.mapInPandas(of, "path string, row long, cells map<string,string>, original map<string,string>, error string")
 
 
+def choose(book: Workbook, table: str | None = None) -> tuple[str, str]:
+    """(sheet, range) to read: the table of that name in any case; without a name the first table, else the first sheet with two rows."""
+    tables = list(book.tables())
+    if table is not None and table.strip():
+        for sheet, name, ref in tables:
+            if name.casefold() == table.strip().casefold():
+                return sheet, ref
+        raise ValueError(f"no table {table.strip()!r}")
+    if tables:
+        return tables[0][0], tables[0][2]
+    for sheet in book.sheets:
+        if sum(1 for _, _ in zip(range(2), book.rows(sheet))) == 2:
+            return sheet, ""
+    raise ValueError("neither a table nor a sheet with rows")
+
+
+def table_records(book: Workbook, required: set[str], fold: Callable[[str], str], table: str | None = None, max_rows: int = MAX_ROWS, recover: tuple[str, ...] = ()) -> Iterator[tuple[int, dict[str, str | None], dict[str, str | None]]]:
+    """(row number, cells by folded header, cells by header as written) of the table that ``choose`` finds; its first row is the header.
+
+    A column of ``recover`` (folded) that is wholly empty is read again as the text written in its cells.
+    """
+    sheet, ref = choose(book, table)
+    low, high = (re.findall(r"([A-Z]+)(\d+)", ref.replace("$", "")) + [None, None])[:2] if ref else (None, None)
+    first_row, first = (int(low[1]), column_number(low[0])) if low else (1, 0)
+    last_row, last = (int(high[1]), column_number(high[0])) if high else ((first_row, first) if low else (None, None))
+
+    def inside(raw: bool = False) -> Iterator[tuple[int, list[str | None]]]:
+        for row, cells in book.rows(sheet, raw):
+            if row >= first_row and (last_row is None or row <= last_row):
+                yield row, cells[first : None if last is None else last + 1]
+
+    heads, found = None, []
+    for row, cells in inside():
+        if heads is None:
+            folded = [fold(c or "") for c in cells]
+            if not required <= set(folded):
+                raise ValueError("the table lacks required columns")
+            if any(folded.count(f) > 1 for f in required):
+                raise ValueError("a column comes twice")
+            heads = list(zip(folded, cells, strict=True))
+        elif any(x and x.strip() for x in cells):
+            found.append((row, cells + [None] * (len(heads) - len(cells))))
+            if len(found) > max_rows:
+                raise ValueError(f"more than {max_rows} rows")
+    if not found:
+        raise ValueError("the table has no rows")
+    empty = [i for i, (f, _) in enumerate(heads) if f in recover and not any(cells[i] and cells[i].strip() for _, cells in found)]
+    if empty:
+        written = dict(inside(raw=True))
+        for row, cells in found:
+            for i in empty:
+                cells[i] = written[row][i] if i < len(written.get(row, [])) else None
+    for row, cells in found:
+        pairs = [(f, c, v) for (f, c), v in zip(heads, cells) if f]
+        yield row, {f: v for f, _, v in pairs}, {c: v for _, c, v in pairs}
+
+
+def read_tables(spark: SparkSession, path: str, required: set[str], fold: Callable[[str], str], table: str | None = None, max_rows: int = MAX_ROWS, max_unzipped: int = MAX_UNZIPPED, recover: tuple[str, ...] = ()) -> DataFrame:
+    """As ``read_records``, of a named table, the first one, or the first sheet with rows."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, content in zip(batch["path"], batch["content"], strict=True):
+                try:
+                    rows = [(name, row, cells, raw, None) for row, cells, raw in table_records(Workbook(content, max_unzipped), required, fold, table, max_rows, recover)]
+                except (ValueError, KeyError, IndexError, zipfile.BadZipFile, ElementTree.ParseError) as e:
+                    rows = [(name, None, None, None, str(e))]
+                yield pd.DataFrame(rows, columns=["path", "row", "cells", "original", "error"]).astype({"row": "Int64"})
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInPandas(of, "path string, row long, cells map<string,string>, original map<string,string>, error string")
+
+
 def upload_error(path: Column, content: Column, most: int = 20 << 20) -> Column:
     """The first rule that an uploaded file breaks: name, size, or the mark of a ZIP file; null if none."""
     name = F.regexp_extract(path, r"[^/]*$", 0)
