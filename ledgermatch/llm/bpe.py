@@ -75,13 +75,13 @@ def _bytes(ids: np.ndarray | None, enc: tiktoken.Encoding) -> bytes:
     return enc.decode_bytes([] if ids is None else ids.tolist())
 
 
-def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:
-    """``docs`` and a column ``ids`` (array<int>) with the token ids of ``text``."""
-    return docs.withColumn("ids", _ids(path, pattern, long)(F.col("text")))
+def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG, column: str = "ids") -> DataFrame:
+    """``docs`` and a column of arrays of int with the token ids of ``text``; it replaces a column of that name (``common.free_name`` gives another)."""
+    return docs.withColumn(column, _ids(path, pattern, long)(F.col("text")))
 
 
-def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN) -> DataFrame:
-    """``encoded`` and a column ``bytes`` (binary) with the raw bytes of ``ids``; a null array gives no bytes."""
+def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, column: str = "ids", to: str = "bytes") -> DataFrame:
+    """``encoded`` and a column ``to`` (binary) with the raw bytes of the ids in ``column``; a null array gives no bytes."""
     path = path or public_tokenizers.path(RANKS)
 
     @F.pandas_udf("binary")
@@ -89,7 +89,7 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_to
         enc = encoding(path, pattern)
         return pd.Series([_bytes(x, enc) for x in ids], dtype=object)
 
-    return encoded.withColumn("bytes", raw(F.col("ids")))
+    return encoded.withColumn(to, raw(F.col(f"`{column}`")))
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG) -> DataFrame:

@@ -87,20 +87,21 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 
 def head_of(words: DataFrame, limit: int = HEAD) -> list[tuple[bytes, int]]:
-    """The most frequent words, at most ``limit``, most frequent first.
+    """The most frequent words, exactly ``limit`` if there are as many, most frequent first, ties by the word's bytes.
 
-    A histogram of the counts (a thousand rows at most) gives the count from which they fit.
+    A histogram of the counts (a thousand rows at most) gives the bins that fit whole; of the next bin come as many as are missing.
     """
     step = F.floor(F.log2("n") * 16).cast("int")
     bins = sorted(((r[0], r[1]) for r in words.groupBy(step.alias("b")).count().collect()), reverse=True)
-    total, least = 0, None
+    total, least, cut = 0, None, None
     for b, k in bins:
         if total + k > limit:
+            cut = b
             break
         total, least = total + k, b
-    if least is None:
-        return []
-    rows = words.where(step >= least).collect()
+    rows = words.where(step >= least).collect() if least is not None else []
+    if cut is not None and total < limit:
+        rows += words.where(step == cut).orderBy(F.desc("n"), "word").limit(limit - total).collect()
     return sorted(((bytes(r["word"]), r["n"]) for r in rows), key=lambda r: (-r[1], r[0]))
 
 
@@ -132,7 +133,7 @@ class Elements:
 def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
     """(before, after, n): the bigrams of elements over all rows, counted in the workers before the shuffle.
 
-    The bigrams of one first element come to one task.
+    The sums of one first element come to one task.
     """
     size = elements.size
 
@@ -156,7 +157,8 @@ def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
             yield out()
 
     each = texts.select("text").mapInArrow(of, "before int, after int, n long")
-    return each.repartition("before").groupBy("before", "after").agg(F.sum("n").alias("n"))
+    # Summed by both first: the rows that one first element then brings to its task are no more than there are elements.
+    return each.groupBy("before", "after").agg(F.sum("n").alias("n")).repartition("before")
 
 
 def transitions(pairs: DataFrame, label: np.ndarray, classes: int, first: int | None = None) -> np.ndarray:

@@ -47,6 +47,21 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def adopt(df: DataFrame, path: str) -> DataFrame:
+    """``df``, which reads a table that an operator has written itself: ``release`` deletes it as if ``store`` had written it."""
+    df.stored_at = path
+    _STORED.append(path)
+    return df
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many "_" before it as it takes to clash with none of ``taken``, whatever their case."""
+    lower = {c.lower() for c in taken}
+    while name.lower() in lower:
+        name = f"_{name}"
+    return name
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)

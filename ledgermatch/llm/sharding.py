@@ -30,14 +30,13 @@ from . import common
 SHARDS, SEED, BUCKET_BYTES = 16, 3, 4 << 20
 
 
-def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, row_bytes: int = 100) -> DataFrame:
-    """``df`` and the columns shard (int) and slot (long) of each row.
+def placed(df: DataFrame, shards: int = SHARDS, seed: int = SEED, bucket_bytes: int = BUCKET_BYTES, row_bytes: int = 100) -> DataFrame:
+    """(row, shard int, slot long) of each row of ``df``; row is a struct of all its columns, whatever their names and types.
 
-    ``row_bytes`` is the space of a row besides its strings; all columns must be sortable
-    (no maps).  The counts that come to the driver are two numbers.
+    ``row_bytes`` is the space of a row besides its strings.  The counts that come to the
+    driver are two numbers.
     """
-    nulls = F.concat(*[F.col(f"`{c}`").isNull().cast("int").cast("string") for c in df.columns])
-    key = [F.xxhash64(F.lit(i), nulls, *[F.col(f"`{c}`") for c in df.columns]).alias(f"k{i}") for i in (1, 2)]
+    key = [k.alias(f"k{i}") for i, k in enumerate(common.row_key(df), 1)]
     row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
     sizes = [F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)) for c, kind in df.dtypes if kind in ("string", "binary")]
     records = common.store(df.select(row, *key, sum(sizes, F.lit(row_bytes).cast("long")).alias("bytes")), "records")
@@ -46,13 +45,17 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
 
     repeated = common.store(records.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("k1", "k2"), "repeated")
     once = records.join(repeated, ["k1", "k2"], "left_anti").select("row", "k1", "k2", F.lit(1).cast("long").alias("copy"))
-    again = common.numbered_copies(records.join(repeated, ["k1", "k2"], "left_semi"), ["row", "k1", "k2"])
+    counted = records.join(repeated, ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.first("row").alias("row"), F.count(F.lit(1)).alias("_n"))
+    again = common.unfolded(counted, "_n", "copy").select("row", "k1", "k2", "copy")
     copies = once.union(again).withColumn("h", F.xxhash64(F.lit(seed), "k1", "k2", "copy"))
     copies = copies.withColumn("bucket", F.pmod("h", F.lit(buckets))).select("bucket", "h", "copy", "row")
 
-    counts = copies.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
-    # One row per bucket: 4 MB of records become 24 bytes here.
-    starts = common.store(counts.select("bucket", (F.sum("n").over(Window.orderBy("bucket")) - F.col("n")).alias("start")), "starts")
+    # 4 MB of records are one bucket, 4096 buckets one run: what is summed in one task is a row per run
+    counts = copies.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).withColumn("run", F.floor(F.col("bucket") / 4096))
+    runs = counts.groupBy("run").agg(F.sum("n").alias("m"))
+    runs = runs.select("run", (F.sum("m").over(Window.orderBy("run")) - F.col("m")).alias("before"))
+    inside = F.sum("n").over(Window.partitionBy("run").orderBy("bucket")) - F.col("n")
+    starts = common.store(counts.withColumn("inside", inside).join(runs, "run").select("bucket", (F.col("before") + F.col("inside")).alias("start")), "starts")
 
     def fisher_yates(group: pa.Table) -> pa.Table:
         group = group.sort_by([("h", "ascending"), ("copy", "ascending")])
@@ -63,12 +66,22 @@ def external_shuffle(df: DataFrame, shards: int = SHARDS, seed: int = SEED, buck
         return group.select(["row"]).append_column("at", pa.array(order, pa.int64()))
 
     schema = StructType([copies.schema["row"], StructField("at", LongType())])
-    placed = copies.join(starts, "bucket").groupBy("bucket").applyInArrow(fisher_yates, schema)
-    own = [F.col(f"row.`{c}`").alias(c) for c in df.columns]
+    done = copies.join(starts, "bucket").groupBy("bucket").applyInArrow(fisher_yates, schema)
     n = max(n, 1)
     to = F.expr(f"(at * {shards}L) div {n}L")
     first = F.expr(f"(((at * {shards}L) div {n}L) * {n}L + {shards - 1}L) div {shards}L")  # the shard's first position
-    return placed.select(*own, to.cast("int").alias("shard"), (F.col("at") - first).cast("long").alias("slot"))
+    return done.select("row", to.cast("int").alias("shard"), (F.col("at") - first).cast("long").alias("slot"))
+
+
+def names(columns: list[str]) -> tuple[str, str]:
+    """What the columns shard and slot are called beside ``columns``: with "_" before names that these have."""
+    return common.free_name("shard", columns), common.free_name("slot", columns)
+
+
+def external_shuffle(df: DataFrame, **options) -> DataFrame:
+    """``df`` and the columns shard and slot (see ``names``) of each row."""
+    shard, slot = names(df.columns)
+    return placed(df, **options).select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns], F.col("shard").alias(shard), F.col("slot").alias(slot))
 
 
 def write_shards(df: DataFrame, path: str, **options) -> DataFrame:
@@ -77,10 +90,10 @@ def write_shards(df: DataFrame, path: str, **options) -> DataFrame:
     Each task of the second pass writes one file per shard, in the order of slots, from the
     buckets it holds: the records are not moved again.
     """
-    done = external_shuffle(df, **options)
-    done.sortWithinPartitions("shard", "slot").write.partitionBy("shard").option("compression", "zstd").parquet(path)
-    schema = StructType([*df.schema.fields, StructField("slot", LongType()), StructField("shard", IntegerType())])
-    return df.sparkSession.read.schema(schema).parquet(path)
+    shard, slot = names(df.columns)
+    external_shuffle(df, **options).sortWithinPartitions(shard, slot).write.partitionBy(shard).option("compression", "zstd").parquet(path)
+    schema = StructType([*df.schema.fields, StructField(slot, LongType()), StructField(shard, IntegerType())])
+    return common.adopt(df.sparkSession.read.schema(schema).parquet(path), path)
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +102,9 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     The whole documents are shuffled and written to the shared folder as shards; size and
     text_crc32 come of the texts read from there.
     """
-    placed = write_shards(common.read_table(spark, sf_dir, "documents"), f"{common.shared_dir(spark)}/ledgermatch/shards-{uuid.uuid4().hex}")
+    docs = common.read_table(spark, sf_dir, "documents")
+    done = write_shards(docs, f"{common.shared_dir(spark)}/ledgermatch/shards-{uuid.uuid4().hex}")
+    shard, slot = names(docs.columns)
     text = F.coalesce(F.col("text"), F.lit(""))
     size = (F.octet_length(text) + 1).cast("long").alias("size")
-    return placed.select("doc_id", size, F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return done.select("doc_id", size, F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), F.col(shard).alias("shard"), F.col(slot).alias("slot"), F.lit(None).cast("int").alias("grown_shard"))

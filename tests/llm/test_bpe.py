@@ -5,7 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgermatch.llm import bpe
+from ledgermatch.llm import bpe, common
 
 SCHEMA = "doc_id long, text string, ids string, bytes string"
 ENC = bpe.encoding(public_tokenizers.path(bpe.RANKS), public_tokenizers.PATTERN)
@@ -53,3 +53,12 @@ def test_the_query_itself(spark, small):
     for r in bpe.op10_bpe(spark, small).collect():
         ids = ENC.encode_ordinary(texts[r["doc_id"]])
         assert (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) == (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest())
+
+
+def test_columns_named_like_the_results_stay(spark):
+    docs = spark.createDataFrame([(1, "a b", "keep", "too")], "doc_id long, text string, IDS string, bytes string")
+    ids, raw = common.free_name("ids", docs.columns), common.free_name("bytes", docs.columns)
+    out = bpe.decode(bpe.tokens(docs, column=ids), column=ids, to=raw)
+    assert out.columns == ["doc_id", "text", "IDS", "bytes", "_ids", "_bytes"]
+    row = out.first()
+    assert row["IDS"] == "keep" and row["bytes"] == "too" and bytes(row["_bytes"]) == b"a b"

@@ -121,3 +121,10 @@ def test_no_training_texts_and_empty_table(spark):
     alone = classlm.score(spark.createDataFrame([(i, "x y z", None, None) for i in ids], SCHEMA)).collect()
     assert all(r["held_out"] and r["n_known"] == 0 and r["train_tokens"] == 0 and np.isfinite(r["score"]) for r in alone)
     assert classlm.score(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_the_head_is_cut_exactly(spark):
+    words = spark.createDataFrame([(f"w{i:03d}".encode(), 5) for i in range(30)] + [(b"top", 9), (b"low", 1)], "word binary, n long")
+    assert classlm.head_of(words, 10) == [(b"top", 9)] + [(f"w{i:03d}".encode(), 5) for i in range(9)]
+    assert classlm.head_of(words, 1) == [(b"top", 9)] and len(classlm.head_of(words, 32)) == len(classlm.head_of(words, 99)) == 32
+    assert classlm.head_of(words.where("n = 5"), 29) == [(f"w{i:03d}".encode(), 5) for i in range(29)]

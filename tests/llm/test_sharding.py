@@ -89,3 +89,25 @@ def test_query_columns(spark, small):
     found = sharding.op3_sharding(spark, small).collect()
     docs = {r["doc_id"]: (r["text"] or "").encode() for r in common.read_table(spark, small, "documents").collect()}
     assert all((r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(docs[r["doc_id"]]) + 1, zlib.crc32(docs[r["doc_id"]]), "rows", None) for r in found)
+
+
+def test_columns_of_any_name_and_maps(spark, tmp_path):
+    rows = [(i // 3, f"t{i // 3}", "a", i, {"k": i // 3}, "s") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, Shard string, slot int, m map<string,int>, row string")
+    out = sharding.external_shuffle(df, shards=4, bucket_bytes=500)
+    assert out.columns == [*df.columns, "_shard", "_slot"]
+    got = out.collect()
+    assert sorted((r["doc_id"], r["slot"], r["m"]["k"]) for r in got) == sorted((r[0], r[3], r[4]["k"]) for r in rows)
+    places = sorted((r["_shard"], r["_slot"]) for r in got)
+    assert places == [(s, i) for s in range(4) for i in range(10)]
+    same = df.drop("slot").select("doc_id", "text", "Shard", "m", "row")  # complete repeats
+    read = sharding.write_shards(same, str(tmp_path / "out"), shards=3, bucket_bytes=300)
+    assert read.count() == 40 and "_shard" in read.columns and "slot" in read.columns
+
+
+def test_written_shards_are_released(spark, tmp_path):
+    before = common.mark()
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "doc_id long, text string")
+    sharding.write_shards(df, str(tmp_path / "out")).collect()
+    common.release(spark, before)
+    assert not (tmp_path / "out").exists()
