@@ -24,14 +24,16 @@ A node with very many askers is a key of a plain join, which adaptive execution
 of the n nearest are cut by a ranking window, in each task before the shuffle too.
 
 Exactly equal vectors are one node that remembers its ``TOP`` + 1 smallest ids; no query needs
-more of them.  Vectors that are null, zero or hold null or non-finite components, or of
-another length than most, take part neither as queries nor as candidates.  Complete repeats
-count once.  Scores that exceed a double are infinite, and tie.
+more of them.  Vectors that are null, zero or hold null or non-finite components take part
+neither as queries nor as candidates.  Vectors of another number of components have no inner
+product: each number of components is a table of its own, searched after another, and a vec_id
+that has vectors of several is a query in each.  Complete repeats count once.  Scores that exceed a double are infinite, and tie.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -46,12 +48,9 @@ K, REVERSE, SENT, GROUPINGS, GROUP, CHANGED, ENTRIES, POOL, SEED = 32, 16, 8, 5,
 FOUND = "node long, v long, s double"
 
 
-def nodes_of(table: DataFrame, top: int = TOP) -> DataFrame:
-    """(node, vector, ids): distinct usable vectors of the most common length, each with its smallest vec_ids."""
-    good = table.select(F.col("vec_id").cast("long").alias("id"), _vector(table)).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
-    length = good.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    good = good.where(F.size("vector") == (length["d"] if length else 0))
-    ids = common.best(good, "vector", "id", top + 1, descending=False).withColumnRenamed("id", "ids")
+def nodes_of(good: DataFrame, top: int = TOP) -> DataFrame:
+    """(node, vector, ids): distinct vectors of ``good`` (vec_id, vector), each with its smallest vec_ids."""
+    ids = common.best(good.withColumnRenamed("vec_id", "id"), "vector", "id", top + 1, descending=False).withColumnRenamed("id", "ids")
     return common.store(ids.select(F.col("ids")[0].alias("node"), "vector", "ids"), "nodes")
 
 
@@ -251,10 +250,18 @@ def nearest(table: DataFrame, is_query: Column, top: int = TOP, pool: int = POOL
 
     ``is_query`` is a condition on a column ``vec_id``.
     """
-    nodes = nodes_of(table, top)
+    good = table.select(F.col("vec_id").cast("long"), _vector(table)).where(F.col("vec_id").isNotNull() & usable(F.col("vector")))
+    sizes = sorted(r[0] for r in good.select(F.size("vector")).distinct().collect())  # as many as there are kinds of vectors
+    parts = [_nearest(good.where(F.size("vector") == d), is_query, top, pool, rounds) for d in sizes or [0]]
+    return reduce(DataFrame.union, parts)
+
+
+def _nearest(good: DataFrame, is_query: Column, top: int, pool: int, rounds: int | None) -> DataFrame:
+    """``nearest`` among vectors of one number of components."""
+    nodes = nodes_of(good, top)
     vectors = common.store(quantized(nodes), "vectors")
     graph = build(vectors, rounds=rounds)
-    asked = table.select(F.col("vec_id").cast("long"), _vector(table)).where(F.col("vec_id").isNotNull() & usable(F.col("vector"))).where(is_query).distinct()
+    asked = good.where(is_query).distinct()
     asked = common.store(asked.join(nodes.select("vector", "node"), "vector").select("vec_id", "node"), "queries")
     pools = search(asked.select("node").distinct(), graph, vectors, pool)
 

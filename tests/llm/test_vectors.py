@@ -151,6 +151,21 @@ def test_links_of_vectors_of_several_lengths(spark):
         assert found[i] == sum(j != i and len(w) == len(v) and cos(v, w) >= 0.95 for j, w in vectors.items())
 
 
+def test_nearest_among_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=(5, 12, 1)[i % 3]).tolist()) for i in range(150)] + [(151, [])]
+    found = {}
+    for r in ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    vectors = {i: np.array(v) for i, v in rows if v}
+    assert set(found) == {i for i in vectors if i % 20 == 0}
+    for q, got in found.items():
+        same = {i: v for i, v in vectors.items() if len(v) == len(vectors[q])}
+        best, scores = brute_nearest(same, q)
+        assert [r[0] for r in sorted(got)] == list(range(1, 21)) and {r[1] for r in got} <= set(same) - {q}
+        assert len(set(best) & {r[1] for r in got}) >= 19
+
+
 def test_the_queries_themselves(spark, small):
     rows = [r for r in spark.read.parquet(f"{small}/embeddings.parquet").collect()]
     x = {r["vec_id"]: np.array(r["embedding"], dtype=np.float64) for r in rows}
