@@ -26,7 +26,8 @@ up to 16 differing bits, and only pairs whose sets of shingles are 0.8 alike (Ja
 No pigeonhole reaches 16 of 64 bits, so it looks up where copies differ most likely: the key of
 a posting is two of five blocks of 12 or 13 bits, and a text is listed under all changes of the
 ``FLIPS`` bits of the key that its shingles decide by the smallest majority.  Two texts meet
-if each differing bit of a key is among those of the one or the other.
+if each differing bit of a key is among those of the one or the other.  The lookup is done for two
+fingerprints of the same shingles, as one of them misses some pairs at a similarity near 0.8.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ from . import common
 
 SHINGLE, SEED, MAX_BITS, DENSE = 3, 42, 2, 64
 #: Of ``similar``.
-WORDS, BUDGET, ALIKE, FLIPS = 5, 16, 0.8, 4
+WORDS, BUDGET, ALIKE, FLIPS, TILE = 5, 16, 0.8, 4, 256
 #: Bytes of a key of the index; bytes that linked fingerprints share at least.
 GRAM = 4
 MIN_SHARED = 8 - MAX_BITS
@@ -157,6 +158,13 @@ def majorities(hashes: np.ndarray) -> tuple[int, bytes]:
     return int(fp), np.argsort(np.abs(2 * ones - len(hashes)), kind="stable").astype(np.uint8).tobytes()
 
 
+def remixed(hashes: np.ndarray) -> np.ndarray:
+    """Other 64 bits of each hash, for a second fingerprint of the same shingles."""
+    x = hashes * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
 def probes(fps: np.ndarray, orders: np.ndarray, flips: int = FLIPS) -> np.ndarray:
     """Keys of the postings of each fingerprint (uint64) with its order of bits (rows of 64)."""
     rank = np.argsort(orders, axis=1)
@@ -174,15 +182,19 @@ def probes(fps: np.ndarray, orders: np.ndarray, flips: int = FLIPS) -> np.ndarra
 def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, similarity: float = ALIKE, flips: int = FLIPS, dense: int = DENSE) -> DataFrame:
     """One row per row of ``docs``: doc_id, grp (a key of the group of near copies), and the text's key.
 
-    In postings of more than ``dense`` texts each text meets the first and the next one in an
-    order drawn for the posting, in smaller ones each other.
+    A text is looked up by two fingerprints, one after the other.  In postings of more than ``dense``
+    texts each text first meets the first and the next one in an order drawn for the posting;
+    members that these links leave in different groups are then compared with each other, tile by tile.
     """
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
-    @F.pandas_udf("fp long, bits binary, n int")
+    @F.pandas_udf("fp0 long, bits0 binary, fp1 long, bits1 binary, n int")
     def mark(texts: pd.Series) -> pd.DataFrame:
         sets = [shingle_set(x, shingle) for x in texts]
-        found = [majorities(x) for x in sets]
-        return pd.DataFrame({"fp": np.array([f for f, _ in found], dtype=np.uint64).view(np.int64), "bits": [b for _, b in found], "n": np.array([len(x) for x in sets], dtype=np.int32)})
+        out = {"n": np.array([len(x) for x in sets], dtype=np.int32)}
+        for i, found in enumerate(([majorities(x) for x in sets], [majorities(remixed(x)) for x in sets])):
+            out |= {f"fp{i}": np.array([f for f, _ in found], dtype=np.uint64).view(np.int64), f"bits{i}": [b for _, b in found]}
+        return pd.DataFrame(out)[["fp0", "bits0", "fp1", "bits1", "n"]]
 
     @F.pandas_udf("array<long>")
     def keys(fps: pd.Series, bits: pd.Series) -> pd.Series:
@@ -195,48 +207,91 @@ def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, simil
     def shingles(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(x, shingle).view(np.int64) for x in texts], dtype=object)
 
-    rows = common.store(docs.select("doc_id", *common.text_key(F.col("text")), mark(F.col("text")).alias("m")).select("doc_id", "_k1", "_k2", "m.*"), "marks")
-    nodes = rows.groupBy(F.col("_k1").alias("node")).agg(F.first("fp").alias("fp"), F.first("bits").alias("bits"), F.first("n").alias("n"))
-    nodes = nodes.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "node")
-    index = nodes.select("node", "fp", "n", F.explode(keys("fp", "bits")).alias("key"))
-    # Lists have nothing to gain before the shuffle: plain rows are smaller there.
-    postings = common.store(index.repartition("key").groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
-
     def near(a: Column, b: Column) -> Column:
         return (F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= max_bits) & (F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]))
 
-    pair = lambda a, b: F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), F.bit_count(a["fp"].bitwiseXOR(b["fp"])).alias("bits"))
-    every = F.flatten(F.transform("of", lambda a: F.transform(F.filter("of", lambda b: (a["node"] < b["node"]) & near(a, b)), lambda b: pair(a, b))))
-    few = postings.where(F.size("of") <= dense).select(F.explode(every).alias("p"))
-    drawn = F.sort_array(F.transform("of", lambda e: F.struct(F.xxhash64("key", e["node"]).alias("h"), e["node"].alias("node"), e["fp"].alias("fp"), e["n"].alias("n"))))
-    full = postings.where(F.size("of") > dense).select(drawn.alias("of")).select(F.col("of")[0].alias("first"), F.explode(F.arrays_zip(F.expr("slice(of, 1, size(of) - 1)").alias("x"), F.expr("slice(of, 2, size(of) - 1)").alias("y"))).alias("z"))
-    full = full.select(F.explode(F.array(F.struct(F.col("first").alias("x"), F.col("z.y").alias("y")), F.struct(F.col("z.x").alias("x"), F.col("z.y").alias("y")))).alias("z"))
-    full = full.where(near(F.col("z.x"), F.col("z.y"))).select(pair(F.col("z.x"), F.col("z.y")).alias("p"))
-    pairs = common.store(few.union(full).select("p.*").where("a <> b").distinct(), "candidates")
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = docs.select(common.text_key(F.col("text"))[0].alias("node"), "text").join(wanted, "node", "left_semi")
-    sets = common.store(texts.select("node", shingles("text").alias("s")).dropDuplicates(["node"]), "shingles")
+    def pair(a: Column, b: Column) -> Column:
+        return F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), F.bit_count(a["fp"].bitwiseXOR(b["fp"])).alias("bits"))
 
-    def alike(some: DataFrame) -> DataFrame:
+    rows = common.store(docs.select("doc_id", *common.text_key(F.col("text")), mark(F.col("text")).alias("m")).select("doc_id", "_k1", "_k2", "m.*"), "marks")
+    nodes = rows.groupBy(F.col("_k1").alias("node")).agg(*[F.first(c).alias(c) for c in ("fp0", "bits0", "fp1", "bits1", "n")]).repartition(partitions, "node")
+
+    def postings(i: int) -> DataFrame:
+        """(key, of) of the i-th fingerprint: what meets under a key, if it is more than one."""
+        index = nodes.select("node", F.col(f"fp{i}").alias("fp"), "n", F.explode(keys(f"fp{i}", f"bits{i}")).alias("key"))
+        # Lists have nothing to gain before the shuffle: plain rows are smaller there.
+        return common.store(index.repartition("key").groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
+
+    def first_pairs(of_key: DataFrame) -> DataFrame:
+        """All near pairs of a small posting, and of a large one those of neighbours in the drawn order and with the first."""
+        every = F.flatten(F.transform("of", lambda a: F.transform(F.filter("of", lambda b: (a["node"] < b["node"]) & near(a, b)), lambda b: pair(a, b))))
+        few = of_key.where(F.size("of") <= dense).select(F.explode(every).alias("p"))
+        drawn = F.sort_array(F.transform("of", lambda e: F.struct(F.xxhash64("key", e["node"]).alias("h"), e["node"].alias("node"), e["fp"].alias("fp"), e["n"].alias("n"))))
+        full = of_key.where(F.size("of") > dense).select(drawn.alias("of")).select(F.col("of")[0].alias("first"), F.explode(F.arrays_zip(F.expr("slice(of, 1, size(of) - 1)").alias("x"), F.expr("slice(of, 2, size(of) - 1)").alias("y"))).alias("z"))
+        full = full.select(F.explode(F.array(F.struct(F.col("first").alias("x"), F.col("z.y").alias("y")), F.struct(F.col("z.x").alias("x"), F.col("z.y").alias("y")))).alias("z"))
+        return few.union(full.where(near(F.col("z.x"), F.col("z.y"))).select(pair(F.col("z.x"), F.col("z.y")).alias("p"))).select("p.*").where("a <> b")
+
+    lists = [postings(0), postings(1)]
+    pairs = common.store(first_pairs(lists[0]).union(first_pairs(lists[1])).distinct(), "candidates")
+    large = common.store(lists[0].where(F.size("of") > dense).withColumn("i", F.lit(0)).union(lists[1].where(F.size("of") > dense).withColumn("i", F.lit(1))), "large")
+    common.discard(*lists)
+
+    def sets_of(some: DataFrame) -> DataFrame:
+        wanted = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        texts = docs.select(common.text_key(F.col("text"))[0].alias("node"), "text").join(wanted, "node", "left_semi")
+        return common.store(texts.select("node", shingles("text").alias("s")).dropDuplicates(["node"]), "shingles")
+
+    def alike(some: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs (a, b) that are as similar as asked."""
         both = some.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
         shared = F.size(F.array_intersect("x", "y"))
         return both.where(shared >= similarity * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
-    # Pairs that others have connected need no look: first each text's nearest, then what still joins two groups.
-    ends = pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "bits")
-    closest = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b")
-    lowest = ends.groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
-    links = common.store(alike(closest.union(lowest).distinct()), "links")
-    groups = common.components(links)
-    of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
-    rest = pairs.select("a", "b").join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b"))
-    groups = common.components(links.union(alike(rest.select("a", "b"))))
+    def nearest(some: DataFrame) -> DataFrame:
+        """Of each text the pair of fewest bits and the one of the smallest partner."""
+        ends = some.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "bits")
+        closest = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b")
+        return closest.union(ends.groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")).distinct()
+
+    def apart(some: DataFrame, groups: DataFrame) -> DataFrame:
+        of = lambda end: groups.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+        return some.join(of("a"), "a", "left").join(of("b"), "b", "left").where(F.coalesce("c_a", "a") != F.coalesce("c_b", "b")).select(*some.columns)
+
+    def settled(links: DataFrame, some: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Links and groups with those of ``some``: pairs that others have connected need no look."""
+        sets = sets_of(some)
+        links = common.store(links.union(alike(nearest(some), sets)), "links")
+        links = common.store(links.union(alike(apart(some, common.components(links)), sets)), "links")
+        common.discard(sets)
+        return links, common.components(links)
+
+    links, groups = settled(pairs.select("a", "b").limit(0), pairs)
+    rest = common.store(across(large, groups, near, pair), "candidates")
+    if not rest.isEmpty():
+        links, groups = settled(links, rest)
     found = groups.select(F.col("node").alias("_k1"), "component")
     return rows.select("doc_id", "_k1", "_k2").join(found, "_k1", "left").select("doc_id", F.coalesce("component", "_k1").alias("grp"), "_k1", "_k2")
 
 
+def across(large: DataFrame, groups: DataFrame, near, pair, tile: int = TILE) -> DataFrame:
+    """(a, b, bits): the near pairs within large postings (i, key, of) whose ends are in different ``groups``.
+
+    A posting is cut into tiles of about ``tile`` members by a hash; two tiles meet in a row of their
+    own, so the work on one posting spreads over the tasks.  Postings of a single group are left out.
+    """
+    each = large.select("i", "key", F.explode("of").alias("e")).join(groups.select(F.col("node").alias("_node"), "component"), F.col("e.node") == F.col("_node"), "left")
+    each = each.select("i", "key", "e", F.coalesce("component", "e.node").alias("c"))
+    mixed = each.groupBy("i", "key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most")
+    sized = each.join(mixed, ["i", "key"]).withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
+    sized = sized.withColumn("t", F.pmod(F.xxhash64("e.node"), F.col("tiles")).cast("int"))
+    tiles = sized.groupBy("i", "key", "t", "tiles").agg(F.collect_list(F.struct("e.node", "e.fp", "e.n", "c")).alias("of"))
+    meet = tiles.select("i", "key", "of", F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.struct(F.least("t", u).alias("lo"), F.greatest("t", u).alias("hi"), (F.col("t") > u).alias("second")))).alias("m"))
+    meet = meet.groupBy("i", "key", "m.lo", "m.hi").agg(F.collect_list(F.when(~F.col("m.second"), F.col("of"))).alias("x"), F.collect_list(F.when(F.col("m.second"), F.col("of"))).alias("y"))
+    meet = meet.withColumns({"x": F.flatten("x"), "y": F.flatten("y")}).withColumn("y", F.when(F.col("lo") == F.col("hi"), F.col("x")).otherwise(F.col("y")))
+    every = F.flatten(F.transform("x", lambda a: F.transform(F.filter("y", lambda b: (a["c"] != b["c"]) & near(a, b)), lambda b: pair(a, b))))
+    return meet.select(F.explode(every).alias("p")).select("p.*").distinct()
+
+
 def drop_near_duplicates(docs: DataFrame, similarity: float | None = None, **options) -> DataFrame:
     """The documents without near copies: of each group the one with the smallest doc_id stays.
 

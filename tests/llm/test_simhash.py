@@ -163,3 +163,50 @@ def test_similar_texts_link_and_repeated_passages_do_not(spark):
     assert caught >= 36 and len({grp[i] for i in range(40)}) == 40
     assert grp[80] != grp[81]
     assert grp[82] == grp[83] == grp[84] and grp[85] == grp[86] and grp[82] != grp[85]
+
+
+def test_large_postings_lose_no_link(spark):
+    """Two families that share postings but no link to each other's texts, and chains of copies of copies."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(5000)}" for _ in range(200)]
+    texts = []
+    for family in range(3):
+        words = base[:150] + [f"f{family}x{i}" for i in range(50)]
+        for _ in range(60):
+            copy = list(words)
+            for at in rng.sample(range(200), 3):
+                copy[at] = f"c{rng.randrange(10**6)}"
+            texts.append(" ".join(copy))
+    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
+    up = list(range(len(texts)))
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= 0.8 * len(a | b):
+                up[top(i)] = top(j)
+    want = Counter(frozenset(i for i in range(len(texts)) if top(i) == r) for r in {top(i) for i in range(len(texts))})
+    docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    for dense in (2, 64, 10_000):
+        groups = {}
+        for r in simhash.similar(docs, dense=dense).collect():
+            groups.setdefault(r["grp"], set()).add(r["doc_id"])
+        assert Counter(map(frozenset, groups.values())) == want, dense
+
+
+def test_tiles_give_each_pair_between_groups(spark):
+    rng = random.Random(6)
+    members = [(n, rng.getrandbits(12), 10) for n in range(90)]
+    large = spark.createDataFrame([(0, 5, members), (1, 5, members[:2])], "i int, key long, of array<struct<node:long,fp:long,n:int>>")
+    groups = spark.createDataFrame([(n, n % 4) for n in range(0, 90, 2)], "node long, component long")
+    near = lambda a, b: F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= 4
+    pair = lambda a, b: F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), F.bit_count(a["fp"].bitwiseXOR(b["fp"])).alias("bits"))
+    c = {n: n % 4 if n % 2 == 0 else n for n in range(90)}
+    want = {(a, b) for a, x, _ in members for b, y, _ in members if a < b and c[a] != c[b] and (x ^ y).bit_count() <= 4}
+    for tile in (7, 1000):
+        got = [(r["a"], r["b"]) for r in simhash.across(large, groups, near, pair, tile).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
