@@ -16,8 +16,9 @@ With fewer than one label of either kind all scores are 0.5.
 
 Null and empty texts are one empty line.  Whole texts are scored, in pieces of ``PIECE``
 bytes: what is open at a cut, a line or a word, is carried over it with its counts and
-hashes, so features don't depend on where cuts fall.  Memory grows with a text by some 500
-bytes per line only.
+hashes, so features don't depend on where cuts fall.  A text's lines are scored ``ROWS`` at a time
+and texts of more than ``LONG`` lines go by blocked scans, so a million lines take seconds.  Memory
+grows with a text by some 350 bytes per line (counts, hashes and the chain's scores).
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from pyspark.sql import functions as F
 from . import common
 
 TRAIN_DOCS, TRAIN_BYTES, TRAIN_LINES, PIECE, THRESHOLD = 4000, 200_000, 150_000, 1 << 20, 0.3
+#: Texts of more lines go by blocked scans; lines whose features are held at a time when scoring.
+LONG, ROWS = 2048, 1 << 16
 FOLDS = 5
 
 _CLASSES = 8
@@ -128,8 +131,8 @@ def _pieces(texts: list[bytes]) -> Iterator[bytes]:
         yield b"".join(held)
 
 
-def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features [lines, WIDTH], number of lines of each text, weight of each line)."""
+def line_counts(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(counts [lines, 13], whether a line repeats in its text, number of lines of each text)."""
     raw = [(x or "").encode() for x in texts]
     count = np.array([x.count(b"\n") + 1 for x in raw], dtype=np.int64)
     parts, marks, joined, carry = [], [], [], _Open()
@@ -142,41 +145,60 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
         open_end[-1] = not whole  # the line goes on in the next piece
         joined.append(open_end)
     counts, goes_on, marks = np.concatenate(parts), np.concatenate(joined), np.concatenate(marks)
-    begin = np.flatnonzero(np.concatenate([[True], ~goes_on[:-1]]))
-    end_of = np.append(begin[1:], len(counts)) - 1
-    # A line that ends right at a cut has an empty last part: its end is in the part before.
-    last = np.where((counts[end_of, 0] == 0) & (end_of > begin), end_of - 1, end_of)
-    tail = counts[last, 12]
-    counts, marks = np.add.reduceat(counts, begin, axis=0), np.add.reduceat(marks, begin)
-    counts[:, 12] = tail
-    n = len(counts)
+    parts.clear()
+    if goes_on.any():
+        begin = np.flatnonzero(np.concatenate([[True], ~goes_on[:-1]]))
+        end_of = np.append(begin[1:], len(counts)) - 1
+        # A line that ends right at a cut has an empty last part: its end is in the part before.
+        last = np.where((counts[end_of, 0] == 0) & (end_of > begin), end_of - 1, end_of)
+        tail = counts[last, 12]
+        counts, marks = np.add.reduceat(counts, begin, axis=0), np.add.reduceat(marks, begin)
+        counts[:, 12] = tail
     doc = np.repeat(np.arange(len(count)), count)
-
-    length, words = counts[:, 0], np.maximum(counts[:, 8], 1)
-    share = counts[:, 1:8] / np.maximum(length, 1)[:, None]
-    key = np.stack([doc.astype(np.uint64), marks, length.astype(np.uint64)], axis=1)
-    _, back, times = np.unique(np.ascontiguousarray(key).view([("", np.uint64)] * 3)[:, 0], return_inverse=True, return_counts=True)
-    x = np.zeros((n, WIDTH))
+    order = np.lexsort((counts[:, 0], marks, doc))
+    same = (np.diff(doc[order]) == 0) & (marks[order[1:]] == marks[order[:-1]]) & (np.diff(counts[order, 0]) == 0)
+    again = np.zeros(len(counts), dtype=bool)
+    again[order[1:][same]] = again[order[:-1][same]] = True
+    return counts, again & (counts[:, 0] > 0), count
+
+
+def _features(counts: np.ndarray, again: np.ndarray, starts: np.ndarray, lo: int, hi: int) -> np.ndarray:
+    """Features [hi - lo, WIDTH] of the lines from ``lo`` to ``hi``; ``starts`` marks the first line of each text and, at the end, one more."""
+    from_, to = max(lo - 1, 0), min(hi + 1, len(counts))
+    some, back = counts[from_:to], again[from_:to]
+    length, words = some[:, 0], np.maximum(some[:, 8], 1)
+    share = some[:, 1:8] / np.maximum(length, 1)[:, None]
+    x = np.zeros((len(some), WIDTH))
     x[:, 0] = 1
     x[:, 1] = np.log1p(length) / 8
     x[:, 2] = length == 0
     x[:, 3:9] = np.sqrt(share[:, :6])  # upper, digit, symbol, bar, ! and ?, sentence marks
-    x[:, 9] = np.minimum(counts[:, 10] / words / 10, 3)
-    x[:, 10] = counts[:, 11] / words
-    x[:, 11] = (times[back.ravel()] > 1) & (length > 0)
+    x[:, 9] = np.minimum(some[:, 10] / words / 10, 3)
+    x[:, 10] = some[:, 11] / words
+    x[:, 11] = back
     x[:, 12] = share[:, 6]
     x[:, 13] = length < 40
-    x[:, 14] = counts[:, 12]
-    x[:, 15] = counts[:, 9] / words
-    first = np.cumsum(count) - count
-    has_before, has_after = np.ones(n, dtype=bool), np.ones(n, dtype=bool)
-    has_before[first], has_after[first + count - 1] = False, False
+    x[:, 14] = some[:, 12]
+    x[:, 15] = some[:, 9] / words
+    has_before, has_after = ~starts[from_:to], ~starts[from_ + 1 : to + 1]
     at, near = _OWN, list(_NEAR)
     for there, shift in ((has_before, 1), (has_after, -1)):
         x[:, at] = there
         x[:, at + 1 : at + 1 + len(near)] = np.roll(x[:, near], shift, axis=0) * there[:, None]
         at += 1 + len(near)
-    return x, count, length + 1
+    return x[lo - from_ : hi - from_]
+
+
+def _starts(count: np.ndarray) -> np.ndarray:
+    out = np.zeros(int(count.sum()) + 1, dtype=bool)
+    out[np.cumsum(count) - count] = out[-1] = True
+    return out
+
+
+def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features [lines, WIDTH], number of lines of each text, weight of each line)."""
+    counts, again, count = line_counts(texts)
+    return _features(counts, again, _starts(count), 0, len(counts)), count, counts[:, 0] + 1
 
 
 @dataclass
@@ -187,16 +209,59 @@ class Model:
     steps: np.ndarray
 
 
-def marginals(scores: np.ndarray, steps: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(P(good) of each line, expected steps [text][from][to], log partition of each text).
+def _times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of 2 x 2 matrices of logarithms."""
+    return np.logaddexp(a[..., :, 0, None] + b[..., None, 0, :], a[..., :, 1, None] + b[..., None, 1, :])
 
-    All texts go forward and backward together, line number by line number, longest first.
+
+def _prefixes(m: np.ndarray) -> np.ndarray:
+    """Products of all leading matrices: root n blocks go along step by step together, then each block takes on those before it."""
+    n = len(m)
+    width = max(1, int(np.sqrt(n)))
+    blocks = -(-n // width)
+    out = np.full((blocks * width, 2, 2), -np.inf)
+    out[:, 0, 0] = out[:, 1, 1] = 0
+    out[:n] = m
+    out = out.reshape(blocks, width, 2, 2)
+    for t in range(1, width):
+        out[:, t] = _times(out[:, t - 1], out[:, t])
+    for i in range(1, blocks):
+        out[i] = _times(out[i - 1, -1], out[i])
+    return out.reshape(-1, 2, 2)[:n]
+
+
+def _long_ahead(own: np.ndarray, steps: np.ndarray, piece: int = 1 << 16) -> np.ndarray:
+    """Forward scores of one text, in pieces of lines that take on the last scores of the piece before."""
+    out = np.empty_like(own)
+    out[0] = own[0]
+    for at in range(1, len(own), piece):
+        part = own[at : at + piece]
+        moved = _prefixes(steps + part[:, None, :])
+        out[at : at + len(part)] = np.logaddexp(out[at - 1, 0] + moved[:, 0], out[at - 1, 1] + moved[:, 1])
+    return out
+
+
+def _long_behind(own: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Backward scores of one text: forward scores of its lines from the last to the first, without each line's own."""
+    return (_long_ahead(own[::-1], steps.T) - own[::-1])[::-1]
+
+
+def marginals(scores: np.ndarray, steps: np.ndarray, count: np.ndarray, long: int = LONG, pairs: bool = True) -> tuple[np.ndarray, np.ndarray | None, np.ndarray]:
+    """(P(good) of each line, expected steps [text][from][to] if asked for, log partition of each text).
+
+    Texts of up to ``long`` lines go forward and backward together, line number by line number,
+    longest first; longer ones go by blocked scans of matrix products.
     """
     order = np.argsort(-count, kind="stable")
     sizes, first = count[order], (np.cumsum(count) - count)[order]
-    n_at = lambda t: int(np.searchsorted(-sizes, -t, side="left"))  # noqa: E731  texts with more than t lines
     own = np.stack([np.zeros_like(scores), scores], axis=1)
     ahead, behind = np.empty_like(own), np.zeros_like(own)
+    lengthy = int(np.searchsorted(-sizes, -long, side="left"))
+    for at, n in zip(first[:lengthy].tolist(), sizes[:lengthy].tolist()):
+        ahead[at : at + n] = _long_ahead(own[at : at + n], steps)
+        behind[at : at + n] = _long_behind(own[at : at + n], steps)
+    sizes, first = sizes[lengthy:], first[lengthy:]
+    n_at = lambda t: int(np.searchsorted(-sizes, -t, side="left"))  # noqa: E731  texts with more than t lines
     longest = int(sizes[0]) if len(sizes) else 0
     active = [n_at(t) for t in range(longest)]
     for t in range(longest):
@@ -214,6 +279,8 @@ def marginals(scores: np.ndarray, steps: np.ndarray, count: np.ndarray) -> tuple
     total = np.logaddexp(ahead[last, 0], ahead[last, 1])
     line_total = np.repeat(total, count)
     good = np.exp(np.clip(ahead[:, 1] + behind[:, 1] - line_total, -700, 0))
+    if not pairs:
+        return good, None, total
     pair = np.zeros((len(count), 2, 2))
     inner = np.ones(len(scores), dtype=bool)
     inner[last] = False
@@ -251,8 +318,12 @@ def score_texts(texts: list[str | None], model: Model) -> np.ndarray:
     """Length-weighted means of the marginals."""
     if not texts:
         return np.zeros(0)
-    x, count, weight = line_features(texts)
-    good, _, _ = marginals(x @ model.weights, model.steps, count)
+    counts, again, count = line_counts(texts)
+    starts, n = _starts(count), len(counts)
+    potentials = np.concatenate([_features(counts, again, starts, at, min(at + ROWS, n)) @ model.weights for at in range(0, n, ROWS)])
+    weight = counts[:, 0] + 1
+    del counts, again
+    good, _, _ = marginals(potentials, model.steps, count, pairs=False)
     first = np.cumsum(count) - count
     return np.clip(np.add.reduceat(good * weight, first) / np.add.reduceat(weight, first), 0, 1)
 

@@ -28,6 +28,58 @@ def test_marginals_match_enumeration():
         at += n
 
 
+def test_scans_match_the_chain_line_by_line():
+    rng = np.random.default_rng(1)
+    count = np.array([1, 700, 2, 3000, 64, 65, 66])
+    scores, steps = rng.normal(size=count.sum()) * 3, rng.normal(size=(2, 2)) * 2
+    plain = quality.marginals(scores, steps, count, long=10**9)
+    for long in (1, 64, 1000):
+        for a, b in zip(plain, quality.marginals(scores, steps, count, long=long)):
+            assert np.allclose(a, b)
+    own = np.stack([np.zeros(700), scores[1:701]], axis=1)
+    for piece in (1, 2, 7, 699, 700):
+        assert np.allclose(quality._long_ahead(own, steps, piece), quality._long_ahead(own, steps))
+
+
+def slow_score(text, model):
+    """The score of one text by one pass over its lines, from the definition of the features."""
+    x, _, weight = quality.line_features([text])
+    potentials = [float(row @ model.weights) for row in x]
+    ahead, behind = [[0.0, potentials[0]]], [[0.0, 0.0]]
+    add = lambda a, b: float(np.logaddexp(a, b))
+    for s in potentials[1:]:
+        a = ahead[-1]
+        ahead.append([own + add(a[0] + model.steps[0, k], a[1] + model.steps[1, k]) for k, own in ((0, 0.0), (1, s))])
+    for s in potentials[:0:-1]:
+        b = behind[0]
+        behind.insert(0, [add(model.steps[k, 0] + b[0], model.steps[k, 1] + b[1] + s) for k in (0, 1)])
+    z = add(*ahead[-1])
+    good = [np.exp(a[1] + b[1] - z) for a, b in zip(ahead, behind)]
+    return sum(g * w for g, w in zip(good, weight)) / sum(weight)
+
+
+def test_scores_of_the_query_match_the_chain_line_by_line(spark, small):
+    docs, labels = common.read_table(spark, small, "documents"), common.read_table(spark, small, "labels")
+    model = quality.fit_labels(docs.select("doc_id", "text"), labels.select("doc_id", "quality"))
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    for r in quality.op2_quality(spark, small).collect():
+        assert abs(r["score"] - slow_score(texts[r["doc_id"]], model)) < 1e-9
+
+
+def test_rows_of_features_do_not_matter(monkeypatch):
+    texts = [None, "a\n\nB b!\n" * 9, "one", "x\nx\n"]
+    model = quality.Model(np.linspace(-1, 1, quality.WIDTH), np.array([[1.0, -1], [-0.5, 0.5]]))
+    whole = quality.score_texts(texts, model)
+    for rows in (1, 2, 5):
+        monkeypatch.setattr(quality, "ROWS", rows)
+        assert np.allclose(quality.score_texts(texts, model), whole)
+
+
+def test_a_million_lines_take_seconds():
+    model = quality.Model(np.linspace(-1, 1, quality.WIDTH), np.eye(2))
+    assert 0 <= quality.score_texts(["a\n" * 1_000_000], model)[0] <= 1
+
+
 def test_features_do_not_depend_on_pieces(monkeypatch):
     texts = [None, "", "Good line. Fine.\n\nBAD!!! BAD!!!\nx x x x x\n", "é ü ß | | |\n" * 40, "one", "a b\r\nc\td\x0be", "long " * 300 + "\nend"]
     whole = quality.line_features(texts)
