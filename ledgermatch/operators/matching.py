@@ -84,7 +84,9 @@ def reasons() -> Column:
 def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
     """One row per invoice key: state, chosen entry or entries, score and gap to the runner-up.
 
-    One window shuffle: counts and sums over the whole partition and the ranking share it.
+    One window shuffle: counts and sums over the whole partition and the ranking share it.  Only the
+    best candidate goes on, and the text hits of invoices whose hits add up to the total; these are
+    listed by an aggregate on the same partitioning, so no candidate carries a list.
     Ties rank by entry year, type and number.
     """
     own = Window.partitionBy(key)
@@ -103,19 +105,23 @@ def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
             "hit_amount": F.sum(F.when(hit, F.col("amount").cast("decimal(19,4)"))).over(own).cast("double"),
             "hit_date": F.min(F.when(hit, F.col("entry_date"))).over(own),
             "hit_lines": F.sum(F.when(hit, F.col("lines"))).over(own),
-            "hit_keys": F.collect_list(F.when(hit, F.struct(F.col("entry_year").isNull().alias("n"), "entry_year", "doc_type", "doc_number", "entry_key"))).over(own),
             "top_score": F.max("score").over(own),
         }
-    ).where("place = 1")
+    )
     total, pct = F.col("total"), F.col("difference")
     gap = F.col("score") - F.col("next_score")
-    multi = (F.col("hits") >= 2) & (total != 0) & (F.abs(F.col("hit_amount") - total) / F.abs(total) <= MULTI_LIMIT)
+    adds_up = F.coalesce((F.col("hits") >= 2) & (total != 0) & (F.abs(F.col("hit_amount") - total) / F.abs(total) <= MULTI_LIMIT), F.lit(False))
+    ranked = ranked.withColumn("multi", adds_up)
+    listed = F.when(F.col("multi") & hit, F.struct(F.col("entry_year").isNull().alias("n"), "entry_year", "doc_type", "doc_number", "entry_key"))
+    best = F.first(F.when(F.col("place") == 1, F.struct(*[c for c in ranked.columns if c != key])), ignorenulls=True)
+    ranked = ranked.where((F.col("place") == 1) | (F.col("multi") & hit)).groupBy(key).agg(best.alias("best"), F.collect_list(listed).alias("hit_keys")).select(key, "best.*", "hit_keys")
+    multi = F.col("multi")
     by_suffix = F.lit(False)
     for n, limit in SUFFIX_LIMITS.items():
         by_suffix = by_suffix | (F.col(f"hit_{n}") & F.coalesce(pct <= limit, F.lit(False)))
     state = (
         F.when(F.col("candidates") == 0, "SIN_MATCH")
-        .when(F.coalesce(multi, F.lit(False)), "REVISION_MULTIASIENTO")
+        .when(multi, "REVISION_MULTIASIENTO")
         .when((F.col("candidates") == 1) & hit, "OK_UNICO")
         .when(F.col("hit_full") & (F.col("next_score").isNull() | (gap >= GAP)), "OK_TEXTO")
         .when(by_suffix, "OK_TEXTO")
