@@ -266,7 +266,8 @@ def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, simil
         return links, common.components(links)
 
     links, groups = settled(pairs.select("a", "b").limit(0), pairs)
-    rest = common.store(across(large, groups, near, pair), "candidates")
+    # Pairs looked at before are linked, dissimilar or connected by others.
+    rest = common.store(across(large, groups, near, pair).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
     if not rest.isEmpty():
         links, groups = settled(links, rest)
     found = groups.select(F.col("node").alias("_k1"), "component")
