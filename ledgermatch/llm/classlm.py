@@ -16,10 +16,12 @@ Classes come from exchange clustering, in rounds of Spark jobs over the table of
 of elements.  Elements are the end mark, the ``HEAD`` most frequent words, and ``BUCKETS``
 groups of the other words by their last three bytes.  In each round the counts of an element's
 neighbours are summed by class, the elements are dealt to ``BLOCKS`` blocks, and in each block
-every element in turn moves to the class that makes the bigrams likeliest, given the classes
-that the other blocks had before the round.  Rounds end when the likelihood gains less than
-``GAIN`` of its value or falls, which moves of several blocks at once can cause; the best
-round counts.
+the elements, most frequent first, move to the class that makes the bigrams likeliest, given the
+classes that the other blocks had before the round.  Elements that move at once can spoil each
+other's gain and move back in turn, so after ``WHOLE`` rounds each round moves every second
+element only, the other half in the next one.  Rounds end when two in a row, a turn of all
+elements, gain less than ``GAIN`` of the likelihood's value together; the best round counts.
+There is no other limit: each two rounds before the end gain that share, and the likelihood is bounded.
 
 A word beyond the head has a class of its own too: of its training bigrams (class of the word
 before, word), the one that makes them likeliest.  As history such a word stands in its
@@ -53,9 +55,11 @@ from pyspark.sql import functions as F
 
 from . import common
 
-HEAD, BUCKETS, CLASSES, BLOCKS, PASSES, TRIED, GAIN, MIX = 50_000, 256, 64, 16, 4, 4, 2e-4, 0.95
+HEAD, BUCKETS, CLASSES, BLOCKS, WHOLE, TRIED, GAIN, MIX = 50_000, 256, 64, 16, 3, 4, 1e-3, 0.95
 FOLDS, HELD_OUT = 7, 2
 FLUSH = 300_000
+#: Bigrams travel as arrays: parts that they are dealt to, and how many a worker holds before it sums them.
+PARTS, HELD = 128, 4_000_000
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -130,10 +134,36 @@ class Elements:
         return self.look(words)[1]
 
 
+PAIRS = "part int, before binary, after binary, n binary"
+
+
+def _pairs_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(before, after, n) of packed bigrams."""
+    return tuple(np.frombuffer(b"".join(batch[c].to_pylist()), dtype=kind).astype(np.int64) for c, kind in (("before", "<i4"), ("after", "<i4"), ("n", "<i8")))
+
+
+def _summed(pair: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    order = np.argsort(pair, kind="stable")
+    pair, n = pair[order], n[order]
+    first = np.flatnonzero(np.append(True, pair[1:] != pair[:-1])) if len(pair) else np.zeros(0, dtype=np.int64)
+    return pair[first], np.add.reduceat(n, first) if len(first) else n
+
+
+def _packed(before: np.ndarray, after: np.ndarray, n: np.ndarray, part: np.ndarray) -> pa.RecordBatch:
+    """PAIRS with one row per part."""
+    order = np.argsort(part, kind="stable")
+    parts, first = np.unique(part[order], return_index=True)
+    cuts = np.append(first, len(part))
+    cols = [v[order].astype(kind) for v, kind in ((before, "<i4"), (after, "<i4"), (n, "<i8"))]
+    return pa.RecordBatch.from_arrays([pa.array(parts, pa.int32()), *(pa.array([v[i:j].tobytes() for i, j in zip(cuts, cuts[1:])], pa.binary()) for v in cols)], names=["part", "before", "after", "n"])
+
+
 def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
-    """(before, after, n): the bigrams of elements over all rows, counted in the workers before the shuffle.
+    """PAIRS: the bigrams of elements over all rows, each once, counted in the workers before the shuffle.
 
-    The sums of one first element come to one task.
+    They are dealt by the first element and summed there as they arrive, in bounded memory: a part
+    has less than size * (size / ``PARTS`` + 1) different ones whatever the corpus.  The rows
+    that come out are cut by the part of the second element, ready to be dealt by that.
     """
     size = elements.size
 
@@ -143,7 +173,8 @@ def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
 
         def out() -> pa.RecordBatch:
             pair, times = np.unique(np.concatenate(kept), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(pair // size, pa.int32()), pa.array(pair % size, pa.int32()), pa.array(times, pa.int64())], names=["before", "after", "n"])
+            before = pair // size
+            return _packed(before, pair % size, times, before % PARTS)
 
         for batch in batches:
             for text in batch.column(0):
@@ -156,9 +187,23 @@ def bigrams(texts: DataFrame, elements: Elements) -> DataFrame:
         if kept:
             yield out()
 
-    each = texts.select("text").mapInArrow(of, "before int, after int, n long")
-    # Summed by both first: the rows that one first element then brings to its task are no more than there are elements.
-    return each.groupBy("before", "after").agg(F.sum("n").alias("n")).repartition("before")
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+        total = (np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))
+        for batch in batches:
+            for i in range(batch.num_rows):
+                before, after, n = _pairs_of(batch.slice(i, 1))
+                held.append((before * size + after, n))
+                rows += len(n)
+                if rows > HELD:
+                    total = _summed(*(np.concatenate(x) for x in zip(total, *held)))
+                    held, rows = [], 0
+        pair, n = _summed(*(np.concatenate(x) for x in zip(total, *held)))
+        for i in range(0, len(pair), HELD):
+            p = pair[i : i + HELD]
+            yield _packed(p // size, p % size, n[i : i + HELD], p % size % PARTS)
+
+    return texts.select("text").mapInArrow(of, PAIRS).repartition("part").mapInArrow(add, PAIRS)
 
 
 def transitions(pairs: DataFrame, label: np.ndarray, classes: int, first: int | None = None) -> np.ndarray:
@@ -172,7 +217,8 @@ def transitions(pairs: DataFrame, label: np.ndarray, classes: int, first: int |
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(classes * wide)
         for b in batches:
-            total += np.bincount(label[b["before"].to_numpy()] * wide + column[b["after"].to_numpy()], weights=b["n"].to_numpy(), minlength=classes * wide)
+            before, after, n = _pairs_of(b)
+            total += np.bincount(label[before] * wide + column[after], weights=n, minlength=classes * wide)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at].astype(np.int64))], names=["at", "n"])
 
@@ -194,7 +240,7 @@ def neighbours(pairs: DataFrame, by_after: DataFrame, label: np.ndarray, classes
     """
     size = len(label)
 
-    def of(batches: Iterator[pa.RecordBatch], own: str, other: str) -> Iterator[pa.RecordBatch]:
+    def of(batches: Iterator[pa.RecordBatch], own: str) -> Iterator[pa.RecordBatch]:
         held, rows = [], 0
 
         def out(side: int, x: np.ndarray, k: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
@@ -207,22 +253,24 @@ def neighbours(pairs: DataFrame, by_after: DataFrame, label: np.ndarray, classes
             return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int32()) for c in (element % blocks, element, np.full(len(element), side))), *parts], names=["block", "element", "side", "classes", "counts"])
 
         def flush() -> Iterator[pa.RecordBatch]:
-            x, y, n = (np.concatenate([b[c].to_numpy() for b in held]) for c in (own, other, "n"))
+            before, after, n = (np.concatenate(x) for x in zip(*held))
+            x, y = (before, after) if own == "before" else (after, before)
             yield out(int(own == "after"), x, label[y], n)
             if own == "before":
                 same = x == y
                 yield out(2, x[same], np.zeros(same.sum(), dtype=np.int64), n[same])
 
         for b in batches:
-            held.append(b)
-            rows += b.num_rows
-            if rows > 3_000_000:
-                yield from flush()
-                held, rows = [], 0
+            for i in range(b.num_rows):
+                held.append(_pairs_of(b.slice(i, 1)))
+                rows += len(held[-1][0])
+                if rows > HELD:
+                    yield from flush()
+                    held, rows = [], 0
         if held:
             yield from flush()
 
-    return pairs.mapInArrow(partial(of, own="before", other="after"), NEIGHBOURS).union(by_after.mapInArrow(partial(of, own="after", other="before"), NEIGHBOURS))
+    return pairs.mapInArrow(partial(of, own="before"), NEIGHBOURS).union(by_after.mapInArrow(partial(of, own="after"), NEIGHBOURS))
 
 
 def _unpacked(classes, counts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -259,55 +307,59 @@ def likelihood(table: np.ndarray) -> float:
 
 
 def move(label: np.ndarray, table: np.ndarray, elements: np.ndarray, after: np.ndarray, before: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """The classes of some elements after each of them in turn has moved to its best one.
+    """The classes of some elements after each of them, most frequent first, has moved to its best one.
 
     ``after`` and ``before`` are the counts of each element's neighbours by class, ``own`` those
     of the element beside itself, ``table`` the class bigrams.  The likelihood is compared exactly for
     the own class and the ``TRIED`` classes to which its slope points.  Element 0 stays in class 0, alone.
+
+    A sixteenth as many elements as have moved before, 64 at most, are compared at once with the table as it is.
     """
     out, t = label[elements].copy(), table.copy()
-    base, logs, row, col = _xlogx(t), np.log(t + 1), t.sum(1), t.sum(0)
-
-    def shift(c: int, sign: int) -> None:
-        """Take the element out of class c (-1) or put it in (1)."""
-        t[c, to] += sign * r
-        t[fro, c] += sign * l
-        t[c, c] += sign * self_pair
-        row[c] += sign * (r_all + self_pair)
-        col[c] += sign * (l_all + self_pair)
-        row[fro] += sign * l
-        col[to] += sign * r
-        # Other blocks' elements, and this one's, may have moved since the counts were taken.
-        np.maximum(t[c], 0, out=t[c])
-        np.maximum(t[:, c], 0, out=t[:, c])
-        base[c], base[:, c] = _xlogx(t[c]), _xlogx(t[:, c])
-        logs[c], logs[:, c] = np.log(t[c] + 1), np.log(t[:, c] + 1)
-
-    for i in np.argsort(-(after.sum(1) + before.sum(1)), kind="stable"):
-        if elements[i] == 0:
-            continue
-        c, self_pair = int(out[i]), own[i]
-        right, left = after[i], before[i]  # dense; most elements have few neighbouring classes
-        right[c] -= self_pair
-        left[c] -= self_pair
-        to, fro = np.flatnonzero(right), np.flatnonzero(left)
-        r, l = right[to], left[fro]
-        r_all, l_all = r.sum(), l.sum()
-        shift(c, -1)
-        slope = logs[:, to] @ r + l @ logs[fro] - r_all * np.log(row + 1) - l_all * np.log(col + 1)
-        slope[0] = -np.inf
-        some = np.append(np.argpartition(-slope, min(TRIED, len(t) - 1) - 1)[: min(TRIED, len(t) - 1)], c)
-        x, y = some[:, None], some[None, :]
-        gain = (_xlogx(t[x, to] + r) - base[x, to]).sum(1) + (_xlogx(t[fro[:, None], y] + l[:, None]) - base[fro[:, None], y]).sum(0)
-        own_t, own_base = t[some, some], base[some, some]
-        gain += _xlogx(own_t + right[some] + left[some] + self_pair) + own_base - _xlogx(own_t + right[some]) - _xlogx(own_t + left[some])
+    right, left, each = after.copy(), before.copy(), np.arange(len(elements))
+    right[each, out] -= own
+    left[each, out] -= own
+    order = np.argsort(-(after.sum(1) + before.sum(1)), kind="stable")
+    order, at = order[elements[order] != 0], 0
+    tried = min(TRIED, len(t) - 1)
+    while at < len(order):
+        some = order[at : at + min(max(1, at // 16), 64)]
+        at += len(some)
+        i, c, r, l, self_pair = np.arange(len(some)), out[some], right[some], left[some], own[some]
+        r_all, l_all, row, col, logs = r.sum(1)[:, None], l.sum(1)[:, None], t.sum(1), t.sum(0), np.log(t + 1)
+        from_own, to_own = t[c], t[:, c].T
+        slope = r @ logs.T + l @ logs - r_all * np.log(row + 1) - l_all * np.log(col + 1)
+        # The element's own pairs with members of its class are not there to follow.
+        slope += r[i, c][:, None] * (np.log(np.maximum(to_own - l, 0) + 1) - np.log(to_own + 1))
+        slope += l[i, c][:, None] * (np.log(np.maximum(from_own - r, 0) + 1) - np.log(from_own + 1))
+        slope[:, 0] = slope[i, c] = -np.inf
+        choice = np.concatenate([np.argpartition(-slope, tried - 1, axis=1)[:, :tried], c[:, None]], axis=1)
+        r_choice, l_choice = np.take_along_axis(r, choice, 1), np.take_along_axis(l, choice, 1)
+        # Rows and columns of the chosen classes without the element; the last choice is its own class.
+        x, y, at_choice = t[choice], t.T[choice], np.arange(tried + 1)
+        x[i[:, None], at_choice, c[:, None]] -= l_choice
+        y[i[:, None], at_choice, c[:, None]] -= r_choice
+        x[:, -1], y[:, -1] = from_own - r, to_own - l
+        x[i, -1, c] = y[i, -1, c] = t[c, c] - r[i, c] - l[i, c] - self_pair
+        # Other elements may have moved since the counts were taken.
+        np.maximum(x, 0, out=x)
+        np.maximum(y, 0, out=y)
+        gain = (_xlogx(x + r[:, None]) - _xlogx(x)).sum(2) + (_xlogx(y + l[:, None]) - _xlogx(y)).sum(2)
+        both = x[i[:, None], at_choice, choice]
+        gain += _xlogx(both + r_choice + l_choice + self_pair[:, None]) + _xlogx(both) - _xlogx(both + r_choice) - _xlogx(both + l_choice)
         # The pairs of the element with others stay in those others' sums wherever it goes.
-        rows, cols = np.maximum(row + left, 0)[some], np.maximum(col + right, 0)[some]
-        gain -= _xlogx(rows + r_all + self_pair) - _xlogx(rows) + _xlogx(cols + l_all + self_pair) - _xlogx(cols)
-        gain[some == 0] = -np.inf
-        best = int(np.argmax(gain))
-        out[i] = some[best] if gain[best] > gain[-1] + 1e-9 else c
-        shift(int(out[i]), 1)
+        for sums, more in ((row[choice], r_all[:, 0] + self_pair), (col[choice], l_all[:, 0] + self_pair)):
+            sums[:, -1] = np.maximum(sums[:, -1] - more, 0)
+            gain -= _xlogx(sums + more[:, None]) - _xlogx(sums)
+        gain[choice == 0] = -np.inf
+        best = np.argmax(gain, axis=1)
+        for j in np.flatnonzero(gain[i, best] > gain[:, -1] + 1e-9):
+            out[some[j]] = k = choice[j, best[j]]
+            for one, sign in ((c[j], -1), (k, 1)):
+                t[one] += sign * r[j]
+                t[:, one] += sign * l[j]
+                t[one, one] += sign * self_pair[j]
+        np.maximum(t, 0, out=t)
     return out
 
 
@@ -330,25 +382,27 @@ def moves(label: np.ndarray, table: np.ndarray):
     return of
 
 
-def exchange(pairs: DataFrame, size: int, classes: int = CLASSES, passes: int = PASSES, blocks: int = BLOCKS, gain: float = GAIN) -> np.ndarray:
-    """Class of each element.  Elements start by rank in turn; the end mark keeps class 0 for itself."""
+def exchange(pairs: DataFrame, size: int, classes: int = CLASSES, blocks: int = BLOCKS, gain: float = GAIN) -> np.ndarray:
+    """Class of each element, from PAIRS.  Elements start by rank in turn; the end mark keeps class 0 for itself."""
     label = np.zeros(size, dtype=np.int64)
     label[1:] = 1 + np.arange(size - 1) % (classes - 1)
-    by_after = common.store(pairs.repartition("after"), "by-after")
-    best, best_label = -np.inf, label
-    for done in range(passes + 1):
+    by_after = common.store(pairs.repartition("part"), "by-after")
+    best, best_label, reached = -np.inf, label, []
+    while True:
         near = common.store(neighbours(pairs, by_after, label, classes, blocks), "neighbours")
         table = class_table(near, label, classes)
         now = likelihood(table)
-        close = now - best < gain * abs(best) if done else not table.any()
         if now > best:
             best, best_label = now, label
-        if not close and done < passes:
-            moved = near.repartitionById(blocks, F.col("block")).mapInPandas(moves(label, table), "element int, class int").collect()  # HEAD + BUCKETS + 1 rows at most
+        reached.append(best)
+        done = not table.any() or (len(reached) > WHOLE and best - reached[-3] <= gain * abs(best))
+        if not done:
+            turn = near if len(reached) <= WHOLE else near.where((F.floor(F.col("element") / blocks) + len(reached)) % 2 == 0)
+            moved = turn.repartitionById(blocks, F.col("block")).mapInPandas(moves(label, table), "element int, class int").collect()  # HEAD + BUCKETS + 1 rows at most
             label = label.copy()
             label[[r["element"] for r in moved]] = [r["class"] for r in moved]
         common.discard(near)
-        if close:
+        if done:
             break
     common.discard(by_after)
     return best_label

@@ -91,12 +91,17 @@ def test_probabilities_sum_to_one_or_less(spark, small, monkeypatch):
         assert (10 ** model.terms[before] * (size + 1)).sum() <= 1 + 1e-6  # one slot for unknown words each
 
 
+def packed(spark, rows):
+    """PAIRS of (before, after, n)."""
+    return spark.createDataFrame([(w % classlm.PARTS, *(np.array([x], kind).tobytes() for x, kind in ((v, "<i4"), (w, "<i4"), (n, "<i8")))) for v, w, n in rows], classlm.PAIRS)
+
+
 def test_exchange_raises_the_likelihood_and_finds_blocks(spark):
     rng = np.random.default_rng(0)
     kind = rng.integers(0, 2, 40)
     rows = [(i + 1, j + 1, 50) for i in range(40) for j in range(40) if kind[i] != kind[j]] + [(0, 1, 3)]
-    pairs = spark.createDataFrame(rows, "before int, after int, n long")
-    label = classlm.exchange(pairs, 41, classes=3, passes=10, blocks=3)
+    pairs = packed(spark, rows)
+    label = classlm.exchange(pairs, 41, classes=3, blocks=3)
     assert label[0] == 0 and (label[1:] > 0).all()
     assert len({(k, c) for k, c in zip(kind, label[1:])}) == 2
     start = np.concatenate([[0], 1 + np.arange(40) % 2])
@@ -104,7 +109,7 @@ def test_exchange_raises_the_likelihood_and_finds_blocks(spark):
 
 
 def test_neighbour_counts(spark):
-    pairs = spark.createDataFrame([(0, 1, 2), (1, 1, 3), (1, 2, 5), (2, 0, 7)], "before int, after int, n long")
+    pairs = packed(spark, [(0, 1, 2), (1, 1, 3), (1, 2, 5), (2, 0, 7)])
     near = classlm.neighbours(pairs.coalesce(1), pairs.coalesce(1), np.array([0, 1, 1]), 2, 2)
     found = {}
     for r in near.collect():
@@ -128,3 +133,35 @@ def test_the_head_is_cut_exactly(spark):
     assert classlm.head_of(words, 10) == [(b"top", 9)] + [(f"w{i:03d}".encode(), 5) for i in range(9)]
     assert classlm.head_of(words, 1) == [(b"top", 9)] and len(classlm.head_of(words, 32)) == len(classlm.head_of(words, 99)) == 32
     assert classlm.head_of(words.where("n = 5"), 29) == [(f"w{i:03d}".encode(), 5) for i in range(29)]
+
+
+@pytest.mark.parametrize("held", [4_000_000, 3])
+def test_bigrams_are_each_counted_once(spark, monkeypatch, held):
+    monkeypatch.setattr(classlm, "HELD", held)
+    texts = ["a b a b c", "", None, "b a", "x y z a"] * 3
+    elements = classlm.Elements([b"a", b"b", b"c"])
+    want = Counter()
+    for t in texts:
+        ids = [0, *elements.of(classlm.split_words(t)).tolist(), 0]
+        want.update(zip(ids, ids[1:]))
+    found = classlm.bigrams(spark.createDataFrame([(t,) for t in texts], "text string").repartition(4), elements).collect()
+    got = [(v, w, n) for r in found for v, w, n in zip(*(np.frombuffer(r[c], k).tolist() for c, k in (("before", "<i4"), ("after", "<i4"), ("n", "<i8"))))]
+    assert {(v, w): n for v, w, n in got} == dict(want) and len(got) == len(want)
+
+
+def test_a_move_goes_where_the_likelihood_is_largest():
+    rng = np.random.default_rng(5)
+    size, classes = 30, 6
+    n = rng.poisson(0.7, (size, size)) * rng.integers(1, 9, (size, size))
+    label = np.concatenate([[0], 1 + np.arange(size - 1) % (classes - 1)])
+
+    def counts(of):
+        t = np.zeros((classes, classes))
+        np.add.at(t, (of[:, None], of[None, :]), n)
+        return t
+
+    by = np.eye(classes)[label]
+    for e in range(1, size):
+        found = classlm.move(label, counts(label), np.array([e]), (n @ by)[[e]], (n.T @ by)[[e]], n[[e], [e]].astype(float))[0]
+        tried = [classlm.likelihood(counts(np.where(np.arange(size) == e, k, label))) for k in range(1, classes)]
+        assert np.isclose(tried[found - 1], max(tried))
