@@ -29,8 +29,16 @@ def ledger_date(x: Column) -> Column:
 
 def day_distance(a: Column, b: Column) -> Column:
     """Days between two instants: the signed difference is floored first, so -1.5 days are 2 and 1.5 days 1."""
-    micros = F.unix_micros(a.cast("timestamp")) - F.unix_micros(b.cast("timestamp"))
-    return F.abs(F.floor(micros / 86_400_000_000)).cast("long")
+    return micro_days(micros(a), micros(b))
+
+
+def micros(x: Column) -> Column:
+    return F.unix_micros(x.cast("timestamp"))
+
+
+def micro_days(a: Column, b: Column) -> Column:
+    """``day_distance`` of instants that ``micros`` has turned into numbers, as for many pairs of them."""
+    return F.abs(F.floor((a - b) / 86_400_000_000)).cast("long")
 
 
 def month_start(d: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +20,31 @@ VALUE_POINTS = ((0.05, 25.0), (0.08, 15.0), (0.10, 7.0))
 MULTI_LIMIT, GAP = 0.02, 20.0
 SUFFIX_LIMITS = {6: 0.08, 5: 0.06, 4: 0.05}
 VALUE_LIMIT = 0.10
+#: Entries of a tax id that ``match`` compares in one row.
+TILE = 256
 ACCEPTED = ("OK_UNICO", "OK_TEXTO", "OK_VALOR")
 
 
+def _sides(invoices: DataFrame, entries: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Invoices and entries with what is compared for each pair normalized once per side: texts, suffixes and instants."""
+    left = {"_full": text.present(F.col("invoice"))} | {f"_last_{n}": text.last_chars(F.col("invoice"), n) for n in SUFFIXES} | {"_day": dates.micros(F.col("date"))}
+    right = entries.select(
+        F.col("third_id").alias("entry_nit"), "entry_key", "entry_year", "doc_type", "doc_number", "entry_date", text.present(F.col("concept_key")).alias("concept_key"), "amount", "accounts", "account_natures", "lines"
+    )
+    return invoices.withColumns(left), right.withColumn("_entry_day", dates.micros(F.col("entry_date")))
+
+
+def _flags(entry: Callable[[str], Column]) -> dict[str, Column]:
+    """Text hits of an invoice's row on an entry whose columns ``entry`` gives.  A text that holds a number holds its last four characters, so these are tested first."""
+    inside = lambda key: F.coalesce(F.contains(entry("concept_key"), F.col(key)), F.lit(False))
+    last = inside("_last_4")
+    return {"hit_full": last & inside("_full"), "hit_6": last & inside("_last_6"), "hit_5": last & inside("_last_5"), "hit_4": last}
+
+
+def _difference(amount: Column) -> Column:
+    return F.when(F.col("total") != 0, F.abs(amount - F.col("total")) / F.abs(F.col("total")))
+
+
 def candidates(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True) -> DataFrame:
     """Each invoice with every entry of its tax id; invoices without one stay with null entry columns.
 
@@ -28,24 +52,15 @@ def candidates(invoices: DataFrame, entries: DataFrame, pair_missing: bool = Tru
     a product by its meaning, and ``pair_missing=False`` leaves it out.  The comparison is an
     equi-join on (value, is null), so adaptive execution can split a heavy supplier.
     """
-    right = entries.select(
-        F.col("third_id").alias("entry_nit"), "entry_key", "entry_year", "doc_type", "doc_number", "entry_date", text.present(F.col("concept_key")).alias("concept_key"), "amount", "accounts", "account_natures", "lines"
-    )
-    # What is tested for each pair is normalized once per side.
-    keys = {"_full": text.present(F.col("invoice"))} | {f"_last_{n}": text.last_chars(F.col("invoice"), n) for n in SUFFIXES}
+    left, right = _sides(invoices, entries)
     same = F.col("nit").eqNullSafe(F.col("entry_nit"))
-    joined = invoices.withColumns(keys).join(right, same if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
+    joined = left.join(right, same if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
     found = F.col("entry_key").isNotNull()
-    inside = lambda key: F.coalesce(F.contains(F.col("concept_key"), F.col(key)), F.lit(False))
-    flags = {"hit_full": inside("_full")} | {f"hit_{n}": inside(f"_last_{n}") for n in SUFFIXES}
-    joined = joined.withColumns(flags).drop(*keys)
+    joined = joined.withColumns(_flags(F.col))
     joined = joined.withColumns(
-        {
-            "hit": F.col("hit_full") | F.col("hit_6") | F.col("hit_5") | F.col("hit_4"),
-            "days": F.when(found, dates.day_distance(F.col("entry_date"), F.col("date"))),
-            "difference": F.when(found & (F.col("total") != 0), F.abs(F.col("amount") - F.col("total")) / F.abs(F.col("total"))),
-        }
+        {"hit": F.col("hit_4"), "days": F.when(found, dates.micro_days(F.col("_entry_day"), F.col("_day"))), "difference": F.when(found, _difference(F.col("amount")))}
     )
+    joined = joined.drop("_full", *[f"_last_{n}" for n in SUFFIXES], "_day", "_entry_day")
     return joined.withColumns({"score": F.when(found, score()), "reasons": F.when(found, reasons())})
 
 
@@ -56,13 +71,13 @@ def _steps(value: Column, steps, loss: tuple[float, float]) -> Column:
     return F.when(value.isNull(), 0.0).otherwise(out.otherwise(-F.least(value * loss[0], F.lit(loss[1]))))
 
 
-def score() -> Column:
+def score(of: Callable[[str], Column] = F.col) -> Column:
     """Points for text, tax id, days and value, added from left to right; missing parts give none."""
-    by_text = F.when(F.col("hit_full"), TEXT_POINTS[0])
+    by_text = F.when(of("hit_full"), TEXT_POINTS[0])
     for n, points in zip(SUFFIXES, TEXT_POINTS[1:], strict=True):
-        by_text = by_text.when(F.col(f"hit_{n}"), points)
+        by_text = by_text.when(of(f"hit_{n}"), points)
     by_nit = F.when(F.col("nit") == F.col("entry_nit"), NIT_POINTS).otherwise(0.0)
-    return by_text.otherwise(0.0) + by_nit + _steps(F.col("days"), DAY_POINTS, DAY_LOSS) + _steps(F.col("difference"), VALUE_POINTS, VALUE_LOSS)
+    return by_text.otherwise(0.0) + by_nit + _steps(of("days"), DAY_POINTS, DAY_LOSS) + _steps(of("difference"), VALUE_POINTS, VALUE_LOSS)
 
 
 def reasons() -> Column:
@@ -81,6 +96,20 @@ def reasons() -> Column:
     return F.coalesce(F.nullif(parts, F.lit("")), F.lit("sin_evidencia"))
 
 
+def _rank() -> list[Column]:
+    """Best candidate first."""
+    return [
+        F.col("score").desc_nulls_last(), F.col("hit_full").desc(), F.col("hit_6").desc(), F.col("hit_5").desc(), F.col("hit_4").desc(),
+        F.col("difference").asc_nulls_last(), F.col("entry_year").asc_nulls_last(), F.col("doc_type").asc_nulls_last(), F.col("doc_number").asc_nulls_last(),
+    ]
+
+
+def _adds_up() -> Column:
+    """Do two or more text hits add up to the invoice's total?"""
+    total = F.col("total")
+    return F.coalesce((F.col("hits") >= 2) & (total != 0) & (F.abs(F.col("hit_amount") - total) / F.abs(total) <= MULTI_LIMIT), F.lit(False))
+
+
 def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
     """One row per invoice key: state, chosen entry or entries, score and gap to the runner-up.
 
@@ -90,10 +119,7 @@ def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
     Ties rank by entry year, type and number.
     """
     own = Window.partitionBy(key)
-    rank = own.orderBy(
-        F.col("score").desc_nulls_last(), F.col("hit_full").desc(), F.col("hit_6").desc(), F.col("hit_5").desc(), F.col("hit_4").desc(),
-        F.col("difference").asc_nulls_last(), F.col("entry_year").asc_nulls_last(), F.col("doc_type").asc_nulls_last(), F.col("doc_number").asc_nulls_last(),
-    )
+    rank = own.orderBy(*_rank())
     hit = F.col("hit")
     found = F.col("entry_key").isNotNull()
     ranked = scored.withColumns(
@@ -108,13 +134,79 @@ def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
             "top_score": F.max("score").over(own),
         }
     )
-    total, pct = F.col("total"), F.col("difference")
-    gap = F.col("score") - F.col("next_score")
-    adds_up = F.coalesce((F.col("hits") >= 2) & (total != 0) & (F.abs(F.col("hit_amount") - total) / F.abs(total) <= MULTI_LIMIT), F.lit(False))
-    ranked = ranked.withColumn("multi", adds_up)
+    ranked = ranked.withColumn("multi", _adds_up())
     listed = F.when(F.col("multi") & hit, F.struct(F.col("entry_year").isNull().alias("n"), "entry_year", "doc_type", "doc_number", "entry_key"))
     best = F.first(F.when(F.col("place") == 1, F.struct(*[c for c in ranked.columns if c != key])), ignorenulls=True)
     ranked = ranked.where((F.col("place") == 1) | (F.col("multi") & hit)).groupBy(key).agg(best.alias("best"), F.collect_list(listed).alias("hit_keys")).select(key, "best.*", "hit_keys")
+    return _outcome(ranked, key)
+
+
+def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, key: str = "invoice_key", tile: int = TILE) -> DataFrame:
+    """What ``resolve`` finds among ``candidates``, without a row for each candidate.
+
+    The entries of a tax id are cut into tiles of ``tile``.  An invoice meets each tile in one row, which
+    keeps the tile's best entry, the score of its second best, and the number, sums and keys of its text
+    hits; these rows alone are shuffled and ranked.  Adaptive execution can split the tiles of a heavy supplier.
+    """
+    left, right = _sides(invoices.select(key, "nit", "invoice", "date", "total"), entries)
+    entry = ("entry_key", "entry_year", "doc_type", "doc_number", "entry_date", "_entry_day", "concept_key", "amount", "accounts", "account_natures", "lines")
+    place = F.row_number().over(Window.partitionBy("entry_nit").orderBy("entry_key"))
+    tiles = right.withColumn("_tile", F.floor((place - 1) / tile)).groupBy("entry_nit", "_tile").agg(F.collect_list(F.struct(*entry)).alias("of"))
+    joined = left.join(tiles, F.col("nit").eqNullSafe(F.col("entry_nit")) if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
+
+    def judged(e: Column, i: Column) -> Column:
+        flags = {n: c.alias(n) for n, c in _flags(lambda n: e[n]).items()}
+        return F.struct(i.alias("i"), *flags.values(), dates.micro_days(e["_entry_day"], F.col("_day")).alias("days"), _difference(e["amount"]).alias("difference"))
+
+    def ranked_by(x: Column) -> Column:
+        e = F.col("of")[x["i"]]
+        last = lambda c, n: (c.isNull().alias(f"no_{n}"), c.alias(n))
+        flags = [(~x[f]).alias(f"not_{f}") for f in ("hit_full", "hit_6", "hit_5", "hit_4")]
+        return F.struct((-score(lambda n: x[n])).alias("loss"), *flags, *last(x["difference"], "difference"), *[c for n in ("entry_year", "doc_type", "doc_number") for c in last(e[n], n)], x["days"].alias("days"), x["i"].alias("i"))
+
+    def summary(ranked: Column) -> Column:
+        """The best entry of a tile, the score of the next one, and the text hits."""
+        best, hits = F.get(ranked, F.lit(0)), F.transform(F.filter(ranked, lambda x: ~x["not_hit_4"]), lambda x: F.col("of")[x["i"]])
+        listed = lambda e: F.struct(e["entry_year"].isNull().alias("n"), *[e[n].alias(n) for n in ("entry_year", "doc_type", "doc_number", "entry_key", "entry_date", "amount", "lines")])
+        return F.struct(best.alias("best"), F.col("of")[best["i"]].alias("entry"), F.get(ranked, F.lit(1))["loss"].alias("second"), F.transform(hits, listed).alias("hits"))
+
+    # One expression: what it binds on its way is not written into rows.
+    found = F.transform(F.array(F.sort_array(F.transform(F.transform("of", judged), ranked_by))), summary)[0]
+    joined = joined.withColumns({"_t": F.when(F.col("of").isNotNull(), found), "_n": F.coalesce(F.size("of"), F.lit(0)).cast("long")})
+    money, hits = "decimal(29,4)", F.col("_t.hits")
+    rows = joined.select(
+        key, "nit", "entry_nit", "total", *[F.col(f"_t.entry.{n}") for n in entry if n not in ("_entry_day", "concept_key")], (-F.col("_t.best.loss")).alias("score"), (-F.col("_t.second")).alias("_second"),
+        *[F.coalesce(~F.col(f"_t.best.not_{f}"), F.lit(False)).alias(f) for f in ("hit_full", "hit_6", "hit_5", "hit_4")], F.col("_t.best.days"), F.col("_t.best.difference"), "_n",
+        F.coalesce(F.size(hits), F.lit(0)).cast("long").alias("_n_hits"),
+        F.aggregate(hits, F.lit(0).cast(money), lambda a, e: (a + F.coalesce(e["amount"].cast("decimal(19,4)"), F.lit(0))).cast(money)).alias("_hit_amount"),
+        F.array_min(F.transform(hits, lambda e: e["entry_date"])).alias("_hit_date"), F.aggregate(hits, F.lit(0).cast("long"), lambda a, e: a + e["lines"]).alias("_hit_lines"),
+        F.transform(hits, lambda e: F.struct(*[e[n].alias(n) for n in ("n", "entry_year", "doc_type", "doc_number", "entry_key")])).alias("_hit_keys"),
+    )
+    own = Window.partitionBy(key)
+    rank = own.orderBy(*_rank())
+    ranked = rows.withColumns(
+        {
+            "place": F.row_number().over(rank),
+            "next_score": F.greatest("_second", F.lead("score").over(rank)),
+            "candidates": F.sum("_n").over(own),
+            "hits": F.sum("_n_hits").over(own),
+            "hit_amount": F.sum("_hit_amount").over(own).cast("double"),
+            "hit_date": F.min("_hit_date").over(own),
+            "hit_lines": F.sum("_hit_lines").over(own),
+            "top_score": F.max("score").over(own),
+        }
+    )
+    ranked = ranked.withColumn("multi", _adds_up())
+    # The keys of hits matter only where they add up; of most invoices a row or none goes on.
+    ranked = ranked.withColumn("hit_keys", F.when(F.col("multi"), F.flatten(F.collect_list(F.when(F.col("multi"), F.col("_hit_keys"))).over(own))))
+    ranked = ranked.where("place = 1").withColumns({"hit": F.col("hit_4"), "reasons": F.when(F.col("entry_key").isNotNull(), reasons())})
+    return _outcome(ranked, key)
+
+
+def _outcome(ranked: DataFrame, key: str) -> DataFrame:
+    """The state and the columns of a match from the best candidate of each invoice, its runner-up's score and the sums over its text hits."""
+    hit, pct = F.col("hit"), F.col("difference")
+    gap = F.col("score") - F.col("next_score")
     multi = F.col("multi")
     by_suffix = F.lit(False)
     for n, limit in SUFFIX_LIMITS.items():

@@ -60,4 +60,4 @@ def scored(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
 
 
 def matched(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
-    return matching.resolve(scored(spark, sf_dir, split))
+    return matching.match(invoices(spark, sf_dir, split), ledger(spark, sf_dir, split))

@@ -69,12 +69,12 @@ class Run:
 def match_run(invoices: DataFrame, movements: DataFrame, pair_missing: bool = True) -> Run:
     """Raw invoices and movements (``schemas.INVOICES``, ``schemas.MOVEMENTS``) to resolved matches: one lazy plan.
 
-    Shuffles: entries by their key, candidates by tax id, resolution by invoice.
+    Shuffles: entries by their key, invoices and tiles of entries by tax id, a row for each of their meetings by invoice.
     """
     own, moves = features.invoice_features(invoices), features.movement_features(movements)
     found = entries.entries(entries.invoice_movements(moves))
     scored = matching.candidates(own, found, pair_missing)
-    return Run(own, moves, found, scored, matching.resolve(scored))
+    return Run(own, moves, found, scored, matching.match(own, found, pair_missing))
 
 
 def generate_dataset(

@@ -1,3 +1,4 @@
+import random
 from datetime import date
 
 import pytest
@@ -91,6 +92,34 @@ def test_no_rows(spark):
     assert solve(spark, [], [move("1", "x", 1)]) == {} and solve(spark, [("1", "a", D, 1.0)], [])["1|a"]["state"] == "SIN_MATCH"
 
 
+def test_match_in_tiles_is_resolution_of_all_candidates(spark):
+    r = random.Random(5)
+    nits, day = [None, "", "1", "2", "3"], lambda: r.choice([None, date.fromordinal(D.toordinal() + r.randrange(-60, 60))])
+    invoices = [(r.choice(nits), r.choice([None, f"fv{r.randrange(40)}", f"{r.randrange(9999, 10020)}99"]), day(), r.choice([None, 0.0, float(r.randrange(1, 60))])) for _ in range(80)]
+    amount = lambda: __import__("decimal").Decimal(r.randrange(0, 30))
+    moves = [(i, day(), "FC", r.choice([None, str(r.randrange(60))]), r.choice(["11", "22"]), r.choice(nits[:4]), r.choice(["x", f"fv{r.randrange(40)}", f"{r.randrange(9999, 10020)}99", None]), amount(), amount()) for i in range(200)]
+    invoices.append(("1", "multi12345", D, 30.0))
+    moves += [(300 + i, D, "FC", str(300 + i), "11", "1", f"multi12345 {i}", *map(__import__("decimal").Decimal, (10, 0))) for i in range(3)]
+    inv = spark.createDataFrame(invoices, INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice")))
+    inv = inv.dropDuplicates(["invoice_key"])
+    ent = entries.entries(spark.createDataFrame(moves, MOVEMENT)).localCheckpoint()
+    for pair_missing in (True, False):
+        want = sorted(map(str, matching.resolve(matching.candidates(inv, ent, pair_missing)).collect()))
+        assert any("2026|FC|300;2026|FC|301;2026|FC|302" in x for x in want)
+        for tile in (1, 3, 1000):
+            assert sorted(map(str, matching.match(inv, ent, pair_missing, tile=tile).collect())) == want
+
+
+def test_match_shuffles_no_candidates(spark):
+    inv = spark.createDataFrame([("1", str(i), D, 1.0) for i in range(40)], INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice"))).localCheckpoint()
+    ent = entries.entries(spark.createDataFrame([(i, D, "FC", str(i), "1", "1", "x", None, None) for i in range(50)], MOVEMENT)).localCheckpoint()
+    written = lambda: sum(s.apply(i).shuffleWriteRecords() for s in [stages()] for i in range(s.size()))
+    stages = lambda: spark._jsc.sc().statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+    before = written()
+    assert matching.match(inv, ent).count() == 40
+    assert written() - before < 40 * 50
+
+
 def test_scores_stay_within_their_bounds(spark, small):
     from ledgermatch.plans import adaptor
 
