@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -82,13 +83,16 @@ def quality_summary(invoices: DataFrame, entries: DataFrame, scored: DataFrame,
 
 
 def token_frequency_filter(docs: DataFrame, key: str, tokens: str, least: int = 2, share: float = 0.35) -> DataFrame:
-    """(key, text): each document's tokens, in order, whose document frequency is at least ``least`` and at most max(1, int(share x documents))."""
-    n = docs.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * share)).alias("most"))
+    """(key, text, n): each document's tokens, in order, whose document frequency is at least ``least`` and at most max(1, floor(share x documents)), and their number.
+
+    The share is taken as the decimal that it is written as.  Frequencies count keys, null not among them; an empty token is one like any other.
+    """
+    n = docs.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(Decimal(str(share))))).alias("most"))
     each = docs.select(key, F.posexplode(tokens).alias("at", "token"))
-    frequency = each.groupBy("token", key).agg(F.min("at").alias("first")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    frequency = each.groupBy("token", key).agg(F.min("at").alias("first")).groupBy("token").agg(F.count(key).alias("df"))
     kept = frequency.crossJoin(F.broadcast(n)).where((F.col("df") >= least) & (F.col("df") <= F.col("most"))).select("token")  # n is one row
     found = each.join(kept, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"))
-    return docs.select(key).distinct().join(found, key, "left").select(key, F.array_join(F.transform("t", lambda t: t["token"]), " ").alias("text"))
+    return docs.select(key).distinct().join(found, key, "left").select(key, F.array_join(F.transform("t", lambda t: t["token"]), " ").alias("text"), F.coalesce(F.size("t"), F.lit(0)).cast("long").alias("n"))
 
 
 
