@@ -13,7 +13,7 @@ from collections.abc import Iterator
 from decimal import Decimal, InvalidOperation
 from xml.etree import ElementTree
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +93,7 @@ def _party(root, role: str) -> tuple[str, str]:
 
 def parse_document(content: str) -> tuple[dict, list[dict]]:
     """Header and lines of one document; raises Invalid with the first rule that it breaks."""
-    if re.search(r"<!\s*DOCTYPE|<!\s*ENTITY", content, re.I):
+    if "<!" in content and re.search(r"<!\s*DOCTYPE|<!\s*ENTITY", content, re.I):
         raise Invalid("DTD is not allowed")
     try:
         root = ElementTree.fromstring(content)
@@ -135,7 +135,8 @@ def parse_document(content: str) -> tuple[dict, list[dict]]:
             scheme = _text(part, f"{CAC}TaxCategory/{CAC}TaxScheme/{CBC}ID")
             if scheme in taxes:
                 taxes[scheme] = (taxes[scheme] or Decimal(0)) + (_amount(_text(part, f"{CBC}TaxAmount")) or Decimal(0))
-    legacy = next((n.text for n in root.iter() if n.tag.rpartition("}")[2] == "MntDctoCop" and (n.text or "").strip()), None)
+    # Names of tags stand in the content as they are: most documents need no walk.
+    legacy = "MntDctoCop" in content and next((n.text for n in root.iter() if n.tag.rpartition("}")[2] == "MntDctoCop" and (n.text or "").strip()), None)
     lines = []
     for i, node in enumerate(nodes, 1):
         item = node.find(f"{CAC}Item")
@@ -164,17 +165,25 @@ def parse_document(content: str) -> tuple[dict, list[dict]]:
 def parse(documents: DataFrame) -> DataFrame:
     """(path, header, lines, error) of documents (path, content); a document has an error or a header.  A null content is not well formed."""
 
-    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for path, content in zip(batch["path"], batch["content"], strict=True):
+            paths, headers, lines, errors = batch.column("path"), [], [], []
+            for content in batch.column("content").to_pylist():
                 try:
-                    rows.append((path, *parse_document(content or ""), None))
+                    header, own, error = *parse_document(content or ""), None
                 except Invalid as e:
-                    rows.append((path, None, None, str(e)))
-            yield pd.DataFrame(rows, columns=["path", "header", "lines", "error"])
+                    header, own, error = None, None, str(e)
+                headers.append(header)
+                lines.append(own)
+                errors.append(error)
+            yield pa.RecordBatch.from_arrays([paths.cast(pa.string()), pa.array(headers, _arrow(HEADER)), pa.array(lines, pa.list_(_arrow(LINES))), pa.array(errors, pa.string())], ["path", "header", "lines", "error"])
 
-    return documents.select("path", "content").mapInPandas(of, PARSED)
+    return documents.select("path", "content").mapInArrow(of, PARSED)
+
+
+def _arrow(schema: str) -> pa.DataType:
+    """The Arrow type of a flat struct of texts and ints, or of an array's struct."""
+    return pa.struct([(n, pa.int32() if kind == "int" else pa.string()) for n, kind in re.findall(r"(\w+):(\w+)", schema)])
 
 
 def _escape(x: Column) -> Column:
@@ -213,14 +222,15 @@ def build(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return joined.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(".xml")).alias("path"), content.alias("content"))
 
 
-def item_texts(parsed: DataFrame) -> DataFrame:
-    """(key, codes, descriptions) of each document: distinct item codes in natural order, and their descriptions; one row per key, first path first."""
+def item_texts(parsed: DataFrame, *columns: str) -> DataFrame:
+    """(key, ``columns`` of the header, codes, descriptions) of each document: distinct item codes in natural order, and their descriptions; one row per key, first path first."""
     from pyspark.sql import Window
 
     from ..functions import text
 
-    first = parsed.where("error is null").withColumn("_r", F.row_number().over(Window.partitionBy("header.key").orderBy("path"))).where("_r = 1")
     code = lambda e: F.coalesce(e["item_code"], e["supplier_code"])
     items = F.array_sort(F.transform("lines", lambda e: F.struct(text.natural_key(code(e)).alias("k"), F.coalesce(e["description"], F.lit("")).alias("d"), code(e).alias("c"))))
-    names = lambda field: F.array_join(F.array_distinct(F.filter(F.transform(items, lambda e: e[field]), lambda x: x != "")), " | ")
-    return first.select(F.col("header.key").alias("key"), names("c").alias("codes"), names("d").alias("descriptions"))
+    names = lambda field: F.array_join(F.array_distinct(F.filter(F.transform("_items", lambda e: e[field]), lambda x: x != "")), " | ")
+    # The texts are made before the shuffle, which moves no lines then.
+    own = parsed.where("error is null").withColumn("_items", items).select("path", "header.key", *[f"header.{c}" for c in columns], names("c").alias("codes"), names("d").alias("descriptions"))
+    return own.withColumn("_r", F.row_number().over(Window.partitionBy("key").orderBy("path"))).where("_r = 1").select("key", *columns, "codes", "descriptions")

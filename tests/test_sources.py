@@ -121,3 +121,22 @@ def test_sinks(spark, tmp_path):
     assert tuple(sinks.outbox(b.where("k = 'x'"), ["k"], 60, now).first()) == ('{"schemaVersion":1,"k":"x"}', datetime(2026, 1, 1, 0, 1))
     sinks.report(b.withColumn("l", F.array("k")), str(tmp_path / "r"))
     assert spark.read.option("header", True).csv(str(tmp_path / "r")).where("k = 'x'").first()["l"] == '["x"]'
+
+
+def test_item_texts_parse_once_and_keep_header_columns(spark):
+    lines = [(1, 2, 9.0, 1.0, n) for n in (1, 2)] + [(2, 10, 5.0, 1.0, 1), (2, 9, 5.0, 1.0, 2)]
+    lines = spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_extendedprice double, l_quantity double, l_linenumber int")
+    orders = spark.sql("select id o_orderkey, id o_custkey, timestamp'2026-01-02' o_orderdate from range(1, 3)")
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    built = ubl.build(orders, lines).mapInArrow(counted, "path string, content string")
+    broken = spark.createDataFrame([("x.xml", "<a"), ("y.xml", None)], "path string, content string")
+    got = ubl.item_texts(ubl.parse(built.union(broken)), "invoice")
+    assert got.columns == ["key", "invoice", "codes", "descriptions"]
+    assert {(r["invoice"], r["codes"]) for r in got.collect()} == {("1", "P2"), ("2", "P9 | P10")}
+    assert seen.value == 2
