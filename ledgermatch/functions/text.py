@@ -76,32 +76,40 @@ def _decomposed() -> tuple[str, str, dict[str, str]]:
 _ONE, _TO, _MORE = _decomposed()
 
 
+def _bound(x: Column, f: Callable[[Column], Column]) -> Column:
+    """f(x) with x computed once, however often ``f`` names it."""
+    return F.transform(F.array(x), f)[0]
+
+
 def strip_marks(x: Column) -> Column:
     """Collapsed text with accents dropped and compatibility letters decomposed.
 
     Only texts with characters beyond ASCII take that path; all of it stays in the JVM.
     """
-    text = collapse(x)
-    plain = F.translate(text, _ONE, _TO)
     pairs = F.create_map(*[F.lit(x) for pair in _MORE.items() for x in pair])
-    long = F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), "")
-    plain = F.when(plain.rlike("[" + "".join(_MORE) + "]"), long).otherwise(plain)
-    plain = F.regexp_replace(plain, r"\p{Mn}", "")
-    return F.when(text.rlike(r"[^\x00-\x7F]"), plain).otherwise(text)
+    long = lambda plain: F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), "")
+    full = lambda plain: F.when(plain.rlike("[" + "".join(_MORE) + "]"), long(plain)).otherwise(plain)
+    folded = lambda text: F.regexp_replace(_bound(F.translate(text, _ONE, _TO), full), r"\p{Mn}", "")
+    return _bound(collapse(x), lambda text: F.when(text.rlike(r"[^\x00-\x7F]"), folded(text)).otherwise(text))
 
 
 def basic_text(x: Column) -> Column:
     """Marks dropped, white space collapsed, case kept."""
-    return collapse(strip_marks(x))
+    return _bound(strip_marks(x), collapse)
 
 
 def model_text(x: Column) -> Column:
-    return collapse(F.lower(strip_marks(x)))
+    return _bound(F.lower(strip_marks(x)), collapse)
 
 
 def alnum_key(x: Column) -> Column:
     """Lower-case letters and digits only; null if nothing is left."""
-    return F.nullif(F.regexp_replace(F.lower(strip_marks(x)), "[^a-z0-9]", ""), F.lit(""))
+    return plain_key(strip_marks(x))
+
+
+def plain_key(plain: Column) -> Column:
+    """``alnum_key`` of what ``strip_marks`` has given."""
+    return _bound(F.regexp_replace(F.lower(plain), "[^a-z0-9]", ""), lambda key: F.nullif(key, F.lit("")))
 
 
 def tax_id(x: Column) -> Column:

@@ -89,3 +89,10 @@ def test_normalizers_are_idempotent(spark):
     for f in (text.collapse, text.basic_text, text.model_text, text.alnum_key, text.tax_id):
         once = df.select(f(F.col("x")).alias("x"))
         assert once.where(~f(F.col("x")).eqNullSafe(F.col("x"))).count() == 0, f.__name__
+
+
+def test_keys_compute_their_text_once(spark):
+    df = spark.createDataFrame([(" \u00c1\ufb01  x ",), ("nan",), (None,), ("\u00df-1",)], "t string")
+    assert [r[0] for r in df.select(text.alnum_key(F.col("t"))).collect()] == ["afix", None, None, "1"]
+    plan = df.select(text.alnum_key(F.col("t")).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?U)\\s+") == 1
