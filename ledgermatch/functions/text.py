@@ -22,9 +22,13 @@ SPREADSHEET_MISSING = ("", "#N/A", "#NA", "-NaN", "-nan", "<NA>", "N/A", "NA", "
 EVENT_MARKS = ("application response", "acuse", "aceptacion", "reclamo", "evento", "recibo")
 
 
+#: White space in the Unicode sense, as a pattern's (?U)\\s has it.
+_SPACES = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+
+
 def strip(x: Column) -> Column:
     """Without white space at either end, in the Unicode sense."""
-    return F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    return F.btrim(x, F.lit(_SPACES))
 
 
 def is_missing(x: Column) -> Column:
@@ -49,9 +53,18 @@ def spreadsheet_null(x: Column) -> Column:
     return F.when(~x.isin(*SPREADSHEET_MISSING), x)
 
 
+def _unless_plain(x: Column, otherwise: Column) -> Column:
+    """Most texts are printable ASCII with single spaces between words: these stay as they are, if not missing; others take the longer way."""
+    return F.when(x.rlike("[^ -~]|  |^ | $|^$"), otherwise).otherwise(F.when(~F.lower(x).isin(*MISSING), x))
+
+
+def _collapsed(x: Column) -> Column:
+    return _bound(strip(F.regexp_replace(present(x), r"(?U)\s+", " ")), lambda text: F.nullif(text, F.lit("")))
+
+
 def collapse(x: Column) -> Column:
     """White space collapsed to single spaces; missing or empty becomes null."""
-    return F.nullif(strip(F.regexp_replace(present(x), r"(?U)\s+", " ")), F.lit(""))
+    return _unless_plain(x, _collapsed(x))
 
 
 def _decomposed() -> tuple[str, str, dict[str, str]]:
@@ -90,7 +103,7 @@ def strip_marks(x: Column) -> Column:
     long = lambda plain: F.array_join(F.transform(F.split(plain, ""), lambda c: F.coalesce(F.try_element_at(pairs, c), c)), "")
     full = lambda plain: F.when(plain.rlike("[" + "".join(_MORE) + "]"), long(plain)).otherwise(plain)
     folded = lambda text: F.regexp_replace(_bound(F.translate(text, _ONE, _TO), full), r"\p{Mn}", "")
-    return _bound(collapse(x), lambda text: F.when(text.rlike(r"[^\x00-\x7F]"), folded(text)).otherwise(text))
+    return _unless_plain(x, _bound(_collapsed(x), lambda text: F.when(text.rlike(r"[^\x00-\x7F]"), folded(text)).otherwise(text)))
 
 
 def basic_text(x: Column) -> Column:

@@ -17,26 +17,12 @@ def invoice_movements(movements: DataFrame, kind: str = "fc") -> DataFrame:
     return movements.where(text.alnum_key(F.col("doc_type")) == kind)
 
 
-def ordered_distinct(value: Column, order: Column, mark: str = " | ") -> Column:
-    """Distinct values in order of first appearance, white space collapsed, missing ones left out."""
-    pairs = F.array_sort(F.collect_list(F.when(~text.is_missing(value), F.struct(order.alias("o"), text.collapse(value).alias("v")))))
-    return F.nullif(F.array_join(F.array_distinct(F.transform(pairs, lambda p: p["v"])), mark), F.lit(""))
-
-
 def nature(debit: Column, credit: Column) -> Column:
     """DC, D, C or N by which of the amounts are above 0."""
     d, c = F.coalesce(debit > 0, F.lit(False)), F.coalesce(credit > 0, F.lit(False))
     return F.when(d & c, "DC").when(d, "D").when(c, "C").otherwise("N")
 
 
-def account_set(account: Column, debit: Column | None = None, credit: Column | None = None) -> Column:
-    """Sorted set of accounts, or of account_nature if amounts are given."""
-    name = F.trim(account)
-    if debit is not None:
-        name = F.concat_ws("_", name, nature(debit, credit))
-    return F.array_sort(F.collect_set(F.when(~text.is_missing(account), name)))
-
-
 def template_label(accounts: Column) -> Column:
     """A set as text: ('a', 'b'), with a comma after a single element, () if empty or null."""
     inner = F.concat(F.lit("('"), F.array_join(accounts, "', '"), F.when(F.size(accounts) == 1, "',)").otherwise("')"))
@@ -48,22 +34,42 @@ def entry_key(year: Column, doc_type: Column, number: Column) -> Column:
     return F.concat(F.coalesce(year.cast("string"), F.lit("-1")), F.lit("|"), F.coalesce(doc_type, F.lit("")), F.lit("|"), F.coalesce(number, F.lit("")))
 
 
+def _distinct(values: Column) -> Column:
+    """Without nulls and repeats, in order."""
+    return F.array_except(values, F.array(F.lit(None).cast("string")))
+
+
+def commonest(values: Column) -> Column:
+    """The most frequent value of a short array, the smallest of several; nulls don't count."""
+    found = _distinct(values)
+    often = F.array_min(F.transform(found, lambda v: F.struct((-F.size(F.filter(values, lambda x: x == v))).alias("n"), v.alias("v"))))["v"]
+    return F.when(F.size(found) > 1, often).otherwise(F.get(found, F.lit(0)))
+
+
 def entries(movements: DataFrame) -> DataFrame:
     """One row per (year, type, number), nulls being a value of their own.
 
     The row order that first values and joined texts depend on is (date, movement_id).  An
     entry's lines are one accounting document, so its arrays are short.
     """
-    order = F.struct(F.col("date").isNull(), F.col("date"), F.col("movement_id"))
-    grouped = movements.withColumn("entry_year", F.year("date")).groupBy(*ENTRY_KEY).agg(
+    present = ~text.is_missing(F.col("account"))
+    name = F.trim("account")
+    line = F.struct(
+        F.col("date").isNull().alias("undated"), "date", "movement_id", text.collapse(F.col("concept")).alias("concept"), "third_id", F.when(present, name).alias("account"),
+        F.when(present, F.concat_ws("_", name, nature(F.col("debit"), F.col("credit")))).alias("account_nature"),
+    )
+    rows = movements.select(F.year("date").alias("entry_year"), "doc_type", "doc_number", "date", F.col("debit").cast(MONEY).alias("debit"), F.col("credit").cast(MONEY).alias("credit"), line.alias("line"))
+    # Dealt by parts of their key first, as lists made before a shuffle save nothing.
+    grouped = rows.repartition("entry_year", "doc_number").groupBy(*ENTRY_KEY).agg(
         F.min("date").alias("entry_date"),
-        F.mode(F.col("third_id"), True).alias("third_id"),
-        ordered_distinct(F.col("concept"), order).alias("concept"),
-        F.sum(F.col("debit").cast(MONEY)).cast("double").alias("debit"),
-        F.sum(F.col("credit").cast(MONEY)).cast("double").alias("credit"),
-        account_set(F.col("account")).alias("accounts"),
-        account_set(F.col("account"), F.col("debit"), F.col("credit")).alias("account_natures"),
+        F.sum("debit").cast("double").alias("debit"),
+        F.sum("credit").cast("double").alias("credit"),
         F.count(F.lit(1)).alias("lines"),
+        F.sort_array(F.collect_list("line")).alias("of"),
     )
+    grouped = grouped.select(
+        *ENTRY_KEY, "entry_date", commonest(F.col("of.third_id")).alias("third_id"), F.nullif(F.array_join(F.array_distinct("of.concept"), " | "), F.lit("")).alias("concept"),
+        "debit", "credit", F.sort_array(_distinct(F.col("of.account"))).alias("accounts"), F.sort_array(_distinct(F.col("of.account_nature"))).alias("account_natures"), "lines",
+    )
     key = entry_key(F.col("entry_year"), F.col("doc_type"), F.col("doc_number"))
     return grouped.withColumns({"amount": F.greatest("debit", "credit"), "entry_key": key, "concept_key": text.alnum_key(F.col("concept"))})

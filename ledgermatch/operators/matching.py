@@ -150,33 +150,39 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
     """
     left, right = _sides(invoices.select(key, "nit", "invoice", "date", "total"), entries)
     entry = ("entry_key", "entry_year", "doc_type", "doc_number", "entry_date", "_entry_day", "concept_key", "amount", "accounts", "account_natures", "lines")
-    place = F.row_number().over(Window.partitionBy("entry_nit").orderBy("entry_key"))
-    tiles = right.withColumn("_tile", F.floor((place - 1) / tile)).groupBy("entry_nit", "_tile").agg(F.collect_list(F.struct(*entry)).alias("of"))
+    # Entries stand in the order that decides between equal candidates.
+    order = [F.col(c).asc_nulls_last() for c in ("entry_year", "doc_type", "doc_number", "entry_key")]
+    tiles = right.withColumn("_place", F.row_number().over(Window.partitionBy("entry_nit").orderBy(*order))).withColumn("_tile", F.floor((F.col("_place") - 1) / tile))
+    tiles = tiles.groupBy("entry_nit", "_tile").agg(F.sort_array(F.collect_list(F.struct("_place", *entry))).alias("of"))
     joined = left.join(tiles, F.col("nit").eqNullSafe(F.col("entry_nit")) if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
 
     def judged(e: Column, i: Column) -> Column:
-        flags = {n: c.alias(n) for n, c in _flags(lambda n: e[n]).items()}
-        return F.struct(i.alias("i"), *flags.values(), dates.micro_days(e["_entry_day"], F.col("_day")).alias("days"), _difference(e["amount"]).alias("difference"))
+        """Text hits as bits, the better the higher; days and difference."""
+        flag = lambda name, bit: F.when(flags[name], bit).otherwise(0)
+        flags = _flags(lambda n: e[n])
+        text_hits = F.when(flags["hit_4"], flag("hit_full", 8) + flag("hit_6", 4) + flag("hit_5", 2) + 1).otherwise(0)
+        return F.struct(i.alias("i"), text_hits.alias("hits"), dates.micro_days(e["_entry_day"], F.col("_day")).alias("days"), _difference(e["amount"]).alias("difference"))
 
     def ranked_by(x: Column) -> Column:
-        e = F.col("of")[x["i"]]
-        last = lambda c, n: (c.isNull().alias(f"no_{n}"), c.alias(n))
-        flags = [(~x[f]).alias(f"not_{f}") for f in ("hit_full", "hit_6", "hit_5", "hit_4")]
-        return F.struct((-score(lambda n: x[n])).alias("loss"), *flags, *last(x["difference"], "difference"), *[c for n in ("entry_year", "doc_type", "doc_number") for c in last(e[n], n)], x["days"].alias("days"), x["i"].alias("i"))
+        of = {"days": x["days"], "difference": x["difference"]} | {f"hit_{n}": x["hits"] >= bit for n, bit in (("full", 8), (6, 4), (5, 2), (4, 1))}
+        return F.struct((-score(of.__getitem__)).alias("loss"), (-x["hits"]).alias("no_hits"), x["difference"].isNull().alias("no_difference"), x["difference"].alias("difference"), x["i"].alias("i"), x["days"].alias("days"))
 
     def summary(ranked: Column) -> Column:
         """The best entry of a tile, the score of the next one, and the text hits."""
-        best, hits = F.get(ranked, F.lit(0)), F.transform(F.filter(ranked, lambda x: ~x["not_hit_4"]), lambda x: F.col("of")[x["i"]])
+        return F.transform(F.array(F.array_min(ranked)), lambda best: chosen(ranked, best))[0]
+
+    def chosen(ranked: Column, best: Column) -> Column:
+        hits = F.transform(F.filter(ranked, lambda x: x["no_hits"] < 0), lambda x: F.col("of")[x["i"]])
         listed = lambda e: F.struct(e["entry_year"].isNull().alias("n"), *[e[n].alias(n) for n in ("entry_year", "doc_type", "doc_number", "entry_key", "entry_date", "amount", "lines")])
-        return F.struct(best.alias("best"), F.col("of")[best["i"]].alias("entry"), F.get(ranked, F.lit(1))["loss"].alias("second"), F.transform(hits, listed).alias("hits"))
+        return F.struct(best.alias("best"), F.col("of")[best["i"]].alias("entry"), F.get(F.sort_array(ranked["loss"]), F.lit(1)).alias("second"), F.transform(hits, listed).alias("hits"))
 
     # One expression: what it binds on its way is not written into rows.
-    found = F.transform(F.array(F.sort_array(F.transform(F.transform("of", judged), ranked_by))), summary)[0]
+    found = F.transform(F.array(F.transform(F.transform("of", judged), ranked_by)), summary)[0]
     joined = joined.withColumns({"_t": F.when(F.col("of").isNotNull(), found), "_n": F.coalesce(F.size("of"), F.lit(0)).cast("long")})
     money, hits = "decimal(29,4)", F.col("_t.hits")
     rows = joined.select(
         key, "nit", "entry_nit", "total", *[F.col(f"_t.entry.{n}") for n in entry if n not in ("_entry_day", "concept_key")], (-F.col("_t.best.loss")).alias("score"), (-F.col("_t.second")).alias("_second"),
-        *[F.coalesce(~F.col(f"_t.best.not_{f}"), F.lit(False)).alias(f) for f in ("hit_full", "hit_6", "hit_5", "hit_4")], F.col("_t.best.days"), F.col("_t.best.difference"), "_n",
+        *[F.coalesce((-F.col("_t.best.no_hits")).bitwiseAND(bit) > 0, F.lit(False)).alias(f) for f, bit in (("hit_full", 8), ("hit_6", 4), ("hit_5", 2), ("hit_4", 1))], F.col("_t.best.days"), F.col("_t.best.difference"), "_n",
         F.coalesce(F.size(hits), F.lit(0)).cast("long").alias("_n_hits"),
         F.aggregate(hits, F.lit(0).cast(money), lambda a, e: (a + F.coalesce(e["amount"].cast("decimal(19,4)"), F.lit(0))).cast(money)).alias("_hit_amount"),
         F.array_min(F.transform(hits, lambda e: e["entry_date"])).alias("_hit_date"), F.aggregate(hits, F.lit(0).cast("long"), lambda a, e: a + e["lines"]).alias("_hit_lines"),

@@ -96,3 +96,14 @@ def test_keys_compute_their_text_once(spark):
     assert [r[0] for r in df.select(text.alnum_key(F.col("t"))).collect()] == ["afix", None, None, "1"]
     plan = df.select(text.alnum_key(F.col("t")).alias("k"))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?U)\\s+") == 1
+
+
+def test_white_space_is_the_unicode_one_on_plain_and_other_texts(spark):
+    space = [chr(c) for c in range(0x3100) if chr(c) in text._SPACES]
+    texts = [None, "", " ", "a b", "a  b", " a", "a ", "NULL", " nAn\u2003", "a\n", "na n", "\u200ba"] + [f"{s}a{s}{s}b{s}" for s in space]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    slow = F.regexp_replace("t", r"(?U)^\s+|\s+$", "")
+    odd = df.where(~text.strip(F.col("t")).eqNullSafe(slow) | ~F.regexp_replace(F.col("t"), r"(?U)\s", "").eqNullSafe(F.translate("t", text._SPACES, "")))
+    assert odd.count() == 0
+    got = [r[0] for r in df.select(text.collapse(F.col("t"))).collect()]
+    assert got[:12] == [None, None, None, "a b", "a b", "a", "a", None, None, "a", "na n", "\u200ba"] and set(got[12:]) == {"a b"}

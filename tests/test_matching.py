@@ -88,6 +88,16 @@ def test_entry_aggregates(spark):
     assert out["-1|FC|1"]["accounts"] == ["22"] and out["-1|FC|1"]["concept"] is None
 
 
+def test_entries_are_dealt_once_as_lines(spark):
+    """No lists are made before the shuffle, and one list is made in all."""
+    one = lambda i, third, account: (i, D, "FC", "1", account, third, "x", *[__import__("decimal").Decimal(1)] * 2)
+    df = spark.createDataFrame([one(1, "b", "2"), one(2, "a", "1"), one(3, "b", None), one(4, None, "1"), one(5, "a", "nan")], MOVEMENT)
+    out = entries.entries(df)
+    assert [(r["third_id"], r["accounts"], r["lines"]) for r in out.collect()] == [("a", ["1", "2"], 5)]
+    plan = entries.entries(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("partial_collect") == 1 and "mode(" not in plan
+
+
 def test_no_rows(spark):
     assert solve(spark, [], [move("1", "x", 1)]) == {} and solve(spark, [("1", "a", D, 1.0)], [])["1|a"]["state"] == "SIN_MATCH"
 
