@@ -56,6 +56,8 @@ def payload_error(x: Column) -> Column:
     nested = lambda v: F.coalesce(F.schema_of_variant(v).rlike("^(OBJECT|ARRAY)"), F.lit(False))
     size = lambda v: F.octet_length(F.encode(F.try_variant_get(v, "$", "string"), "UTF-16LE"))
     bad = F.exists(values, lambda v: nested(v) | F.coalesce(size(v) > VALUE_BYTES, F.lit(False)))
+    # A text with one opening bracket has nothing nested, and UTF-16 has at most two bytes for each of UTF-8: the values of most payloads need no look.
+    bad = F.when((F.octet_length(x) * 2 > VALUE_BYTES) | x.rlike(r"(?s)[\[{].*[\[{]"), bad).otherwise(F.lit(False))
     return F.when(~is_json(x), "FilaJson no es JSON valido.").when(bad, "FilaJson contiene estructuras o columnas demasiado largas.")
 
 

@@ -119,5 +119,9 @@ def movement(cell: Callable[[str], Column], payload_error: Column | None = None)
 
 def movements_of_json(rows: DataFrame, payload: str) -> DataFrame:
     """``rows`` and the columns of ``movement``, from JSON objects with one member per value; they are read once."""
-    read = rows.withColumns({"_members": F.from_json(payload, "map<string,string>"), "_wrong": hashing.payload_error(F.col(payload))})
-    return read.withColumns(movement(lambda m: F.col("_members")[m], F.col("_wrong"))).drop("_members", "_wrong")
+    members = F.when(F.col(payload).rlike(r"^\s*\{"), F.from_json(payload, ", ".join(f"{m} string" for m in MEMBERS)))
+    read = rows.withColumns({"_members": members, "_wrong": hashing.payload_error(F.col(payload))})
+    # A column for each member, as the rules name it often.
+    cell = {m: f"_member_{m}" for m in MEMBERS}
+    read = read.withColumns({name: blank_to_null(F.col("_members")[m]) for m, name in cell.items()})
+    return read.withColumns(movement(lambda m: F.col(cell[m]), F.col("_wrong"))).drop("_members", "_wrong", *cell.values())

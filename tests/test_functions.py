@@ -107,3 +107,19 @@ def test_white_space_is_the_unicode_one_on_plain_and_other_texts(spark):
     assert odd.count() == 0
     got = [r[0] for r in df.select(text.collapse(F.col("t"))).collect()]
     assert got[:12] == [None, None, None, "a b", "a b", "a", "a", None, None, "a", "na n", "\u200ba"] and set(got[12:]) == {"a b"}
+
+
+def test_payload_values_are_looked_at_where_they_may_break_a_limit(spark):
+    from ledgermatch.functions import hashing, rules
+
+    nested, form = "FilaJson contiene estructuras o columnas demasiado largas.", "FilaJson no es JSON valido."
+    cases = [
+        ('{"Concepto":"[a] {b}"}', None), ('{"Concepto":{"a":"1"}}', nested), ('{"a":[1]}', nested), ("[[1]]", nested), ("[1]", None), ("{}", None), ("{", form), (" 1", form), (None, form),
+        ('{"a":"%s"}' % ("x" * 4000), None), ('{"a":"%s"}' % ("x" * 4001), nested), ('{"a":"%s"}' % ("é" * 4000), None), ('{"a":"%s"}' % ("é" * 4001), nested), ('{"a":"%s"}' % ("\U0001f600" * 2001), nested),
+    ]
+    df = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(cases)], "i int, p string")
+    assert [r[0] for r in df.orderBy("i").select(hashing.payload_error(F.col("p"))).collect()] == [e for _, e in cases]
+    out = rules.movements_of_json(df, "p")
+    assert [r["concepto"] for r in out.orderBy("i").collect()][:5] == ["[a] {b}", '{"a":"1"}', None, None, None]
+    plan = out.select("error")._jdf.queryExecution().optimizedPlan().toString()
+    assert "entries" not in plan and "StructField(Fecha,StringType" in plan and plan.count("_members") < 3 * len(rules.MEMBERS)
