@@ -121,7 +121,9 @@ def movements_of_json(rows: DataFrame, payload: str) -> DataFrame:
     """``rows`` and the columns of ``movement``, from JSON objects with one member per value; they are read once."""
     members = F.when(F.col(payload).rlike(r"^\s*\{"), F.from_json(payload, ", ".join(f"{m} string" for m in MEMBERS)))
     read = rows.withColumns({"_members": members, "_wrong": hashing.payload_error(F.col(payload))})
-    # A column for each member, as the rules name it often.
-    cell = {m: f"_member_{m}" for m in MEMBERS}
-    read = read.withColumns({name: blank_to_null(F.col("_members")[m]) for m, name in cell.items()})
-    return read.withColumns(movement(lambda m: F.col(cell[m]), F.col("_wrong"))).drop("_members", "_wrong", *cell.values())
+    # The rules name a member often and are too long for one compiled method, so they run on what is bound once.
+    bound = F.struct(*[blank_to_null(F.col("_members")[m]).alias(m) for m in MEMBERS], F.col("_wrong").alias("wrong"))
+    error = F.transform(F.array(bound), lambda x: movement(lambda m: x[m], x["wrong"])["error"])[0]
+    read = read.withColumn("error", error)
+    own = movement(lambda m: F.col("_members")[m])
+    return read.withColumns({n: c for n, c in own.items() if n not in ("error", "content_hash")} | {"content_hash": F.when(F.col("error").isNull(), own["content_hash"])}).drop("_members", "_wrong")
