@@ -22,29 +22,32 @@ Null and empty texts and texts without a word have fingerprint 0 and link like a
 A group whose doc_ids are all null has a null component_id.
 
 ``similar`` serves corpora instead of the definition above: shingles of five words, each once,
-up to 16 differing bits, and only pairs whose sets of shingles are 0.8 alike (Jaccard) link.
-No pigeonhole reaches 16 of 64 bits, so it looks up where copies differ most likely: the key of
-a posting is two of five blocks of 12 or 13 bits, and a text is listed under all changes of the
-``FLIPS`` bits of the key that its shingles decide by the smallest majority.  Two texts meet
-if each differing bit of a key is among those of the one or the other.  The lookup is done for two
-fingerprints of the same shingles, as one of them misses some pairs at a similarity near 0.8.
+and only pairs whose sets of shingles are 0.8 alike (Jaccard) link.  Copies as far apart differ in
+15 of 100 bits, so no byte of eight need be shared.  Its fingerprint has ``BYTES`` = 128 bytes, and
+a text is indexed by its ``SURE`` = 18 surest ones only: those whose bits the shingles decide by such majorities
+that a copy most likely has the same byte, and the same one among its surest.  The count filter asks that two texts
+share at least ``COUNT`` = 2 of these at equal positions, so the index is keyed by two positions and their
+bytes.  Members of a posting are compared by 128 bits, those of large postings by all 1024, then by their shingles.
 """
 
 from __future__ import annotations
 
 from itertools import combinations, repeat
+from math import acos, pi, sqrt
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
 from . import common
 
 SHINGLE, SEED, MAX_BITS, DENSE = 3, 42, 2, 64
-#: Of ``similar``.
-WORDS, BUDGET, ALIKE, FLIPS, TILE = 5, 16, 0.8, 4, 256
+#: Of ``similar``: bytes of a fingerprint, surest ones of a text, how many of these two texts share, members that are compared at once.
+WORDS, ALIKE, BYTES, SURE, COUNT, TILE = 5, 0.8, 128, 18, 2, 256
+#: Postings of ``similar`` up to this size list all their pairs.
+FEW = 12
 #: Bytes of a key of the index; bytes that linked fingerprints share at least.
 GRAM = 4
 MIN_SHARED = 8 - MAX_BITS
@@ -149,95 +152,78 @@ def shingle_set(text: str | None, shingle: int = WORDS, seed: int = SEED) -> np.
     return np.unique(np.fromiter(map(xxh64_intdigest, grams, repeat(seed)), dtype="<u8"))
 
 
-def majorities(hashes: np.ndarray) -> tuple[int, bytes]:
-    """Fingerprint of a set of shingles, and its bits from the smallest majority to the largest."""
-    ones = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(hashes), 1 << 15):
-        ones += np.unpackbits(hashes[at : at + (1 << 15)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    fp = np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0]
-    return int(fp), np.argsort(np.abs(2 * ones - len(hashes)), kind="stable").astype(np.uint8).tobytes()
-
-
-def remixed(hashes: np.ndarray) -> np.ndarray:
-    """Other 64 bits of each hash, for a second fingerprint of the same shingles."""
-    x = hashes * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-def probes(fps: np.ndarray, orders: np.ndarray, flips: int = FLIPS) -> np.ndarray:
-    """Keys of the postings of each fingerprint (uint64) with its order of bits (rows of 64)."""
-    rank = np.argsort(orders, axis=1)
-    edges = [0, 13, 26, 39, 52, 64]
-    subsets = (np.arange(1 << flips)[:, None] >> np.arange(flips)) & 1
-    keys = []
-    for t, (i, j) in enumerate(combinations(range(5), 2)):
-        part = lambda b: (fps >> np.uint64(edges[b])).astype(np.int64) & ((1 << edges[b + 1] - edges[b]) - 1)
-        own = np.concatenate([rank[:, edges[b] : edges[b + 1]] for b in (i, j)], axis=1)
-        low = np.argsort(own, axis=1)[:, :flips].astype(np.int64)
-        keys.append((t << 32) | ((part(i) | part(j) << edges[i + 1] - edges[i])[:, None] ^ ((1 << low) @ subsets.T)))
-    return np.concatenate(keys, axis=1)
-
-
-def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, similarity: float = ALIKE, flips: int = FLIPS, dense: int = DENSE) -> DataFrame:
+def wide(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ``BYTES`` bytes of the fingerprint of a set of shingles, and the places (position << 8 | byte) of its ``SURE`` surest, ascending."""
+    ones = np.zeros(8 * BYTES, dtype=np.int64)
+    for at in range(0, len(hashes), 1 << 12):
+        x, parts = hashes[at : at + (1 << 12)], []
+        for _ in range(BYTES // 8):
+            x = x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(0xD6E8FEB86659FD93)
+            x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            x = x ^ (x >> np.uint64(32))
+            parts.append(x)
+        ones += np.unpackbits(np.stack(parts, axis=1).view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    fp = np.packbits(2 * ones > len(hashes), bitorder="little")
+    # How likely a bit turns in a copy falls with its majority; a byte is as sure as its bits together.
+    doubt = np.exp(-np.abs(2 * ones - len(hashes)) / sqrt(max(1, len(hashes)))).reshape(BYTES, 8).sum(axis=1).round(9)
+    places = np.arange(BYTES, dtype=np.int64) << 8 | fp
+    # Equally sure bytes stand in an order that all texts share.
+    sure = np.lexsort((places * 0x9E3779B1 & 0xFFFFFFFF, doubt))[:SURE]
+    return fp, np.sort(places[sure])
+
+
+def differing(bits: int, similarity: float) -> int:
+    """Bits of a fingerprint that texts of a Jaccard similarity differ in, and 3.3 standard deviations more."""
+    turned = acos(2 * similarity / (1 + similarity)) / pi
+    return min(bits, int(bits * turned + 3.3 * sqrt(bits * turned * (1 - turned))))
+
+
+def similar(docs: DataFrame, shingle: int = WORDS, similarity: float = ALIKE, dense: int = FEW) -> DataFrame:
     """One row per row of ``docs``: doc_id, grp (a key of the group of near copies), and the text's key.
 
-    A text is looked up by two fingerprints, one after the other.  In postings of more than ``dense``
-    texts each text first meets the first and the next one in an order drawn for the posting;
+    In postings of more than ``dense`` texts each text first meets the first one and the one before it;
     members that these links leave in different groups are then compared with each other, tile by tile.
     """
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    firsts, seconds = np.array(list(combinations(range(SURE), COUNT))).T
 
-    @F.pandas_udf("fp0 long, bits0 binary, fp1 long, bits1 binary, n int")
+    @F.pandas_udf("fp array<long>, sure array<int>")
     def mark(texts: pd.Series) -> pd.DataFrame:
-        sets = [shingle_set(x, shingle) for x in texts]
-        out = {"n": np.array([len(x) for x in sets], dtype=np.int32)}
-        for i, found in enumerate(([majorities(x) for x in sets], [majorities(remixed(x)) for x in sets])):
-            out |= {f"fp{i}": np.array([f for f, _ in found], dtype=np.uint64).view(np.int64), f"bits{i}": [b for _, b in found]}
-        return pd.DataFrame(out)[["fp0", "bits0", "fp1", "bits1", "n"]]
+        found = [wide(shingle_set(x, shingle)) for x in texts]
+        return pd.DataFrame({"fp": [f.view(np.int64) for f, _ in found], "sure": [s.astype(np.int32) for _, s in found]})
 
-    @F.pandas_udf("array<long>")
-    def keys(fps: pd.Series, bits: pd.Series) -> pd.Series:
-        if not len(fps):
-            return pd.Series([], dtype=object)
-        orders = np.frombuffer(b"".join(bits), dtype=np.uint8).reshape(-1, 64)
-        return pd.Series(list(probes(fps.to_numpy().view(np.uint64), orders, flips)), dtype=object)
+    @F.pandas_udf("array<int>")
+    def keys(sure: pd.Series) -> pd.Series:
+        return pd.Series([(x[firsts] << 15) | x[seconds] for x in sure], dtype=object)
 
     @F.pandas_udf("array<long>")
     def shingles(texts: pd.Series) -> pd.Series:
         return pd.Series([shingle_set(x, shingle).view(np.int64) for x in texts], dtype=object)
 
-    def near(a: Column, b: Column) -> Column:
-        return (F.bit_count(a["fp"].bitwiseXOR(b["fp"])) <= max_bits) & (F.least(a["n"], b["n"]) >= similarity * F.greatest(a["n"], b["n"]))
-
-    def pair(a: Column, b: Column) -> Column:
-        return F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), F.bit_count(a["fp"].bitwiseXOR(b["fp"])).alias("bits"))
+    def bits(a: Column, b: Column) -> Column:
+        return F.bit_count(a["fp0"].bitwiseXOR(b["fp0"])) + F.bit_count(a["fp1"].bitwiseXOR(b["fp1"]))
 
     rows = common.store(docs.select("doc_id", *common.text_key(F.col("text")), mark(F.col("text")).alias("m")).select("doc_id", "_k1", "_k2", "m.*"), "marks")
-    nodes = rows.groupBy(F.col("_k1").alias("node")).agg(*[F.first(c).alias(c) for c in ("fp0", "bits0", "fp1", "bits1", "n")]).repartition(partitions, "node")
-
-    def postings(i: int) -> DataFrame:
-        """(key, of) of the i-th fingerprint: what meets under a key, if it is more than one."""
-        index = nodes.select("node", F.col(f"fp{i}").alias("fp"), "n", F.explode(keys(f"fp{i}", f"bits{i}")).alias("key"))
-        # Lists have nothing to gain before the shuffle: plain rows are smaller there.
-        return common.store(index.repartition("key").groupBy("key").agg(F.collect_list(F.struct("node", "fp", "n")).alias("of")).where(F.size("of") > 1), "postings")
-
-    def first_pairs(of_key: DataFrame) -> DataFrame:
-        """All near pairs of a small posting, and of a large one those of neighbours in the drawn order and with the first."""
-        every = F.flatten(F.transform("of", lambda a: F.transform(F.filter("of", lambda b: (a["node"] < b["node"]) & near(a, b)), lambda b: pair(a, b))))
-        few = of_key.where(F.size("of") <= dense).select(F.explode(every).alias("p"))
-        drawn = F.sort_array(F.transform("of", lambda e: F.struct(F.xxhash64("key", e["node"]).alias("h"), e["node"].alias("node"), e["fp"].alias("fp"), e["n"].alias("n"))))
-        full = of_key.where(F.size("of") > dense).select(drawn.alias("of")).select(F.col("of")[0].alias("first"), F.explode(F.arrays_zip(F.expr("slice(of, 1, size(of) - 1)").alias("x"), F.expr("slice(of, 2, size(of) - 1)").alias("y"))).alias("z"))
-        full = full.select(F.explode(F.array(F.struct(F.col("first").alias("x"), F.col("z.y").alias("y")), F.struct(F.col("z.x").alias("x"), F.col("z.y").alias("y")))).alias("z"))
-        return few.union(full.where(near(F.col("z.x"), F.col("z.y"))).select(pair(F.col("z.x"), F.col("z.y")).alias("p"))).select("p.*").where("a <> b")
-
-    lists = [postings(0), postings(1)]
-    pairs = common.store(first_pairs(lists[0]).union(first_pairs(lists[1])).distinct(), "candidates")
-    large = common.store(lists[0].where(F.size("of") > dense).withColumn("i", F.lit(0)).union(lists[1].where(F.size("of") > dense).withColumn("i", F.lit(1))), "large")
-    common.discard(*lists)
+    nodes = rows.groupBy(F.col("_k1").alias("node")).agg(F.first("fp").alias("fp"), F.first("sure").alias("sure")).repartition(partitions, "node")
+    index = nodes.select("node", F.col("fp")[0].alias("fp0"), F.col("fp")[1].alias("fp1"), F.explode(keys("sure")).alias("key"))
+
+    # A posting is streamed in the order of its members, so that none is gathered whole.
+    posting = Window.partitionBy("key").orderBy("node")
+    whole = posting.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    me = F.struct("node", "fp0", "fp1")
+    met = index.select("key", me.alias("e"), F.count(F.lit(1)).over(whole).alias("size"), F.first(me).over(whole).alias("first"), F.collect_list(me).over(posting.rowsBetween(-max(1, dense - 1), -1)).alias("before")).where("size > 1")
+    others = F.when(F.col("size") <= dense, F.col("before")).otherwise(F.concat(F.array("first"), F.slice("before", -1, 1)))
+    near = F.filter(others, lambda o: (o["node"] < F.col("e.node")) & (bits(o, F.col("e")) <= differing(128, similarity)))
+    pair = F.transform(near, lambda o: F.struct(o["node"].alias("a"), F.col("e.node").alias("b"), bits(o, F.col("e")).alias("bits"), F.lit(None).cast("int").alias("key")))
+    member = F.when(F.col("size") > dense, F.array(F.struct(F.col("e.node").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(None).cast("int").alias("bits"), F.col("key")))).otherwise(F.array())
+    # One pass gives the pairs and the members of large postings.
+    seen = common.store(met.where((F.col("size") > dense) | (F.size("before") > 0)).select(F.explode(F.concat(pair, member)).alias("p")).select("p.*"), "met")
+    pairs = common.store(seen.where("key IS NULL").select("a", "b", "bits").distinct(), "candidates")
+    large = common.store(seen.where("key IS NOT NULL").select("key", F.col("a").alias("node")), "large")
+    common.discard(seen)
 
     def sets_of(some: DataFrame) -> DataFrame:
-        wanted = some.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        wanted = some.select(F.col("a").alias("node")).union(some.select("b")).distinct()
         texts = docs.select(common.text_key(F.col("text"))[0].alias("node"), "text").join(wanted, "node", "left_semi")
         return common.store(texts.select("node", shingles("text").alias("s")).dropDuplicates(["node"]), "shingles")
 
@@ -249,7 +235,7 @@ def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, simil
 
     def nearest(some: DataFrame) -> DataFrame:
         """Of each text the pair of fewest bits and the one of the smallest partner."""
-        ends = some.select("a", "b", F.explode(F.array("a", "b")).alias("node"), "bits")
+        ends = some.select("a", "b", F.col("a").alias("node"), "bits").union(some.select("a", "b", "b", "bits"))
         closest = ends.groupBy("node").agg(F.min(F.struct("bits", "a", "b")).alias("p")).select("p.a", "p.b")
         return closest.union(ends.groupBy("node").agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")).distinct()
 
@@ -267,25 +253,40 @@ def similar(docs: DataFrame, shingle: int = WORDS, max_bits: int = BUDGET, simil
 
     links, groups = settled(pairs.select("a", "b").limit(0), pairs)
     # Pairs looked at before are linked, dissimilar or connected by others.
-    rest = common.store(across(large, groups, near, pair).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
+    wanted = mixed(large.withColumn("i", F.lit(0)), groups)
+    marked = wanted.join(nodes.select("node", F.col("fp")[0].alias("fp0"), F.col("fp")[1].alias("fp1"), "fp"), "node").select("i", "key", F.struct("node", "fp0", "fp1", "fp").alias("e"), "c", "size")
+    every_bit = lambda a, b: F.aggregate(F.zip_with(a["fp"], b["fp"], lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
+    close = lambda a, b: (bits(a, b) <= differing(128, similarity)) & (every_bit(a, b) <= differing(8 * BYTES, similarity))
+    ends = lambda a, b: F.struct(F.least(a["node"], b["node"]).alias("a"), F.greatest(a["node"], b["node"]).alias("b"), bits(a, b).alias("bits"))
+    rest = common.store(between(marked, close, ends).join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "candidates")
     if not rest.isEmpty():
         links, groups = settled(links, rest)
     found = groups.select(F.col("node").alias("_k1"), "component")
     return rows.select("doc_id", "_k1", "_k2").join(found, "_k1", "left").select("doc_id", F.coalesce("component", "_k1").alias("grp"), "_k1", "_k2")
 
 
+def mixed(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """``members`` (i, key, node, ...) of postings with more than one of the ``groups``: with their group ``c`` and the posting's ``size``."""
+    each = members.join(groups.select("node", F.col("component").alias("c")), "node", "left").withColumn("c", F.coalesce("c", "node"))
+    sizes = each.groupBy("i", "key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most")
+    return each.join(sizes.select("i", "key", "size"), ["i", "key"])
+
+
 def across(large: DataFrame, groups: DataFrame, near, pair, tile: int = TILE) -> DataFrame:
-    """(a, b, bits): the near pairs within large postings (i, key, of) whose ends are in different ``groups``.
+    """(a, b, bits): the near pairs within large postings (i, key, of) whose ends are in different ``groups``."""
+    members = large.select("i", "key", F.explode("of").alias("e")).select("i", "key", "e", "e.node")
+    return between(mixed(members, groups).select("i", "key", "e", "c", "size"), near, pair, tile)
+
+
+def between(members: DataFrame, near, pair, tile: int = TILE) -> DataFrame:
+    """The near pairs (a, b, bits) of members (i, key, e, c, size) of a posting that are in different groups ``c``.
 
     A posting is cut into tiles of about ``tile`` members by a hash; two tiles meet in a row of their
-    own, so the work on one posting spreads over the tasks.  Postings of a single group are left out.
+    own, so the work on one posting spreads over the tasks.
     """
-    each = large.select("i", "key", F.explode("of").alias("e")).join(groups.select(F.col("node").alias("_node"), "component"), F.col("e.node") == F.col("_node"), "left")
-    each = each.select("i", "key", "e", F.coalesce("component", "e.node").alias("c"))
-    mixed = each.groupBy("i", "key").agg(F.min("c").alias("least"), F.max("c").alias("most"), F.count(F.lit(1)).alias("size")).where("least <> most")
-    sized = each.join(mixed, ["i", "key"]).withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
+    sized = members.withColumn("tiles", F.ceil(F.col("size") / tile).cast("int"))
     sized = sized.withColumn("t", F.pmod(F.xxhash64("e.node"), F.col("tiles")).cast("int"))
-    tiles = sized.groupBy("i", "key", "t", "tiles").agg(F.collect_list(F.struct("e.node", "e.fp", "e.n", "c")).alias("of"))
+    tiles = sized.groupBy("i", "key", "t", "tiles").agg(F.collect_list(F.struct("e.*", "c")).alias("of"))
     meet = tiles.select("i", "key", "of", F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda u: F.struct(F.least("t", u).alias("lo"), F.greatest("t", u).alias("hi"), (F.col("t") > u).alias("second")))).alias("m"))
     meet = meet.groupBy("i", "key", "m.lo", "m.hi").agg(F.collect_list(F.when(~F.col("m.second"), F.col("of"))).alias("x"), F.collect_list(F.when(F.col("m.second"), F.col("of"))).alias("y"))
     meet = meet.withColumns({"x": F.flatten("x"), "y": F.flatten("y")}).withColumn("y", F.when(F.col("lo") == F.col("hi"), F.col("x")).otherwise(F.col("y")))

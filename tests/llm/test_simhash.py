@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import xxhash
 
@@ -210,3 +211,42 @@ def test_tiles_give_each_pair_between_groups(spark):
     for tile in (7, 1000):
         got = [(r["a"], r["b"]) for r in simhash.across(large, groups, near, pair, tile).collect()]
         assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_surest_bytes_meet_at_the_similarity_asked_for():
+    """Two of the surest bytes are shared by nearly all pairs of sets at 0.8, and by no unlike ones to speak of."""
+    rng = np.random.default_rng(2)
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    met, unlike = 0, 0
+    for _ in range(200):
+        common = draw(160)
+        (fa, a), (fb, b) = (simhash.wide(np.concatenate([common, draw(20)])) for _ in range(2))
+        assert len(a) == simhash.SURE and all(fa[p >> 8] == p & 255 for p in a) and sorted(a) == list(a)
+        met += len(set(a) & set(b)) >= simhash.COUNT and int(np.unpackbits(fa ^ fb).sum()) <= simhash.differing(8 * simhash.BYTES, 0.8)
+        unlike += len(set(a) & set(simhash.wide(draw(180))[1])) >= simhash.COUNT
+    assert met >= 190 and unlike == 0
+
+
+def test_a_family_without_links_makes_few_pairs(spark, monkeypatch):
+    """Texts of one family that are less than 0.8 alike: their wide fingerprints tell, so few pairs are looked at."""
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(150)]
+    texts = []
+    for i in range(120):
+        words = list(base)
+        for j in rng.sample(range(150), 4):
+            words[j] = f"c{i}x{j}"
+        texts.append(" ".join(words))
+    looked, store = [], simhash.common.store
+
+    def counted(df, label):
+        out = store(df, label)
+        looked.append(out.count() if label == "candidates" else 0)
+        return out
+
+    monkeypatch.setattr(simhash.common, "store", counted)
+    docs = spark.createDataFrame([(i, t, None, None, None, None, None) for i, t in enumerate(texts)], SCHEMA)
+    groups = {r["grp"] for r in simhash.similar(docs).collect()}
+    sets = [set(simhash.shingle_set(t).tolist()) for t in texts]
+    alike = sum(len(a & b) >= 0.8 * len(a | b) for i, a in enumerate(sets) for b in sets[:i])
+    assert len(groups) > 100 and alike < 20 and sum(looked) < 120 * 119 / 2 / 2
