@@ -86,7 +86,12 @@ def compatibility_view(headers: DataFrame, documents: DataFrame, extractor: int
     headers: the committed ones of ``extraction``; documents: xml_id, is_current, state, review, first_load_id.
     """
     own = documents.where(F.col("is_current") & (F.col("state") == "PROCESADO") & (F.coalesce("review", F.lit("")) != "PENDIENTE")).select("xml_id", "first_load_id")
-    rows = headers.where((F.col("extractorVersion") == extractor) & (F.col("xmlType") == "Invoice")).join(own, "xml_id")
+    return historical(headers.join(own, "xml_id"), extractor)
+
+
+def historical(rows: DataFrame, extractor: int = 1) -> DataFrame:
+    """The same columns of headers that have their document's first_load_id already, as where both come from one batch."""
+    rows = rows.where((F.col("extractorVersion") == extractor) & (F.col("xmlType") == "Invoice"))
     flag = lambda c: F.coalesce((F.col(c) > 0).cast("int"), F.lit(0))
     return rows.select(
         F.concat(F.lit("dian:"), F.col("first_load_id").cast("string")).alias("id_carga"),

@@ -178,3 +178,9 @@ def test_effect_values_read_each_payload_once(spark, small):
     out = extraction.effects(registrations._resolved(spark, small))
     counts = {r["tab"]: r["count"] for r in found.groupBy("tab").count().collect()}
     assert counts == {name: (rows.select("xml_id").distinct() if name == "lines" else rows).count() for name, rows in out.items()}
+
+
+def test_compatibility_view_reads_each_payload_once(spark, small):
+    from ledgermatch.plans import registrations
+
+    assert registrations.compatibility_view(spark, small)._jdf.queryExecution().analyzed().toString().count("from_json(") == 2
