@@ -15,12 +15,12 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
-import pandas as pd
 import public_tokenizers
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,19 +60,31 @@ def encode(text: str | None, enc: tiktoken.Encoding, long: int = LONG) -> list[i
 
 
 def _ids(path: str | None, pattern: str, long: int):
-    """The function of a text column that gives its token ids."""
+    """The function of a text column that gives its token ids.
+
+    Texts are taken from the batch one by one and the ids of all go into one growing buffer, which
+    is the result: no second copy of a batch's texts or ids is made.
+    """
     path = path or public_tokenizers.path(RANKS)
 
-    @F.pandas_udf("array<int>")
-    def ids(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<int>")
+    def ids(texts: pa.Array) -> pa.Array:
         enc = encoding(path, pattern)
-        return pd.Series([np.array(encode(x, enc, long), dtype=np.int32) for x in texts], dtype=object)
+        flat, ends = array("i"), array("i", [0])
+        for x in texts:
+            flat.fromlist(encode(x.as_py(), enc, long))
+            ends.append(len(flat))
+        return pa.ListArray.from_arrays(_int32(ends), _int32(flat))
 
     return ids
 
 
-def _bytes(ids: np.ndarray | None, enc: tiktoken.Encoding) -> bytes:
-    return enc.decode_bytes([] if ids is None else ids.tolist())
+def _int32(values: array) -> pa.Array:
+    return pa.Array.from_buffers(pa.int32(), len(values), [None, pa.py_buffer(values)])
+
+
+def _bytes(ids: pa.ListScalar, enc: tiktoken.Encoding) -> bytes:
+    return enc.decode_bytes(ids.as_py() or [])
 
 
 def tokens(docs: DataFrame, path: str | None = None, pattern: str = public_tokenizers.PATTERN, long: int = LONG, column: str = "ids") -> DataFrame:
@@ -84,10 +96,10 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str = public_to
     """``encoded`` and a column ``to`` (binary) with the raw bytes of the ids in ``column``; a null array gives no bytes."""
     path = path or public_tokenizers.path(RANKS)
 
-    @F.pandas_udf("binary")
-    def raw(ids: pd.Series) -> pd.Series:
+    @F.arrow_udf("binary")
+    def raw(ids: pa.Array) -> pa.Array:
         enc = encoding(path, pattern)
-        return pd.Series([_bytes(x, enc) for x in ids], dtype=object)
+        return pa.array((_bytes(x, enc) for x in ids), pa.binary(), size=len(ids))
 
     return encoded.withColumn(to, raw(F.col(f"`{column}`")))
 
@@ -100,12 +112,13 @@ def digests(docs: DataFrame, path: str | None = None, pattern: str = public_toke
     """
     path = path or public_tokenizers.path(RANKS)
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def digest(ids: pd.Series) -> pd.DataFrame:
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(ids: pa.Array) -> pa.Array:
         enc = encoding(path, pattern)
         sha = lambda raw: hashlib.sha256(raw).hexdigest()
-        rows = [(len(x), sha(",".join(map(str, x.tolist())).encode()), sha(_bytes(x, enc))) for x in ids]
-        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+        rows = [(len(x), sha(",".join(map(str, x.as_py())).encode()), sha(_bytes(x, enc))) for x in ids]
+        names = {"n_tokens": pa.int64(), "ids_sha256": pa.string(), "decoded_sha256": pa.string()}
+        return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(names.values())], list(names))
 
     made = digest(_ids(path, pattern, long)(F.col("text"))).alias("d")
     return docs.select(F.col("doc_id").cast("long"), made).select("doc_id", "d.*")

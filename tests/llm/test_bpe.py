@@ -1,6 +1,8 @@
 import hashlib
+import tracemalloc
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -62,3 +64,15 @@ def test_columns_named_like_the_results_stay(spark):
     assert out.columns == ["doc_id", "text", "IDS", "bytes", "_ids", "_bytes"]
     row = out.first()
     assert row["IDS"] == "keep" and row["bytes"] == "too" and bytes(row["_bytes"]) == b"a b"
+
+
+def test_a_batch_of_texts_makes_one_buffer_of_ids():
+    texts = pa.array(["word " * 2000] * 200 + [None, ""])
+    ids = bpe._ids(None, public_tokenizers.PATTERN, bpe.LONG).func
+    ids(texts[-1:])  # the ranks are read
+    tracemalloc.start()
+    out = ids(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out.to_pylist() == [ENC.encode_ordinary(x or "") for x in texts.to_pylist()]
+    assert peak < 2 * out.values.nbytes
