@@ -52,15 +52,29 @@ def require(df: DataFrame, key: str) -> DataFrame:
     return df
 
 
+def _folded(key: Column) -> Column:
+    """Bytes that are equal where the key is, in lower case: those of the digits' pairs for a hash in hex, which are half as many, else those of the text.  A letter tells which."""
+    return F.when(key.rlike("^([0-9a-fA-F]{2})+$"), F.concat(F.lit(b"h"), F.unhex(key))).otherwise(F.concat(F.lit(b"t"), F.lower(key).cast("binary")))
+
+
+def _unfolded(folded: Column) -> Column:
+    """The key in lower case."""
+    rest = F.substring(folded, 2, 1 << 30)
+    return F.when(F.substring(folded, 1, 1) == F.lit(b"h"), F.lower(F.hex(rest))).otherwise(rest.cast("string"))
+
+
 def must_find(rows: DataFrame, key: str, sources: DataFrame, source_key: str, columns: list[str], what: str = "no source for") -> DataFrame:
     """``rows`` with ``columns`` of the source of the same key, compared in lower case.
 
     Not an inner join: a row without a source, or whose key several sources share, fails the job that reads it (no second job counts rows).
+    Rows meet by ``_folded`` keys, from which the message is made too, so that a key nobody reads further on doesn't move.
     """
-    own = sources.groupBy(F.lower(F.col(source_key).cast("string")).alias("_key")).agg(F.min(F.struct(*columns)).alias("_found"), F.count(F.lit(1)).alias("_n"))
-    joined = rows.join(own, F.lower(F.col(key).cast("string")) == F.col("_key"), "left")
-    wrong = F.raise_error(F.concat(F.lit(what + " "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    found = F.when(F.col("_n") == 1, F.col("_found")).otherwise(F.coalesce(wrong, F.col("_found")))
+    # Only a single source's values are ever read, so each column has its own minimum: these need no sort before the shuffle.
+    own = sources.select(_folded(F.col(source_key).cast("string")).alias("_key"), F.struct(*columns).alias("_s")).groupBy("_key").agg(*[F.min(f"_s.{c}").alias(f"_found_{c}") for c in columns], F.count(F.lit(1)).alias("_n"))
+    joined = rows.withColumn("_own", _folded(F.col(key).cast("string"))).join(own, F.col("_own") == F.col("_key"), "left")
+    wrong = F.raise_error(F.concat(F.lit(what + " "), F.coalesce(_unfolded(F.col("_own")), F.lit("null"))))
+    source = F.struct(*[F.col(f"_found_{c}").alias(c) for c in columns])
+    found = F.when(F.col("_n") == 1, source).otherwise(F.coalesce(wrong, source))
     return joined.withColumn("_found", found).select(*rows.columns, *[F.col(f"_found.{c}").alias(c) for c in columns])
 
 

@@ -145,6 +145,19 @@ def test_a_missing_source_fails_the_job(spark):
         dataset.must_find(rows, "key", sources.union(sources), "key", ["xml_id"]).collect()
 
 
+def test_lookups_move_no_key_that_is_not_read(spark):
+    digest = "0A" * 48
+    rows = spark.createDataFrame([(digest, 1), ("abc", 2), ("Ñ-É", 3), ("", 4), ("6162", 5), ("ab", 6)], "key string, n int").repartition(2)
+    sources = spark.createDataFrame([(digest.lower(), 10, "a"), ("ABC", 20, None), ("ñ-é", 30, "c"), ("", 40, "d"), ("6162", 50, "e"), ("AB", 60, "f")], "key string, xml_id long, tag string")
+    found = dataset.must_find(rows, "key", sources, "key", ["xml_id", "tag"])
+    assert sorted(tuple(r)[1:] for r in found.collect()) == [(1, 10, "a"), (2, 20, None), (3, 30, "c"), (4, 40, "d"), (5, 50, "e"), (6, 60, "f")]
+    left = found.drop("key")._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter")[1].split("\n")[1]
+    assert "n#" in left and " key#" not in left.split(" AS _own")[1] and "[key#" not in left
+    for key, said in (("0B" * 48, "no source for " + "0b" * 48), ("X y", "no source for x y")):
+        with pytest.raises(Exception, match=said):
+            dataset.must_find(spark.createDataFrame([(key, 1)], rows.schema), "key", sources, "key", ["xml_id"]).collect()
+
+
 def test_reviews_are_folded_in_order(spark):
     rows = [
         (1, 1, "PENDIENTE", None, None, None, None), (1, 2, "APROBADA", 4, None, "r", 5), (1, 3, "APROBADA", 2, None, "r", 5), (1, 4, "RECHAZADA", None, None, "r", 5),
