@@ -88,11 +88,13 @@ def token_frequency_filter(docs: DataFrame, key: str, tokens: str, least: int =
     The share is taken as the decimal that it is written as.  Frequencies count keys, null not among them; an empty token is one like any other.
     """
     n = docs.agg(F.greatest(F.lit(1), F.floor(F.count(F.lit(1)) * F.lit(Decimal(str(share))))).alias("most"))
-    each = docs.select(key, F.posexplode(tokens).alias("at", "token"))
-    frequency = each.groupBy("token", key).agg(F.min("at").alias("first")).groupBy("token").agg(F.count(key).alias("df"))
+    # Tokens move to their key's partition once, as arrays, for all that follows: pairs of key and token are told apart there, and only counts of tokens are shuffled for the frequencies.  Those of null keys are never used.
+    owned = docs.select(key, F.when(F.col(key).isNotNull(), F.col(tokens)).alias("_tokens")).repartition(key)
+    each = owned.select(key, F.posexplode("_tokens").alias("at", "token"))
+    frequency = each.select("token", key).distinct().groupBy("token").agg(F.count(key).alias("df"))
     kept = frequency.crossJoin(F.broadcast(n)).where((F.col("df") >= least) & (F.col("df") <= F.col("most"))).select("token")  # n is one row
-    found = each.join(kept, "token").groupBy(key).agg(F.array_sort(F.collect_list(F.struct("at", "token"))).alias("t"))
-    return docs.select(key).distinct().join(found, key, "left").select(key, F.array_join(F.transform("t", lambda t: t["token"]), " ").alias("text"), F.coalesce(F.size("t"), F.lit(0)).cast("long").alias("n"))
+    found = each.join(kept, "token").groupBy(key).agg(F.sort_array(F.collect_list(F.struct("at", "token"))).alias("t"))
+    return owned.select(key).distinct().join(found, key, "left").select(key, F.array_join("t.token", " ").alias("text"), F.coalesce(F.size("t"), F.lit(0)).cast("long").alias("n"))
 
 
 

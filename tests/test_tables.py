@@ -98,3 +98,12 @@ def test_semantic_differences(spark):
     rows = spark.createDataFrame([("1.0", "1.00", "0", "2"), (None, "1", "2", "2")], "allowanceTotal string, legacyDiscount string, chargeTotal string, legacyCharge string")
     out = views.semantic_differences(rows.select(*[F.col(c).cast("decimal(38,18)").alias(c) for c in rows.columns])).collect()
     assert [(r["discount_differs"], r["charge_differs"]) for r in out] == [(False, True), (None, False)]
+
+
+def test_tokens_of_a_document_move_once(spark):
+    rows = [(1, ["a", "b", "a"]), (1, ["b", "c"]), (2, ["a", "c", "d"]), (3, ["e"]), (None, ["a", "e"]), (4, None)]
+    docs = spark.createDataFrame(rows, "id long, ws array<string>")
+    out = audit.token_frequency_filter(docs, "id", "ws", 2, 0.7)
+    assert sorted(((r["id"], r["text"], r["n"]) for r in out.collect()), key=str) == sorted([(1, "a c a", 3), (2, "a c", 2), (3, None, 0), (4, None, 0), (None, None, 0)], key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan and "min(at" not in plan
