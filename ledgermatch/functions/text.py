@@ -7,9 +7,10 @@ and ``spreadsheet_null`` (values that passed through a spreadsheet).
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
+import sys
 import unicodedata
+from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -26,6 +27,10 @@ EVENT_MARKS = ("application response", "acuse", "aceptacion", "reclamo", "evento
 _SPACES = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 
 
+#: Those of them that are separators (Zs).
+_SEPARATORS = "".join(c for c in _SPACES if unicodedata.category(c) == "Zs")
+
+
 def strip(x: Column) -> Column:
     """Without white space at either end, in the Unicode sense."""
     return F.btrim(x, F.lit(_SPACES))
@@ -106,6 +111,57 @@ def strip_marks(x: Column) -> Column:
     return _unless_plain(x, _bound(_collapsed(x), lambda text: F.when(text.rlike(r"[^\x00-\x7F]"), folded(text)).otherwise(text)))
 
 
+@cache
+def _canonical() -> tuple[str, str]:
+    """Characters whose canonical decomposition without marks is another character, those that vanish last, and what they become."""
+    kept = lambda c: "".join(d for d in unicodedata.normalize("NFD", c) if unicodedata.category(d)[0] != "M")
+    found = {c: unicodedata.normalize("NFC", kept(c)) for c in map(chr, range(0x80, sys.maxunicode + 1)) if unicodedata.category(c)[0] == "M" or unicodedata.decomposition(c)[:1] not in ("", "<")}
+    found = sorted(((c, plain) for c, plain in found.items() if plain != c), key=lambda pair: not pair[1])
+    return "".join(c for c, _ in found), "".join(plain for _, plain in found)
+
+
+def _syllables(x: Column) -> Column:
+    """Hangul letters that stand side by side composed to syllables.  U+11A7 is no letter but the place before the first final one; composed with a syllable it vanishes."""
+    parts = F.regexp_extract_all(x, F.lit("[\u1100-\u1112][\u1161-\u1175][\u11a7-\u11c2]?|[\uac00-\ud7a3][\u11a7-\u11c2]|(?s:.)"), F.lit(0))
+
+    def composed(part: Column) -> Column:
+        code = lambda at: F.ascii(F.substring(part, at, 1))
+        final = lambda at: F.greatest(code(at) - 0x11A7, F.lit(0))
+        syllable = F.when(code(1) >= 0xAC00, code(1) + final(2)).otherwise(0xAC00 + ((code(1) - 0x1100) * 21 + code(2) - 0x1161) * 28 + final(3))
+        closed = (code(1) >= 0xAC00) & ((code(1) - 0xAC00) % 28 != 0)
+        return F.when((F.char_length(part) < 2) | closed, part).otherwise(F.decode(F.unhex(F.hex(syllable)), "UTF-16BE"))
+
+    return F.array_join(F.transform(parts, composed), "")
+
+
+def unaccent(x: Column) -> Column:
+    """What SQL's ``strip_accents`` gives: the canonical decomposition without marks, composed again.
+
+    Unlike ``strip_marks`` it keeps white space, missing words and compatibility letters.  As there, ASCII
+    stays as it is and any other text ends at a NUL.
+    """
+    plain = F.translate(F.substring_index(x, "\0", 1), *_canonical())
+    whole = _bound(plain, lambda text: F.when(text.rlike("[\u1161-\u1175\u11a7-\u11c2]"), _syllables(text)).otherwise(text))
+    return F.when(F.octet_length(x) == F.char_length(x), x).otherwise(whole)
+
+
+def squeeze(x: Column) -> Column:
+    """SQL's ``\\s+`` to one space and ``trim``: white space of ASCII is collapsed, any kind of space is cut off at the ends; missing words stay."""
+    return F.btrim(F.regexp_replace(x, r"[\t\n\f\r ]{2,}|[\t\n\f\r]", " "), F.lit(_SEPARATORS))
+
+
+@cache
+def _lower_case() -> tuple[str, str]:
+    """Characters with a lower case of one character, and that."""
+    found = [(c, c.lower()) for c in map(chr, range(sys.maxunicode + 1)) if len(c.lower()) == 1 and c.lower() != c]
+    return "".join(c for c, _ in found), "".join(low for _, low in found)
+
+
+def lower_each(x: Column) -> Column:
+    """SQL's ``lower`` after ``unaccent``: character by character, so a sigma at the end of a word is no special one, and without the JVM's newer letters, of which none is up to U+052F."""
+    return F.when(x.rlike("[^\\x00-\u052f]"), F.translate(x, *_lower_case())).otherwise(F.lower(F.replace(x, F.lit("\u03a3"), F.lit("\u03c3"))))
+
+
 def basic_text(x: Column) -> Column:
     """Marks dropped, white space collapsed, case kept."""
     return _bound(strip_marks(x), collapse)
