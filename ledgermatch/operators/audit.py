@@ -105,10 +105,11 @@ def item_tokens(docs: DataFrame, key: str, column: str, stop: tuple[str, ...] =
     return token_frequency_filter(words, key, "tokens", least, share)
 
 
-def quality_counters(invoices: DataFrame, movements: DataFrame, fc: DataFrame, entries: DataFrame, scored: DataFrame, matches: DataFrame, rows: DataFrame) -> DataFrame:
+def quality_counters(invoices: DataFrame, movements: DataFrame, fc: DataFrame, entries: DataFrame, scored: DataFrame | None, matches: DataFrame, rows: DataFrame) -> DataFrame:
     """The 18 counters (metric, value) of a run: invoices by flag, movements, entries, candidates, matches by outcome, dataset rows.
 
     ``invoices`` are those of ``features.invoice_features``; each input is read once.
+    Without ``scored`` the candidates are those that the matches have counted.
     """
     n = F.count(F.lit(1))
     flags = {
@@ -116,10 +117,16 @@ def quality_counters(invoices: DataFrame, movements: DataFrame, fc: DataFrame, e
         "invoices_over_4_units": "over_4_units", "invoices_over_27_units": "over_27_units", "invoices_payable_mismatch": "payable_mismatch",
     }
     count_if = lambda x: F.coalesce(F.count_if(x), F.lit(0))
+    outcomes = {
+        "matches": n, "matches_ok": count_if(accepted(F.col("state"))), "matches_in_review": count_if(F.col("state").contains("REVISION")), "matches_none": count_if(F.col("state") == "SIN_MATCH"),
+    }
+    if scored is None:
+        found = [matches.agg(F.coalesce(F.sum("candidates"), F.lit(0)).alias("candidates"), *[c.alias(name) for name, c in outcomes.items()])]
+    else:
+        found = [scored.agg(count_if(F.col("entry_key").isNotNull()).alias("candidates")), matches.agg(*[c.alias(name) for name, c in outcomes.items()])]
     parts = [
         invoices.agg(n.alias("invoices"), *[count_if(F.col(c) == 1).alias(name) for name, c in flags.items()]),
-        movements.agg(n.alias("movements")), fc.agg(n.alias("invoice_movements")), entries.agg(n.alias("entries")), scored.agg(count_if(F.col("entry_key").isNotNull()).alias("candidates")),
-        matches.agg(n.alias("matches"), count_if(accepted(F.col("state"))).alias("matches_ok"), count_if(F.col("state").contains("REVISION")).alias("matches_in_review"), count_if(F.col("state") == "SIN_MATCH").alias("matches_none")),
+        movements.agg(n.alias("movements")), fc.agg(n.alias("invoice_movements")), entries.agg(n.alias("entries")), *found,
         rows.agg(n.alias("dataset_rows")),
     ]
     out = long_form(parts[0])

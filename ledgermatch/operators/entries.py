@@ -14,7 +14,8 @@ MONEY = "decimal(19,4)"
 
 def invoice_movements(movements: DataFrame, kind: str = "fc") -> DataFrame:
     """Movements whose document type is the one of invoices."""
-    return movements.where(text.alnum_key(F.col("doc_type")) == kind)
+    # Written without binding, so that it vanishes from the plan for a type that is a constant.
+    return movements.where(F.regexp_replace(F.lower(text.strip_marks(F.col("doc_type"))), "[^a-z0-9]", "") == kind)
 
 
 def nature(debit: Column, credit: Column) -> Column:
@@ -46,9 +47,11 @@ def commonest(values: Column) -> Column:
     return F.when(F.size(found) > 1, often).otherwise(F.get(found, F.lit(0)))
 
 
-def entries(movements: DataFrame) -> DataFrame:
+def entries(movements: DataFrame, dealt: bool = False) -> DataFrame:
     """One row per (year, type, number), nulls being a value of their own.
 
+    Lines are dealt by year and number, unless they already lie by number (``dealt``), as after a join on it.
+
     The row order that first values and joined texts depend on is (date, movement_id).  An
     entry's lines are one accounting document, so its arrays are short.
     """
@@ -60,7 +63,7 @@ def entries(movements: DataFrame) -> DataFrame:
     )
     rows = movements.select(F.year("date").alias("entry_year"), "doc_type", "doc_number", "date", F.col("debit").cast(MONEY).alias("debit"), F.col("credit").cast(MONEY).alias("credit"), line.alias("line"))
     # Dealt by parts of their key first, as lists made before a shuffle save nothing.
-    grouped = rows.repartition("entry_year", "doc_number").groupBy(*ENTRY_KEY).agg(
+    grouped = (rows if dealt else rows.repartition("entry_year", "doc_number")).groupBy(*ENTRY_KEY).agg(
         F.min("date").alias("entry_date"),
         F.sum("debit").cast("double").alias("debit"),
         F.sum("credit").cast("double").alias("credit"),

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
+from .entries import entry_key
 
 SUFFIXES = (6, 5, 4)
 
@@ -147,13 +148,21 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
     The entries of a tax id are cut into tiles of ``tile``.  An invoice meets each tile in one row, which
     keeps the tile's best entry, the score of its second best, and the number, sums and keys of its text
     hits; these rows alone are shuffled and ranked.  Adaptive execution can split the tiles of a heavy supplier.
+    What follows from other columns is not moved: a key that ``entries.entry_key`` gives is written again at the end.
     """
     left, right = _sides(invoices.select(key, "nit", "invoice", "date", "total"), entries)
-    entry = ("entry_key", "entry_year", "doc_type", "doc_number", "entry_date", "_entry_day", "concept_key", "amount", "accounts", "account_natures", "lines")
+    entry = ("_own_key", "entry_year", "doc_type", "doc_number", "entry_date", "_entry_day", "concept_key", "amount", "lines")
+    plain_key = lambda of: entry_key(of("entry_year"), of("doc_type"), of("doc_number"))
+    right = right.withColumn("_own_key", F.when(~F.col("entry_key").eqNullSafe(plain_key(F.col)), F.col("entry_key"))).drop("_entry_day")
+    # Lists that only the best entry gives on stand apart, so that a caller who doesn't read them moves none.
+    apart = ("accounts", "account_natures")
     # Entries stand in the order that decides between equal candidates.
-    order = [F.col(c).asc_nulls_last() for c in ("entry_year", "doc_type", "doc_number", "entry_key")]
-    tiles = right.withColumn("_place", F.row_number().over(Window.partitionBy("entry_nit").orderBy(*order))).withColumn("_tile", F.floor((F.col("_place") - 1) / tile))
-    tiles = tiles.groupBy("entry_nit", "_tile").agg(F.sort_array(F.collect_list(F.struct("_place", *entry))).alias("of"))
+    order = [F.col(c).asc_nulls_last() for c in ("entry_year", "doc_type", "doc_number", "_own_key")]
+    tiles = right.withColumn("_place", F.row_number().over(Window.partitionBy("entry_nit").orderBy(*order))).withColumn("_tile", F.floor((F.col("_place") - 1) / tile)).withColumn("_entry_day", dates.micros(F.col("entry_date")))
+    placed = lambda of, value: F.transform(F.sort_array(F.collect_list(F.struct("_place", *of))), value)
+    tiles = tiles.groupBy("entry_nit", "_tile").agg(
+        placed(entry, lambda e: F.struct(*[e[c].alias(c) for c in entry])).alias("of"), *[placed([F.col(c).alias("own")], lambda e: e["own"]).alias(f"_{c}") for c in apart]
+    )
     joined = left.join(tiles, F.col("nit").eqNullSafe(F.col("entry_nit")) if pair_missing else F.col("nit") == F.col("entry_nit"), "left")
 
     def judged(e: Column, i: Column) -> Column:
@@ -173,7 +182,7 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
 
     def chosen(ranked: Column, best: Column) -> Column:
         hits = F.transform(F.filter(ranked, lambda x: x["no_hits"] < 0), lambda x: F.col("of")[x["i"]])
-        listed = lambda e: F.struct(e["entry_year"].isNull().alias("n"), *[e[n].alias(n) for n in ("entry_year", "doc_type", "doc_number", "entry_key", "entry_date", "amount", "lines")])
+        listed = lambda e: F.struct(e["entry_year"].isNull().alias("n"), *[e[n].alias(n) for n in ("entry_year", "doc_type", "doc_number", "_own_key", "entry_date", "amount", "lines")])
         return F.struct(best.alias("best"), F.col("of")[best["i"]].alias("entry"), F.get(F.sort_array(ranked["loss"]), F.lit(1)).alias("second"), F.transform(hits, listed).alias("hits"))
 
     # One expression: what it binds on its way is not written into rows.
@@ -181,12 +190,13 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
     joined = joined.withColumns({"_t": F.when(F.col("of").isNotNull(), found), "_n": F.coalesce(F.size("of"), F.lit(0)).cast("long")})
     money, hits = "decimal(29,4)", F.col("_t.hits")
     rows = joined.select(
-        key, "nit", "entry_nit", "total", *[F.col(f"_t.entry.{n}") for n in entry if n not in ("_entry_day", "concept_key")], (-F.col("_t.best.loss")).alias("score"), (-F.col("_t.second")).alias("_second"),
+        key, "nit", "entry_nit", "total", *[F.col(f"_t.entry.{n}") for n in entry if n not in ("_entry_day", "concept_key")],
+        *[F.get(f"_{c}", F.col("_t.best.i")).alias(c) for c in apart], (-F.col("_t.best.loss")).alias("score"), (-F.col("_t.second")).alias("_second"),
         *[F.coalesce((-F.col("_t.best.no_hits")).bitwiseAND(bit) > 0, F.lit(False)).alias(f) for f, bit in (("hit_full", 8), ("hit_6", 4), ("hit_5", 2), ("hit_4", 1))], F.col("_t.best.days"), F.col("_t.best.difference"), "_n",
         F.coalesce(F.size(hits), F.lit(0)).cast("long").alias("_n_hits"),
         F.aggregate(hits, F.lit(0).cast(money), lambda a, e: (a + F.coalesce(e["amount"].cast("decimal(19,4)"), F.lit(0))).cast(money)).alias("_hit_amount"),
         F.array_min(F.transform(hits, lambda e: e["entry_date"])).alias("_hit_date"), F.aggregate(hits, F.lit(0).cast("long"), lambda a, e: a + e["lines"]).alias("_hit_lines"),
-        F.transform(hits, lambda e: F.struct(*[e[n].alias(n) for n in ("n", "entry_year", "doc_type", "doc_number", "entry_key")])).alias("_hit_keys"),
+        F.transform(hits, lambda e: F.struct(*[e[n].alias(n) for n in ("n", "entry_year", "doc_type", "doc_number", "_own_key")])).alias("_hit_keys"),
     )
     own = Window.partitionBy(key)
     rank = own.orderBy(*_rank())
@@ -205,7 +215,9 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
     ranked = ranked.withColumn("multi", _adds_up())
     # The keys of hits matter only where they add up; of most invoices a row or none goes on.
     ranked = ranked.withColumn("hit_keys", F.when(F.col("multi"), F.flatten(F.collect_list(F.when(F.col("multi"), F.col("_hit_keys"))).over(own))))
-    ranked = ranked.where("place = 1").withColumns({"hit": F.col("hit_4"), "reasons": F.when(F.col("entry_key").isNotNull(), reasons())})
+    whole = lambda e: F.struct(*[e[n].alias(n) for n in ("n", "entry_year", "doc_type", "doc_number")], F.coalesce(e["_own_key"], plain_key(e.__getitem__)).alias("entry_key"))
+    ranked = ranked.where("place = 1").withColumns({"hit_keys": F.transform("hit_keys", whole), "entry_key": F.when(F.col("_n") > 0, F.coalesce("_own_key", plain_key(F.col)))})
+    ranked = ranked.withColumns({"hit": F.col("hit_4"), "reasons": F.when(F.col("entry_key").isNotNull(), reasons())})
     return _outcome(ranked, key)
 
 

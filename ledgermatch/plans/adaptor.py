@@ -30,14 +30,17 @@ def invoices(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame
 
 
 def movements(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
-    """A line is a movement of the entry (ship year, FC, order key): debit on odd lines, credit on even ones.  Every line takes part."""
+    """A line is a movement of the entry (ship year, FC, order key): debit on odd lines, credit on even ones.  Every line takes part.
+
+    Lines meet their order by its key as text, so that they lie by their document's number from there on.
+    """
     lines = table(spark, sf_dir, "lineitem")
     owner = table(spark, sf_dir, "orders").select("o_orderkey", _tax_id(split, entry=True).alias("third_id"))
     odd = F.col("l_linenumber") % 2 == 1
     amount = F.col("l_extendedprice").cast("decimal(19,4)")
     number = F.col("l_orderkey").cast("string")
     date = F.to_date("l_shipdate")
-    return lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return lines.join(owner, number == F.col("o_orderkey").cast("string")).select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("movement_id"),
         date.alias("date"),
         F.lit("FC").alias("doc_type"),
@@ -52,7 +55,7 @@ def movements(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFram
 
 
 def ledger(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
-    return entries.entries(entries.invoice_movements(movements(spark, sf_dir, split)))
+    return entries.entries(entries.invoice_movements(movements(spark, sf_dir, split)), dealt=True)
 
 
 def scored(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:

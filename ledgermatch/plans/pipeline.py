@@ -46,7 +46,7 @@ class Run:
     @cached_property
     def counters(self) -> DataFrame:
         fc = entries.invoice_movements(self.movements)
-        return audit.quality_counters(self.invoices, self.movements, fc, self.entries, self.scored, self.matches, self.rows)
+        return audit.quality_counters(self.invoices, self.movements, fc, self.entries, None, self.matches, self.rows)
 
     @cached_property
     def coverage(self) -> DataFrame:
@@ -66,13 +66,13 @@ class Run:
         return audit.column_audit(self.rows, columns or plain, LEAKS)
 
 
-def match_run(invoices: DataFrame, movements: DataFrame, pair_missing: bool = True) -> Run:
+def match_run(invoices: DataFrame, movements: DataFrame, pair_missing: bool = True, dealt: bool = False) -> Run:
     """Raw invoices and movements (``schemas.INVOICES``, ``schemas.MOVEMENTS``) to resolved matches: one lazy plan.
 
-    Shuffles: entries by their key, invoices and tiles of entries by tax id, a row for each of their meetings by invoice.
+    Shuffles: movements by their entry's year and number (not if they already lie by number, ``dealt``), invoices and tiles of entries by tax id, a row for each of their meetings by invoice.
     """
     own, moves = features.invoice_features(invoices), features.movement_features(movements)
-    found = entries.entries(entries.invoice_movements(moves))
+    found = entries.entries(entries.invoice_movements(moves), dealt)
     scored = matching.candidates(own, found, pair_missing)
     return Run(own, moves, found, scored, matching.match(own, found, pair_missing))
 

@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermatch.operators import entries, matching
+from ledgermatch.operators import audit, entries, matching
 
 INVOICE = "nit string, invoice string, date date, total double"
 MOVEMENT = "movement_id long, date date, doc_type string, doc_number string, account string, third_id string, concept string, debit decimal(19,4), credit decimal(19,4)"
@@ -135,3 +135,34 @@ def test_scores_stay_within_their_bounds(spark, small):
 
     low, high = adaptor.scored(spark, small).agg(F.min("score"), F.max("score")).first()
     assert -45 <= low < high <= 180
+
+
+def lying_by_number(spark):
+    """Movements dealt by number, and invoices: numbers recur in several years and types and hold "|", invoices share a key."""
+    r = random.Random(3)
+    moves = [(i, date(r.choice([2025, 2026]), 3, 1 + i % 9), r.choice(["FC", "NC"]), f"{i % 30}" + "|x" * (i % 7 == 0), r.choice(["11", "22 "]), str(i % 4), f"fv{i % 30 + 1000}", *[__import__("decimal").Decimal(r.randrange(9)) for _ in "dc"]) for i in range(200)]
+    moves = spark.createDataFrame(moves, MOVEMENT).withColumn("entry_key", entries.entry_key(F.year("date"), F.col("doc_type"), F.col("doc_number")))
+    inv = spark.createDataFrame([(str(i % 5), f"fv{i % 30 + 1000}", D, float(i % 11)) for i in range(90)], INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice")))
+    return moves.repartition("doc_number"), inv
+
+
+def test_entries_and_counters_of_lines_that_lie_by_number(spark):
+    """Same rows as of lines that are dealt anew, and same counters as of a row for each candidate."""
+    moves, inv = lying_by_number(spark)
+    want = entries.entries(moves).localCheckpoint()
+    assert sorted(map(str, entries.entries(moves, dealt=True).collect())) == sorted(map(str, want.collect()))
+    assert entries.entries(moves, dealt=True)._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    flags = inv.select("invoice_key", *[F.lit(1).alias(c) for c in ("no_nit", "no_invoice", "has_discount", "has_charge", "over_2_units", "over_4_units", "over_27_units", "payable_mismatch")])
+    scored = matching.candidates(inv, want)
+    counted = [{x["metric"]: x["value"] for x in audit.quality_counters(flags, moves, moves, want, s, matching.match(inv, want), inv).collect()} for s in (scored, None)]
+    assert counted[0] == counted[1] and counted[0]["candidates"] > 90
+
+
+def test_keys_of_their_own_are_kept(spark):
+    """Entries' keys need not be those of their year, type and number."""
+    moves = [(i, D, "FC", str(i), "11", "1", f"multi12345 {i}", *map(__import__("decimal").Decimal, (10, 0))) for i in range(3)] + [(9, D, "FC", "9", "11", "2", "x", *map(__import__("decimal").Decimal, (1, 0)))]
+    ent = entries.entries(spark.createDataFrame(moves, MOVEMENT)).withColumn("entry_key", F.when(F.col("doc_number") != "1", F.concat(F.lit("own"), "doc_number")).otherwise(F.col("entry_key"))).localCheckpoint()
+    inv = spark.createDataFrame([("1", "multi12345", D, 30.0), ("2", "x", D, 1.0), ("3", "x", D, 1.0)], INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice")))
+    got = matching.match(inv, ent, tile=2).collect()
+    assert sorted(map(str, got)) == sorted(map(str, matching.resolve(matching.candidates(inv, ent)).collect()))
+    assert {x["matched_entry"] for x in got} == {"own0;2026|FC|1;own2", "own9", None}
