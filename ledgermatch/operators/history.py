@@ -10,24 +10,34 @@ from .entries import MONEY, nature, template_label
 from .matching import accepted
 
 
-def line_history(matches: DataFrame, movements: DataFrame, invoices: DataFrame) -> DataFrame:
+def line_history(matches: DataFrame, movements: DataFrame, invoices: DataFrame, dealt: bool = False) -> DataFrame:
     """Sums of an accepted entry's lines by account and nature, with their ratios to the invoice's total.
 
-    ``movements`` has entry_key; the join is on that key.
+    ``movements`` has entry_key; the join is on that key.  With ``dealt`` they lie by doc_number, no number is null and no
+    type holds "|": then the accepted entries go to their lines by the number in their key, and no line moves.
     """
     own = matches.where(accepted(F.col("state"))).select("invoice_key", F.col("matched_entry").alias("entry_key"), template_label(F.col("account_natures")).alias("template"))
     totals = invoices.select("invoice_key", "nit", "total")
+    number = ["doc_number"] if dealt else []
     lines = movements.select(
-        "entry_key", "movement_id", F.concat_ws("_", F.trim("account"), nature(F.col("debit"), F.col("credit"))).alias("account_nature"), F.col("debit").cast(MONEY), F.col("credit").cast(MONEY), text.collapse(F.col("concept")).alias("concept")
+        "entry_key", *number, "movement_id", F.concat_ws("_", F.trim("account"), nature(F.col("debit"), F.col("credit"))).alias("account_nature"), F.col("debit").cast(MONEY), F.col("credit").cast(MONEY), text.collapse(F.col("concept")).alias("concept")
     )
-    grouped = own.join(totals, "invoice_key").join(lines, "entry_key").groupBy("invoice_key", "entry_key", "nit", "total", "template", "account_nature").agg(
+    own = own.join(totals, "invoice_key")
+    if dealt:
+        # Two bounds instead of an equality of keys, by which the lines would be dealt anew.
+        key, lines = F.col("_key"), lines.withColumnRenamed("entry_key", "_key")
+        own = own.withColumn("_number", F.split("entry_key", r"\|", 3)[2])
+        joined = own.join(lines, (F.col("_number") == F.col("doc_number")) & (F.col("entry_key") <= key) & (F.col("entry_key") >= key))
+    else:
+        joined = own.join(lines, "entry_key")
+    grouped = joined.groupBy("invoice_key", "entry_key", *number, "nit", "total", "template", "account_nature").agg(
         F.sum("debit").cast("double").alias("debit"),
         F.sum("credit").cast("double").alias("credit"),
         F.min_by("concept", F.when(F.col("concept").isNotNull(), F.col("movement_id"))).alias("concept"),
         F.count(F.lit(1)).alias("lines"),
     )
     amount = F.greatest("debit", "credit")
-    return grouped.withColumn("amount", amount).withColumn("ratio", numbers.ratio(F.col("amount"), F.col("total")))
+    return grouped.drop(*number).withColumn("amount", amount).withColumn("ratio", numbers.ratio(F.col("amount"), F.col("total")))
 
 
 def ratio_profile(history: DataFrame) -> DataFrame:

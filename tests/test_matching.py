@@ -4,7 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from ledgermatch.operators import audit, entries, matching
+from ledgermatch.operators import audit, entries, history, matching
 
 INVOICE = "nit string, invoice string, date date, total double"
 MOVEMENT = "movement_id long, date date, doc_type string, doc_number string, account string, third_id string, concept string, debit decimal(19,4), credit decimal(19,4)"
@@ -166,3 +166,12 @@ def test_keys_of_their_own_are_kept(spark):
     got = matching.match(inv, ent, tile=2).collect()
     assert sorted(map(str, got)) == sorted(map(str, matching.resolve(matching.candidates(inv, ent)).collect()))
     assert {x["matched_entry"] for x in got} == {"own0;2026|FC|1;own2", "own9", None}
+
+
+def test_histories_of_lines_that_lie_by_number(spark):
+    """Same rows as by the entry's key."""
+    moves, inv = lying_by_number(spark)
+    once = inv.dropDuplicates(["invoice_key"])
+    found = matching.match(once, entries.entries(moves)).localCheckpoint()
+    rows = sorted(map(str, history.line_history(found, moves, once).collect()))
+    assert len(rows) > 10 and sorted(map(str, history.line_history(found, moves, once, dealt=True).collect())) == rows
