@@ -10,19 +10,20 @@ from .entries import MONEY, nature, template_label
 from .matching import accepted
 
 
-def line_history(matches: DataFrame, movements: DataFrame, invoices: DataFrame, dealt: bool = False) -> DataFrame:
+def line_history(matches: DataFrame, movements: DataFrame, invoices: DataFrame | None, dealt: bool = False) -> DataFrame:
     """Sums of an accepted entry's lines by account and nature, with their ratios to the invoice's total.
 
     ``movements`` has entry_key; the join is on that key.  With ``dealt`` they lie by doc_number, no number is null and no
     type holds "|": then the accepted entries go to their lines by the number in their key, and no line moves.
+    Without ``invoices`` the matches have nit and total, as ``matching.match`` gives accepted ones.
     """
-    own = matches.where(accepted(F.col("state"))).select("invoice_key", F.col("matched_entry").alias("entry_key"), template_label(F.col("account_natures")).alias("template"))
-    totals = invoices.select("invoice_key", "nit", "total")
+    own = matches.where(accepted(F.col("state"))).select("invoice_key", *([] if invoices is not None else ["nit", "total"]), F.col("matched_entry").alias("entry_key"), template_label(F.col("account_natures")).alias("template"))
     number = ["doc_number"] if dealt else []
     lines = movements.select(
         "entry_key", *number, "movement_id", F.concat_ws("_", F.trim("account"), nature(F.col("debit"), F.col("credit"))).alias("account_nature"), F.col("debit").cast(MONEY), F.col("credit").cast(MONEY), text.collapse(F.col("concept")).alias("concept")
     )
-    own = own.join(totals, "invoice_key")
+    if invoices is not None:
+        own = own.join(invoices.select("invoice_key", "nit", "total"), "invoice_key")
     if dealt:
         # Two bounds instead of an equality of keys, by which the lines would be dealt anew.
         key, lines = F.col("_key"), lines.withColumnRenamed("entry_key", "_key")

@@ -142,13 +142,16 @@ def resolve(scored: DataFrame, key: str = "invoice_key") -> DataFrame:
     return _outcome(ranked, key)
 
 
-def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, key: str = "invoice_key", tile: int = TILE) -> DataFrame:
+def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, key: str = "invoice_key", tile: int = TILE, accepted_only: bool = False) -> DataFrame:
     """What ``resolve`` finds among ``candidates``, without a row for each candidate.
 
     The entries of a tax id are cut into tiles of ``tile``.  An invoice meets each tile in one row, which
     keeps the tile's best entry, the score of its second best, and the number, sums and keys of its text
     hits; these rows alone are shuffled and ranked.  Adaptive execution can split the tiles of a heavy supplier.
     What follows from other columns is not moved: a key that ``entries.entry_key`` gives is written again at the end.
+
+    ``accepted_only`` gives the accepted matches alone, with their invoice's nit and total, as histories read them; keys of
+    several hits, which no accepted match names, are not moved then.
     """
     left, right = _sides(invoices.select(key, "nit", "invoice", "date", "total"), entries)
     entry = ("_own_key", "entry_year", "doc_type", "doc_number", "entry_date", "_entry_day", "concept_key", "amount", "lines")
@@ -213,15 +216,17 @@ def match(invoices: DataFrame, entries: DataFrame, pair_missing: bool = True, ke
         }
     )
     ranked = ranked.withColumn("multi", _adds_up())
+    if accepted_only:
+        ranked = ranked.drop("_hit_keys").withColumn("_hit_keys", F.lit(None).cast(rows.schema["_hit_keys"].dataType))
     # The keys of hits matter only where they add up; of most invoices a row or none goes on.
     ranked = ranked.withColumn("hit_keys", F.when(F.col("multi"), F.flatten(F.collect_list(F.when(F.col("multi"), F.col("_hit_keys"))).over(own))))
     whole = lambda e: F.struct(*[e[n].alias(n) for n in ("n", "entry_year", "doc_type", "doc_number")], F.coalesce(e["_own_key"], plain_key(e.__getitem__)).alias("entry_key"))
     ranked = ranked.where("place = 1").withColumns({"hit_keys": F.transform("hit_keys", whole), "entry_key": F.when(F.col("_n") > 0, F.coalesce("_own_key", plain_key(F.col)))})
     ranked = ranked.withColumns({"hit": F.col("hit_4"), "reasons": F.when(F.col("entry_key").isNotNull(), reasons())})
-    return _outcome(ranked, key)
+    return _outcome(ranked, key, "nit", "total").where(accepted(F.col("state"))) if accepted_only else _outcome(ranked, key)
 
 
-def _outcome(ranked: DataFrame, key: str) -> DataFrame:
+def _outcome(ranked: DataFrame, key: str, *more: str) -> DataFrame:
     """The state and the columns of a match from the best candidate of each invoice, its runner-up's score and the sums over its text hits."""
     hit, pct = F.col("hit"), F.col("difference")
     gap = F.col("score") - F.col("next_score")
@@ -257,6 +262,7 @@ def _outcome(ranked: DataFrame, key: str) -> DataFrame:
         "hits",
         "days",
         "difference",
+        *more,
     )
 
 

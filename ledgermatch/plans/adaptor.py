@@ -62,5 +62,5 @@ def scored(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
     return matching.candidates(invoices(spark, sf_dir, split), ledger(spark, sf_dir, split))
 
 
-def matched(spark: SparkSession, sf_dir: str, split: bool = False) -> DataFrame:
-    return matching.match(invoices(spark, sf_dir, split), ledger(spark, sf_dir, split))
+def matched(spark: SparkSession, sf_dir: str, split: bool = False, accepted_only: bool = False) -> DataFrame:
+    return matching.match(invoices(spark, sf_dir, split), ledger(spark, sf_dir, split), accepted_only=accepted_only)

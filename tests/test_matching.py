@@ -141,8 +141,9 @@ def lying_by_number(spark):
     """Movements dealt by number, and invoices: numbers recur in several years and types and hold "|", invoices share a key."""
     r = random.Random(3)
     moves = [(i, date(r.choice([2025, 2026]), 3, 1 + i % 9), r.choice(["FC", "NC"]), f"{i % 30}" + "|x" * (i % 7 == 0), r.choice(["11", "22 "]), str(i % 4), f"fv{i % 30 + 1000}", *[__import__("decimal").Decimal(r.randrange(9)) for _ in "dc"]) for i in range(200)]
+    moves += [(300 + i, D, "FC", f"m{i}", "11", "9", "multi12345", *map(__import__("decimal").Decimal, (10, 0))) for i in range(3)]
     moves = spark.createDataFrame(moves, MOVEMENT).withColumn("entry_key", entries.entry_key(F.year("date"), F.col("doc_type"), F.col("doc_number")))
-    inv = spark.createDataFrame([(str(i % 5), f"fv{i % 30 + 1000}", D, float(i % 11)) for i in range(90)], INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice")))
+    inv = spark.createDataFrame([(str(i % 5), f"fv{i % 30 + 1000}", D, float(i % 11)) for i in range(90)] + [("9", "multi12345", D, 30.0)], INVOICE).withColumn("invoice_key", matching.invoice_key(F.col("nit"), F.col("invoice")))
     return moves.repartition("doc_number"), inv
 
 
@@ -175,3 +176,9 @@ def test_histories_of_lines_that_lie_by_number(spark):
     found = matching.match(once, entries.entries(moves)).localCheckpoint()
     rows = sorted(map(str, history.line_history(found, moves, once).collect()))
     assert len(rows) > 10 and sorted(map(str, history.line_history(found, moves, once, dealt=True).collect())) == rows
+    alone = matching.match(once, entries.entries(moves), accepted_only=True, tile=2).localCheckpoint()
+    states = {r["state"] for r in found.select("state").distinct().collect()}
+    assert "REVISION_MULTIASIENTO" in states and states & {*matching.ACCEPTED}
+    kept = found.where(matching.accepted(F.col("state"))).join(once.select("invoice_key", "nit", "total"), "invoice_key")
+    assert sorted(map(str, alone.collect())) == sorted(map(str, kept.select(alone.columns).collect()))
+    assert sorted(map(str, history.line_history(alone, moves, None, dealt=True).collect())) == sorted(map(str, history.line_history(alone, moves, None).collect())) == rows
